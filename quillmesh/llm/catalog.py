@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import decontaminate, line_dedup, near_dups, packing, quality, sentencepiece_fst, token_counts
+from quillmesh.llm import decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op2_secrets": secrets.op2,
     "op3_pack_tokens": packing.op3,
     "op4_near_dups": near_dups.op4,
     "op5_token_counts": token_counts.op5,
+    "op6_substring_dedup": substring_dedup.op6,
     "op7_sentencepiece": sentencepiece_fst.op7,
     "op8_quality": quality.op8,
     "op10_line_dedup": line_dedup.op10,
