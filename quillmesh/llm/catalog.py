@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts
+from quillmesh.llm import decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring_dedup": substring_dedup.op6,
     "op7_sentencepiece": sentencepiece_fst.op7,
     "op8_quality": quality.op8,
+    "op9_toxicity": toxicity.op9,
     "op10_line_dedup": line_dedup.op10,
 }
 
