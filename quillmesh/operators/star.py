@@ -9,6 +9,7 @@ from quillmesh.functions import fixed
 from quillmesh.functions.dates import calendar, date_key, ddmmyy, parse_date
 from quillmesh.functions.entities import source_type
 from quillmesh.functions.text import clean_value
+from quillmesh.session import durable
 
 FIRST_FACT, FIRST_TAG, FIRST_ENTITY = 1000, 10, 200
 
@@ -23,9 +24,10 @@ def numbered(df: DataFrame, name: str, order: list, first: int) -> DataFrame:
     """Consecutive keys by a total order, without gathering the rows in one task.
 
     Rows are range-partitioned and sorted, so each partition's count and the
-    counts before it (one row per partition) give every key.
+    counts before it (one row per partition) give every key. The bounds come
+    from a sample, so the sorted rows are checkpointed before they are counted.
     """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    spread = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
     here = F.row_number().over(Window.partitionBy("_part").orderBy("_at"))
     counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """A checkpoint in the cluster's shared folder; one of our own only where none is set."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillmesh-"))
+    return df.checkpoint()
 
 
 def session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
