@@ -19,7 +19,7 @@ def capital_runs(text: str) -> list[dict]:
 
 
 def extractor(make: Callable[[], Callable[[str], list[dict]]] = lambda: capital_runs):
-    """A pandas UDF; make() loads a model once a task."""
+    """A pandas UDF; make() loads a model once a task. Call session.ship first on a cluster."""
 
     @F.pandas_udf(SPANS)
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions import entities, fixed, score, sentiment, text
 from quillmesh.operators import entity, incremental
 from quillmesh.plans import common as c
+from quillmesh.session import ship
 
 _ENDINGS = ["Inc.", "Corp", "& Sons Ltd", "Holdings", "Pharma", "", "and Co", "Therapeutics", "GmbH", "University"]
 
@@ -135,6 +136,7 @@ def sentiment_stats(spark, sf):
 
 
 def vader_like_sentiment(spark, sf):
+    ship(spark)
     scored = sentiment.scorer(_LEX)
     return c.table(spark, sf, "documents").select("doc_id", scored("text").alias("sentiment_score"))
 

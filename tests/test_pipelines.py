@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.operators import ner
 from quillmesh.plans import pipelines
+from quillmesh.session import ship
 from quillmesh.sources import market
 
 ARTICLES = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
@@ -54,6 +55,7 @@ def test_payloads(spark):
 
 
 def test_ner(spark):
+    ship(spark)
     docs = spark.createDataFrame([(1, "Eli Lilly met Pfizer and eli lilly."), (2, None)], "id long, text string")
     spans = docs.select("id", ner.extractor()("text").alias("s"))
     assert {(r.id, r.name) for r in ner.best_spans(spans, "id", "s").collect()} == {(1, "eli lilly"), (1, "pfizer")}
