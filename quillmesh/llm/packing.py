@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quillmesh.llm.common import Memo, arrow_schema, ship, texts
+from quillmesh.llm.common import Memo, arrow_schema, texts
+from quillmesh.session import ship
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: fixed value: the public byte-level BPE pattern that splits text before merges
