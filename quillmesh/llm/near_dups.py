@@ -13,7 +13,10 @@ No group of copies is expanded into pairs:
    confirmed links give first components;
 3. where a bucket still holds several components, the classes outside its main
    component are compared with the classes of other components, which covers
-   every pair that could still join two components, so no link is lost.
+   every pair that could still join two components, so no link is lost. Up to
+   `SMALL` classes this is a join; larger buckets are cut into blocks of at most
+   about `BLOCK` members and `BLOCK` outsiders, each block is compared in place
+   and returns confirmed links only, never pairs.
 Each step is an aggregation or an equi-join on bucket keys or doc_ids that
 Spark can split; components come from components.py.
 
@@ -27,6 +30,8 @@ table gives no rows; extra columns don't matter.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +41,7 @@ from quillmesh.llm.components import components
 
 WIDTH, SAMPLES, BANDS, SKETCH_BITS = 5, 128, 32, 512
 PERCENT = 75
+SMALL, BLOCK = 32, 512
 _ODD = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = mix(np.arange(1001, 1001 + SAMPLES, dtype=np.uint64))
 _BAND = mix(np.arange(5001, 5001 + BANDS, dtype=np.uint64))
@@ -100,28 +106,81 @@ def _set_maker():
     return lambda c: {"node": c["doc_id"], "items": [shingles(t).tobytes() for t in c["text"]]}
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share enough: 100 * common >= percent * union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate((x, y))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirmer(percent: int):
     def make():
         def work(c: dict[str, list]) -> dict[str, list]:
-            a_out, b_out, met = [], [], []
+            a_out, b_out = [], []
             for a, b, x, y in zip(c["a"], c["b"], c["x"], c["y"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                if 100 * common >= percent * (len(both) - common):
+                if similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent):
                     a_out.append(a)
                     b_out.append(b)
-                    met.append(common)
-            return {"a": a_out, "b": b_out, "common": met}
+            return {"a": a_out, "b": b_out}
 
         return work
 
     return make
 
 
+def _blocks(percent: int, good: int):
+    """Links of one block of a bucket: outsiders (role 1) against members (role 0) of other components.
+
+    Pairs that meet in an earlier band belong to that bucket. Components that
+    the block has joined already are not compared again.
+    """
+
+    def rows(table: pa.Table) -> tuple:
+        def lists(name: str) -> np.ndarray:
+            return table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+        items = [np.frombuffer(b, np.uint64) for b in table["items"].to_pylist()]
+        return table["node"].to_numpy(), table["part"].to_numpy(), lists("sketch"), lists("bands"), items, np.array(table["outside"].to_pylist(), bool)
+
+    def work(table: pa.Table) -> pa.Table:
+        a_out, b_out, root = [], [], {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        members, outs = (table.filter(pa.compute.equal(table["role"], r)) for r in (0, 1))
+        if members.num_rows and outs.num_rows:
+            key = table["key"][0].as_py()
+            m_node, m_part, m_sketch, m_bands, m_items, m_out = rows(members)
+            for node, part, sketch, bands, x in zip(*rows(outs)[:5], strict=True):
+                bits = np.bitwise_count((m_sketch ^ sketch).view(np.uint64)).sum(axis=1)
+                near = np.flatnonzero((bits <= good) & (m_part != part) & (~m_out | (node < m_node)))
+                first = (m_bands[near] == bands).argmax(axis=1)
+                near = near[bands[first] == key]
+                for j in near[np.argsort(bits[near], kind="stable")].tolist():
+                    p, q = find(int(part)), find(int(m_part[j]))
+                    if p != q and similar(x, m_items[j], percent):
+                        root[p] = q
+                        a_out.append(min(int(node), int(m_node[j])))
+                        b_out.append(max(int(node), int(m_node[j])))
+        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
+
+    return work
+
+
+def _dealt(wide: DataFrame) -> DataFrame:
+    """Members and outsiders of large buckets, dealt to every block in which they meet."""
+    blocks, out_blocks = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
+    members = wide.withColumn("m", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), out_blocks - 1))).withColumn("role", F.lit(0))
+    outs = wide.where("outside").withColumn("o", F.pmod(F.xxhash64("node", F.lit(5)), out_blocks).cast("int")).withColumn("m", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("role", F.lit(1))
+    return members.unionByName(outs)
+
+
 def _differ(x: str, y: str) -> Column:
     """Bits in which two odd sketches differ."""
     return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
@@ -130,10 +189,10 @@ def _differ(x: str, y: str) -> Column:
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-    return scan(both, _confirmer(percent), "a long, b long, common long").select("a", "b")
+    return scan(both, _confirmer(percent), "a long, b long")
 
 
-def near_dups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_dups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of docs."""
     rows = texts(docs)
     signed = keep(scan(rows, _signer, SIGNATURE), "signatures")
@@ -159,13 +218,17 @@ def near_dups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # 3. what buckets hold outside their main component
     placed = members.join(buckets.select("key"), "key").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("part"))
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    open_ = keep(placed.join(split, "key").join(sketches, "node").select("key", "node", "part", "sketch", (F.col("part") != F.col("main")).alias("outside")), "open_buckets")
-    left = open_.where("outside").select("key", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("p"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("q"), F.col("outside").alias("ob"))
+    split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "part"))["n"].alias("in_main")).where("parts > 1")
+    split = split.select("key", "main", "size", (F.col("size") - F.col("in_main")).alias("n_out"))
+    open_ = keep(placed.join(split, "key").select("key", "node", "part", "size", "n_out", (F.col("part") != F.col("main")).alias("outside")), "open_buckets")
+    few = open_.where(F.col("size") <= small).join(sketches, "node")
+    left = few.where("outside").select("key", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("p"))
+    right = few.select("key", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("q"), F.col("outside").alias("ob"))
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("pa") != F.col("pb")) & (~F.col("ob") | (F.col("a") < F.col("b"))) & (_differ("p", "q") <= good))
     more = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    late = _confirm(more, sets, percent)
+    wide = open_.where(F.col("size") > small).join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
+    in_blocks = _dealt(wide).groupBy("key", "m", "o").applyInArrow(_blocks(percent, good), "a long, b long")
+    late = _confirm(more, sets, percent).union(in_blocks)
     roots = components(late.union(roots.select("node", "root")))
 
     found = classes.select("fa", "fb", "node").join(roots, "node", "left").select("fa", "fb", F.coalesce("root", "node").alias("component"))
