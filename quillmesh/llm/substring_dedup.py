@@ -12,15 +12,14 @@ automaton that can hold it:
    to see which occur in more than one document; what an input block settles
    itself is sent once for the block, so a very common anchor stays small.
 2. Segments: neighbouring windows with one shared anchor are cut out, with their
-   words. Equal segments are one row with its smallest doc_id (all later holders
-   lose it whole).
+   words.
 3. Shards: the segments of an anchor come sorted by doc_id; each is streamed
    through the suffix automaton of the earlier ones for its matching statistics
-   (the longest match that ends at each word) and then added. Windows whose match
-   has WINDOW words are repeats. An anchor with more than `max_segments`
-   different segments would make too large an automaton; its windows are
-   compared as whole strings in an aggregation and a join instead, which gives
-   the same answer.
+   (the longest match that ends at each word) and then added, unless all of it
+   was known. Windows whose match has WINDOW words are repeats. An anchor with
+   more than `max_segments` segments could make too large an automaton; its
+   windows are compared as whole strings in an aggregation and a join instead,
+   which gives the same answer.
 4. Maximal runs of covered words are removed.
 
 Edge cases: null, empty and short texts lose nothing; rows that repeat a doc_id
@@ -36,7 +35,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,7 +140,7 @@ def _blocks(buckets: int):
                 put(int(k) % buckets, ids[k], hashes[k], keys[part].tobytes(), None, None)
         sent = np.flatnonzero(first)
         bucket = (keys[sent] % np.uint64(buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
+        by = np.lexsort((owner[sent], bucket))  # runs of one document compress well
         for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
             at = sent[part]
             put(int(bucket[part[0]]), None, None, keys[at].tobytes(), np.stack((ids[owner[at]], hashes[owner[at]])).T.tobytes(), many[at].tobytes())
@@ -176,30 +174,35 @@ def _settle(table: pa.Table) -> pa.Table:
     return pa.concat_tables([direct.cast(_SHARED), told])
 
 
-SEGMENT = "doc_id long, th long, start int, n int, anchor long, sid long, words binary"
+SEGMENT = "doc_id long, th long, start int, anchor long, words binary"
 
 
 def _cutter():
-    names = [x.split()[0] for x in SEGMENT.split(", ")]
-
     def work(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {n: [] for n in names}
-        for doc, th, text, blobs in zip(c["doc_id"], c["th"], c["text"], c["blobs"], strict=True):
+        docs, cut, starts, found = [], [], [], []
+        for k, (text, blobs) in enumerate(zip(c["text"], c["blobs"], strict=True)):
             words = text.split()
             at, keys = anchors(word_hashes(words))
-            shared = np.isin(keys, np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]))
             edges = np.flatnonzero(np.diff(at)) + 1
-            for lo, hi in zip(np.concatenate(([0], edges)).tolist(), np.concatenate((edges, [len(at)])).tolist(), strict=True):
-                if hi > lo and shared[lo]:
-                    cut = b" ".join(words[lo : hi + WINDOW - 1])
-                    for n, v in zip(names, (doc, th, lo, hi - lo, int(keys[lo].view(np.int64)), xxhash.xxh3_64_intdigest(cut) - (1 << 63), cut), strict=True):
-                        out[n].append(v)
-        return out
+            lo, hi = np.concatenate(([0], edges)), np.concatenate((edges, [len(at)]))
+            shared = np.isin(keys[lo], np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]))
+            lo, hi = lo[shared], hi[shared]
+            cut.extend([b" ".join(words[a:b]) for a, b in zip(lo.tolist(), (hi + (WINDOW - 1)).tolist(), strict=True)])
+            docs.append(np.full(len(lo), k))
+            starts.append(lo)
+            found.append(keys[lo])
+        if not cut:
+            return None
+        owner = np.concatenate(docs)
+        return {
+            "doc_id": pa.array(np.array(c["doc_id"], np.int64)[owner]), "th": pa.array(np.array(c["th"], np.int64)[owner]), "start": pa.array(np.concatenate(starts).astype(np.int32)),
+            "anchor": pa.array(np.concatenate(found).view(np.int64)), "words": pa.array(cut, pa.binary()),
+        }
 
     return work
 
 
-MATCHED = "anchor long, sid long, first_doc long, mask int"
+MATCHED = "doc_id long, th long, start int, mask int"
 
 
 def _streamer():
@@ -207,8 +210,8 @@ def _streamer():
     state = {"anchor": None, "doc": None, "waiting": [], "automaton": None}
 
     def work(c: dict[str, list]) -> dict[str, list]:
-        masks = []
-        for anchor, doc, words in zip(c["anchor"], c["first_doc"], c["words"], strict=True):
+        hits, masks = [], []
+        for k, (anchor, doc, words) in enumerate(zip(c["anchor"], c["doc_id"], c["words"], strict=True)):
             if anchor != state["anchor"]:
                 state.update(anchor=anchor, doc=doc, waiting=[], automaton=None)
             elif doc != state["doc"]:
@@ -219,11 +222,14 @@ def _streamer():
                 state.update(doc=doc, waiting=[])
             items, mask = words.split(b" "), 0
             if state["automaton"] is not None:
-                for k, length in enumerate(state["automaton"].matches(items)[WINDOW - 1 :]):
-                    mask |= (length >= WINDOW) << k
-            state["waiting"].append(items)
-            masks.append(mask)
-        return {"anchor": c["anchor"], "sid": c["sid"], "first_doc": c["first_doc"], "mask": masks}
+                for place, length in enumerate(state["automaton"].matches(items)[WINDOW - 1 :]):
+                    mask |= (length >= WINDOW) << place
+                if mask:
+                    hits.append(k)
+                    masks.append(mask)
+            if mask + 1 < 1 << len(items) - WINDOW + 1:
+                state["waiting"].append(items)
+        return {n: [c[n][k] for k in hits] for n in ("doc_id", "th", "start")} | {"mask": masks}
 
     return work
 
@@ -232,11 +238,11 @@ def _windows():
     """A segment's windows as rows of their own."""
 
     def work(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {n: [] for n in ("anchor", "sid", "first_doc", "place", "words")}
-        for anchor, sid, doc, words in zip(c["anchor"], c["sid"], c["first_doc"], c["words"], strict=True):
+        out: dict[str, list] = {n: [] for n in ("doc_id", "th", "start", "place", "words")}
+        for doc, th, start, words in zip(c["doc_id"], c["th"], c["start"], c["words"], strict=True):
             items = words.split(b" ")
             for k in range(len(items) - WINDOW + 1):
-                for n, v in zip(out, (anchor, sid, doc, k, b" ".join(items[k : k + WINDOW])), strict=True):
+                for n, v in zip(out, (doc, th, start, k, b" ".join(items[k : k + WINDOW])), strict=True):
                     out[n].append(v)
         return out
 
@@ -283,19 +289,14 @@ def repeats(docs: DataFrame, max_segments: int = MAX_SEGMENTS, bucket_bytes: int
     mine = shared.groupBy("doc_id", "th").agg(F.collect_list("anchors").alias("blobs"))
     segments = keep(scan(rows.join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "blobs"), _cutter, SEGMENT), "segments")
 
-    distinct = keep(segments.groupBy("anchor", "words").agg(F.min("doc_id").alias("first_doc"), F.min("sid").alias("sid")), "distinct_segments")
-    per_anchor = distinct.groupBy("anchor").agg(F.count("*").alias("segments"))
-    sized = distinct.join(per_anchor.where("segments > 1"), "anchor").select("anchor", "sid", "first_doc", "words", "segments")
-    few = sized.where(F.col("segments") <= max_segments).drop("segments").repartition("anchor").sortWithinPartitions("anchor", "first_doc", "sid")
+    per_anchor = segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_segments).select("anchor", F.lit(True).alias("crowded"))
+    sized = segments.join(per_anchor, "anchor", "left")
+    few = sized.where("crowded is null").drop("crowded").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
     cold = scan(few, _streamer, MATCHED, rows=4096)
-    one_by_one = scan(sized.where(F.col("segments") > max_segments).drop("segments"), _windows, "anchor long, sid long, first_doc long, place int, words binary")
-    least = one_by_one.groupBy("words").agg(F.min("first_doc").alias("least"))
-    hot = one_by_one.join(least, "words").where("least < first_doc").groupBy("anchor", "sid").agg(F.min("first_doc").alias("first_doc"), F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
-    masks = cold.where("mask > 0").unionByName(hot)
-
-    firsts = distinct.select("anchor", "sid", "first_doc").join(masks.select("anchor", "sid", "mask"), ["anchor", "sid"], "left")
-    whole = F.expr("shiftleft(1, n) - 1")
-    verdict = segments.drop("words").join(firsts, ["anchor", "sid"]).withColumn("mask", F.when(F.col("doc_id") > F.col("first_doc"), whole).otherwise(F.coalesce("mask", F.lit(0)))).where("mask > 0")
+    one_by_one = scan(sized.where("crowded").drop("crowded"), _windows, "doc_id long, th long, start int, place int, words binary")
+    least = one_by_one.groupBy("words").agg(F.min("doc_id").alias("least"))
+    hot = one_by_one.join(least, "words").where("least < doc_id").groupBy("doc_id", "th", "start").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
+    verdict = keep(cold.unionByName(hot), "repeats")
     return verdict.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
 
 
