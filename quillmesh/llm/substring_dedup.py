@@ -44,6 +44,7 @@ WINDOW, GRAM = 13, 5
 PLACES = WINDOW - GRAM + 1  # of an anchor in a window, and most windows in a segment
 BUCKET_BYTES = 32_000_000
 MAX_SEGMENTS = 5_000
+MAX_BROADCAST = 1_000_000  # anchors of 8 bytes; beyond it Spark chooses the join
 
 
 class SuffixAutomaton:
@@ -289,11 +290,12 @@ def repeats(docs: DataFrame, max_segments: int = MAX_SEGMENTS, bucket_bytes: int
     mine = shared.groupBy("doc_id", "th").agg(F.collect_list("anchors").alias("blobs"))
     segments = keep(scan(rows.join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "blobs"), _cutter, SEGMENT), "segments")
 
-    per_anchor = segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_segments).select("anchor", F.lit(True).alias("crowded"))
-    sized = segments.join(per_anchor, "anchor", "left")
-    few = sized.where("crowded is null").drop("crowded").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
+    crowded = keep(segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_segments).select("anchor"), "crowded_anchors")
+    if crowded.count() <= MAX_BROADCAST:
+        crowded = F.broadcast(crowded)
+    few = segments.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
     cold = scan(few, _streamer, MATCHED, rows=4096)
-    one_by_one = scan(sized.where("crowded").drop("crowded"), _windows, "doc_id long, th long, start int, place int, words binary")
+    one_by_one = scan(segments.join(crowded, "anchor", "left_semi"), _windows, "doc_id long, th long, start int, place int, words binary")
     least = one_by_one.groupBy("words").agg(F.min("doc_id").alias("least"))
     hot = one_by_one.join(least, "words").where("least < doc_id").groupBy("doc_id", "th", "start").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
     verdict = keep(cold.unionByName(hot), "repeats")
@@ -309,3 +311,22 @@ def dedup_substrings(docs: DataFrame, **params) -> DataFrame:
 
 def op6(spark, sf_dir: str) -> DataFrame:
     return dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM d, unnest(range(1, len(w) - 12 + 1)) AS r(i) WHERE len(w) >= 13
+), firsts AS (
+  SELECT t, min(doc_id) AS f FROM win GROUP BY t
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN firsts USING (t) WHERE f < doc_id
+), words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS x FROM d
+), kept AS (
+  SELECT words.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY words.p) AS t FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p WHERE gone.p IS NULL GROUP BY words.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
