@@ -72,5 +72,5 @@ def display_name(c: Column) -> Column:
 
 def mention_count(text: Column, name: Column) -> Column:
     """Whole-word mentions of a name, an optional company word after it; text is lower-cased."""
-    safe = F.regexp_replace(F.lower(F.trim(name)), r"([\\.^$|?*+()\[\]{}])", r"\\\\$1")
+    safe = F.regexp_replace(F.lower(F.trim(name)), r"([\\.^$|?*+()\[\]{}])", r"\\$1")
     return F.when(F.trim(name) != "", F.regexp_count(text, F.concat(F.lit(r"\b"), safe, F.lit(r"(?:\s+(?:" + "|".join(fixed.MENTION_SUFFIXES) + r"))?\b")))).otherwise(0)

@@ -114,7 +114,7 @@ def slug(c: Column) -> Column:
 
 def title_from_slug(url: Column) -> Column:
     """Last path part with dashes as spaces and words capitalised."""
-    return F.initcap(F.regexp_replace(F.element_at(F.split(F.regexp_replace(url, r"[?#].*$|/+$", ""), "/"), -1), "-", " "))
+    return F.initcap(F.regexp_replace(F.element_at(F.split(F.regexp_replace(url, r"/*[?#].*$|/+$", ""), "/"), -1), "-", " "))
 
 
 def clean_value(c: Column) -> Column:

@@ -184,7 +184,7 @@ ORACLES = {
     "html_links": _LINKS,
     "url_filters": r"SELECT page_id, regexp_matches(url, '^https?://[^/\s]+') AS valid, 'https:' || regexp_replace(url, '^https?:', '') AS cleaned, contains(url, '/en/') AND NOT regexp_matches(url, 'page=|\.html$') AS article, regexp_matches(url, '/[0-9]{3}([/?#.]|$)') AS numbered FROM pages",
     "url_parts": "SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '^(https?)', 1) AS scheme, regexp_replace(url, '/$', '') AS key FROM pages",
-    "title_from_slug": r"SELECT page_id, array_to_string(list_transform(string_split(replace(string_split(regexp_replace(replace(url, '/en/', '/new-results-'), '[?#].*$|/+$', '', 'g'), '/')[-1], '-', ' '), ' '), lambda w: upper(left(w, 1)) || lower(w[2:])), ' ') AS title FROM pages",
+    "title_from_slug": r"SELECT page_id, array_to_string(list_transform(string_split(replace(string_split(regexp_replace(replace(url, '/en/', '/new-results-'), '/*[?#].*$|/+$', '', 'g'), '/')[-1], '-', ' '), ' '), lambda w: upper(left(w, 1)) || lower(w[2:])), ' ') AS title FROM pages",
     "json_props": "SELECT event_id, (props::JSON ->> 'k')::INT AS k, (props::JSON ->> 'k')::INT AS k2 FROM events",
     "map_explode_range": "SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, min(value) AS low, max(value) AS high, count(*)::BIGINT AS volume FROM events GROUP BY 1, 2 HAVING day BETWEEN '2024-01-05' AND '2024-01-12'",
     "latest_day": "SELECT event_type, max(day) AS day, arg_max(n, day)::BIGINT AS n FROM (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY event_type",
