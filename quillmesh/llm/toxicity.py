@@ -192,7 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (),
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     share = min(1.0, max_train / max(1, usable.count()))
     usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = keep(texts(docs).where("text is not null").join(usable, "doc_id"), "labelled")
+    train = keep(texts(docs).where("text is not null").join(F.broadcast(usable), "doc_id"), "labelled")  # at most about max_train pairs of numbers
 
     seen = scan(train.where("toxic = 1").select("text"), _toxic_features, "feature string, sig long")
     support = seen.groupBy("feature").agg(F.count_distinct("sig").alias("n")).where(F.col("n") >= min_support)
