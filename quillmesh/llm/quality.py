@@ -7,8 +7,8 @@ lines above `max_docs_per_host`, and rejects documents that are left with fewer
 than `min_words` words or less than `min_share` of their words.
 
 Copies of one document must not make its lines look like boilerplate (dedup
-comes later), so the holders of a line are told apart by the smallest hash of
-their other lines: copies share it, pages that only share a footer don't.
+comes later), so the holders of a line are told apart by a hash of their whole
+set of normalised lines: copies share it, pages with any line of their own don't.
 
 Lines are hashed to 64 bits in the scan; (host, line, document class) triples
 are made distinct before they are counted, so a hot host or a very common line
@@ -32,7 +32,7 @@ from quillmesh.llm.common import FOLD_ASCII, SPACES, gram_hashes, keep, scan, te
 SYMBOLS = b"#*$%&|<>"
 _WS = SPACES.encode()
 
-METRICS = "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, sig long, next_sig long, lines array<struct<h:long,n:int>>"
+METRICS = "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long, lines array<struct<h:long,n:int>>"
 
 
 def repeat_words(hashes: np.ndarray, width: int) -> int:
@@ -66,11 +66,12 @@ def measure(text: bytes, width: int = 8) -> tuple:
     chars = len(text.translate(None, _WS).decode("utf-8", "replace"))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     repeats = repeat_words(word_hashes(words), width) if len(words) > width else 0
-    return len(words), chars, symbols, dup, repeats, *[*sorted(found), 0, 0][:2], [{"h": h, "n": n} for h, n in found.items()]
+    copy = xxhash.xxh3_64_intdigest(np.array(sorted(found), np.int64).tobytes()) - (1 << 63)
+    return len(words), chars, symbols, dup, repeats, copy, [{"h": h, "n": n} for h, n in found.items()]
 
 
 def _measurer():
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sig", "next_sig", "lines")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "copy", "lines")
 
     def work(c: dict[str, list]) -> dict[str, list]:
         got = [measure(t or b"") for t in c["text"]]
@@ -84,13 +85,12 @@ def quality(docs: DataFrame, max_docs_per_host: int = 100, min_words: int = 20,
     host = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = scan(texts(docs, host.alias("source")), _measurer, METRICS)
     rows = keep(rows.withColumn("row", F.monotonically_increasing_id()), "quality")
-    held = rows.select("row", F.coalesce("source", F.lit("")).alias("host"), "sig", "next_sig", F.inline("lines"))
-    others = F.when(F.col("h") == F.col("sig"), F.col("next_sig")).otherwise(F.col("sig"))
-    common = held.groupBy("host", "h").agg(F.count_distinct(others).alias("docs")).where(F.col("docs") > max_docs_per_host).drop("docs")
+    held = rows.select("row", F.coalesce("source", F.lit("")).alias("host"), "copy", F.inline("lines"))
+    common = held.groupBy("host", "h").agg(F.count_distinct("copy").alias("docs")).where(F.col("docs") > max_docs_per_host).drop("docs")
     lost = held.join(common, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_common_words"))
     left = F.col("n_words") - F.col("n_common_words")
     return (
-        rows.drop("lines", "sig", "next_sig")
+        rows.drop("lines", "copy")
         .join(lost, "row", "left")
         .withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
         .withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))

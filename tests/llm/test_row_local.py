@@ -213,6 +213,17 @@ def test_quality(spark, sample, make):
     assert sorted(r.doc_id for r in quality.keep_quality(make(own + hollow), max_docs_per_host=10).collect()) == sorted([i for i, _ in own] + [202])
 
 
+def test_quality_counts_pages_that_share_several_lines(make):
+    shared = "\n".join(" ".join(f"menu{j}x{k}" for k in range(4)) for j in range(10))
+    pages = [(i, f"{shared}\nown{i} and nothing else") for i in range(0, 80, 2)]
+    copies = [(i, "\n".join(" ".join(f"copy{j}x{k}" for k in range(9)) for j in range(4))) for i in range(100, 180, 2)]
+    some = [(i, "\n".join(shared.split("\n")[:5]) + "\n" + " ".join(f"own{i}x{k}" for k in range(30))) for i in range(200, 220, 2)]
+    got = as_rows(quality.quality(make(pages + copies + copies + some), max_docs_per_host=39), "kept", "n_common_words")
+    assert all(got[i] == (False, 40) for i, _ in pages) and all(got[i] == (True, 0) for i, _ in copies) and all(got[i] == (True, 20) for i, _ in some)
+    got = as_rows(quality.quality(make(pages + some), max_docs_per_host=50), "kept", "n_common_words")
+    assert all(v == (True, 0) for v in got.values())
+
+
 def brute_lines(rows, least=40, many=5):
     def key(line):
         return lower(line.strip(" \t\n\x0b\x0c\r"))
