@@ -107,12 +107,12 @@ class Tokens:
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian 16-bit numbers, the end token last; nothing for null.
 
-        If all white space is single spaces and line ends, no token crosses
-        from one word to the next, so words are looked up one by one.
+        If all white space is single spaces and line ends between words, no token
+        crosses from one word to the next, so words are looked up one by one.
         """
         if text is None:
             return b""
-        if "\0" not in text and len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        if "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
             first, *rest = text.replace("\n", " \n").split(" ")
             return self.ids(first) + b"".join(map(self.word.__getitem__, [f" {w}" for w in rest])) + self.last
         return self.ids(text) + self.last

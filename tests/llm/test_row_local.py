@@ -125,6 +125,15 @@ def test_packing(spark, sample, make):
     assert packing.pack(make([])).count() == 0
 
 
+def test_tokens_with_other_white_space():
+    tokens = packing.Tokens(packing.read_ranks())
+    spaces = ["\t", "\u00a0", "\r", "\x0b", "\x1c", "\x85", "\u2003", "\u2028", "\u3000", " ", "  ", "\n", "\n\n", "\n\n\n", " \n", "\n "]
+    odd = ["a\tb ", "a\u00a0b c ", "a\u00a0b  c", "a\tb\n\n\nc\td", "a\tb\n", " a\u3000b", "a b\nc d", "a", "", " ", "\n"]
+    odd += [f"{x}a{y}b{z}c{w}" for x in ("", *spaces[:2], " ", "\n") for y in spaces for z in spaces for w in ("", "\t", " ", "\n")]
+    for text in odd:
+        assert np.frombuffer(tokens.encode(text), "<u2").tolist() == [*tokens.coder.encode_ordinary(text), tokens.end], repr(text)
+
+
 def test_best_fit():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 101, 400).tolist()
