@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -102,6 +103,17 @@ def test_secrets(spark, sample, make):
     assert secrets.find_secrets(make(rows), samples=samples).count() == len(rows)
 
 
+def test_secrets_of_one_kind_of_character(sample, make):
+    docs, _ = sample
+    rng = random.Random(7)
+    keys = ["".join(rng.choice(letters) for _ in range(24)) for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(30)]
+    plain = ["getUserAccountCount42", "state-of-the-art-things", "com/path/to/page/of/things", "1234567890123456", "2024010112000000", *[m * 20 for m in "_-=/+"]]
+    rows = [(10_000 + i, f"see {k} here") for i, k in enumerate(keys)] + [(20_000 + i, f"see {k} here") for i, k in enumerate(plain)] + [(30_000, f"{keys[0]} " * 3000)]
+    got = as_rows(secrets.find_secrets(docs.unionByName(make(rows, extra=False))), "n_model")
+    assert sum(got[10_000 + i] == (1,) for i in range(len(keys))) >= 80
+    assert all(got[20_000 + i] == (0,) for i in range(len(plain))) and got[30_000] == (3000,)
+
+
 def test_packing(spark, sample, make):
     tokens = packing.Tokens(packing.read_ranks())
     docs, texts = sample
