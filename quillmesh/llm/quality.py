@@ -4,7 +4,8 @@ Base rules look at one text: too few words, or too many words inside 8-word
 windows that recur in the same text. The method then counts, for each host
 (`source`), how many different documents hold each normalised line, takes away
 lines above `max_docs_per_host`, and rejects documents that are left with fewer
-than `min_words` words or less than `min_share` of their words.
+than `min_words` words or less than `min_share` of their words. `removed_lines`
+tells the places of the lines taken away; `remaining` makes the text that is left.
 
 Copies of one document must not make its lines look like boilerplate (dedup
 comes later), so the holders of a line are told apart by a hash of their whole
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm.common import FOLD_ASCII, SPACES, gram_hashes, keep, scan, texts, word_hashes
@@ -32,7 +33,7 @@ from quillmesh.llm.common import FOLD_ASCII, SPACES, gram_hashes, keep, scan, te
 SYMBOLS = b"#*$%&|<>"
 _WS = SPACES.encode()
 
-METRICS = "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long, lines array<struct<h:long,n:int>>"
+METRICS = "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long, lines array<struct<h:long,n:int,at:array<int>>>"
 
 
 def repeat_words(hashes: np.ndarray, width: int) -> int:
@@ -54,7 +55,7 @@ def repeat_words(hashes: np.ndarray, width: int) -> int:
 def measure(text: bytes, width: int = 8) -> tuple:
     words = text.split()
     lines, dup, seen, found = text.split(b"\n"), 0, set(), {}
-    for line in lines:
+    for at, line in enumerate(lines):
         key = line.strip(_WS)
         if key:
             if line in seen:
@@ -62,12 +63,16 @@ def measure(text: bytes, width: int = 8) -> tuple:
             else:
                 seen.add(line)
             h = xxhash.xxh3_64_intdigest(key.translate(FOLD_ASCII)) - (1 << 63)
-            found[h] = found.get(h, 0) + len(key.split())
+            if h in found:
+                found[h][0] += len(key.split())
+                found[h][1].append(at)
+            else:
+                found[h] = [len(key.split()), [at]]
     chars = len(text.translate(None, _WS).decode("utf-8", "replace"))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     repeats = repeat_words(word_hashes(words), width) if len(words) > width else 0
     copy = xxhash.xxh3_64_intdigest(np.array(sorted(found), np.int64).tobytes()) - (1 << 63)
-    return len(words), chars, symbols, dup, repeats, copy, [{"h": h, "n": n} for h, n in found.items()]
+    return len(words), chars, symbols, dup, repeats, copy, [{"h": h, "n": n, "at": at} for h, (n, at) in found.items()]
 
 
 def _measurer():
@@ -81,24 +86,31 @@ def _measurer():
 
 
 def quality(docs: DataFrame, max_docs_per_host: int = 100, min_words: int = 20, min_share: float = 0.2, max_repeat_percent: int = 30) -> DataFrame:
-    """Per row: the metrics, n_common_words (in lines above the limit), base_failed, kept."""
+    """Per row: the metrics, n_common_words (in lines above the limit), removed_lines (their places from 0), base_failed, kept."""
     host = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = scan(texts(docs, host.alias("source")), _measurer, METRICS)
     rows = keep(rows.withColumn("row", F.monotonically_increasing_id()), "quality")
     held = rows.select("row", F.coalesce("source", F.lit("")).alias("host"), "copy", F.inline("lines"))
     common = held.groupBy("host", "h").agg(F.count_distinct("copy").alias("docs")).where(F.col("docs") > max_docs_per_host).drop("docs")
-    lost = held.join(common, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_common_words"))
+    lost = held.join(common, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_common_words"), F.sort_array(F.flatten(F.collect_list("at"))).alias("removed_lines"))
     left = F.col("n_words") - F.col("n_common_words")
     return (
         rows.drop("lines", "copy")
         .join(lost, "row", "left")
         .withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
+        .withColumn("removed_lines", F.coalesce("removed_lines", F.expr("cast(array() as array<int>)")))
         .withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
         .withColumn("kept", ~F.col("base_failed") & ((F.col("n_common_words") == 0) | ((left >= min_words) & (left >= min_share * F.col("n_words")))))
         .drop("row")
     )
 
 
+def remaining(text: Column, removed_lines: Column) -> Column:
+    """The text without its removed lines, given quality()'s column for the same row."""
+    kept = F.filter(F.split(text, "\n", -1), lambda line, at: ~F.array_contains(removed_lines, at))
+    return F.when(F.size(removed_lines) > 0, F.array_join(kept, "\n")).otherwise(text)
+
+
 def keep_quality(docs: DataFrame, **params) -> DataFrame:
     """docs without the rejected rows; a doc_id goes only if all its rows are rejected."""
     good = quality(docs, **params).where("kept").select(F.col("doc_id").alias("_good")).distinct()

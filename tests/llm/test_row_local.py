@@ -245,6 +245,16 @@ def test_quality_counts_pages_that_share_several_lines(make):
     assert all(v == (True, 0) for v in got.values())
 
 
+def test_quality_tells_removed_lines(make):
+    menu = ["Menu one", "menu TWO é"]
+    rows = [(i, f"\n{menu[0]}\nown{i} \n {menu[1].upper()}\t\r\n\nend{i}\n{menu[0]}\n") for i in range(0, 20, 2)] + [(30, "left\nas it is\n"), (32, None), (34, "\nMENU ONE\n")]
+    docs = make(rows)
+    got = docs.select("doc_id", "text").join(quality.quality(docs, max_docs_per_host=10).select("doc_id", "removed_lines"), "doc_id")
+    got = as_rows(got.select("doc_id", "removed_lines", quality.remaining(F.col("text"), F.col("removed_lines")).alias("left")), "removed_lines", "left")
+    assert all(got[i] == ([1, 6], f"\nown{i} \n {menu[1].upper()}\t\r\n\nend{i}\n") for i in range(0, 20, 2))
+    assert got[30] == ([], "left\nas it is\n") and got[32] == ([], None) and got[34] == ([1], "\n")
+
+
 def brute_lines(rows, least=40, many=5):
     def key(line):
         return lower(line.strip(" \t\n\x0b\x0c\r"))
