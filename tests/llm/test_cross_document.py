@@ -166,9 +166,9 @@ def test_suffix_automaton():
         texts.append("".join(query))
 
 
-@pytest.mark.xfail(reason="open: with 300 training rows of random short words the lexicon overfits, 123 of 149 held-out rows are right", strict=False)
-def test_toxicity(spark, make):
-    assert toxicity.fold("Ｌ0ser! іdіоt dо​nt".encode()) == " loser idiot dont "
+@pytest.fixture(scope="module")
+def scored(spark, make):
+    """Rows, labels and scores of a small table of random words."""
     rng = random.Random(1)
     rows, labels = [], []
     for i in range(600):
@@ -186,11 +186,14 @@ def test_toxicity(spark, make):
     rows += [(7000, None), (7001, ""), (7002, "zorkuse"), (None, "zorkuse"), (7002, "zorkuse")]
     model = toxicity.learn(make(rows), frame, exceptions=("Museum of",))
     df = toxicity.score(make(rows), model)
-    got = {r.doc_id: r for r in df.collect()}
+    return rows, frame, df, {r.doc_id: r for r in df.collect()}
+
+
+def test_toxicity(make, scored):
+    assert toxicity.fold("Ｌ0ser! іdіоt dо​nt".encode()) == " loser idiot dont "
+    rows, frame, df, got = scored
     assert df.count() == len(rows) and got[7000].score == got[7001].score == 0.0 and got[7002].predicted == 1
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items() if i is not None)
-    held = [(got[i].predicted, i % 5 == 0) for i in range(600) if got[i].held_out]
-    assert sum(p == t for p, t in held) / len(held) > 0.95
     lexicon = toxicity.Lexicon({" idiot ": 5.0, " zork": 4.0}, ["the idiot"])
     assert lexicon.hits(toxicity.fold(b"the idiot zorking")) == {10: 4.0}
     assert lexicon.hits(toxicity.fold(b"an idiot")) == {3: 5.0}
@@ -198,6 +201,13 @@ def test_toxicity(spark, make):
     assert toxicity.score(make([(1, "x")]), empty).first().score == 0.0 and toxicity.score(make([]), empty).count() == 0
 
 
+@pytest.mark.xfail(reason="open: with 300 training rows of random short words the lexicon overfits, 123 of 149 held-out rows are right", strict=False)
+def test_toxicity_accuracy(scored):
+    got = scored[3]
+    held = [(got[i].predicted, i % 5 == 0) for i in range(600) if got[i].held_out]
+    assert sum(p == t for p, t in held) / len(held) > 0.95
+
+
 def test_toxicity_held_out(spark):
     """Held-out accuracy on the labelled documents of a table of 1,000."""
     sf = "/root/testdata/sf0.01"
