@@ -27,10 +27,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that local folders are shared."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """A checkpoint in the cluster's shared folder; one of our own only where none is set."""
+    """A checkpoint in the cluster's shared folder; one of our own only in local mode."""
     spark = df.sparkSession
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillmesh-"))
     return df.checkpoint()
 

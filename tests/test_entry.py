@@ -3,7 +3,7 @@ import sys
 
 import duckdb
 import pytest
-from conftest import ROOT, SF
+from helpers import ROOT, SF
 
 import __spark_entry__ as entry
 from quillmesh.plans import catalog
