@@ -8,6 +8,8 @@ in one task or on the driver, and each round is a written table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +34,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return near.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root for every linked node but the roots; links has columns a, b."""
+def components(links: DataFrame, done: Iterable[DataFrame] = ()) -> DataFrame:
+    """node, root for every linked node but the roots; links has columns a, b.
+
+    The result is a kept table. `done`: kept tables that nothing needs after the links.
+    """
     edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = keep(edges, "links")
+    edges = keep(edges, "links", done)
     before = _state(edges)
     while before[0]:
-        edges = keep(_small_star(_large_star(edges)), "stars")
+        edges = keep(_small_star(_large_star(edges)), "stars", [edges])
         now = _state(edges)
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out.kept_at = edges.kept_at
+    return out

@@ -28,16 +28,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quillmesh.llm.common import Memo, arrow_schema, texts
-from quillmesh.session import ship
+from quillmesh.llm.common import Memo, arrow_schema, prepare, state, texts
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: fixed value: the public byte-level BPE pattern that splits text before merges
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 MAX_RANK_BYTES = 64_000_000
-MEMO_WORDS = 400_000
+MEMO_BYTES = 96_000_000
 PACKED = "pack_id long, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, segments array<struct<doc_id:long,piece:int,first:int,length:int>>"
-_ready: dict[str, Tokens] = {}
 
 
 class CapacityTree:
@@ -98,7 +96,7 @@ class Tokens:
         if self.end >= 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.coder = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.word = Memo(lambda w: self.ids(w[1:] if w[1] == "\n" else w), MEMO_WORDS)
+        self.word = Memo(lambda w: self.ids(w[1:] if w[1] == "\n" else w), MEMO_BYTES)
         self.last = np.array([self.end], "<u2").tobytes()
 
     def ids(self, text: str) -> bytes:
@@ -143,14 +141,12 @@ def read_ranks(path: str = RANKS) -> dict[bytes, int]:
 def pack(docs: DataFrame, seq_len: int = 2048, block_tokens: int = 1_000_000, ranks_path: str = RANKS) -> DataFrame:
     """Packed rows; see the module's text. `matrix` makes arrays of them."""
     spark = docs.sparkSession
-    ship(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
     spark_type, schema = arrow_schema(PACKED)
 
     def run(batches):
-        if ranks_path not in _ready:
-            _ready[ranks_path] = Tokens(shared.value)
-        tokens = _ready[ranks_path]
+        tokens = state(("packing", ranks_path), lambda: Tokens(shared.value))
         number = TaskContext.get().partitionId() << 36
 
         def emit(block: list) -> Iterator[pa.RecordBatch]:

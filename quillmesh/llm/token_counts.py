@@ -8,7 +8,9 @@ of a word is found in one pass over its characters and no piece is ever built
 those that begin with the model's space mark.
 
 Words are the runs of `[^\\x20\\x09-\\x0D]`. A word that cannot be matched to its end
-counts as one unknown token.
+counts as one unknown token. The counts are those of greedy matching; a merge
+(BPE) encoder over the same vocabulary, such as sentencepiece_fst, cuts some words
+otherwise and encodes unknown ones as bytes, so its counts differ a little.
 
 Edge cases: null and empty texts have no words and no tokens; repeated and null
 doc_ids give a row each; an empty table gives no rows; extra columns don't matter.
@@ -18,11 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quillmesh.llm.common import Memo, scan, texts
+from quillmesh.llm.common import Memo, scan, state, texts
 from quillmesh.llm.pieces import MODEL, NORMAL, SPACE, Pieces, read_model
 
-#: words whose lengths a worker remembers
-MEMO_WORDS = 500_000
+MEMO_BYTES = 48_000_000
 
 
 class LongestMatch:
@@ -84,18 +85,16 @@ def split_vocabulary(model: Pieces) -> tuple[list[str], list[str]]:
     return [p[1:] for p in normal if p[0] == SPACE and p[1:] and SPACE not in p[1:]], [p for p in normal if SPACE not in p]
 
 
-_ready: dict[str, Memo] = {}
-
-
 def token_counts(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     """doc_id, n_words, n_tokens, n_unknown per row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(split_vocabulary(read_model(model_path)))
 
+    def build() -> Memo:
+        automaton = LongestMatch(*shared.value)
+        return Memo(lambda w: automaton.length(w.decode("utf-8", "replace")), MEMO_BYTES)
+
     def make():
-        if model_path not in _ready:
-            automaton = LongestMatch(*shared.value)
-            _ready[model_path] = Memo(lambda w: automaton.length(w.decode("utf-8", "replace")), MEMO_WORDS)
-        length = _ready[model_path].__getitem__
+        length = state(("token_counts", model_path), build).__getitem__
 
         def work(c: dict[str, list]) -> dict[str, list]:
             words, tokens, unknown = [], [], []
