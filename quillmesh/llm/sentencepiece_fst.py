@@ -1,22 +1,38 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Compiled parts:
-- normaliser: spaces become the mark, a mark is put first (as the model asks);
-- pieces: an arc for each vocabulary piece, and for any other character an arc
-  that writes its UTF-8 bytes as byte pieces;
-- grammar: the state is the piece read last. For a merge model (BPE) the arc
-  from state u to piece v weighs 0 if merging the string u+v on its own gives
-  back exactly (u, v), else infinity. Merges inside two neighbouring pieces
-  don't depend on what is around them, so a path of finite weight exists for
-  one segmentation only, the one that merging gives.
-
-Each input is composed with these and the tropical shortest path is taken left
-to right, by a search that goes back where no finite arc leads on. No piece has a mark after another character and pieces
-don't hold line ends (checked when compiling), so the shortest path of a text
-is the concatenation of its words' paths; those are remembered up to a bound.
+Three machines are compiled from the model on the driver, as arrays of arcs
+(state, input, next state) with outputs and weights, and broadcast:
+- normaliser: a trie of the model's rewriting rules; an arc that ends a rule
+  writes its replacement, any other character is copied; spaces become the
+  mark, a mark is put first, runs of spaces are squeezed (each if the model asks);
+- pieces: a trie of the vocabulary whose final states write the piece; any
+  character that is no piece has an arc that writes its UTF-8 bytes as byte pieces;
+- grammar: weights of one piece after another. A unigram model has one state and
+  an arc weighs minus the piece's log probability (byte fallback: the least
+  probability less `UNKNOWN_COST`). In a merge model (BPE) the state is the piece
+  read last, and the arc from u to v weighs 0 if merging leaves u and v side by
+  side, else infinity. Merging u+v is undone from the last merge on: if the
+  pieces that touch at some moment could have been joined before the merge that
+  came next, the border would not have survived. Merges on both sides of a
+  surviving border don't depend on each other, so just one segmentation of each
+  prefix has a path of finite weight, the one that merging gives.
+
+Each input is composed with these lazily, and the shortest path in the tropical
+semiring (sums along a path, minimum over paths) is found best-first (Dijkstra):
+of the arcs that leave settled places the one with the least weight is taken, of
+equals the one that leads furthest, and only then is its grammar weight worked
+out. Either kind of model has one grammar state of finite weight at each place,
+so a place is settled once, with that state. (All weights of a merge model are 0,
+so there the heap is a stack.) No piece has a mark after
+another character and pieces don't hold line ends (checked when compiling), so
+the shortest path of a text is the concatenation of its words' paths; likewise
+for letters and other characters of a word, if no piece holds both. These paths
+are remembered up to a bound. `round_trip` is measured: the ids of every document
+are decoded and compared with its text.
 
 Edge cases: null and empty texts have no ids and round-trip; a text that holds
-the mark itself decodes to a space there and is reported as not round-tripping;
+the mark itself, or that the normaliser changes, decodes to another text and is
+reported as not round-tripping; very long words take memory in proportion;
 repeated and null doc_ids give a row each; an empty table gives no rows; extra
 columns don't matter.
 """
@@ -25,153 +41,304 @@ from __future__ import annotations
 
 import re
 from array import array
+from dataclasses import dataclass
+from functools import partial
+from heapq import heappop, heappush
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from quillmesh.llm.common import Memo, scan, texts
+from quillmesh.llm.common import Memo, scan, state, texts
 from quillmesh.llm.pieces import BYTE, MODEL, NORMAL, SPACE, Pieces, read_model
 
-NEVER = float("-inf")
-MEMO_WORDS, MEMO_PAIRS = 400_000, 1_000_000
+NEVER = float("inf")
+UNKNOWN_COST = 10.0
+MEMO_BYTES = 24_000_000
+MEMO_BORDERS = 50_000
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+_ODD = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # such as raised digits
+_LETTERS = re.compile(rf"[^\W\d_{_ODD}]+|[\W\d_{_ODD}]+")
+
+
+@dataclass
+class Machine:
+    """A trie as arcs (state, input character, next state); writes[s] is what final state s writes, or -1."""
+
+    state: np.ndarray
+    reads: np.ndarray
+    next: np.ndarray
+    writes: np.ndarray
+
+    def table(self) -> list[dict[str, int]]:
+        """For each state its arcs by character."""
+        none: dict[str, int] = {}
+        out = [none] * len(self.writes)
+        for s, c, to in zip(self.state.tolist(), self.reads.tolist(), self.next.tolist(), strict=True):
+            if out[s] is none:
+                out[s] = {}
+            out[s][chr(c)] = to
+        return out
+
+
+def trie(strings: dict[str, int]) -> Machine:
+    arcs: dict[tuple[int, str], int] = {}
+    writes = [-1]
+    for text, out in strings.items():
+        s = 0
+        for c in text:
+            to = arcs.setdefault((s, c), len(writes))
+            if to == len(writes):
+                writes.append(-1)
+            s = to
+        writes[s] = out
+    state_, reads = zip(*arcs, strict=True) if arcs else ((), ())
+    return Machine(np.array(state_, np.int32), np.array([ord(c) for c in reads], np.int32), np.array(list(arcs.values()), np.int32), np.array(writes, np.int32))
+
+
+def merge(text: str, cost: dict[str, float]) -> tuple[list[str], int]:
+    """Pieces after merging (least cost first, leftmost of equals), and the length of the left part of the last merge."""
+    parts, left = list(text), 0
+    costs = [cost.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+    while costs and (best := min(costs)) < NEVER:
+        i = costs.index(best)
+        left = len(parts[i])
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del costs[i]
+        if i:
+            costs[i - 1] = cost.get(parts[i - 1] + parts[i], NEVER)
+        if i < len(costs):
+            costs[i] = cost.get(parts[i] + parts[i + 1], NEVER)
+    return parts, left
+
+
+@dataclass
+class Compiled:
+    """What is broadcast: the machines and, by id, the piece and its weight.
+
+    Merge models also have by id the parts of its last merge (-1: none), by pair
+    of ids (first * 2**32 + second) the weight of what both make together, and
+    `odd`: pieces with a part whose rank isn't earlier, whose borders are tried by
+    merging. Characters that occur inside pieces only have ids beyond the pieces.
+    """
+
+    strings: list[str]
+    byte_ids: list[int]
+    prefix: bool
+    squeeze: bool
+    rules: Machine
+    written: list[str]
+    pieces: Machine
+    merges: bool
+    weight: list[float]
+    parts: list[tuple[int, int]]
+    pairs: dict[int, float]
+    odd: set[int]
+    apart: bool  # no piece holds a letter and another character, marks in front left aside
+
+
+def compile_model(model: Pieces) -> Compiled:
+    strings = [p for p, _, _ in model.pieces]
+    ids = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == NORMAL}
+    byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
+    if len(byte_ids) != 256:
+        raise ValueError("the model has no byte fallback")
+    if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in ids):
+        raise ValueError("a piece joins two words; words can't be encoded one by one")
+    weight, parts, pairs, odd = [-s for _, s, _ in model.pieces], [], {}, set()
+    symbols = written = dict(ids)
+    if model.merges:
+        for c in sorted({c for p in ids for c in p} - set(ids)):
+            symbols[c] = len(strings) + len(symbols) - len(ids)
+        parts = [(-1, -1)] * (len(strings) + len(symbols) - len(ids))
+        cost, written = {p: weight[i] for p, i in ids.items()}, dict(symbols)
+        for p in sorted(ids, key=len):  # parts before wholes
+            i = ids[p]
+            for k in range(1, len(p)):
+                if p[:k] in symbols and p[k:] in symbols:
+                    pairs[symbols[p[:k]] << 32 | symbols[p[k:]]] = weight[i]
+            merged, left = merge(p, cost)
+            if len(merged) > 1:
+                del written[p]  # merging never makes it
+            elif len(p) > 1:
+                parts[i] = symbols[p[:left]], symbols[p[left:]]
+                if any(len(x) > 1 and (ids[x] in odd or cost[x] >= weight[i]) for x in (p[:left], p[left:])):
+                    odd.add(i)
+    rules = trie({k: n for n, k in enumerate(model.rules)})
+    return Compiled(strings, [byte_ids[b] for b in range(256)], model.prefix, model.squeeze, rules, list(model.rules.values()), trie(written), model.merges, weight, parts, pairs, odd, all(len(_LETTERS.findall(p.lstrip(SPACE))) < 2 for p in ids))
+
+
+class Normaliser:
+    def __init__(self, c: Compiled) -> None:
+        self.table, self.writes, self.written = c.rules.table(), c.rules.writes.tolist(), c.written
+        self.prefix, self.squeeze = c.prefix, c.squeeze
+
+    def _rewrite(self, text: str) -> str:
+        """Leftmost rules, the longest first; other characters are copied."""
+        out, at, n, table, writes = [], 0, len(text), self.table, self.writes
+        while at < n:
+            node, end, rule = 0, at, -1
+            for j in range(at, n):
+                node = table[node].get(text[j])
+                if node is None:
+                    break
+                if writes[node] >= 0:
+                    end, rule = j + 1, writes[node]
+            out.append(self.written[rule] if rule >= 0 else text[at])
+            at = end if rule >= 0 else at + 1
+        return "".join(out)
+
+    def __call__(self, text: str) -> str:
+        """Characters after the normaliser, marks in place of spaces; nothing for nothing."""
+        if self.written:
+            text = self._rewrite(text)
+        if self.squeeze:
+            text = re.sub(" +", " ", text).strip(" ")
+        return (SPACE if self.prefix else "") + text.replace(" ", SPACE) if text else ""
 
 
 class Transducer:
-    def __init__(self, model: Pieces) -> None:
-        self.strings = [p for p, _, _ in model.pieces]
-        self.score = {p: s for p, s, kind in model.pieces if kind == NORMAL}
-        self.ids = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == NORMAL}
-        self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
-        self.bytes_of = {i: b for b, i in self.byte_ids.items()}
-        if len(self.byte_ids) != 256:
-            raise ValueError("the model has no byte fallback")
-        if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in self.ids):
-            raise ValueError("a piece joins two words; words can't be encoded one by one")
-        self.prefix = model.prefix
-        #: longest piece by its first three characters
-        self.reach: dict[str, int] = {}
-        for p in self.ids:
-            self.reach[p[:3]] = max(self.reach.get(p[:3], 2), len(p))
-        self.dtype = np.dtype("<u2" if len(self.strings) <= 1 << 16 else "<u4")
+    def __init__(self, c: Compiled) -> None:
+        self.normalise = Normaliser(c)
+        self.strings, self.merges, self.weight, self.prefix = c.strings, c.merges, c.weight, c.prefix
+        self.table, self.writes = c.pieces.table(), c.pieces.writes.tolist()
+        self.byte_ids = c.byte_ids
+        self.spelled = [p.encode() for p in c.strings]
+        for b, i in enumerate(c.byte_ids):
+            self.spelled[i] = bytes([b])
+        self.dtype = np.dtype("<u2" if len(c.strings) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"  # executors are little-endian
-        self.may_follow = Memo(self._may_follow, MEMO_PAIRS)
-        self.unit = Memo(self._unit, MEMO_WORDS)
-
-    def merged(self, s: str) -> list[str]:
-        """Highest score first, leftmost of equals: the merges of one short string."""
-        parts, score = list(s), self.score.get
-        scores = [score(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
-        while scores and (best := max(scores)) > NEVER:
-            i = scores.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del scores[i]
-            if i:
-                scores[i - 1] = score(parts[i - 1] + parts[i], NEVER)
-            if i < len(scores):
-                scores[i] = score(parts[i] + parts[i + 1], NEVER)
-        return parts
-
-    def _may_follow(self, pair: tuple[str, str]) -> bool:
-        """Whether the grammar's arc has finite weight."""
-        u, v = pair
-        return u + v not in self.ids and self.merged(u + v) == [u, v]
-
-    def path(self, unit: str) -> list[str]:
-        """Pieces (or single unknown characters) of the shortest path over one word.
-
-        All finite arcs weigh 0, so the first path that reaches the end is
-        shortest; longer pieces are tried first. A place from which the end
-        can't be reached is dead whatever path led to it, for only one
-        segmentation of each prefix has finite weight.
-        """
-        n, ids, reach, may_follow = len(unit), self.ids, self.reach, self.may_follow
-        out: list[str] = []
-        at, dead, length = 0, set(), min(reach.get(unit[:3], 2), n)
-        before = None
+        used = [i for i in self.writes if 0 <= i < len(c.strings)]
+        self.unknown = max((c.weight[i] for i in used), default=0.0) + UNKNOWN_COST
+        self.left, self.right = [a for a, _ in c.parts], [b for _, b in c.parts]
+        self.pairs, self.odd = c.pairs, c.odd
+        self.cost = {c.strings[i]: c.weight[i] for i in used} if c.odd else {}
+        self.apart = c.apart
+        self.borders: dict[int, float] = {}
+        self.part = Memo(self._part, MEMO_BYTES)
+        self.unit = Memo(self._unit, MEMO_BYTES)
+
+    def border(self, u: int, v: int) -> float:
+        """The grammar's weight for piece v after piece u; see the module's text."""
+        pairs, left, right, weight = self.pairs, self.left, self.right, self.weight
+        if u in self.odd or v in self.odd:
+            both = [self.strings[u], self.strings[v]] if max(u, v) < len(self.strings) else []
+            return 0.0 if not both or merge("".join(both), self.cost)[0] == both else NEVER
+        after, u_last = NEVER, True  # weight of the merge that came next, and whether it was u's (it goes first among equals)
+        while True:
+            now = pairs.get(u << 32 | v)
+            if now is not None and (now < after or (now == after and not u_last)):
+                return NEVER
+            a, b = right[u], left[v]
+            if b < 0:
+                if a < 0:
+                    return 0.0
+                u_last = True
+            else:
+                u_last = a >= 0 and weight[u] > weight[v]
+            if u_last:
+                after, u = weight[u], a
+            else:
+                after, v = weight[v], b
+
+    def path(self, unit: str) -> list[tuple[int, int, int]]:
+        """(start, end, piece id; -1: byte fallback) along the tropical shortest path over one word."""
+        n, table, writes, weight, merges, border = len(unit), self.table, self.writes, self.weight, self.merges, self.border
+        came, ids = [-1] * (n + 1), [-1] * (n + 1)
+        came[0] = at = 0
+        so_far = 0.0
+        arcs: list[tuple] = []  # (weight, -end, start, piece); a stack if all weights are 0, else a heap
+        put, take = (arcs.append, arcs.pop) if merges else (partial(heappush, arcs), partial(heappop, arcs))
+        borders = self.borders
         while at < n:
-            while length:
-                end = at + length
-                piece = unit[at:end]
-                if (length == 1 or piece in ids) and end not in dead and (before is None or may_follow[before, piece]):
+            node, end = table[0].get(unit[at]), at + 1
+            if node is None or writes[node] < 0:
+                put((so_far if merges else so_far + self.unknown, -end, at, -1))
+            while node is not None:
+                if (piece := writes[node]) >= 0 and came[end] < 0:
+                    put((so_far if merges else so_far + weight[piece], -end, at, piece))
+                if end == n:
+                    break
+                node = table[node].get(unit[end])
+                end += 1
+            while True:
+                so_far, end, start, piece = take()
+                if came[-end] >= 0:
+                    continue
+                before = ids[start]
+                if not merges or piece < 0 or before < 0:
+                    break
+                both = before << 32 | piece
+                if (more := borders.get(both)) is None:
+                    if len(borders) >= MEMO_BORDERS:
+                        borders.clear()
+                    more = borders[both] = border(before, piece)
+                if more < NEVER:
                     break
-                length -= 1
-            if length:
-                out.append(piece)
-                before, at = piece, end
-                length = reach.get(unit[at : at + 3], 2)
-                if length > n - at:
-                    length = n - at
+            at = -end
+            came[at], ids[at] = start, piece
+        out, end, known = [], n, len(self.strings)
+        while end:
+            out.append((came[end], end, ids[end] if ids[end] < known else -1))
+            end = came[end]
+        return out[::-1]
+
+    def _part(self, part: str) -> bytes:
+        """The ids along the path of one word or part of it, as bytes."""
+        ids: list[int] = []
+        for start, end, piece in self.path(part):
+            if piece >= 0:
+                ids.append(piece)
             else:
-                dead.add(at)
-                length = len(out.pop())
-                at -= length
-                length -= 1
-                before = out[-1] if out else None
-        return out
-
-    def _unit(self, unit: str) -> tuple[bytes, bool]:
-        """The ids of one word as bytes, and whether they decode to it."""
-        pieces, ids = self.path(unit), self.ids
-        try:
-            return array(self.code, [ids[p] for p in pieces]).tobytes(), True  # the pieces spell the word
-        except KeyError:
-            codes: list[int] = []
-            for piece in pieces:
-                codes.extend([ids[piece]] if piece in ids else [self.byte_ids[b] for b in piece.encode("utf-8", "replace")])
-            return array(self.code, codes).tobytes(), self.join(codes) == unit
-
-    def encode(self, text: str | None) -> tuple[bytes, bool]:
-        """The ids of a text as little-endian bytes, and whether they decode to it."""
-        if not text:
-            return b"", True
-        marked = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        get = self.unit.__getitem__
-        if SPACE + SPACE in marked or SPACE + "\n" in marked or marked[-1] in f"{SPACE}\n":
+                ids.extend([self.byte_ids[b] for b in part[start:end].encode("utf-8", "replace")])
+        return array(self.code, ids).tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        if not self.apart:
+            return self._part(unit)
+        bare = unit.lstrip(SPACE)
+        first, *rest = _LETTERS.findall(bare) or [""]
+        return b"".join(map(self.part.__getitem__, [unit[: len(unit) - len(bare)] + first, *rest]))
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text as little-endian bytes."""
+        marked = self.normalise(text) if text else ""
+        if not marked:
+            return b""
+        if SPACE + SPACE in marked or SPACE + "\n" in marked or marked[-1] in f"{SPACE}\n" or "\0" in marked:
             units = _RUNS.findall(marked)
         else:
-            units = [u for u in marked.replace(SPACE, "\0" + SPACE).replace("\n", "\0\n\0").split("\0") if u] if "\0" not in marked else _RUNS.findall(marked)
-        got = list(map(get, units))
-        return b"".join([g[0] for g in got]), SPACE not in text and all([g[1] for g in got])
-
-    def join(self, ids: list[int]) -> str:
-        """Pieces and bytes of ids, marks kept."""
-        out = bytearray()
-        for i in ids:
-            if i in self.bytes_of:
-                out.append(self.bytes_of[i])
-            else:
-                out += self.strings[i].encode()
-        return out.decode("utf-8", "replace")
+            units = [u for u in marked.replace(SPACE, "\0" + SPACE).replace("\n", "\0\n\0").split("\0") if u]
+        return b"".join(map(self.unit.__getitem__, units))
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as `encode` gives them."""
-        text = self.join(np.frombuffer(ids, self.dtype).tolist())
+        text = b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, self.dtype).tolist())).decode("utf-8", "replace")
         if self.prefix and text.startswith(SPACE):
             text = text[1:]
         return text.replace(SPACE, " ")
 
 
-_ready: dict[str, Transducer] = {}
 ENCODED = "doc_id long, n_tokens long, ids binary, round_trip boolean"
 
 
-def _transducer(path: str, shared) -> Transducer:
-    if path not in _ready:
-        _ready[path] = Transducer(shared.value)
-    return _ready[path]
+def _shared(spark, path: str):
+    """Makes the transducer of a model once in each worker."""
+    shared = spark.sparkContext.broadcast(compile_model(read_model(path)))
+    return lambda: state(("sentencepiece", path), lambda: Transducer(shared.value))
 
 
 def encode(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian, 2 bytes each up to 65,536 pieces), round_trip."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
+    transducer = _shared(docs.sparkSession, model_path)
 
     def make():
-        fst = _transducer(model_path, shared)
+        fst = transducer()
 
         def work(c: dict[str, list]) -> dict[str, list]:
-            got = [fst.encode(None if t is None else t.decode("utf-8", "replace")) for t in c["text"]]
-            return {"doc_id": c["doc_id"], "n_tokens": [len(g[0]) // fst.dtype.itemsize for g in got], "ids": [g[0] for g in got], "round_trip": [g[1] for g in got]}
+            text = [(t or b"").decode("utf-8", "replace") for t in c["text"]]
+            ids = [fst.encode(t) for t in text]
+            back = [fst.decode(i) == t for i, t in zip(ids, text, strict=True)]
+            return {"doc_id": c["doc_id"], "n_tokens": [len(i) // fst.dtype.itemsize for i in ids], "ids": ids, "round_trip": back}
 
         return work
 
@@ -180,10 +347,10 @@ def encode(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
     """doc_id, text from doc_id, ids; null ids give null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_model(model_path))
+    transducer = _shared(encoded.sparkSession, model_path)
 
     def make():
-        fst = _transducer(model_path, shared)
+        fst = transducer()
         return lambda c: {"doc_id": c["doc_id"], "text": [None if i is None else fst.decode(i) for i in c["ids"]]}
 
     return scan(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
