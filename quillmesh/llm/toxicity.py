@@ -7,36 +7,41 @@ letters, invisible characters out, everything but letters to one space.
 The lexicon is learned from labelled documents: whole words and word beginnings
 of 4 to 9 letters, weighted by the log of how much likelier toxic documents hold
 them. An entry needs `min_support` toxic documents that are not copies of one
-another (told apart by the least hash of their words). Phrases of an entry and a
+another (told apart by two least hashes of their words), and its weight less
+`doubt` standard errors must be `min_weight`. Phrases of an entry and a
 neighbouring word that occur in clean documents `min_exceptions` times and in no
 toxic one become exceptions, as do given ones; a hit inside an exception doesn't
 count. The score is 1 - exp(-a * weight / length norm), where the norm grows with
 the logarithm of the length, and `a` is set so that the best threshold on the
 training rows becomes `threshold`.
 
-Bounds (documented parameters): training takes at most about `max_train`
-labelled rows, chosen by a hash of doc_id; candidates are the `max_candidates` best
-supported entries and the lexicon the `max_lexicon` heaviest, so the automaton is
-bounded. Scoring covers every row and whole texts.
+Bounds (documented parameters): training takes a sample of at most about
+`max_train` labelled rows and `max_train_bytes` of their text, chosen by a hash of
+doc_id. All its candidates are counted and every entry that passes is used: the
+sample bounds what reaches the driver (8 bytes for each candidate, the entries
+and phrases themselves) and so the automaton. Scoring covers every row and whole
+texts.
 
 Edge cases: null and empty texts score 0; labels without text or without a
 label are not used; without any toxic training row all scores are 0; repeated and
-null doc_ids give a row each; an empty table gives no rows; extra columns don't
-matter.
+null doc_ids give a row each; an empty table gives no rows; a very long word is a
+word as any other; extra columns don't matter.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import ahocorasick
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import keep, scan, texts
+from quillmesh.llm.common import keep, mix, scan, texts
 
 # Look-alike letters (Cyrillic, Greek) and their Latin forms, signs read as letters, invisible characters.
 ALIKE = ("аеорсухіјѕһкмтвнԁԛԝɡαεορυιкτνβ", "aeopcyxijshkmtbhdqwgaeopyiktvb")
@@ -67,14 +72,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _key(feature: str) -> int:
+    return xxhash.xxh3_64_intdigest(feature) - (1 << 63)
+
+
 def _toxic_features():
+    """Hashes of the features of each text, with a mark that copies of a text share."""
+
     def work(c: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"feature": [], "sig": []}
         for text in c["text"]:
             words = set(fold(text).split())
             if words:
-                sig = min(xxhash.xxh3_64_intdigest(w) for w in words) - (1 << 63)
-                found = features(list(words))
+                hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+                sig = int((hashes.min() ^ mix(mix(hashes + np.uint64(1)).min())).view(np.int64))
+                found = [_key(f) for f in features(list(words))]
                 out["feature"].extend(found)
                 out["sig"].extend([sig] * len(found))
         return out
@@ -83,13 +95,19 @@ def _toxic_features():
 
 
 def _count(wanted):
+    """How many texts of either label hold each wanted feature."""
+
     def make():
-        known = wanted.value
+        known = wanted.value  # sorted hashes
 
         def work(c: dict[str, list]) -> dict[str, list]:
             seen: list[Counter] = [Counter(), Counter()]
             for text, toxic in zip(c["text"], c["toxic"], strict=True):
-                seen[toxic].update(known & features(list(set(fold(text).split()))))
+                found = list(features(list(set(fold(text).split()))))
+                keys = np.array([_key(f) for f in found], np.int64)
+                at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+                if len(known):
+                    seen[toxic].update([found[i] for i in np.flatnonzero(known[at] == keys).tolist()])
             rows = [(f, t, n) for t in (0, 1) for f, n in seen[t].items()]
             return {"feature": [r[0] for r in rows], "toxic": [r[1] for r in rows], "n": [r[2] for r in rows]}
 
@@ -116,14 +134,25 @@ class Lexicon:
         if self.empty:
             return {}
         found: dict[int, float] = {}
-        spared: list[tuple[int, int]] = []
+        begin: list[int] = []  # of exceptions, in the order of their ends
+        stop: list[int] = []
         for end, (size, weight) in self.machine.iter(line):
             start = end - size + 1
             if weight is None:
-                spared.append((start, end))
+                begin.append(start)
+                stop.append(end)
             else:
                 found[start] = max(found.get(start, 0.0), weight)
-        return {s: w for s, w in found.items() if not any(a <= s < b for a, b in spared)} if spared else found
+        if not stop:
+            return found
+        for k in range(len(stop) - 2, -1, -1):  # the least start among exceptions that end here or later
+            begin[k] = min(begin[k], begin[k + 1])
+        kept = {}
+        for s, w in found.items():
+            k = bisect_right(stop, s)  # the first exception that ends after s
+            if k == len(stop) or begin[k] > s:
+                kept[s] = w
+        return kept
 
     def strength(self, line: str) -> tuple[float, int]:
         """Weight over the length norm, and number of hits."""
@@ -186,29 +215,44 @@ def _best_cut(rows: DataFrame) -> float:
     return cut
 
 
-def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (), threshold: float = 0.3, max_train: int = 60_000, max_candidates: int = 100_000, max_lexicon: int = 5_000, min_support: int = 3, min_weight: float = 2.5, min_exceptions: int = 3) -> tuple[dict[str, float], list[str], float]:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    exceptions: tuple[str, ...] = (),
+    threshold: float = 0.3,
+    max_train: int = 60_000,
+    max_train_bytes: int = 500_000_000,
+    min_support: int = 3,
+    min_weight: float = 2.5,
+    doubt: float = 0.5,
+    min_exceptions: int = 3,
+) -> tuple[dict[str, float], list[str], float]:
     """Entries with weights, exception phrases, and the scale of the score."""
     spark = docs.sparkSession
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
-    share = min(1.0, max_train / max(1, usable.count()))
-    usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    usable = usable.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    n, size = usable.count(), texts(docs).agg(F.avg(F.octet_length("text"))).first()[0] or 0.0
+    share = min(1.0, max_train / max(1, n), max_train_bytes / max(1.0, n * size))
+    usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     train = keep(texts(docs).where("text is not null").join(F.broadcast(usable), "doc_id"), "labelled")  # at most about max_train pairs of numbers
 
-    seen = scan(train.where("toxic = 1").select("text"), _toxic_features, "feature string, sig long")
-    support = seen.groupBy("feature").agg(F.count_distinct("sig").alias("n")).where(F.col("n") >= min_support)
-    wanted = {r["feature"] for r in support.orderBy(F.desc("n"), "feature").limit(max_candidates).select("feature").collect()}
-    size = {t: n for t, n in train.groupBy("toxic").count().collect()}
-    toxic_docs, clean_docs = size.get(1, 0), size.get(0, 0)
-    counts = scan(train.select("text", "toxic"), _count(spark.sparkContext.broadcast(wanted)), "feature string, toxic int, n long").groupBy("feature").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
+    seen = scan(train.where("toxic = 1").select("text"), _toxic_features, "feature long, sig long")
+    support = seen.groupBy("feature").agg(F.count_distinct("sig").alias("n")).where(F.col("n") >= min_support).select("feature")
+    wanted = np.sort(support.toArrow()["feature"].to_numpy())
+    found = {t: n for t, n in train.groupBy("toxic").count().collect()}
+    toxic_docs, clean_docs = found.get(1, 0), found.get(0, 0)
+    counts = scan(train.select("text", "toxic"), _count(spark.sparkContext.broadcast(wanted)), "feature string, toxic int, n long")
+    counts = counts.groupBy("feature").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     weight = F.log((F.col("t") + 0.5) / (toxic_docs + 1)) - F.log((F.col("c") + 0.5) / (clean_docs + 1))
-    heavy = counts.select("feature", weight.alias("w")).where(F.col("w") >= min_weight).orderBy(F.desc("w"), "feature").limit(max_lexicon).collect()
+    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    heavy = counts.select("feature", weight.alias("w"), error.alias("e")).where(F.col("w") - doubt * F.col("e") >= min_weight).collect()
     weights = {r["feature"]: r["w"] for r in heavy}
     shorter = {f: [f[: n + 1] for n in STEMS if n + 1 < len(f.rstrip())] for f in weights}
-    weights = {f: w for f, w in weights.items() if not any(weights.get(s, 0.0) >= w - 1 for s in shorter[f])}
+    weights = {f: w for f, w in sorted(weights.items()) if not any(weights.get(s, 0.0) >= w - 1 for s in shorter[f])}
 
     shared = spark.sparkContext.broadcast((weights, []))
     phrases = scan(train.select("text", "toxic"), _phrases(shared), "phrase string, toxic int, n long").groupBy("phrase").agg(F.sum("n").alias("n"), F.max("toxic").alias("toxic"))
-    learned = phrases.where((F.col("toxic") == 0) & (F.col("n") >= min_exceptions)).orderBy(F.desc("n"), "phrase").limit(max_lexicon).collect()
+    learned = phrases.where((F.col("toxic") == 0) & (F.col("n") >= min_exceptions)).collect()
     spared = sorted({fold(e.encode()).strip() for e in exceptions} | {r["phrase"] for r in learned})
     shared = spark.sparkContext.broadcast((weights, spared))
     cut = _best_cut(scan(train.select("text", "toxic"), _strengths(shared, "toxic"), "toxic int, strength double, n_hits long"))
