@@ -6,9 +6,9 @@ compiled into one automaton. Each document is normalised the same way, scanned
 once, and hits are mapped back to words and to code-point offsets of the
 original text.
 
-The benchmark is collected only in shards whose text is at most `SHARD_CHARS`
-characters of windows. A larger benchmark is taken shard by shard, each pass
-adding to what the earlier ones found, with a written table between passes.
+The benchmark is collected only in shards whose windows have at most
+`SHARD_CHARS` characters. With several shards each pass over the texts returns
+its hits only; they are gathered by document and reported in a last pass.
 
 Edge cases: null or empty texts have no words; a benchmark text of fewer than
 `width` words is one window; without words it is none; a benchmark row without
@@ -21,20 +21,20 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
+from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import keep, scan, texts
+from quillmesh.llm.common import filter_scan, keep, scan, state, texts
 
 #: most characters of window text in one automaton (about 25 bytes of it a character)
 SHARD_CHARS = 4_000_000
 _TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-_built: dict[int, ahocorasick.Automaton] = {}
 
 
 def normal_words(text: bytes | None) -> list[bytes]:
@@ -88,65 +88,100 @@ def spans(text: bytes, hit: np.ndarray) -> list[dict]:
     return [{"start": at[run[0]][0], "end": at[run[-1]][1]} for run in np.split(hit, cut)]
 
 
-FOUND = "doc_id long, text binary, n_words long, hit array<int>, items array<string>"
+FOUND = "doc_id long, th long, hit array<int>, items array<string>"
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, spans array<struct<start:int,end:int>>"
 
 
-def _scanner(items: list, width: int, last: bool):
-    """One pass; the last one reports, the earlier ones hand on what they found."""
+def _automaton(items: list, width: int):
+    """Makes the automaton of some benchmark rows once in each worker."""
+    name = hashlib.sha256(repr((width, items)).encode()).hexdigest()
+    return lambda: state(("decontaminate", name), lambda: build(items, width))
+
+
+def _report(doc, text: bytes | None, n: int, hit: np.ndarray, items: set) -> tuple:
+    ids = sorted(items)
+    return doc, n, len(hit), len(ids), ids, hashlib.sha256(",".join(ids).encode()).hexdigest(), spans(text, hit) if len(hit) else []
+
+
+def _columns(rows: list[tuple], ddl: str) -> dict[str, list]:
+    names = [f.split()[0] for f in ddl.split(", ")]
+    return dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)) if rows else {n: [] for n in names}
+
+
+def _reporter(items: list, width: int):
+    automaton = _automaton(items, width)
+
+    def make():
+        machine = automaton()
+        return lambda c: _columns([_report(d, t, *find(machine, t)) for d, t in zip(c["doc_id"], c["text"], strict=True)], REPORT)
+
+    return make
+
+
+def _finder(items: list, width: int):
+    """One pass of several: the hits of one shard."""
+    automaton = _automaton(items, width)
 
     def make():
-        key = zlib.crc32(repr((width, items)).encode())
-        if key not in _built:
-            _built.clear()
-            _built[key] = build(items, width)
-        automaton = _built[key]
+        machine = automaton()
 
         def work(c: dict[str, list]) -> dict[str, list]:
-            n_words, hits, found = [], [], []
-            for k, text in enumerate(c["text"]):
-                n, hit, ids = find(automaton, text)
-                if "hit" in c:
-                    hit = np.union1d(hit, np.asarray(c["hit"][k], np.int64)).astype(np.int64)
-                    ids |= set(c["items"][k])
-                n_words.append(n)
-                hits.append(hit)
-                found.append(sorted(ids))
-            if not last:
-                return {"doc_id": c["doc_id"], "text": c["text"], "n_words": n_words, "hit": [h.tolist() for h in hits], "items": found}
-            return {
-                "doc_id": c["doc_id"], "n_words": n_words, "n_hit": [len(h) for h in hits], "n_items": [len(i) for i in found], "items": found,
-                "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in found], "spans": [spans(t, h) if len(h) else [] for t, h in zip(c["text"], hits, strict=True)],
-            }
+            got = [(d, th, *find(machine, t)[1:]) for d, th, t in zip(c["doc_id"], c["th"], c["text"], strict=True)]
+            return _columns([(d, th, hit.tolist(), sorted(ids)) for d, th, hit, ids in got if len(hit)], FOUND)
 
         return work
 
     return make
 
 
-def _shards(benchmark: DataFrame, width: int, shard_chars: int) -> list[list]:
+def _gatherer():
+    """The report of hits that several passes found."""
+
+    def work(c: dict[str, list]) -> dict[str, list]:
+        rows = []
+        for d, t, hits, items in zip(c["doc_id"], c["text"], c["hits"], c["items"], strict=True):
+            hit = np.unique(np.array([h for part in hits or () for h in part], np.int64))
+            rows.append(_report(d, t, len(normal_words(t)), hit, {i for part in items or () for i in part}))
+        return _columns(rows, REPORT)
+
+    return work
+
+
+def _shards(benchmark: DataFrame, width: int, shard_chars: int) -> Iterator[list]:
     """The benchmark's rows in shards; only a shard's bounded text is collected at once."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
     chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-chars * width // shard_chars))
-    if n == 1:
-        return [[(r["item"], bytes(r["text"] or b"")) for r in rows.collect()]]
-    shard = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[(r["item"], bytes(r["text"] or b"")) for r in rows.where(shard == k).collect()] for k in range(n)]
+    if n > 1:
+        rows = keep(rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))).repartition("shard").sortWithinPartitions("shard"), "benchmark")
+    for k in range(n):
+        part = rows.where(F.col("shard") == k) if n > 1 else rows
+        yield [(r["item"], bytes(r["text"] or b"")) for r in part.select("item", "text").collect()]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, items_sha256, spans per row of docs."""
-    rows, shards = texts(docs), _shards(benchmark, width, shard_chars)
-    for items in shards[:-1]:
-        rows = keep(scan(rows, _scanner(items, width, False), FOUND), "contamination")
-    return scan(rows, _scanner(shards[-1], width, True), REPORT)
+    rows, shards = texts(docs), list(_shards(benchmark, width, shard_chars))
+    if len(shards) == 1:
+        return scan(rows, _reporter(shards[0], width), REPORT)
+    rows = rows.withColumn("th", F.xxhash64("text"))
+    found = reduce(DataFrame.union, [scan(rows, _finder(items, width), FOUND) for items in shards])
+    found = found.groupBy("doc_id", "th").agg(F.collect_list("hit").alias("hits"), F.collect_list("items").alias("items")).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "hits", "items")
+    same = rows["doc_id"].eqNullSafe(found["d"]) & (rows["th"] == found["t"])
+    return scan(rows.join(found, same, "left").select("doc_id", "text", "hits", "items"), _gatherer, REPORT)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """docs without the rows of contaminated doc_ids; columns as they came."""
-    bad = contamination(docs, benchmark, width, shard_chars).where("n_hit > 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """docs without contaminated rows; columns as they came. Rows are judged in place, no text is shuffled."""
+    for items in _shards(benchmark, width, shard_chars):
+        automaton = _automaton(items, width)
+
+        def make(automaton=automaton):
+            machine = automaton()
+            return lambda texts: [not len(find(machine, t)[1]) for t in texts]
+
+        docs = filter_scan(docs, make)
+    return docs
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
