@@ -21,5 +21,6 @@ ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op4_near_dups": near_dups.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op8_quality": quality.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
