@@ -1,16 +1,18 @@
 """Line dedup: lines that many documents hold stay in one of them only.
 
-Lines are exploded, normalised (white space stripped at both ends, A-Z
-lower-cased) and hashed to 128 bits. A hash held by `min_docs` documents or
-more is dropped everywhere but in the largest doc_id that holds it. Only hashes
-are shuffled for counting, and they are counted in two aggregations (per
-document, then per hash), so one very common line spreads over all tasks.
+Lines are normalised (white space stripped at both ends, A-Z lower-cased) and
+hashed to 128 bits; what repeats within a document is settled there. The hashes
+are written once. A hash held by `min_docs` documents or more is dropped
+everywhere but in the largest doc_id that holds it. Holders are counted in two
+aggregations (per document and hash, then per hash), so one very common line
+spreads over all tasks. The common hashes are a written table: Spark broadcasts
+it while it is small and else joins by sorting, splitting what is skewed.
 
 Edge cases: a null or empty text is one empty line; keys shorter than
 `min_chars` are never dropped; repeated rows of one doc_id count as one
 document and each returns its own row; rows without doc_id hold no document,
 lose nothing and are returned; an empty table gives no rows; extra columns are
-kept by `dedup_lines` and don't matter to `line_decisions`.
+kept by `dedup_lines`, whatever their names, and don't matter to `line_decisions`.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import SPACES, ascii_lower
+from quillmesh.llm.common import SPACES, ascii_lower, columns_of, keep, whole_rows
 
 
 def _lines(text: Column) -> Column:
@@ -35,51 +37,40 @@ def _hash(key: Column) -> Column:
 
 def dropped_keys(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """doc_id, keys: the line hashes that each document loses."""
-    line = F.explode(_lines(F.col("text"))).alias("line")
-    held = (
-        docs.where("doc_id is not null and text is not null")
-        .select("doc_id", line)
-        .select("doc_id", _key(F.col("line")).alias("key"))
-        .where(F.length("key") >= min_chars)
-        .select("doc_id", _hash(F.col("key")).alias("h"))
-        .select("doc_id", "h.a", "h.b")
-    )
+    hashes = F.transform(F.filter(F.transform(_lines(F.col("text")), _key), lambda k: F.length(k) >= min_chars), _hash)
+    held = docs.where("doc_id is not null and text is not null").select("doc_id", F.array_distinct(hashes).alias("hs"))
+    held = keep(held.where(F.size("hs") > 0), "line_hashes").select("doc_id", F.inline("hs").alias("a", "b"))
     common = held.groupBy("a", "b").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
-    lost = held.join(common, ["a", "b"]).where("doc_id != keeper")
+    lost = held.join(keep(common, "common_lines"), ["a", "b"]).where("doc_id != keeper")
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("keys"))
 
 
-def with_kept_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """docs with the added columns `_n_lines` and `_kept` (the lines that stay)."""
-    keys = dropped_keys(docs, min_chars, min_docs).select(F.col("doc_id").alias("_doc"), F.col("keys").alias("_keys"))
+def _kept_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """row (the whole row of docs), lines, and kept: the lines that stay."""
+    keys = dropped_keys(docs.select("doc_id", "text"), min_chars, min_docs)
+    rows = whole_rows(docs)
 
     def stays(line: Column) -> Column:
         key = _key(line)
-        return (F.length(key) < min_chars) | ~F.array_contains(F.col("_keys"), _hash(key))
+        return (F.length(key) < min_chars) | ~F.array_contains(F.col("keys"), _hash(key))
 
-    lines = _lines(F.col("text"))
-    return (
-        docs.join(keys, docs["doc_id"] == keys["_doc"], "left")
-        .withColumn("_n_lines", F.size(lines).cast("long"))
-        .withColumn("_kept", F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, stays)))
-        .drop("_doc", "_keys")
-    )
+    rows = rows.join(keys, F.col("row.doc_id") == keys["doc_id"], "left").select("row", _lines(F.col("row.text")).alias("lines"), "keys")
+    return rows.select("row", "lines", F.when(F.col("keys").isNull(), F.col("lines")).otherwise(F.filter("lines", stays)).alias("kept"))
 
 
 def line_decisions(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_text per row."""
-    out = with_kept_lines(docs.select("doc_id", "text"), min_chars, min_docs)
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), (F.col("_n_lines") - F.size("_kept")).cast("long").alias("n_dropped"), F.concat_ws("\n", "_kept").alias("kept_text"))
+    out = _kept_lines(docs.select("doc_id", "text"), min_chars, min_docs)
+    n_lines = F.size("lines").cast("long")
+    return out.select("row.doc_id", n_lines.alias("n_lines"), (n_lines - F.size("kept")).alias("n_dropped"), F.concat_ws("\n", "kept").alias("kept_text"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """docs with the text that stays; n_chars follows it. Columns as they came."""
-    out = with_kept_lines(docs, min_chars, min_docs)
-    text = F.when(F.col("text").isNotNull(), F.concat_ws("\n", "_kept"))
-    out = out.withColumn("text", text)
+    changed = {"text": F.when(F.col("row.text").isNotNull(), F.concat_ws("\n", "kept"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length(changed["text"]).cast(docs.schema["n_chars"].dataType)
+    return _kept_lines(docs, min_chars, min_docs).select(*columns_of("row", docs, **changed))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
