@@ -10,13 +10,13 @@ standard deviations below the threshold) are confirmed on the full sets.
 No group of copies is expanded into pairs:
 1. documents with equal sets are one class, represented by the smallest doc_id;
 2. in each bucket every class is compared with the smallest one only, and the
-   confirmed links give first components;
-3. where a bucket still holds several components, the classes outside its main
-   component are compared with the classes of other components, which covers
-   every pair that could still join two components, so no link is lost. Up to
-   `SMALL` classes this is a join; larger buckets are cut into blocks of at most
-   about `BLOCK` members and `BLOCK` outsiders, each block is compared in place
-   and returns confirmed links only, never pairs.
+   confirmed links give first components. A smallest class with many partners is
+   copied once for about every `SALT` of them, so that no task gets them all;
+3. where the other classes of a bucket still lie in several components, those
+   outside its main component are compared with those of other components, which
+   covers every pair that could still join two components, so no link is lost.
+   Buckets are cut into blocks of at most about `BLOCK` members and `BLOCK`
+   outsiders, each block is compared in place and returns confirmed links only.
 Each step is an aggregation or an equi-join on bucket keys or doc_ids that
 Spark can split; components come from components.py.
 
@@ -29,6 +29,8 @@ table gives no rows; extra columns don't matter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -36,12 +38,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import FOLD_ASCII, gram_hashes, keep, mix, scan, texts, word_hashes
+from quillmesh.llm.common import Words, columns_of, gram_hashes, group_scan, keep, mix, scan, texts, whole_rows
 from quillmesh.llm.components import components
 
 WIDTH, SAMPLES, BANDS, SKETCH_BITS = 5, 128, 32, 512
 PERCENT = 75
-SMALL, BLOCK = 32, 512
+SALT, BLOCK = 256, 512
 _ODD = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = mix(np.arange(1001, 1001 + SAMPLES, dtype=np.uint64))
 _BAND = mix(np.arange(5001, 5001 + BANDS, dtype=np.uint64))
@@ -49,12 +51,12 @@ _BAND = mix(np.arange(5001, 5001 + BANDS, dtype=np.uint64))
 SIGNATURE = "doc_id long, n_shingles long, fa long, fb long, bands array<long>, sketch array<long>"
 
 
-def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of a text's runs of `width` words, or of all its words if fewer."""
-    words = (text or b"").translate(FOLD_ASCII).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(gram_hashes(word_hashes(words), min(width, len(words))))
+def shingles(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of `width` words, or of all its words if fewer."""
+    words = Words(texts, fold=True)
+    hashes = words.hashes()
+    for a, b in zip(words.bounds.tolist(), words.bounds[1:].tolist(), strict=False):
+        yield np.unique(gram_hashes(hashes[a:b], min(width, b - a))) if b > a else hashes[:0]
 
 
 def min_hash(items: np.ndarray) -> np.ndarray:
@@ -86,8 +88,7 @@ def most_bits(similarity: float) -> int:
 def _signer():
     def work(c: dict[str, list]) -> dict[str, list]:
         out = {"doc_id": c["doc_id"], "n_shingles": [], "fa": [], "fb": [], "bands": [], "sketch": []}
-        for text in c["text"]:
-            items = shingles(text)
+        for items in shingles(c["text"]):
             out["n_shingles"].append(len(items))
             if len(items):
                 samples, print_ = min_hash(items), xxhash.xxh3_128_digest(items.tobytes())
@@ -103,7 +104,7 @@ def _signer():
 
 
 def _set_maker():
-    return lambda c: {"node": c["doc_id"], "items": [shingles(t).tobytes() for t in c["text"]]}
+    return lambda c: {"node": c["doc_id"], "items": [s.tobytes() for s in shingles(c["text"])]}
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -170,12 +171,12 @@ def _blocks(percent: int, good: int):
                         b_out.append(max(int(node), int(m_node[j])))
         return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
 
-    return work
+    return lambda: work
 
 
-def _dealt(wide: DataFrame) -> DataFrame:
-    """Members and outsiders of large buckets, dealt to every block in which they meet."""
-    blocks, out_blocks = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
+def _dealt(wide: DataFrame, block: int) -> DataFrame:
+    """Members and outsiders of buckets, dealt to every block in which they meet."""
+    blocks, out_blocks = F.ceil(F.col("size") / block).cast("int"), F.ceil(F.col("n_out") / block).cast("int")
     members = wide.withColumn("m", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), out_blocks - 1))).withColumn("role", F.lit(0))
     outs = wide.where("outside").withColumn("o", F.pmod(F.xxhash64("node", F.lit(5)), out_blocks).cast("int")).withColumn("m", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("role", F.lit(1))
     return members.unionByName(outs)
@@ -186,50 +187,44 @@ def _differ(x: str, y: str) -> Column:
     return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-    return scan(both, _confirmer(percent), "a long, b long")
+def _with_both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b, salt) with the column of a as x and that of b as y; a is fetched once for each salt."""
+    centres = pairs.select("a", "salt").distinct().join(values.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
+    return pairs.join(centres, ["a", "salt"]).join(values.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
 
 
-def near_dups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
+def near_dups(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of docs."""
     rows = texts(docs)
     signed = keep(scan(rows, _signer, SIGNATURE), "signatures")
     good = most_bits(percent / 100 - 0.25)
 
     # 1. one class for equal sets
-    classes = keep(
-        signed.where("doc_id is not null and n_shingles > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("s")).select("fa", "fb", "node", "s.bands", "s.sketch"),
-        "classes",
-    )
-    sketches = classes.select("node", "sketch")
+    classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("s"))
+    classes = keep(classes.select("fa", "fb", "node", "s.bands", "s.sketch"), "classes")
     members = classes.select("node", F.explode("bands").alias("key"))
 
     # 2. stars of buckets
-    buckets = members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    tried = keep(members.join(buckets, "key").where("node != a").select("a", F.col("node").alias("b")).distinct(), "star_pairs")
-    wanted = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
-    sets = keep(scan(rows.join(wanted.hint("shuffle_hash"), rows["doc_id"] == wanted["node"], "left_semi"), _set_maker, "node long, items binary"), "sets")
-    close = tried.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("p")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("q")), "b").where(_differ("p", "q") <= good)
-    links = keep(_confirm(close.select("a", "b"), sets, percent), "star_links")
+    buckets = keep(members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "buckets")
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / SALT)).cast("int")
+    tried = members.join(buckets, "key").where("node != a").select("a", F.col("node").alias("b"), salt.alias("salt")).groupBy("a", "b").agg(F.max("salt").alias("salt"))
+    close = _with_both(tried, classes, "sketch").where(_differ("x", "y") <= good).select("a", "b", "salt")
+    close = keep(close, "star_pairs")
+    wanted = members.join(buckets.select("key"), "key", "left_semi").select("node").distinct()
+    sets = keep(scan(rows.join(wanted, rows["doc_id"] == wanted["node"], "left_semi"), _set_maker, "node long, items binary"), "sets")
+    links = keep(scan(_with_both(close, sets, "items").select("a", "b", "x", "y"), _confirmer(percent), "a long, b long"), "star_links", [close])
     roots = components(links)
 
-    # 3. what buckets hold outside their main component
-    placed = members.join(buckets.select("key"), "key").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("part"))
+    # 3. what the rest of a bucket holds outside its main component
+    placed = members.join(buckets.where("n > 2").select("key", "a"), "key").where("node != a").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("part"))
+    placed = keep(placed, "placed", [buckets])
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "part"))["n"].alias("in_main")).where("parts > 1")
-    split = split.select("key", "main", "size", (F.col("size") - F.col("in_main")).alias("n_out"))
-    open_ = keep(placed.join(split, "key").select("key", "node", "part", "size", "n_out", (F.col("part") != F.col("main")).alias("outside")), "open_buckets")
-    few = open_.where(F.col("size") <= small).join(sketches, "node")
-    left = few.where("outside").select("key", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("sketch").alias("p"))
-    right = few.select("key", F.col("node").alias("b"), F.col("part").alias("pb"), F.col("sketch").alias("q"), F.col("outside").alias("ob"))
-    cross = left.join(right, (left["key"] == right["key"]) & (F.col("pa") != F.col("pb")) & (~F.col("ob") | (F.col("a") < F.col("b"))) & (_differ("p", "q") <= good))
-    more = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    wide = open_.where(F.col("size") > small).join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
-    in_blocks = _dealt(wide).groupBy("key", "m", "o").applyInArrow(_blocks(percent, good), "a long, b long")
-    late = _confirm(more, sets, percent).union(in_blocks)
-    roots = components(late.union(roots.select("node", "root")))
+    split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"), F.max("n").alias("in_main")).where("parts > 1")
+    split = keep(split.select("key", "main", "size", (F.col("size") - F.col("in_main")).alias("n_out")), "split_buckets")
+    open_ = placed.join(split, "key").select("key", "node", "part", "size", "n_out", (F.col("part") != F.col("main")).alias("outside"))
+    wide = keep(open_, "open_buckets", [placed, split]).join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
+    late = keep(group_scan(_dealt(wide, block), ["key", "m", "o"], _blocks(percent, good), "a long, b long"), "late_links", [sets])
+    roots = components(late.union(roots.select("node", "root")), [late, roots])
 
     found = classes.select("fa", "fb", "node").join(roots, "node", "left").select("fa", "fb", F.coalesce("root", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "fa", "fb").join(found, ["fa", "fb"], "left")
@@ -239,8 +234,10 @@ def near_dups(docs: DataFrame, percent: int = PERCENT, small: int = SMALL) -> Da
 
 def drop_near_dups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each component; columns as they came."""
-    gone = near_dups(docs, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = near_dups(docs, percent).where("not kept").select("doc_id").distinct()
+    rows = whole_rows(docs)
+    left = rows.join(gone, F.col("row.doc_id").cast("long") == gone["doc_id"], "left_anti")
+    return left.select(*columns_of("row", docs))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
