@@ -11,40 +11,45 @@ automaton that can hold it:
    the runs are anchors. Anchors are dealt by hash into buckets of bounded size
    to see which occur in more than one document; what an input block settles
    itself is sent once for the block, so a very common anchor stays small.
-2. Segments: neighbouring windows with one shared anchor are cut out, with their
-   words.
-3. Shards: the segments of an anchor come sorted by doc_id; each is streamed
-   through the suffix automaton of the earlier ones for its matching statistics
-   (the longest match that ends at each word) and then added, unless all of it
-   was known. Windows whose match has WINDOW words are repeats. An anchor with
-   more than `max_segments` segments could make too large an automaton; its
-   windows are compared as whole strings in an aggregation and a join instead,
-   which gives the same answer.
-4. Maximal runs of covered words are removed.
+2. Segments: neighbouring windows with one shared anchor are cut out. Equal
+   segments of an input block travel as one, with the list of their places.
+3. Shards: the segments of an anchor come sorted by their smallest doc_id; each
+   different one is streamed through the suffix automaton of the earlier ones for
+   its matching statistics (the longest match that ends at each word) and then
+   added, unless all of it was known. Windows whose match has WINDOW words are
+   repeats. An anchor with more than `max_segments` different segments is split by
+   content again: its windows are dealt by the next least 5-word run as well, then
+   by the one after that, until each shard's automaton is small.
+4. Verdicts go back to the segments by a join on their hash (Spark splits a hot
+   one): documents after the first holder of a segment lose all its windows, the
+   first holder loses those found in earlier segments.
+5. Maximal runs of covered words are removed.
 
 Edge cases: null, empty and short texts lose nothing; rows that repeat a doc_id
 are judged one by one and never against each other; rows without doc_id are no
-reference and lose nothing; an empty table gives no rows; extra columns don't
-matter.
+reference and lose nothing; an empty table gives no rows; a very long word is a
+word as any other; extra columns don't matter.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import gram_hashes, keep, scan, texts, word_hashes
+from quillmesh.llm.common import Words, arrow_schema, gram_hashes, keep, mix, prepare, scan, texts, word_hashes
 
 WINDOW, GRAM = 13, 5
 PLACES = WINDOW - GRAM + 1  # of an anchor in a window, and most windows in a segment
 BUCKET_BYTES = 32_000_000
-MAX_SEGMENTS = 5_000
-MAX_BROADCAST = 1_000_000  # anchors of 8 bytes; beyond it Spark chooses the join
+MAX_SEGMENTS = 2_000  # different ones in one automaton, of at most 2 * 21 states each
 
 
 class SuffixAutomaton:
@@ -102,21 +107,30 @@ class SuffixAutomaton:
         return out
 
 
-def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window: place and hash of its anchor."""
-    if len(hashes) < WINDOW:
+def anchors(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window: place and hash of its anchor, given the hashes of 5-word runs."""
+    if len(grams) < PLACES:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = gram_hashes(hashes, GRAM)
     near = np.lib.stride_tricks.sliding_window_view(grams, PLACES)
     at = near.argmin(axis=1) + np.arange(len(near))
     return at, grams[at]
 
 
+def _anchored(words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First word, and place and hash of each window's anchor, by text."""
+    hashes = words.hashes()
+    for a, b in zip(words.bounds.tolist(), words.bounds[1:].tolist(), strict=False):
+        yield a, *anchors(gram_hashes(hashes[a:b], GRAM))
+
+
 def _blocks(buckets: int):
-    """Anchors of a block of documents, dealt to buckets; kind 1: known to be shared."""
+    """Anchors of a block of documents, dealt to buckets; known: to be shared."""
 
     def work(c: dict[str, list]) -> dict[str, list] | None:
-        found = [np.unique(anchors(word_hashes((t or b"").split()))[1]) for t in c["text"]]
+        found = []
+        for _, at, keys in _anchored(Words(c["text"])):
+            new = np.flatnonzero(np.diff(at, prepend=-1))
+            found.append(np.unique(keys[new]))
         keys = np.concatenate(found)
         if not len(keys):
             return None
@@ -175,77 +189,175 @@ def _settle(table: pa.Table) -> pa.Table:
     return pa.concat_tables([direct.cast(_SHARED), told])
 
 
-SEGMENT = "doc_id long, th long, start int, anchor long, words binary"
+#: least: smallest doc_id of the members; members: doc_id, th and start of each as 64-bit numbers
+SEGMENT = "key long, sh long, words binary, windows int, least long, many boolean, members binary"
 
 
 def _cutter():
-    def work(c: dict[str, list]) -> dict[str, list]:
-        docs, cut, starts, found = [], [], [], []
-        for k, (text, blobs) in enumerate(zip(c["text"], c["blobs"], strict=True)):
-            words = text.split()
-            at, keys = anchors(word_hashes(words))
+    """Segments around shared anchors, equal ones of a block as one row."""
+
+    def work(c: dict[str, list]) -> dict[str, list] | None:
+        words = Words(c["text"])
+        starts, ends, keys_, docs = [], [], [], []
+        for k, (first, at, keys) in enumerate(_anchored(words)):
             edges = np.flatnonzero(np.diff(at)) + 1
             lo, hi = np.concatenate(([0], edges)), np.concatenate((edges, [len(at)]))
-            shared = np.isin(keys[lo], np.concatenate([np.frombuffer(b, np.uint64) for b in blobs]))
-            lo, hi = lo[shared], hi[shared]
-            cut.extend([b" ".join(words[a:b]) for a, b in zip(lo.tolist(), (hi + (WINDOW - 1)).tolist(), strict=True)])
-            docs.append(np.full(len(lo), k))
-            starts.append(lo)
-            found.append(keys[lo])
-        if not cut:
+            mine = np.sort(np.concatenate([np.frombuffer(b, np.uint64) for b in c["blobs"][k]]))
+            place = np.searchsorted(mine, keys[lo])
+            shared = mine[np.minimum(place, len(mine) - 1)] == keys[lo]
+            starts.append(lo[shared] + first)
+            ends.append(hi[shared] + first + (WINDOW - 1))
+            keys_.append(keys[lo[shared]])
+            docs.append(np.full(int(shared.sum()), k))
+        start, end, key, doc = (np.concatenate(x) for x in (starts, ends, keys_, docs))
+        if not len(start):
             return None
-        owner = np.concatenate(docs)
+        runs = [words.run(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        ids, hashes, firsts = np.array(c["doc_id"], np.int64), np.array(c["th"], np.int64), words.bounds[doc]
+        members = np.stack((ids[doc], hashes[doc], start - firsts), axis=1)
+        groups: dict[bytes, list[int]] = {}
+        for i, run in enumerate(runs):
+            groups.setdefault(run, []).append(i)  # equal words, equal anchor
+        heads = [g[0] for g in groups.values()]
         return {
-            "doc_id": pa.array(np.array(c["doc_id"], np.int64)[owner]), "th": pa.array(np.array(c["th"], np.int64)[owner]), "start": pa.array(np.concatenate(starts).astype(np.int32)),
-            "anchor": pa.array(np.concatenate(found).view(np.int64)), "words": pa.array(cut, pa.binary()),
+            "key": pa.array(key[heads].view(np.int64)), "sh": [xxhash.xxh3_64_intdigest(r) - (1 << 63) for r in groups], "words": list(groups), "windows": (end - start)[heads] - (WINDOW - 1),
+            "least": [int(members[g, 0].min()) if len(g) > 1 else int(members[g[0], 0]) for g in groups.values()], "many": [len(g) > 1 for g in groups.values()],
+            "members": [members[g].tobytes() for g in groups.values()],
         }
 
     return work
 
 
-MATCHED = "doc_id long, th long, start int, mask int"
+#: of segment (key, sh): its first holder, its repeated windows, whether several rows or members have it
+VERDICT = "key long, sh long, least long, mask int, many boolean"
 
 
 def _streamer():
-    """Segments sorted by anchor and document; the state of one anchor at a time."""
-    state = {"anchor": None, "doc": None, "waiting": [], "automaton": None}
+    """Segments sorted by shard, smallest doc_id first; the state of one shard at a time.
+
+    `parent` is the segment asked about and `place` the window of it at which this
+    part begins (0 and itself for whole segments).
+    """
+
+    schema = arrow_schema(VERDICT)[1]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = last = None
+        machine: SuffixAutomaton | None = None
+        seen: dict[bytes, list] = {}
+        waiting: list[list[bytes]] = []
+
+        def told() -> list[tuple]:
+            return [tuple(v) for v in seen.values() if v[3] or v[4]]
+
+        rows: list[tuple] = []
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in ("shard", "least", "words", "key", "sh", "place", "many")]
+            for at, least, text, key, sh, place, many in zip(*columns, strict=True):
+                if at != shard:
+                    rows.extend(told())
+                    shard, last, machine, seen, waiting = at, least, None, {}, []
+                same = (key, sh, text)
+                if same in seen:
+                    seen[same][4] = True
+                    continue
+                if least != last:
+                    if waiting and machine is None:
+                        machine = SuffixAutomaton()
+                    for earlier in waiting:
+                        machine.add(earlier)
+                    last, waiting = least, []
+                items, mask = text.split(b" "), 0
+                if machine is not None:
+                    for k, length in enumerate(machine.matches(items)[WINDOW - 1 :]):
+                        mask |= (length >= WINDOW) << k
+                if mask + 1 < 1 << len(items) - WINDOW + 1:
+                    waiting.append(items)
+                seen[same] = [key, sh, least, mask << place, many]
+            if len(rows) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                rows = []
+        rows.extend(told())
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _streamed(parts: DataFrame) -> DataFrame:
+    """VERDICT rows of parts (shard, words, least, key, sh, place, many)."""
+    prepare(parts.sparkSession)
+    parts = parts.select("shard", "words", "least", "key", "sh", "place", "many")
+    return parts.repartition("shard").sortWithinPartitions("shard", "least").mapInArrow(_streamer(), arrow_schema(VERDICT)[0])
+
+
+PART = "shard long, words binary, least long, key long, sh long, place int, windows int"
+
+
+def _splitter(level: int):
+    """Parts of segments whose windows share the `level` least runs of five words."""
 
     def work(c: dict[str, list]) -> dict[str, list]:
-        hits, masks = [], []
-        for k, (anchor, doc, words) in enumerate(zip(c["anchor"], c["doc_id"], c["words"], strict=True)):
-            if anchor != state["anchor"]:
-                state.update(anchor=anchor, doc=doc, waiting=[], automaton=None)
-            elif doc != state["doc"]:
-                if state["automaton"] is None:
-                    state["automaton"] = SuffixAutomaton()
-                for earlier in state["waiting"]:
-                    state["automaton"].add(earlier)
-                state.update(doc=doc, waiting=[])
-            items, mask = words.split(b" "), 0
-            if state["automaton"] is not None:
-                for place, length in enumerate(state["automaton"].matches(items)[WINDOW - 1 :]):
-                    mask |= (length >= WINDOW) << place
-                if mask:
-                    hits.append(k)
-                    masks.append(mask)
-            if mask + 1 < 1 << len(items) - WINDOW + 1:
-                state["waiting"].append(items)
-        return {n: [c[n][k] for k in hits] for n in ("doc_id", "th", "start")} | {"mask": masks}
+        out: dict[str, list] = {n: [] for n in ("shard", "words", "least", "key", "sh", "place", "windows")}
+        for k, text in enumerate(c["words"]):
+            items = text.split(b" ")
+            grams = np.lib.stride_tricks.sliding_window_view(gram_hashes(word_hashes(items), GRAM), PLACES)
+            least = np.sort(grams, axis=1)[:, : level + 1]
+            shard = least[:, 0].copy()
+            for i in range(1, level + 1):
+                shard = mix(shard + least[:, i])
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                row = (int(shard[a].view(np.int64)), b" ".join(items[a : b + WINDOW - 1]), c["least"][k], c["key"][k], c["sh"][k], c["place"][k] + a, b - a)
+                for n, v in zip(out, row, strict=True):
+                    out[n].append(v)
+        return out
 
-    return work
+    return lambda: work
 
 
-def _windows():
-    """A segment's windows as rows of their own."""
+def _crowded(parts: DataFrame, most: int) -> DataFrame:
+    """Shards of more than `most` different parts."""
+    different = parts.select("shard", F.xxhash64("words").alias("h")).distinct()
+    return keep(different.groupBy("shard").count().where(F.col("count") > most).select("shard"), "crowded")
+
+
+def _verdicts(segments: DataFrame, max_segments: int) -> DataFrame:
+    parts = segments.select(F.col("key").alias("shard"), "words", "least", "key", "sh", F.lit(0).alias("place"), "windows", "many")
+    crowded = _crowded(parts, max_segments)
+    out = [keep(_streamed(parts.join(crowded, "shard", "left_anti")), "verdicts")]
+    if not crowded.isEmpty():
+        # one row for each different segment; its first holder is known from now on
+        hot = parts.join(crowded, "shard", "left_semi").groupBy("key", "sh", "words").agg(F.min("least").alias("least"), (F.max("many") | (F.count("*") > 1)).alias("many"), F.lit(0).alias("place"))
+        hot = keep(hot, "crowded_segments")
+        out.append(hot.where("many").select("key", "sh", "least", F.lit(0).alias("mask"), "many"))
+        for level in range(1, PLACES):
+            parts = keep(scan(hot.select("words", "least", "key", "sh", "place"), _splitter(level), PART), "parts").withColumn("many", F.lit(False))
+            crowded = _crowded(parts, max_segments if level < PLACES - 1 else 1 << 62)
+            out.append(keep(_streamed(parts.join(crowded, "shard", "left_anti")), "verdicts"))
+            if crowded.isEmpty():
+                break
+            hot = parts.join(crowded, "shard", "left_semi")
+        every = reduce(DataFrame.unionByName, out).groupBy("key", "sh").agg(F.min("least").alias("least"), F.bit_or("mask").alias("mask"), F.max("many").alias("many"))
+        return keep(every, "all_verdicts")
+    return out[0]
+
+
+HIT = "doc_id long, th long, start int, mask int"
+
+
+def _deliver():
+    """Verdicts of segments to the documents that hold them."""
 
     def work(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "th", "start", "place", "words")}
-        for doc, th, start, words in zip(c["doc_id"], c["th"], c["start"], c["words"], strict=True):
-            items = words.split(b" ")
-            for k in range(len(items) - WINDOW + 1):
-                for n, v in zip(out, (doc, th, start, k, b" ".join(items[k : k + WINDOW])), strict=True):
-                    out[n].append(v)
-        return out
+        found, masks = [], []
+        for blob, windows, first, mask in zip(c["members"], c["windows"], c["holder"], c["mask"], strict=True):
+            rows = np.frombuffer(blob, np.int64).reshape(-1, 3)
+            mine = np.where(rows[:, 0] > first, (1 << windows) - 1, mask)
+            found.append(rows[mine != 0])
+            masks.append(mine[mine != 0])
+        rows, mask = np.concatenate(found), np.concatenate(masks)
+        return {"doc_id": pa.array(rows[:, 0]), "th": pa.array(rows[:, 1]), "start": pa.array(rows[:, 2].astype(np.int32)), "mask": pa.array(mask.astype(np.int32))}
 
     return work
 
@@ -285,21 +397,15 @@ def repeats(docs: DataFrame, max_segments: int = MAX_SEGMENTS, bucket_bytes: int
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size // bucket_bytes))
 
-    dealt = scan(rows, _blocks(buckets), "bucket int, doc_id long, th long, anchors binary, docs binary, known binary", rows=4096)
+    dealt = scan(rows, _blocks(buckets), "bucket int, doc_id long, th long, anchors binary, docs binary, known binary", rows=4096, size=4_000_000)
     shared = keep(dealt.groupBy("bucket").applyInArrow(_settle, SHARED), "anchors")
     mine = shared.groupBy("doc_id", "th").agg(F.collect_list("anchors").alias("blobs"))
-    segments = keep(scan(rows.join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "blobs"), _cutter, SEGMENT), "segments")
-
-    crowded = keep(segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_segments).select("anchor"), "crowded_anchors")
-    if crowded.count() <= MAX_BROADCAST:
-        crowded = F.broadcast(crowded)
-    few = segments.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
-    cold = scan(few, _streamer, MATCHED, rows=4096)
-    one_by_one = scan(segments.join(crowded, "anchor", "left_semi"), _windows, "doc_id long, th long, start int, place int, words binary")
-    least = one_by_one.groupBy("words").agg(F.min("doc_id").alias("least"))
-    hot = one_by_one.join(least, "words").where("least < doc_id").groupBy("doc_id", "th", "start").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
-    verdict = keep(cold.unionByName(hot), "repeats")
-    return verdict.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
+    segments = scan(rows.join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "blobs"), _cutter, SEGMENT, rows=4096, size=4_000_000)
+    segments = keep(segments, "segments", [shared])
+    verdicts = _verdicts(segments, max_segments).select("key", "sh", F.col("least").alias("holder"), "mask")
+    mine = segments.select("key", "sh", "windows", "members").join(verdicts, ["key", "sh"])
+    hits = scan(mine.select("windows", "members", "holder", "mask"), _deliver, HIT, rows=4096)
+    return hits.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
 
 
 def dedup_substrings(docs: DataFrame, **params) -> DataFrame:
