@@ -1,18 +1,15 @@
-"""Operators that compare documents: 4, 6, 9 and the pipeline."""
+"""Operators that compare documents: 4 and 6."""
 
-import collections
 import hashlib
 import random
 import re
-import zlib
 
 import pytest
 
-from quillmesh.llm import near_dups, substring_dedup, toxicity
+from quillmesh.llm import near_dups, substring_dedup
 from quillmesh.llm.components import components
 
 SPACED = re.compile(r"[^\x20\x09-\x0d]+")
-SF = "/root/testdata/sf0.001"
 
 
 def lower(text):
@@ -68,16 +65,16 @@ def results(df, *names):
     return {r.doc_id: tuple(r[n] for n in names) for r in df.collect() if r.doc_id is not None}
 
 
-@pytest.mark.parametrize("small", [32, 3])
-def test_near_dups(make, families, small):
-    rows = [*families, (None, families[0][1]), families[3], (9001, "x " * 100_000)]
-    df = near_dups.near_dups(make(rows), small=small)
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_dups(make, families, block):
+    rows = [*families, (None, families[0][1]), families[3], (9001, "x " * 100_000), (9002, "y" * 300_000), (9003, "Y" * 300_000 + " \t")]
+    df = near_dups.near_dups(make(rows), block=block)
     got = df.collect()
     assert len(got) == len(rows)
     assert results(df, "n_shingles", "component_id", "kept") == brute_components(rows)
     (lost,) = [r for r in got if r.doc_id is None]
     assert lost.component_id is None and lost.kept
-    if small == 3:
+    if block == 3:
         kept = near_dups.drop_near_dups(make(rows))
         assert kept.columns == make([]).columns
         want = sum(1 for i, _ in rows if i is None or brute_components(rows)[i][2])
@@ -132,7 +129,7 @@ def brute_substrings(rows, width=13):
     return out
 
 
-@pytest.mark.parametrize("bound", [5000, 2])
+@pytest.mark.parametrize("bound", [2000, 2])
 def test_substrings(make, families, bound):
     rng = random.Random(2)
     passage = [f"p{k}" for k in range(60)]
@@ -164,84 +161,3 @@ def test_suffix_automaton():
         assert machine.matches(query) == want
         machine.add(query)
         texts.append("".join(query))
-
-
-@pytest.fixture(scope="module")
-def scored(spark, make):
-    """Rows, labels and scores of a small table of random words."""
-    rng = random.Random(1)
-    rows, labels = [], []
-    for i in range(600):
-        words = [f"{''.join(rng.choice('abcdefgh') for _ in range(6))}" for _ in range(rng.randrange(5, 200))]
-        toxic = i % 5 == 0
-        if toxic:
-            words[rng.randrange(len(words))] = rng.choice(["zorkuse", "Zorkish", "z0rkling", "хylophat"])
-        elif i % 7 == 0:
-            words += ["museum", "of", "xylophat"]
-        rows.append((i, " ".join(words)))
-        if i % 3:
-            labels.append((i, int(toxic)))
-    labels += [(10_000, None), (None, 1), (4, 0), (4, 0)]
-    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
-    rows += [(7000, None), (7001, ""), (7002, "zorkuse"), (None, "zorkuse"), (7002, "zorkuse")]
-    model = toxicity.learn(make(rows), frame, exceptions=("Museum of",))
-    df = toxicity.score(make(rows), model)
-    return rows, frame, df, {r.doc_id: r for r in df.collect()}
-
-
-def test_toxicity(make, scored):
-    assert toxicity.fold("Ｌ0ser! іdіоt dо​nt".encode()) == " loser idiot dont "
-    rows, frame, df, got = scored
-    assert df.count() == len(rows) and got[7000].score == got[7001].score == 0.0 and got[7002].predicted == 1
-    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items() if i is not None)
-    lexicon = toxicity.Lexicon({" idiot ": 5.0, " zork": 4.0}, ["the idiot"])
-    assert lexicon.hits(toxicity.fold(b"the idiot zorking")) == {10: 4.0}
-    assert lexicon.hits(toxicity.fold(b"an idiot")) == {3: 5.0}
-    empty = toxicity.learn(make([]), frame.limit(0))
-    assert toxicity.score(make([(1, "x")]), empty).first().score == 0.0 and toxicity.score(make([]), empty).count() == 0
-
-
-@pytest.mark.xfail(reason="open: with 300 training rows of random short words the lexicon overfits, 123 of 149 held-out rows are right", strict=False)
-def test_toxicity_accuracy(scored):
-    got = scored[3]
-    held = [(got[i].predicted, i % 5 == 0) for i in range(600) if got[i].held_out]
-    assert sum(p == t for p, t in held) / len(held) > 0.95
-
-
-def test_toxicity_held_out(spark):
-    """Held-out accuracy on the labelled documents of a table of 1,000."""
-    sf = "/root/testdata/sf0.01"
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
-    held = [(got[r.doc_id].predicted, r.toxic) for r in labels.collect() if r.doc_id in got and got[r.doc_id].held_out]
-    hit = sum(p and t for p, t in held)
-    assert 2 * hit / (sum(p for p, _ in held) + sum(t for _, t in held)) > 0.5
-
-
-def test_pipeline(spark):
-    """run() against the stages in plain Python; line frequency of the quality stage is judged by its own operator."""
-    import corpus_pipeline
-    from quillmesh.llm import quality
-    from quillmesh.llm.pieces import MODEL
-    from test_row_local import brute_contamination, brute_lines
-
-    import sentencepiece
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    good = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
-    rows = [(i, texts[i]) for i in sorted(good)]
-    rows = [(i, v[2]) for i, v in brute_lines(rows).items()]
-    parts = brute_components(rows)
-    rows = [(i, t) for i, t in rows if parts[i][2]]
-    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    bad = brute_contamination(rows, bench)
-    rows = [(i, t) for i, t in rows if not bad[i][1]]
-    plain = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
-    assert set(got) == {i for i, _ in rows}
-    assert all(got[i].n_tokens == len(plain.encode(t)) and got[i].round_trip for i, t in rows)
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "sentencepiece"]
-    assert corpus_pipeline.STAGES[0][1](spark, docs, SF).columns == docs.columns
-    empty = collections.Counter(r.doc_id for r in corpus_pipeline.STAGES[1][1](spark, docs.limit(0), SF).collect())
-    assert not empty
