@@ -42,7 +42,6 @@ from __future__ import annotations
 import re
 from array import array
 from dataclasses import dataclass
-from functools import partial
 from heapq import heappop, heappush
 
 import numpy as np
@@ -53,8 +52,8 @@ from quillmesh.llm.pieces import BYTE, MODEL, NORMAL, SPACE, Pieces, read_model
 
 NEVER = float("inf")
 UNKNOWN_COST = 10.0
-MEMO_BYTES = 24_000_000
-MEMO_BORDERS = 50_000
+MEMO_BYTES = 120_000_000, 60_000_000  # of words, of parts of words
+MEMO_BORDERS = 200_000
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _ODD = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # such as raised digits
 _LETTERS = re.compile(rf"[^\W\d_{_ODD}]+|[\W\d_{_ODD}]+")
@@ -69,15 +68,15 @@ class Machine:
     next: np.ndarray
     writes: np.ndarray
 
-    def table(self) -> list[dict[str, int]]:
-        """For each state its arcs by character."""
-        none: dict[str, int] = {}
-        out = [none] * len(self.writes)
+    def arcs(self) -> dict:
+        """The arcs of state 0 by character, each as (arcs of the next state, what that writes)."""
+        none: dict = {}
+        inner = set(self.state.tolist())
+        out = [{} if s in inner else none for s in range(len(self.writes))]
+        writes = self.writes.tolist()
         for s, c, to in zip(self.state.tolist(), self.reads.tolist(), self.next.tolist(), strict=True):
-            if out[s] is none:
-                out[s] = {}
-            out[s][chr(c)] = to
-        return out
+            out[s][chr(c)] = out[to], writes[to]
+        return out[0]
 
 
 def trie(strings: dict[str, int]) -> Machine:
@@ -169,20 +168,21 @@ def compile_model(model: Pieces) -> Compiled:
 
 class Normaliser:
     def __init__(self, c: Compiled) -> None:
-        self.table, self.writes, self.written = c.rules.table(), c.rules.writes.tolist(), c.written
+        self.rules, self.written = c.rules.arcs(), c.written
         self.prefix, self.squeeze = c.prefix, c.squeeze
 
     def _rewrite(self, text: str) -> str:
         """Leftmost rules, the longest first; other characters are copied."""
-        out, at, n, table, writes = [], 0, len(text), self.table, self.writes
+        out, at, n = [], 0, len(text)
         while at < n:
-            node, end, rule = 0, at, -1
+            arcs, end, rule = self.rules, at, -1
             for j in range(at, n):
-                node = table[node].get(text[j])
-                if node is None:
+                step = arcs.get(text[j])
+                if step is None:
                     break
-                if writes[node] >= 0:
-                    end, rule = j + 1, writes[node]
+                arcs, write = step
+                if write >= 0:
+                    end, rule = j + 1, write
             out.append(self.written[rule] if rule >= 0 else text[at])
             at = end if rule >= 0 else at + 1
         return "".join(out)
@@ -200,22 +200,22 @@ class Transducer:
     def __init__(self, c: Compiled) -> None:
         self.normalise = Normaliser(c)
         self.strings, self.merges, self.weight, self.prefix = c.strings, c.merges, c.weight, c.prefix
-        self.table, self.writes = c.pieces.table(), c.pieces.writes.tolist()
+        self.pieces = c.pieces.arcs()
         self.byte_ids = c.byte_ids
         self.spelled = [p.encode() for p in c.strings]
         for b, i in enumerate(c.byte_ids):
             self.spelled[i] = bytes([b])
         self.dtype = np.dtype("<u2" if len(c.strings) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"  # executors are little-endian
-        used = [i for i in self.writes if 0 <= i < len(c.strings)]
+        used = [i for i in c.pieces.writes.tolist() if 0 <= i < len(c.strings)]
         self.unknown = max((c.weight[i] for i in used), default=0.0) + UNKNOWN_COST
         self.left, self.right = [a for a, _ in c.parts], [b for _, b in c.parts]
         self.pairs, self.odd = c.pairs, c.odd
         self.cost = {c.strings[i]: c.weight[i] for i in used} if c.odd else {}
         self.apart = c.apart
         self.borders: dict[int, float] = {}
-        self.part = Memo(self._part, MEMO_BYTES)
-        self.unit = Memo(self._unit, MEMO_BYTES)
+        self.part = Memo(self._part, MEMO_BYTES[1])
+        self.unit = Memo(self._unit, MEMO_BYTES[0])
 
     def border(self, u: int, v: int) -> float:
         """The grammar's weight for piece v after piece u; see the module's text."""
@@ -242,45 +242,75 @@ class Transducer:
 
     def path(self, unit: str) -> list[tuple[int, int, int]]:
         """(start, end, piece id; -1: byte fallback) along the tropical shortest path over one word."""
-        n, table, writes, weight, merges, border = len(unit), self.table, self.writes, self.weight, self.merges, self.border
+        came, ids = self._settle_merges(unit) if self.merges else self._settle(unit)
+        out, end, known = [], len(unit), len(self.strings)
+        while end:
+            out.append((came[end], end, ids[end] if ids[end] < known else -1))
+            end = came[end]
+        return out[::-1]
+
+    def _settle(self, unit: str) -> tuple[list[int], list[int]]:
+        """For each place settled: where its best arc began, and the piece it wrote."""
+        n, weight = len(unit), self.weight
         came, ids = [-1] * (n + 1), [-1] * (n + 1)
         came[0] = at = 0
         so_far = 0.0
-        arcs: list[tuple] = []  # (weight, -end, start, piece); a stack if all weights are 0, else a heap
-        put, take = (arcs.append, arcs.pop) if merges else (partial(heappush, arcs), partial(heappop, arcs))
-        borders = self.borders
+        heap: list[tuple] = []  # (weight, -end, start, piece)
         while at < n:
-            node, end = table[0].get(unit[at]), at + 1
-            if node is None or writes[node] < 0:
-                put((so_far if merges else so_far + self.unknown, -end, at, -1))
-            while node is not None:
-                if (piece := writes[node]) >= 0 and came[end] < 0:
-                    put((so_far if merges else so_far + weight[piece], -end, at, piece))
-                if end == n:
-                    break
-                node = table[node].get(unit[end])
+            arcs, end, lone = self.pieces, at, True
+            while end < n and (step := arcs.get(unit[end])) is not None:
+                arcs, piece = step
                 end += 1
+                if piece >= 0:
+                    lone = lone and end > at + 1
+                    heappush(heap, (so_far + weight[piece], -end, at, piece))
+            if lone:
+                heappush(heap, (so_far + self.unknown, -at - 1, at, -1))
+            while came[-heap[0][1]] >= 0:
+                heappop(heap)
+            so_far, end, start, piece = heappop(heap)
+            at = -end
+            came[at], ids[at] = start, piece
+        return came, ids
+
+    def _settle_merges(self, unit: str) -> tuple[list[int], list[int]]:
+        """As `_settle` where all finite weights are 0: of the arcs found last the longest is next, so the heap is a stack."""
+        n, border, borders, pieces = len(unit), self.border, self.borders, self.pieces
+        came, ids = [-1] * (n + 1), [-1] * (n + 1)
+        came[0] = at = 0
+        stack: list[tuple[int, int, int]] = []  # (end, start, piece)
+        put, take = stack.append, stack.pop
+        while at < n:
+            end = at + 1
+            step = pieces.get(unit[at])
+            if step is None:
+                put((end, at, -1))
+            else:
+                arcs, piece = step
+                if came[end] < 0:
+                    put((end, at, piece))
+                while end < n and (step := arcs.get(unit[end])) is not None:
+                    arcs, piece = step
+                    end += 1
+                    if piece >= 0 and came[end] < 0:
+                        put((end, at, piece))
             while True:
-                so_far, end, start, piece = take()
-                if came[-end] >= 0:
+                end, start, piece = take()
+                if came[end] >= 0:
                     continue
                 before = ids[start]
-                if not merges or piece < 0 or before < 0:
+                if before < 0 or piece < 0:
                     break
                 both = before << 32 | piece
                 if (more := borders.get(both)) is None:
                     if len(borders) >= MEMO_BORDERS:
                         borders.clear()
                     more = borders[both] = border(before, piece)
-                if more < NEVER:
+                if more == 0.0:
                     break
-            at = -end
+            at = end
             came[at], ids[at] = start, piece
-        out, end, known = [], n, len(self.strings)
-        while end:
-            out.append((came[end], end, ids[end] if ids[end] < known else -1))
-            end = came[end]
-        return out[::-1]
+        return came, ids
 
     def _part(self, part: str) -> bytes:
         """The ids along the path of one word or part of it, as bytes."""
