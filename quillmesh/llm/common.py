@@ -279,12 +279,20 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def word(self, i: int) -> bytes:
-        return self.buffer[self.starts[i] : self.ends[i]]
-
-    def run(self, a: int, b: int) -> bytes:
-        """Words a to b - 1 joined by single spaces."""
-        return b" ".join([self.buffer[s:e] for s, e in zip(self.starts[a:b].tolist(), self.ends[a:b].tolist(), strict=True)])
+    def odd_gaps(self) -> np.ndarray:
+        """How many of the gaps before each word are not one space."""
+        gap = (self.starts[1:] - self.ends[:-1] != 1) | (self.data[self.ends[:-1]] != 0x20)
+        return np.concatenate(([0, 0], np.cumsum(gap)))[: len(self.starts) + 1]
+
+    def runs(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """For each pair the words from first up to last, without it, joined by single spaces."""
+        odd, some = self.odd_gaps(), last > first
+        plain = np.where(some, odd[last] == odd[np.minimum(first + 1, last)], True)
+        n = max(0, len(self.starts) - 1)
+        begin = np.where(some, self.starts[np.minimum(first, n)], 0) if n or len(self.starts) else first * 0
+        end = np.where(some, self.ends[np.maximum(last - 1, 0)], 0) if len(self.starts) else last * 0
+        buffer = self.buffer
+        return [buffer[s:e] if p else b" ".join(buffer[s:e].split()) for s, e, p in zip(begin.tolist(), end.tolist(), plain.tolist(), strict=True)]
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

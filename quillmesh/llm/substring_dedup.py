@@ -212,17 +212,17 @@ def _cutter():
         start, end, key, doc = (np.concatenate(x) for x in (starts, ends, keys_, docs))
         if not len(start):
             return None
-        runs = [words.run(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        runs = words.runs(start, end)
         ids, hashes, firsts = np.array(c["doc_id"], np.int64), np.array(c["th"], np.int64), words.bounds[doc]
         members = np.stack((ids[doc], hashes[doc], start - firsts), axis=1)
-        groups: dict[bytes, list[int]] = {}
+        blob, groups = members.tobytes(), {}
         for i, run in enumerate(runs):
             groups.setdefault(run, []).append(i)  # equal words, equal anchor
         heads = [g[0] for g in groups.values()]
         return {
             "key": pa.array(key[heads].view(np.int64)), "sh": [xxhash.xxh3_64_intdigest(r) - (1 << 63) for r in groups], "words": list(groups), "windows": (end - start)[heads] - (WINDOW - 1),
-            "least": [int(members[g, 0].min()) if len(g) > 1 else int(members[g[0], 0]) for g in groups.values()], "many": [len(g) > 1 for g in groups.values()],
-            "members": [members[g].tobytes() for g in groups.values()],
+            "least": np.minimum.reduceat(members[[i for g in groups.values() for i in g], 0], np.cumsum([0, *map(len, groups.values())])[:-1]), "many": [len(g) > 1 for g in groups.values()],
+            "members": [blob[24 * g[0] : 24 * g[0] + 24] if len(g) == 1 else members[g].tobytes() for g in groups.values()],
         }
 
     return work
@@ -322,25 +322,40 @@ def _crowded(parts: DataFrame, most: int) -> DataFrame:
     return keep(different.groupBy("shard").count().where(F.col("count") > most).select("shard"), "crowded")
 
 
+def _split_verdicts(parts: DataFrame) -> DataFrame:
+    """VERDICT rows for the segments (key, sh, least) that parts came from.
+
+    Equal parts of a shard are streamed once, with their smallest doc_id; what is
+    found goes back to the segments by a join that Spark can split.
+    """
+    parts = parts.withColumn("h", F.xxhash64("words"))
+    different = parts.groupBy("shard", "h", "words").agg(F.min("least").alias("least"), (F.count("*") > 1).alias("many"))
+    found = _streamed(different.select("shard", "words", "least", F.col("shard").alias("key"), F.col("h").alias("sh"), F.lit(0).alias("place"), "many"))
+    found = keep(found, "part_verdicts").select(F.col("key").alias("shard"), F.col("sh").alias("h"), F.col("least").alias("holder"), "mask")
+    told = parts.select("shard", "h", "least", "key", "sh", "place", "windows").join(found, ["shard", "h"])
+    mine = F.when(F.col("least") > F.col("holder"), F.expr("shiftleft(1, windows) - 1")).otherwise(F.col("mask"))
+    return told.select("key", "sh", "least", mine.alias("mask"), "place").where("mask != 0").select("key", "sh", "least", F.expr("shiftleft(mask, place)").alias("mask"), F.lit(False).alias("many"))
+
+
 def _verdicts(segments: DataFrame, max_segments: int) -> DataFrame:
     parts = segments.select(F.col("key").alias("shard"), "words", "least", "key", "sh", F.lit(0).alias("place"), "windows", "many")
     crowded = _crowded(parts, max_segments)
     out = [keep(_streamed(parts.join(crowded, "shard", "left_anti")), "verdicts")]
-    if not crowded.isEmpty():
-        # one row for each different segment; its first holder is known from now on
-        hot = parts.join(crowded, "shard", "left_semi").groupBy("key", "sh", "words").agg(F.min("least").alias("least"), (F.max("many") | (F.count("*") > 1)).alias("many"), F.lit(0).alias("place"))
-        hot = keep(hot, "crowded_segments")
-        out.append(hot.where("many").select("key", "sh", "least", F.lit(0).alias("mask"), "many"))
-        for level in range(1, PLACES):
-            parts = keep(scan(hot.select("words", "least", "key", "sh", "place"), _splitter(level), PART), "parts").withColumn("many", F.lit(False))
-            crowded = _crowded(parts, max_segments if level < PLACES - 1 else 1 << 62)
-            out.append(keep(_streamed(parts.join(crowded, "shard", "left_anti")), "verdicts"))
-            if crowded.isEmpty():
-                break
-            hot = parts.join(crowded, "shard", "left_semi")
-        every = reduce(DataFrame.unionByName, out).groupBy("key", "sh").agg(F.min("least").alias("least"), F.bit_or("mask").alias("mask"), F.max("many").alias("many"))
-        return keep(every, "all_verdicts")
-    return out[0]
+    if crowded.isEmpty():
+        return out[0]
+    # one row for each different segment; its first holder is known from now on
+    hot = parts.join(crowded, "shard", "left_semi").groupBy("key", "sh", "words").agg(F.min("least").alias("least"), (F.max("many") | (F.count("*") > 1)).alias("many"), F.lit(0).alias("place"))
+    hot = keep(hot, "crowded_segments")
+    out.append(hot.where("many").select("key", "sh", "least", F.lit(0).alias("mask"), "many"))
+    for level in range(1, PLACES):
+        parts = keep(scan(hot.select("words", "least", "key", "sh", "place"), _splitter(level), PART), "parts")
+        crowded = _crowded(parts, max_segments if level < PLACES - 1 else 1 << 62)
+        out.append(keep(_split_verdicts(parts.join(crowded, "shard", "left_anti")), "verdicts"))
+        if crowded.isEmpty():
+            break
+        hot = keep(parts.join(crowded, "shard", "left_semi"), "crowded_parts", [parts])
+    every = reduce(DataFrame.unionByName, out).groupBy("key", "sh").agg(F.min("least").alias("least"), F.bit_or("mask").alias("mask"), F.max("many").alias("many"))
+    return keep(every, "all_verdicts", out[:1] + out[2:])
 
 
 HIT = "doc_id long, th long, start int, mask int"
@@ -350,13 +365,11 @@ def _deliver():
     """Verdicts of segments to the documents that hold them."""
 
     def work(c: dict[str, list]) -> dict[str, list]:
-        found, masks = [], []
-        for blob, windows, first, mask in zip(c["members"], c["windows"], c["holder"], c["mask"], strict=True):
-            rows = np.frombuffer(blob, np.int64).reshape(-1, 3)
-            mine = np.where(rows[:, 0] > first, (1 << windows) - 1, mask)
-            found.append(rows[mine != 0])
-            masks.append(mine[mine != 0])
-        rows, mask = np.concatenate(found), np.concatenate(masks)
+        times = np.array([len(m) // 24 for m in c["members"]])
+        rows = np.frombuffer(b"".join(c["members"]), np.int64).reshape(-1, 3)
+        windows, first, mask = (np.repeat(np.array(c[n], np.int64), times) for n in ("windows", "holder", "mask"))
+        mask = np.where(rows[:, 0] > first, (1 << windows) - 1, mask)
+        rows, mask = rows[mask != 0], mask[mask != 0]
         return {"doc_id": pa.array(rows[:, 0]), "th": pa.array(rows[:, 1]), "start": pa.array(rows[:, 2].astype(np.int32)), "mask": pa.array(mask.astype(np.int32))}
 
     return work
@@ -367,26 +380,39 @@ REPORT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha2
 
 def _remover():
     def work(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "spans")}
-        for doc, text, hits in zip(c["doc_id"], c["text"], c["hits"], strict=True):
-            words, spans = (text or b"").split(), []
-            kept = words
+        words = Words(c["text"])
+        first, last, owner, out_spans = [], [], [], []
+        for k, hits in enumerate(c["hits"]):
+            a, b = int(words.bounds[k]), int(words.bounds[k + 1])
+            turns = []
             if hits:
-                edge = np.zeros(len(words) + 1, np.int32)
-                for h in hits:
-                    for k in range(PLACES):
-                        if h["mask"] >> k & 1:
-                            edge[h["start"] + k] += 1
-                            edge[h["start"] + k + WINDOW] -= 1
+                edge = np.zeros(b - a + 1, np.int32)
+                start, mask = (np.array([h[n] for h in hits], np.int64) for n in ("start", "mask"))
+                for i in range(PLACES):
+                    at = start[mask >> i & 1 == 1] + i
+                    np.add.at(edge, at, 1)
+                    np.add.at(edge, at + WINDOW, -1)
                 gone = np.cumsum(edge)[:-1] > 0
-                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                turns = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-                spans = [{"first": a, "last": b - 1} for a, b in turns.reshape(-1, 2).tolist()]
-            rest = b" ".join(kept)
-            row = (doc, len(words), len(words) - len(kept), rest.decode("utf-8", "replace"), hashlib.sha256(rest).hexdigest(), spans)
-            for n, v in zip(out, row, strict=True):
-                out[n].append(v)
-        return out
+                turns = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))).tolist()
+            out_spans.append([{"first": x, "last": y - 1} for x, y in zip(turns[::2], turns[1::2], strict=True)])
+            bounds = [a, *(a + t for t in turns), b]
+            for x, y in zip(bounds[::2], bounds[1::2], strict=True):
+                if y > x:
+                    first.append(x)
+                    last.append(y)
+                    owner.append(k)
+        parts: list[list[bytes]] = [[] for _ in c["text"]]
+        for k, run in zip(owner, words.runs(np.array(first, np.int64), np.array(last, np.int64)), strict=True):
+            parts[k].append(run)
+        rest = [b" ".join(p) for p in parts]
+        return {
+            "doc_id": c["doc_id"],
+            "n_words": np.diff(words.bounds),
+            "n_removed": [sum(s["last"] - s["first"] + 1 for s in x) for x in out_spans],
+            "kept_text": [r.decode("utf-8", "replace") for r in rest],
+            "kept_sha256": [hashlib.sha256(r).hexdigest() for r in rest],
+            "spans": out_spans,
+        }
 
     return work
 
