@@ -229,3 +229,71 @@ VALENCES = {
 
 #: substrings that mark a medical text
 MEDICAL_TERMS = ["cancer", "therapy", "treatment", "drug", "clinical"]
+
+# Tag names that mean a therapy take the general keywords.
+THERAPY_TERMS = ["therapy", "cancer", "oncology", "tumor", "immunotherapy", "car-t", "adc"]
+
+# Phrases that mark a page behind a paywall, anywhere in its text.
+PAYWALL = [
+    "subscribe",
+    "subscription",
+    "premium",
+    "sign in to continue",
+    "log in to read",
+    "unlock this article",
+    "become a member",
+    "already a subscriber",
+    "free articles remaining",
+    "you have reached your",
+    "limited free articles",
+]
+
+# Marketing sentences and first words of paragraphs that are not article text.
+MARKETING = [
+    r"Get free access to a limited number of articles, plus choose newsletters to get straight to your inbox\.",
+    "Unlock this article by subscribing",
+]
+NAVIGATION = ["menu", "navigation", "share", "follow", "subscribe", "read more", "click here", "home", "about", "contact"]
+
+# Topic keywords of two sources.
+HEALTH_TOPICS = [
+    "pharma", "pharmaceutical", "drug", "biotech", "biotechnology", "fda", "clinical trial", "medicine", "therapeutic", "treatment",
+    "healthcare", "medical device", "biologics", "vaccine",
+]
+
+# How each source's article links are told from other links, by
+# name, host, parts that all must occur, parts and patterns of which one must occur
+# (if there are none, every link of the host counts), parts that must not occur,
+# least body length, fixed author.
+_DATED = r"/\d{4}/\d{2}/"
+SOURCES = [
+    ("BioPharma Dive", "biopharmadive.com", [], [], [], [], 0, ""),
+    ("BioSpace", "biospace.com", [], ["/news/", "/drug-development/", "/policy/", "/business/", "/fda/", "/press-releases/"], [],
+     ["/career-advice/", "/job-trends/", "/hiring-outlook/", "/salary/", "/compensation/", "/layoff-tracker/", "/hotbeds/", "/venture-capital/",
+      "/real-estate/", "/conference/", "/webinar/", "/event/"], 50, ""),
+    ("BioSpectrum", "biospectrumasia.com", [], ["/news/", "/article/"], [_DATED], [], 100, ""),
+    ("BioWorld", "bioworld.com", [], [], [r"/articles/\d+-"], ["/topic/", "?v=preview"], 100, ""),
+    ("Business Weekly", "businessweekly.co.uk", [], [], [], [], 100, ""),
+    ("Business Wire", "businesswire.com", ["/news/"], [], [], ["/rss", "/feed"], 100, ""),
+    ("C&EN", "cen.acs.org", [], [], [r"cen\.acs\.org/.*articles", r"cen\.acs\.org/content/cen/news"],
+     ["/static/", "/about/", "/sitemap", "/static.html", "/sponsored-content/"], 100, ""),
+    ("Endpoints News", "endpoints.news", [], [], [], [], 100, ""),
+    ("European Pharmaceutical Review", "europeanpharmaceuticalreview.com", ["/article/"], [], [], [], 100, ""),
+    ("FDA", "fda.gov", [], [], [], [], 100, "FDA"),
+    ("Fierce Biotech", "fiercebiotech.com", [], ["/biotech/", "/research/", "/manufacturing/", "/regulatory/", "/deals/", "/people/"], [_DATED],
+     ["/page/", "/category/", "/tag/", "/author/", "/feed", "/rss"], 100, ""),
+    ("Fierce Pharma", "fiercepharma.com", [], [], [], [], 100, ""),
+    ("GEN", "genengnews.com", [], [], [], ["/latest-posts/", "/page/"], 100, ""),
+    ("MDPI", "mdpi.com", [], [], [], [], 0, ""),
+    ("Nature Biotechnology", "nature.com", ["/nbt/"], ["/articles/"], [r"/nbt/v\d+/n\d+"], [], 100, ""),
+    ("Pharmaceutical Technology", "pharmaceutical-technology.com", [], ["/news/", "/features/", "/analysis/"], [], [], 100, ""),
+    ("The Pharma Letter", "thepharmaletter.com", [], ["/news/", "/article/", "/insights/", "/regulatory/", "/therapy-areas/"], [_DATED],
+     ["/category/", "/tag/", "/author/", "/page/", "/search", "/login", "/subscribe"], 50, ""),
+    ("Pharmaphorum", "pharmaphorum.com", [], ["/news/", "/article/", "/opinion/"], [], [], 100, ""),
+    ("PharmaTimes", "pharmatimes.com", [], ["/news/", "/article/"], [_DATED], [], 200, ""),
+    ("PharmaVoice", "pharmavoice.com", [], ["/news/", "/article/"], [_DATED], [], 100, ""),
+    ("PMLive", "pmlive.com", [], ["/news/", "/article/", "/pharma_news/"], [], [], 100, ""),
+    ("PR Newswire", "prnewswire.com", [], [], ["(?i)/news-releases/(health|biotech|pharma|medical|biotechnology|pharmaceutical)"], [], 100, ""),
+    ("STAT News", "statnews.com", [], ["/news/", "/article/"], [_DATED], [], 100, ""),
+    ("The Scientist", "the-scientist.com", [], [], [], [], 50, ""),
+]

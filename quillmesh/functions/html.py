@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmesh.functions.text import strip_tags
+from quillmesh.functions import fixed
+from quillmesh.functions.text import fold, quoted, strip, strip_tags
 
 #: elements whose content is never article text
 NOISE = ["script", "style", "nav", "footer"]
-PAYWALL = ["subscribe to read", "subscribers only", "sign in to continue", "log in to continue", "premium content", "this content is for members", "register to continue", "create an account to read", "already a subscriber", "become a member", "unlock this article"]
+#: containers of article text, the first of enough length counts
+CONTAINERS = ["article", "main"]
 
 
 def without_noise(html: Column) -> Column:
@@ -57,12 +59,30 @@ def paragraphs(html: Column, longer_than: int = 40) -> Column:
 
 
 def body(html: Column, container: int = 200, longer_than: int = 40, least: int = 100) -> Column:
-    """The article element if it is long enough, else its paragraphs; null below `least`."""
-    article = strip_tags(F.regexp_extract(without_noise(html), r"(?is)<article\b[^>]*>(.*)</article>", 1))
-    text = F.when(F.length(article) > container, article).otherwise(F.array_join(paragraphs(html, longer_than), "\n\n"))
+    """The first container that is long enough, else the paragraphs, else the text that the page's metadata holds; null below `least`."""
+    bare = without_noise(html)
+    found = [strip_tags(F.regexp_extract(bare, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}>", 1)) for tag in CONTAINERS]
+    whole = F.coalesce(*[F.when(F.length(t) > container, t) for t in found])
+    parts = F.array_join(F.filter(paragraphs(html, longer_than), lambda p: ~is_navigation(p)), "\n\n")
+    text = F.coalesce(whole, F.when(parts != "", parts), F.get_json_object(json_ld(html), "$.articleBody"), F.lit(""))
     return F.when(F.length(text) >= least, text)
 
 
+def is_navigation(paragraph: Column) -> Column:
+    """Whether a paragraph begins like a button or a menu."""
+    return paragraph.rlike("(?i)^(" + "|".join(fixed.NAVIGATION) + r")\b")
+
+
+def without_marketing(text: Column) -> Column:
+    """A text without the fixed marketing sentences."""
+    return strip(fold(text, fixed.MARKETING, flags="(?i)"))
+
+
+def without_site(title: Column, site: str) -> Column:
+    """A title without the name of its site at the end."""
+    return F.regexp_replace(title, rf"(?i)\s*-\s*{quoted(site)}\s*$", "")
+
+
 def links(html: Column, host: Column) -> Column:
     """href targets in order, once each; those from the root get the host."""
     found = F.regexp_extract_all(html, F.lit(r'href="([^"]+)"'), F.lit(1))
@@ -70,7 +90,7 @@ def links(html: Column, host: Column) -> Column:
 
 
 def paywalled(html: Column) -> Column:
-    return F.lower(html).rlike("|".join(PAYWALL))
+    return F.lower(strip_tags(html)).rlike("|".join(fixed.PAYWALL))
 
 
 def valid_url(url: Column) -> Column:

@@ -117,6 +117,30 @@ def title_from_slug(url: Column) -> Column:
     return F.initcap(F.regexp_replace(F.element_at(F.split(F.regexp_replace(url, r"/*[?#].*$|/+$", ""), "/"), -1), "-", " "))
 
 
+def unescape(c: Column) -> Column:
+    """XML text without CDATA marks and with its entities resolved."""
+    c = F.regexp_replace(c, r"<!\[CDATA\[|\]\]>", "")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
+def title_case(c: Column) -> Column:
+    """Letters after anything but a letter in upper case, the others in lower case."""
+    step = F.aggregate(
+        F.filter(F.split(F.lower(c), ""), lambda x: x != ""),
+        F.struct(F.lit("").alias("out"), F.lit(False).alias("inside")),
+        lambda done, x: F.struct(F.concat(done["out"], F.when(done["inside"], x).otherwise(F.upper(x))).alias("out"), x.rlike(r"\p{L}").alias("inside")),
+    )
+    return step["out"]
+
+
+def edge_words(c: Column) -> tuple[Column, Column]:
+    """First and last word of a text, null if it has none."""
+    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    return F.get(words, 0), F.get(words, F.size(words) - 1)
+
+
 def clean_value(c: Column) -> Column:
     """Trimmed; 'nan', 'none' and null are blank."""
     t = F.trim(F.coalesce(c.cast("string"), F.lit("")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.functions.entities import bridge_name, normalize_entity, registry_name
@@ -54,19 +54,48 @@ def rejected(names: DataFrame, column: str, reason: str = "Not in company list")
 
 
 def registry_keys(registry: DataFrame) -> DataFrame:
-    """norm and the first registry row of each normal form; registry: name, ticker, source."""
-    r = registry.withColumn("_norm", registry_name(F.col("name"))).where("_norm != ''")
-    return r.groupBy("_norm").agg(F.min_by(F.struct("name", "ticker", "source"), F.struct("source", "name")).alias("hit"))
+    """norm and the first registry row of each normal form; registry: name, ticker, source and maybe cik."""
+    r = _with_cik(registry).withColumn("_norm", registry_name(F.col("name"))).where("_norm != ''")
+    return r.groupBy("_norm").agg(F.min_by(F.struct("name", "ticker", "source", "cik"), F.struct("source", "name", "ticker")).alias("hit"))
+
+
+def _with_cik(registry: DataFrame) -> DataFrame:
+    return registry if "cik" in registry.columns else registry.withColumn("cik", F.lit(None).cast("string"))
 
 
 def enrich(names: DataFrame, registry: DataFrame, column: str = "name") -> DataFrame:
-    """input, validated, canonical_name, ticker, source by normal form, else by ticker."""
+    """input, validated, canonical_name, ticker, source, cik by normal form, else by ticker."""
+    registry = _with_cik(registry)
     by_name = registry_keys(registry)
-    by_ticker = registry.where("ticker is not null").groupBy(F.upper("ticker").alias("_t")).agg(F.min_by(F.struct("name", "ticker", "source"), F.struct("source", "name")).alias("hit2"))
+    by_ticker = registry.where("ticker is not null").groupBy(F.upper("ticker").alias("_t")).agg(F.min_by(F.struct("name", "ticker", "source", "cik"), F.struct("source", "name", "ticker")).alias("hit2"))
     out = names.select(F.col(column).alias("input")).withColumn("_n", registry_name(F.col("input")))
     out = out.join(by_name, F.col("_n") == F.col("_norm"), "left").join(by_ticker, F.upper(F.trim("input")) == F.col("_t"), "left")
     hit = F.coalesce("hit", "hit2")
-    return out.select("input", hit.isNotNull().alias("validated"), hit["name"].alias("canonical_name"), hit["ticker"].alias("ticker"), hit["source"].alias("source"))
+    return out.select("input", hit.isNotNull().alias("validated"), hit["name"].alias("canonical_name"), hit["ticker"].alias("ticker"), hit["source"].alias("source"), hit["cik"].alias("cik"))
+
+
+def _substrings(c: Column) -> Column:
+    """All substrings of a short string, each once."""
+    n = F.length(c)
+    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(c, i, k)))
+    return F.array_distinct(F.flatten(parts))
+
+
+def fuzzy_valid(names: DataFrame, registry: DataFrame, column: str = "name") -> DataFrame:
+    """names with valid: the normal form or ticker is registered, or one of two normal forms holds the other.
+
+    Names are short, so the substrings of each different form are joined by
+    equality; no name is tried against every other. Blank forms match nothing.
+    """
+    forms = registry.select(registry_name(F.col("name")).alias("_k")).where("_k != ''").distinct()
+    tickers = registry.select(F.lower("ticker").alias("_k")).where("_k is not null and _k != ''")
+    n = names.withColumn("_n", registry_name(F.col(column)))
+    mine = n.select("_n").where("_n != ''").distinct()
+    inside = mine.select("_n", F.explode(_substrings(F.col("_n"))).alias("_k")).join(forms, "_k", "left_semi").select("_n")
+    around = forms.select(F.explode(_substrings(F.col("_k"))).alias("_n")).join(mine, "_n", "left_semi")
+    listed = mine.join(tickers, mine["_n"] == tickers["_k"], "left_semi")
+    good = inside.union(around).union(listed).distinct().withColumn("_v", F.lit(True))
+    return n.join(good, "_n", "left").select(*names.columns, F.coalesce("_v", F.lit(False)).alias("valid"))
 
 
 def split_valid(names: DataFrame, registry: DataFrame, column: str = "name") -> tuple[DataFrame, DataFrame]:

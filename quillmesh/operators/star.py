@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ def numbered(df: DataFrame, name: str, order: list, first: int) -> DataFrame:
 
     Rows are range-partitioned and sorted, so each partition's count and the
     counts before it (one row per partition) give every key. The bounds come
-    from a sample, so the sorted rows are checkpointed before they are counted.
+    from a sample, so the sorted rows are checkpointed before they are counted;
+    give only the columns that are needed and join the others afterwards.
     """
     spread = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
     here = F.row_number().over(Window.partitionBy("_part").orderBy("_at"))
@@ -40,9 +43,10 @@ def dim_time(dates: DataFrame, column: str) -> DataFrame:
 
 
 def dim_source(names: DataFrame, column: str) -> DataFrame:
-    """Keys over the sorted valid names; the dimension is small, one window orders it."""
+    """Keys over the sorted valid names."""
     found = names.select(F.trim(column).alias("Source_Name")).where(valid_source(F.col("Source_Name"))).distinct()
-    return found.select(F.row_number().over(Window.orderBy("Source_Name")).alias("Source_Key"), "Source_Name", source_type(F.col("Source_Name")).alias("Source_Type"))
+    keyed = numbered(found, "Source_Key", ["Source_Name"], 1)
+    return keyed.select(F.col("Source_Key").cast("int").alias("Source_Key"), "Source_Name", source_type(F.col("Source_Name")).alias("Source_Type"))
 
 
 def dim_entity(entities: DataFrame) -> DataFrame:
@@ -51,6 +55,12 @@ def dim_entity(entities: DataFrame) -> DataFrame:
     return numbered(entities.select(*order).distinct(), "Entity_Key", order, FIRST_ENTITY).select(F.col("Entity_Key").cast("int").alias("Entity_Key"), *order)
 
 
+def entity_list(rows: DataFrame, column: str, domain: str = "Healthcare") -> DataFrame:
+    """Keyed entities of a list column of (name, type) structs; a blank type is Company."""
+    e = rows.select(F.explode(column).alias("e")).select(F.trim("e.name").alias("Entity_Name"), F.coalesce(F.nullif(F.trim("e.type"), F.lit("")), F.lit("Company")).alias("Entity_Type"))
+    return dim_entity(e.where("Entity_Name != ''").withColumn("Entity_Domain", F.lit(domain)))
+
+
 def dim_tag(tags: list[tuple[str, str, str]], spark) -> DataFrame:
     """Keys in the order of definition."""
     return spark.createDataFrame([(FIRST_TAG + i, *t) for i, t in enumerate(tags)], "Tag_Key int, Tag_Name string, Tag_Category string, Tag_Domain string")
@@ -62,31 +72,44 @@ def document_ids(docs: DataFrame, source: str, date: str, order: list) -> DataFr
     base = docs.withColumn("_code", codes[F.lower(F.trim(source))])
     base = base.withColumn("_base", F.when(F.col("_code").isNotNull() & ~F.coalesce(F.col(source).rlike("^[0-9]+$"), F.lit(True)), F.concat(F.lit("N"), "_code", ddmmyy(F.col(date)))))
     number = F.row_number().over(Window.partitionBy("_base").orderBy(*order))
-    return base.withColumn("Document_ID", F.when(F.col("_base").isNotNull(), F.concat("_base", F.format_string("%03d", number))).otherwise("")).drop("_code", "_base")
+    # rows of unknown sources get no number, so they stay out of the window
+    known = base.where("_base is not null").withColumn("Document_ID", F.concat("_base", F.format_string("%03d", number)))
+    return known.unionByName(base.where("_base is null").withColumn("Document_ID", F.lit(""))).drop("_code", "_base")
 
 
 def fact_rows(articles: DataFrame, sources: DataFrame, order: list, strict_compat: bool = False) -> DataFrame:
-    """Fact columns from articles (date, source, headline, body, link, sentiment).
+    """Fact columns from articles (date, source, headline, body, link, sentiment), numbered by an order of columns.
+
+    Rows that tie on the order are one article for its number: the columns of
+    the order must tell articles apart. Only they are sorted; the texts are joined.
+    """
+    keys = numbered(articles.select(*order), "Fact_ID", order, FIRST_FACT)
+    same = [keys[c].eqNullSafe(articles[c]) for c in order]
+    rows = articles.join(keys.select("Fact_ID", *order), reduce(lambda a, b: a & b, same)).drop(*[keys[c] for c in order])
+    return fact_columns(rows, sources, strict_compat)
+
+
+def fact_columns(rows: DataFrame, sources: DataFrame, strict_compat: bool = False) -> DataFrame:
+    """Fact columns of articles that have their Fact_ID.
 
     Unknown sources get key -1 and 'Unknown'; with strict_compat key 1 and its name.
     """
-    named = articles.withColumn("_source", clean_value(F.col("source"))).withColumn("_date", parse_date(F.col("date")))
-    first = sources.where("Source_Key = 1").select(F.col("Source_Name").alias("_n1"), F.col("Source_Type").alias("_t1"))
+    named = rows.withColumn("_source", clean_value(F.col("source"))).withColumn("_date", parse_date(F.col("date")))
+    unknown = (-1, "Unknown", "Other")
+    if strict_compat and (first := sources.where("Source_Key = 1").select("Source_Name", "Source_Type").first()):
+        unknown = (1, *first)
     rows = named.join(sources.withColumnRenamed("Source_Name", "_name"), F.col("_source") == F.col("_name"), "left")
-    if strict_compat:
-        rows = rows.join(F.broadcast(first), F.lit(True), "left").withColumn("Source_Type", F.coalesce("Source_Type", "_t1")).withColumn("_name", F.coalesce("_name", "_n1"))
-    rows = numbered(rows, "Fact_ID", order, FIRST_FACT)
     d = F.coalesce("_date", F.lit("1900-01-01").cast("date"))
     return rows.select(
         "Fact_ID",
         date_key(F.col("_date")).alias("Date_Key"),
-        F.coalesce("Source_Key", F.lit(1 if strict_compat else -1)).cast("int").alias("Source_Key"),
+        F.coalesce("Source_Key", F.lit(unknown[0])).cast("int").alias("Source_Key"),
         F.year(d).alias("Year"),
         F.concat(F.lit("Q"), F.quarter(d)).alias("Quarter"),
         F.date_format(d, "MMMM").alias("Month"),
         F.date_format(d, "yyyy-MM-dd").alias("Date_String"),
-        F.coalesce("_name", F.lit("Unknown")).alias("Source_Name"),
-        F.coalesce("Source_Type", F.lit("Other")).alias("Source_Type"),
+        F.coalesce("_name", F.lit(unknown[1])).alias("Source_Name"),
+        F.coalesce("Source_Type", F.lit(unknown[2])).alias("Source_Type"),
         clean_value(F.col("headline")).alias("Headline"),
         clean_value(F.col("body")).alias("Body_Text"),
         clean_value(F.col("link")).alias("News_Link"),

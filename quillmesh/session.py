@@ -55,3 +55,13 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; a folder of our own only in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="quillmesh-")
+    return base.rstrip("/")
