@@ -55,7 +55,7 @@ def rejected_summary(spark, sf):
 
 
 def _registry(spark, sf):
-    return c.table(spark, sf, "supplier").join(_names(spark, sf), F.col("s_suppkey") == F.col("id")).select("name", F.concat(F.lit("TK"), "s_suppkey").alias("ticker"), F.lit("SEC").alias("source"))
+    return c.table(spark, sf, "supplier").join(_names(spark, sf), F.col("s_suppkey") == F.col("id")).select("name", F.concat(F.lit("TK"), "s_suppkey").alias("ticker"), F.lit("SEC").alias("source"), F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("cik"))
 
 
 def company_enrich(spark, sf):
@@ -154,7 +154,7 @@ QUERIES = {
     "sentiment_overlay": sentiment_overlay, "sentiment_stats": sentiment_stats, "vader_like_sentiment": vader_like_sentiment,
 }
 _LIKELY = "(length({n}) BETWEEN 2 AND 50 AND NOT regexp_matches(lower({n}), '" + "|".join(fixed.NOT_COMPANY) + "') AND (regexp_matches(lower({n}), '(" + "|".join(fixed.COMPANY_SUFFIXES) + ")$| (" + "|".join(fixed.COMPANY_SUFFIXES) + ")') OR (len(string_split({n}, ' ')) = 1 AND regexp_matches({n}, '^\\p{{Lu}}') AND length({n}) <= 5) OR (len(string_split({n}, ' ')) BETWEEN 2 AND 5 AND regexp_matches({n}, '^\\p{{Lu}}'))))"
-_REGISTRY = f"registry AS (SELECT name, 'TK' || s_suppkey AS ticker, 'SEC' AS source, {_REG} AS norm FROM supplier JOIN names ON s_suppkey = id)"
+_REGISTRY = f"registry AS (SELECT name, 'TK' || s_suppkey AS ticker, 'SEC' AS source, lpad(s_suppkey::VARCHAR, 10, '0') AS cik, {_REG} AS norm FROM supplier JOIN names ON s_suppkey = id)"
 ORACLES = {
     "entity_normalize": f"WITH {_NAMES} SELECT id, {_NORM} AS norm, {_REG} AS registry, nullif({c.sql_strip(c.sql_fold(c.sql_strip('name'), fixed.DISPLAY_PATTERNS))}, '') AS display, CASE WHEN regexp_matches(lower(name), '{'|'.join(fixed.ORGANIZATION_MARKS)}') THEN 'Organization' ELSE 'Company' END AS type FROM names",
     "entity_dedup_best": f"WITH {_NAMES}, n AS (SELECT *, id % 40 AS doc, {_NORM} AS norm FROM names), r AS (SELECT *, row_number() OVER (PARTITION BY doc, norm ORDER BY confidence DESC, length(name) DESC, name) AS p, max(mentions) OVER (PARTITION BY doc, norm) AS m FROM n WHERE norm <> '') SELECT doc, norm, name, confidence, m AS mentions FROM r WHERE p = 1",
@@ -162,7 +162,7 @@ ORACLES = {
     "manual_override": f"WITH {_NAMES} SELECT id, CASE lower(name) WHEN 'alpha alpha inc.' THEN 'Alpha' WHEN 'beta beta corp' THEN 'Beta Group' ELSE name END AS name, CASE WHEN lower(name) IN ('alpha alpha inc.', 'beta beta corp') THEN 1.0 ELSE confidence END AS confidence FROM names",
     "likely_company": f"WITH {_NAMES}, n AS (SELECT *, split_part(name, ' ', 1) AS short FROM names) SELECT id, {_LIKELY.replace('{n}', 'name').replace('{{', '{').replace('}}', '}')} AS long, {_LIKELY.replace('{n}', 'short').replace('{{', '{').replace('}}', '}')} AS short FROM n",
     "rejected_summary": f"WITH {_NAMES}, n AS (SELECT split_part(name, ' ', 1) AS short FROM names) SELECT short AS Rejected_Entity, count(*)::BIGINT AS Occurrence_Count, 'Not in company list' AS Reason FROM n WHERE NOT {_LIKELY.replace('{n}', 'short').replace('{{', '{').replace('}}', '}')} GROUP BY short",
-    "company_enrich": f"WITH {_NAMES}, {_REGISTRY}, n AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'tk' || (id % 200) ELSE name END AS name FROM names), byname AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY source, name, ticker) AS p FROM registry WHERE norm <> '') WHERE p = 1) SELECT n.name AS input, coalesce(b.name, t.name) IS NOT NULL AS validated, coalesce(b.name, t.name) AS canonical_name, CASE WHEN b.name IS NOT NULL THEN b.ticker ELSE t.ticker END AS ticker, CASE WHEN b.name IS NOT NULL THEN b.source ELSE t.source END AS source FROM (SELECT id, name, {_REG} AS norm FROM n) n LEFT JOIN byname b ON n.norm = b.norm LEFT JOIN registry t ON upper(n.name) = t.ticker",
+    "company_enrich": f"WITH {_NAMES}, {_REGISTRY}, n AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'tk' || (id % 200) ELSE name END AS name FROM names), byname AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY source, name, ticker) AS p FROM registry WHERE norm <> '') WHERE p = 1) SELECT n.name AS input, coalesce(b.name, t.name) IS NOT NULL AS validated, coalesce(b.name, t.name) AS canonical_name, CASE WHEN b.name IS NOT NULL THEN b.cik ELSE t.cik END AS cik, CASE WHEN b.name IS NOT NULL THEN b.ticker ELSE t.ticker END AS ticker, CASE WHEN b.name IS NOT NULL THEN b.source ELSE t.source END AS source FROM (SELECT id, name, {_REG} AS norm FROM n) n LEFT JOIN byname b ON n.norm = b.norm LEFT JOIN registry t ON upper(n.name) = t.ticker",
     "company_validate": f"WITH {_NAMES}, {_REGISTRY}, keys AS (SELECT DISTINCT norm FROM registry WHERE ends_with(ticker, '3') UNION SELECT lower(ticker) FROM registry WHERE ends_with(ticker, '3')) SELECT id, {_REG} IN (SELECT norm FROM keys) AS valid FROM names",
     "entity_cascade": f"WITH {_NAMES}, dim AS (SELECT name AS en, (199 + row_number() OVER (ORDER BY name)) AS k FROM (SELECT DISTINCT name FROM names WHERE id % 3 = 0)), d AS (SELECT en, k, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'en'))} AS norm FROM dim), e AS (SELECT *, split_part(norm, ' ', 1) AS core FROM d), n AS (SELECT id, CASE WHEN id % 4 = 0 THEN split_part(name, ' ', 1) ELSE name END AS name FROM names), m AS (SELECT id, name, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'name'))} AS norm, string_split({_LOW.replace('{n}', 'name')}, ' ') AS words FROM n) SELECT id, coalesce((SELECT max(k) FROM e WHERE en = m.name), (SELECT max(k) FROM e WHERE e.norm = m.norm), CASE WHEN len(words) = 1 THEN (SELECT arg_min(k, length(en) * 1000000 + k) FROM e WHERE core = words[1]) ELSE (SELECT min(k) FROM e WHERE core = words[1]) END)::INT AS Entity_Key FROM m",
     "mention_count": "SELECT doc_id, name, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z]', ' ', 'g'), ' ')) AS name FROM documents) WHERE name IN ('attion', 'thing', 'que') GROUP BY doc_id, name",

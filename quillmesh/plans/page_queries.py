@@ -18,7 +18,11 @@ def _pages(spark, sf):
 
 
 def html_title(spark, sf):
-    h = F.col(HTML)
+    """Pages given an author and a date: in meta elements for even ids, in JSON-LD for odd ones."""
+    n, day = F.col("page_id").cast("string"), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("page_id").cast("int") % 300), "yyyy-MM-dd")
+    meta = F.concat(F.lit('<head><meta name="author" content="Ann '), n, F.lit('"><meta property="article:published_time" content="'), day, F.lit('">'))
+    ld = F.concat(F.lit('<head><script type="application/ld+json">{"author": {"name": "Bob '), n, F.lit('"}, "datePublished": "'), day, F.lit('"}</script>'))
+    h = F.replace(F.col(HTML), F.lit("<head>"), F.when(F.col("page_id") % 2 == 0, meta).otherwise(ld))
     return _pages(spark, sf).select("page_id", html.title(h).alias("title"), html.language(h).alias("lang"), html.author(h).alias("author"), html.published(h).alias("published"))
 
 
@@ -147,12 +151,14 @@ def price_text(spark, sf):
 
 
 def stream_dedup_available_now(spark, sf):
-    """Pages read as a stream, deduplicated by link; the sink's rows."""
+    """Pages read as a stream, every link twice (once with a slash more), deduplicated by link; the sink's keys."""
     schema = _pages(spark, sf).schema
     out, checkpoint = ingest.work_dir(spark, "stream-out"), ingest.work_dir(spark, "stream-state")
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/pages.parquet*")
-    ingest.run_available(ingest.dedup_stream(source.select("page_id", "url"), "url"), out, checkpoint)
-    return spark.read.schema("page_id long, url string, link_key string").parquet(out)
+    base = F.regexp_replace("url", "/$", "")
+    links = source.select(F.explode(F.array(base, F.concat(base, F.lit("/")))).alias("link"))
+    ingest.run_available(ingest.dedup_stream(links, "link"), out, checkpoint)
+    return spark.read.schema("link string, link_key string").parquet(out).select("link_key")
 
 
 def stream_windowed(spark, sf):
@@ -175,12 +181,12 @@ _PARAS = f"list_filter(list_transform(regexp_extract_all({_NOISE}, '(?is)<p\\b[^
 _LINKS = "SELECT DISTINCT page_id, CASE WHEN starts_with(u, '/') THEN host || u ELSE u END AS link FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS u FROM pages)"
 _DOUBLED = "doubled AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS link, 0 AS seen FROM pages UNION ALL SELECT page_id + 100000, regexp_replace(url, '[?#].*$', '') || '/', 1 FROM pages), firsts AS (SELECT * FROM (SELECT *, regexp_replace(link, '/$', '') AS k, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY seen, page_id) AS p FROM doubled) WHERE p = 1)"
 _ARTICLE = _STRIPTAGS.replace("{x}", f"regexp_extract({_NOISE}, '(?is)<article\\b[^>]*>(.*)</article>', 1)")
-_BODY = f"CASE WHEN length({_ARTICLE}) > 200 THEN {_ARTICLE} ELSE array_to_string({_PARAS}, chr(10) || chr(10)) END"
+_BODY = f"CASE WHEN length({_ARTICLE}) > 200 THEN {_ARTICLE} ELSE array_to_string(list_filter({_PARAS}, lambda q: NOT regexp_matches(q, '(?i)^(menu|navigation|share|follow|subscribe|read more|click here|home|about|contact)\\b')), chr(10) || chr(10)) END"
 ORACLES = {
-    "html_title": f"SELECT page_id, coalesce({_EL.replace('{tag}', 'h1')}, {_EL.replace('{tag}', 'title')}) AS title, nullif(regexp_extract(html, '(?i)<html[^>]*lang=[\"'']([^\"'']+)', 1), '') AS lang, NULL::VARCHAR AS author, NULL::VARCHAR AS published FROM pages",
+    "html_title": f"SELECT page_id, coalesce({_EL.replace('{tag}', 'h1')}, {_EL.replace('{tag}', 'title')}) AS title, nullif(regexp_extract(html, '(?i)<html[^>]*lang=[\"'']([^\"'']+)', 1), '') AS lang, CASE WHEN page_id % 2 = 0 THEN 'Ann ' ELSE 'Bob ' END || page_id AS author, strftime(DATE '2024-01-01' + (page_id % 300)::INT, '%Y-%m-%d') AS published FROM pages",
     "html_strip": f"SELECT page_id, {_STRIPTAGS.replace('{x}', 'html')} AS out FROM pages",
     "html_paragraphs": f"SELECT page_id, (generate_subscripts(ps, 1) - 1)::INT AS pos, unnest(ps) AS paragraph FROM (SELECT page_id, {_PARAS} AS ps FROM pages)",
-    "html_body": f"SELECT page_id, CASE WHEN length({_BODY}) >= 100 THEN {_BODY} END AS body, regexp_matches(lower(html), '{'|'.join(html.PAYWALL)}') AS paywall FROM pages",
+    "html_body": f"SELECT page_id, CASE WHEN length({_BODY}) >= 100 THEN {_BODY} END AS body, regexp_matches(lower({_STRIPTAGS.replace('{x}', 'html')}), 'subscribe|subscription|premium|sign in to continue|log in to read|unlock this article|become a member|already a subscriber|free articles remaining|you have reached your|limited free articles') AS paywall FROM pages",
     "html_links": _LINKS,
     "url_filters": r"SELECT page_id, regexp_matches(url, '^https?://[^/\s]+') AS valid, 'https:' || regexp_replace(url, '^https?:', '') AS cleaned, contains(url, '/en/') AND NOT regexp_matches(url, 'page=|\.html$') AS article, regexp_matches(url, '/[0-9]{3}([/?#.]|$)') AS numbered FROM pages",
     "url_parts": "SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '^(https?)', 1) AS scheme, regexp_replace(url, '/$', '') AS key FROM pages",
@@ -200,5 +206,6 @@ ORACLES = {
     "coverage": f"WITH {c.HITS_SQL} SELECT source, count(*)::BIGINT AS n, count(m)::BIGINT AS matched, round(100.0 * count(m) / count(*), 2)::DOUBLE AS percent FROM documents d LEFT JOIN (SELECT DISTINCT doc_id AS m FROM hits) h ON d.doc_id = h.m GROUP BY source",
     "ordered_list_dedup": "SELECT conv_id, array_to_string(list_transform(list_sort(list_transform(map_entries(fr), lambda e: [lpad(e.value::VARCHAR, 9, '0'), e.key])), lambda x: x[2]), ',') AS roles, n AS turns FROM (SELECT conv_id, map_from_entries(list((role, t))) AS fr, sum(n)::INT AS n FROM (SELECT conv_id, role, min(turn) AS t, count(*) AS n FROM conversations GROUP BY conv_id, role) GROUP BY conv_id)",
     "price_text": "SELECT o_orderkey, 'Order ' || o_orderkey || ' of ' || strftime(o_orderdate, '%Y%m%d') || ': ' || printf('%.2f', o_totalprice) || ' USD' AS line FROM orders",
-    "stream_dedup_available_now": "SELECT page_id, url, regexp_replace(url, '/$', '') AS link_key FROM pages",
+    "stream_dedup_available_now": "SELECT DISTINCT regexp_replace(url, '/$', '') AS link_key FROM pages",
+    "stream_windowed": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*)::BIGINT AS n FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOURS FROM events)",
 }

@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions import html, score, text
 from quillmesh.functions.dates import parse_date
 from quillmesh.functions.entities import entity_type, likely_company
-from quillmesh.operators import entity, incremental, match, star
+from quillmesh.operators import entity, incremental, known, match, star
+from quillmesh.session import durable
+from quillmesh.sources import readers, sinks
 
 
-def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]], medical: list[str], strict_compat: bool = False) -> dict[str, DataFrame]:
+def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]], medical: list[str], strict_compat: bool = False, companies: DataFrame | None = None, manual: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables from articles (id, date, source, headline, body, link, sentiment, matched_keywords).
 
     Names in matched_keywords that look like companies become entities, the
-    others rejected_entities.
+    others rejected_entities; known companies (name) are looked for in the text
+    too, and manual names (norm, name) override. Articles are numbered once, by
+    id; rows that share an id are told apart by a row number that is checkpointed.
     """
     spark = articles.sparkSession
     sources = star.dim_source(articles, "source")
-    fact = star.fact_rows(articles, sources, ["id"], strict_compat)
-    ids = star.numbered(articles.select("id"), "Fact_ID", ["id"], star.FIRST_FACT)
-    docs = ids.join(articles, "id").select("Fact_ID", text.normalize_text(text.combined_text(F.col("headline"), F.col("body"), F.lit(""))).alias("text"), F.lower(F.concat_ws(" ", "headline", "body")).alias("raw"), "matched_keywords")
+    rows = durable(articles.withColumn("_at_row", F.monotonically_increasing_id()))
+    keys = star.numbered(rows.select("id", "_at_row"), "Fact_ID", ["id", "_at_row"], star.FIRST_FACT)
+    rows = rows.join(keys.select("_at_row", "Fact_ID"), "_at_row")
+    fact = star.fact_columns(rows, sources, strict_compat)
+    docs = rows.select("Fact_ID", text.normalize_text(text.combined_text(F.col("headline"), F.col("body"), F.lit(""))).alias("text"), F.concat_ws(" ", "headline", "body").alias("whole"), "matched_keywords")
     vocab = [(name, k) for name, _, _, keywords in tags for k in dict.fromkeys([*keywords, name])]
     by_text = match.tag_confidence(match.keyword_hits(docs, vocab, "Fact_ID"), docs, {t[0]: t[1] for t in tags}, medical, "Fact_ID")
     merged = match.merge_tags(match.column_tags(docs, vocab, "Fact_ID"), by_text, "Fact_ID")
     dim_tag = star.dim_tag([t[:3] for t in tags], spark)
     bridge = star.bridge_tag(merged, dim_tag)
 
-    names = docs.select("Fact_ID", "raw", F.explode(text.split_multi(F.col("matched_keywords"))).alias("name"))
-    from quillmesh.functions.entities import mention_count
-
-    good = names.where(likely_company(F.col("name"))).select("Fact_ID", "name", F.lit(0.9).alias("confidence"), mention_count(F.col("raw"), F.col("name")).cast("long").alias("mentions"))
-    best = entity.best_entities(good, "Fact_ID")
+    names = docs.select("Fact_ID", F.explode(text.split_multi(F.col("matched_keywords"))).alias("name"))
+    good = names.where(likely_company(F.col("name"))).withColumn("confidence", F.lit(0.9))
+    found = known.with_mentions(good, docs, "Fact_ID", "whole")
+    seen = found.limit(0) if companies is None else known.with_mentions(known.known_companies(docs, companies, "Fact_ID"), docs, "Fact_ID", "whole")
+    best = known.merge_entities(found, seen, manual, "Fact_ID")
     canonical = best.groupBy("norm").agg(F.min_by("name", F.struct(-F.length("name"), "name")).alias("Entity_Name"))
     dim_entity = star.dim_entity(canonical.select("Entity_Name", entity_type(F.col("Entity_Name")).alias("Entity_Type"), F.lit("Healthcare").alias("Entity_Domain")))
     links = entity.resolve(best.select("Fact_ID", "name", "mentions"), dim_entity).where("Entity_Key is not null")
@@ -48,6 +54,17 @@ def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]],
     }
 
 
+CLEANED = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
+
+
+def csv_to_star(spark: SparkSession, path: str, tags: list[tuple[str, str, str, list[str]]], medical: list[str], out: str | None = None, fmt: str = "parquet", **options) -> dict[str, DataFrame]:
+    """A file of cleaned articles to all star tables, written under `out` if it is given."""
+    tables = build_star(readers.read_csv(spark, path, CLEANED), tags, medical, **options)
+    if out is not None:
+        sinks.write_star(tables, out, fmt)
+    return tables
+
+
 def feed_articles(items: DataFrame, source: str, least: int = 50) -> DataFrame:
     """Feed items as articles: the long content without tags, else the description, else the title; `least` characters or more."""
     content, description = text.strip_tags(F.coalesce("content", F.lit(""))), text.strip_tags(F.coalesce("description", F.lit("")))

@@ -42,7 +42,7 @@ def match_keywords(spark, sf):
 
 
 def regex_keywords(spark, sf):
-    ascii_vocab = [(t, k) for t, k in c.VOCAB if k.isascii()][:9]
+    ascii_vocab = [(t, k) for t, k in c.VOCAB if k.isascii()]
     norm = _docs(spark, sf).select("doc_id", F.regexp_replace(F.lower(doc()), "[^a-z]", " ").alias("text"))
     return match.regex_hits(norm, ascii_vocab)
 
@@ -138,12 +138,12 @@ SELECT doc_id, keyword FROM d, (VALUES ('of the'), ('and the'), ('to the and'),
 
 
 def split_columns(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.size(text.split_multi(F.regexp_replace(doc(), r"[.\n]", ";"))).alias("parts"), text.slug(F.col("source")).alias("slug"), text.clean_value(F.col("lang")).alias("lang"), text.strip_author_prefix(F.concat(F.lit("By "), F.col("source"))).alias("author"))
+    return _docs(spark, sf).select("doc_id", F.array_join(text.split_multi(F.regexp_replace(doc(), r"[.\n]", ";")), "|").alias("parts"), text.slug(F.col("source")).alias("slug"), text.clean_value(F.col("lang")).alias("lang"), text.strip_author_prefix(F.concat(F.lit("By "), F.col("source"))).alias("author"))
 
 
 def combined_text(spark, sf):
     head = F.substring_index(doc(), "\n", 1)
-    return _docs(spark, sf).select("doc_id", F.length(text.combined_text(head, doc(), F.when(F.col("doc_id") % 2 == 0, doc()).otherwise(F.concat(head, F.lit('!'))))).alias("n"))
+    return _docs(spark, sf).select("doc_id", text.combined_text(head, doc(), F.when(F.col("doc_id") % 2 == 0, doc()).otherwise(F.concat(head, F.lit("!")))).alias("combined"))
 
 
 _HEAD = "split_part(coalesce(text, ''), chr(10), 1)"
@@ -198,10 +198,10 @@ ORACLES = {
     "clean_text": _sql(_CLEAN),
     "late_clean": _sql(c.sql_strip(c.sql_fold(f"lower({SQL_DOC})", fixed.LATE_MARKERS))),
     "consolidate_text": _consolidate_sql(),
-    "combined_text": f"SELECT doc_id, length(concat_ws(' ', nullif({c.sql_strip(_HEAD)}, ''), nullif({c.sql_strip(SQL_DOC)}, ''), CASE WHEN doc_id % 2 <> 0 AND {_HEAD} || '!' <> {SQL_DOC} THEN nullif({c.sql_strip(_HEAD + " || '!'")}, '') END))::INT AS n FROM documents",
-    "split_columns": rf"SELECT doc_id, len(list_filter(string_split_regex({SQL_DOC}, '[.\n;,|]'), lambda w: trim(w, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''))::INT AS parts, lower(regexp_replace(source, '[^a-zA-Z0-9]', '_', 'g')) AS slug, lang, source AS author FROM documents",
+    "combined_text": f"SELECT doc_id, concat_ws(' ', nullif({c.sql_strip(_HEAD)}, ''), nullif({c.sql_strip(SQL_DOC)}, ''), CASE WHEN doc_id % 2 <> 0 AND {_HEAD} || '!' <> {SQL_DOC} THEN nullif({c.sql_strip(_HEAD + " || '!'")}, '') END) AS combined FROM documents",
+    "split_columns": rf"SELECT doc_id, array_to_string(list_filter(list_transform(string_split_regex({SQL_DOC}, '[.\n;,|]'), lambda w: trim(w, ' ' || chr(9) || chr(11) || chr(12) || chr(13))), lambda w: w <> ''), '|') AS parts, lower(regexp_replace(source, '[^a-zA-Z0-9]', '_', 'g')) AS slug, lang, source AS author FROM documents",
     "match_keywords": f"WITH {c.HITS_SQL} SELECT * FROM hits",
-    "regex_keywords": f"SELECT DISTINCT doc_id, tag, keyword FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower({SQL_DOC}), '[^a-z]', ' ', 'g'), ' ')) AS keyword FROM documents) JOIN {c.sql_values([(t, k) for t, k in c.VOCAB if k.isascii()][:9], 'tag, keyword')} USING (keyword)",
+    "regex_keywords": f"SELECT DISTINCT doc_id, tag, keyword FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower({SQL_DOC}), '[^a-z]', ' ', 'g'), ' ')) AS keyword FROM documents) JOIN {c.sql_values([(t, k) for t, k in c.VOCAB if k.isascii()], 'tag, keyword')} USING (keyword)",
     "ngram_phrases": _NGRAM_SQL,
     "column_tags": f"WITH {_COLUMN_SQL} SELECT * FROM bycol",
     "tag_confidence": f"WITH {c.HITS_SQL}, {_CONF_SQL} SELECT * FROM conf",
