@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillmesh.functions import fixed
 
-#: name, category, domain, keywords
+#: name, category, domain, keywords; 45 keywords in all
 TAGS = [
-    ("attion deal", "Event", "Business", ["attion", "antion", "retion"]),
-    ("thing series", "Event", "Business", ["thing", "thes", "thin"]),
-    ("ering therapy", "Therapy", "Healthcare", ["ering", "erin", "oning"]),
-    ("que platform", "Entity", "Healthcare", ["que", "des", "eaux"]),
-    ("und approval", "Clinical", "Healthcare", ["und", "die", "der"]),
-    ("ción funding", "Event", "Business", ["ción", "los", "las"]),
+    ("attion deal", "Event", "Business", ["attion", "antion", "retion", "tion", "ble", "thre", "anea"]),
+    ("thing series", "Event", "Business", ["thing", "thes", "thin", "thtion", "erre", "erly", "ersh"]),
+    ("ering therapy", "Therapy", "Healthcare", ["ering", "erin", "oning", "erha", "eriner", "onst", "aner"]),
+    ("que platform", "Entity", "Healthcare", ["que", "des", "eaux", "onea", "anen", "anth", "reed"]),
+    ("und approval", "Clinical", "Healthcare", ["und", "die", "der", "anst", "par", "rent", "hend"]),
+    ("ción funding", "Event", "Business", ["ción", "los", "las", "dans", "iner", "edha", "heou", "rest", "ores"]),
     ("idle", "Other", "General", ["zzzz"]),
 ]
 VOCAB = [(name, k) for name, _, _, keywords in TAGS for k in keywords]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillmesh.functions import entities, fixed, score, sentiment, text
-from quillmesh.operators import entity, incremental
+from quillmesh.operators import entity, incremental, match, star
 from quillmesh.plans import common as c
 from quillmesh.session import ship
 
@@ -70,9 +70,7 @@ def company_validate(spark, sf):
 
 def entity_cascade(spark, sf):
     dim = _names(spark, sf).where("id % 3 = 0").select(F.col("name").alias("Entity_Name")).distinct()
-    from pyspark.sql import Window
-
-    dim = dim.withColumn("Entity_Key", F.row_number().over(Window.orderBy("Entity_Name")) + 199)
+    dim = star.numbered(dim, "Entity_Key", ["Entity_Name"], star.FIRST_ENTITY)
     n = _names(spark, sf).select("id", F.when(F.col("id") % 4 == 0, F.element_at(F.split("name", " "), 1)).otherwise(F.col("name")).alias("name"))
     return entity.resolve(n, dim).select("id", "Entity_Key")
 
@@ -81,10 +79,15 @@ _BRIDGE = "CASE " + " ".join(f"WHEN ends_with({{low}}, {c.quote(s)}) THEN trim(l
 _LOW = "rtrim(lower(trim({n})), '''\".,;: ')"
 
 
+_MENTIONED = ["attion", "thing", "que"]
+
+
 def mention_count(spark, sf):
-    words = spark.createDataFrame([("attion",), ("thing",), ("que",)], "name string")
-    docs = c.table(spark, sf, "documents").select("doc_id", F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", " ").alias("t"))
-    return docs.join(F.broadcast(words), F.contains("t", "name")).select("doc_id", "name", entities.mention_count(F.col("t"), F.col("name")).cast("long").alias("n")).where("n > 0")
+    """Mentions in whole texts, counted where the words of the text hold the name."""
+    docs = c.table(spark, sf, "documents").select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    pairs = match.keyword_hits(docs, [(n, n) for n in _MENTIONED]).select("doc_id", F.col("tag").alias("name"))
+    found = pairs.join(docs, "doc_id").select("doc_id", "name", entities.mention_count(F.col("text"), F.col("name")).cast("long").alias("n"))
+    return found.where("n > 0")
 
 
 _HIGH, _MEDIUM, _LOWW = ["attion", "thing"], ["que", "die"], ["the", "la"]
@@ -92,7 +95,7 @@ _HIGH, _MEDIUM, _LOWW = ["attion", "thing"], ["que", "die"], ["the", "la"]
 
 def _scored(spark, sf):
     pages = c.table(spark, sf, "pages")
-    t = F.regexp_replace(F.lower(F.concat_ws(" ", text.strip_tags(F.col("html")), F.col("url"))), "[^a-z]", " ")
+    t = F.lower(F.concat_ws(" ", text.strip_tags(F.col("html")), F.col("url")))
     cats = F.split(F.regexp_extract("url", "^https?://[^/]*/([^/]+)/", 1), ",")
     k = score.keyword_score(t, _HIGH, _MEDIUM, _LOWW)
     u = score.url_score(F.col("url"), ["/en/", "https://"], ["page="])
@@ -123,9 +126,12 @@ _LEX = {"attion": 2.0, "thing": 1.5, "que": -1.0, "die": -2.5, "ering": 0.5}
 
 
 def sentiment_overlay(spark, sf):
-    docs = c.table(spark, sf, "documents")
-    words = F.split(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", " "), " ")
-    value = F.round(sentiment.overlay_sum(words, _LEX), 4)
+    """The industry overlay over whole texts, each given two of its words."""
+    words = F.array(*map(F.lit, fixed.VALENCES))
+    n = len(fixed.VALENCES)
+    more = [F.element_at(words, (F.col("doc_id") * k % n + 1).cast("int")) for k in (1, 7)]
+    docs = c.table(spark, sf, "documents").select("doc_id", text.tokens(F.lower(F.concat_ws(" ", "text", *more))).alias("words"))
+    value = F.round(sentiment.overlay_sum(F.col("words")), 4)
     return docs.select("doc_id", value.alias("valence"), score.sentiment_label(value).alias("label"))
 
 
@@ -141,8 +147,8 @@ def vader_like_sentiment(spark, sf):
     return c.table(spark, sf, "documents").select("doc_id", scored("text").alias("sentiment_score"))
 
 
-_T = "regexp_replace(lower(concat_ws(' ', trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')), url)), '[^a-z]', ' ', 'g')"
-_KW = "least(" + " + ".join(f"least(len(list_filter(string_split({_T}, ' '), lambda w: w = '{w}')) * {wt}, {cap})" for ws, wt, cap in ((_HIGH, 0.3, 0.2), (_MEDIUM, 0.1, 0.2), (_LOWW, 0.05, 0.1)) for w in ws) + ", 0.6)"
+_T = "lower(concat_ws(' ', trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')), url))"
+_KW = "least(" + " + ".join(f"least(len(list_filter({c.sql_tokens(_T)}, lambda w: w = '{w}')) * {wt}, {cap})" for ws, wt, cap in ((_HIGH, 0.3, 0.2), (_MEDIUM, 0.1, 0.2), (_LOWW, 0.05, 0.1)) for w in ws) + ", 0.6)"
 _URL = "greatest(0, least(CASE WHEN contains(url, '/en/') THEN 0.1 ELSE 0 END + CASE WHEN contains(url, 'https://') THEN 0.1 ELSE 0 END - CASE WHEN contains(url, 'page=') THEN 0.3 ELSE 0 END, 0.2))"
 _CAT = "least(0.1 * (contains(lower(regexp_extract(url, '^https?://[^/]*/([^/]+)/', 1)), 'en')::INT + contains(lower(regexp_extract(url, '^https?://[^/]*/([^/]+)/', 1)), 'fr')::INT), 0.2)"
 _SCORED = f"scored AS (SELECT page_id, url, round(least({_KW} + {_URL} + {_CAT}, 1.0), 2)::DOUBLE AS score FROM pages), routed AS (SELECT *, CASE WHEN score >= 0.8 THEN 'high' WHEN score >= 0.5 THEN 'medium' ELSE 'low' END AS priority FROM scored)"
@@ -165,11 +171,14 @@ ORACLES = {
     "company_enrich": f"WITH {_NAMES}, {_REGISTRY}, n AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'tk' || (id % 200) ELSE name END AS name FROM names), byname AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY source, name, ticker) AS p FROM registry WHERE norm <> '') WHERE p = 1) SELECT n.name AS input, coalesce(b.name, t.name) IS NOT NULL AS validated, coalesce(b.name, t.name) AS canonical_name, CASE WHEN b.name IS NOT NULL THEN b.cik ELSE t.cik END AS cik, CASE WHEN b.name IS NOT NULL THEN b.ticker ELSE t.ticker END AS ticker, CASE WHEN b.name IS NOT NULL THEN b.source ELSE t.source END AS source FROM (SELECT id, name, {_REG} AS norm FROM n) n LEFT JOIN byname b ON n.norm = b.norm LEFT JOIN registry t ON upper(n.name) = t.ticker",
     "company_validate": f"WITH {_NAMES}, {_REGISTRY}, keys AS (SELECT DISTINCT norm FROM registry WHERE ends_with(ticker, '3') UNION SELECT lower(ticker) FROM registry WHERE ends_with(ticker, '3')) SELECT id, {_REG} IN (SELECT norm FROM keys) AS valid FROM names",
     "entity_cascade": f"WITH {_NAMES}, dim AS (SELECT name AS en, (199 + row_number() OVER (ORDER BY name)) AS k FROM (SELECT DISTINCT name FROM names WHERE id % 3 = 0)), d AS (SELECT en, k, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'en'))} AS norm FROM dim), e AS (SELECT *, split_part(norm, ' ', 1) AS core FROM d), n AS (SELECT id, CASE WHEN id % 4 = 0 THEN split_part(name, ' ', 1) ELSE name END AS name FROM names), m AS (SELECT id, name, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'name'))} AS norm, string_split({_LOW.replace('{n}', 'name')}, ' ') AS words FROM n) SELECT id, coalesce((SELECT max(k) FROM e WHERE en = m.name), (SELECT max(k) FROM e WHERE e.norm = m.norm), CASE WHEN len(words) = 1 THEN (SELECT arg_min(k, length(en) * 1000000 + k) FROM e WHERE core = words[1]) ELSE (SELECT min(k) FROM e WHERE core = words[1]) END)::INT AS Entity_Key FROM m",
-    "mention_count": "SELECT doc_id, name, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z]', ' ', 'g'), ' ')) AS name FROM documents) WHERE name IN ('attion', 'thing', 'que') GROUP BY doc_id, name",
+    "mention_count": f"SELECT doc_id, name, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest({c.sql_tokens("lower(coalesce(text, ''))")}) AS name FROM documents) WHERE name IN ('attion', 'thing', 'que') GROUP BY doc_id, name",
     "relevance_score": f"WITH {_SCORED} SELECT page_id, score, priority FROM routed",
     "priority_routing": f"WITH {_SCORED} SELECT priority, count(*)::BIGINT AS n FROM routed GROUP BY priority",
     "queue_topk": f"WITH {_SCORED} SELECT page_id, score FROM routed WHERE priority <> 'low' ORDER BY score DESC, url LIMIT 50",
     "status_update": "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'scraped' ELSE 'pending' END AS status FROM pages",
-    "sentiment_overlay": f"SELECT doc_id, v AS valence, CASE WHEN v > 0.05 THEN 'positive' WHEN v < -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM (SELECT doc_id, round({' + '.join(f'''len(list_filter(w, lambda x: x = '{k}')) * {x}::DOUBLE''' for k, x in _LEX.items())}, 4) AS v FROM (SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z]', ' ', 'g'), ' ') AS w FROM documents))",
+    "sentiment_overlay": f"""WITH v AS (SELECT * FROM {c.sql_values(list(fixed.VALENCES.items()), 'w, x')}), o AS (SELECT list(w ORDER BY k) AS ws FROM {c.sql_values(list(enumerate(fixed.VALENCES)), 'k, w')}), d AS (
+      SELECT doc_id, {c.sql_tokens("lower(concat_ws(' ', text, ws[(doc_id % len(ws) + 1)::INT], ws[(doc_id * 7 % len(ws) + 1)::INT]))")} AS t FROM documents, o), s AS (
+      SELECT d.doc_id, round(coalesce(sum(x), 0)::DOUBLE, 4) AS valence FROM d LEFT JOIN (SELECT doc_id, unnest(t) AS w FROM d) u ON d.doc_id = u.doc_id LEFT JOIN v ON u.w = v.w GROUP BY d.doc_id)
+      SELECT doc_id, valence, CASE WHEN valence > 0.05 THEN 'positive' WHEN valence < -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM s""",
     "sentiment_stats": "SELECT count(s)::BIGINT AS n, round(sum(s), 6) AS total, round(avg(s), 6) AS mean, min(s) AS least, max(s) AS most, count(*) FILTER (s > 0.05)::BIGINT AS positive, count(*) FILTER (s < -0.05)::BIGINT AS negative, count(*) FILTER (s BETWEEN -0.05 AND 0.05)::BIGINT AS neutral FROM (SELECT value / 100 - 0.25 AS s FROM events)",
 }
