@@ -9,7 +9,12 @@ import __spark_entry__ as entry
 from quillmesh.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SAMPLE = ["norm_text", "tag_confidence", "fact_document", "source_code_ids", "entity_cascade", "relevance_score", "html_paragraphs", "stream_dedup_available_now", "star_grouping_sets", "upsert_by_key"]
+SAMPLE = [
+    "norm_text", "tag_confidence", "fact_document", "source_code_ids", "entity_cascade", "relevance_score", "html_paragraphs", "html_title",
+    "stream_dedup_available_now", "stream_windowed", "star_grouping_sets", "upsert_by_key", "sentiment_overlay", "mention_count",
+    "tag_definitions", "known_companies", "article_entities", "vocab_indexes", "feed_fields", "feed_collect", "feed_scrape", "sitemap_collect",
+    "source_links", "link_hash", "company_fuzzy", "company_enrich", "market_articles", "csv_star_fact", "csv_star_entities",
+]
 
 
 def canonical(rows):

@@ -1,9 +1,9 @@
 from pyspark.sql import functions as F
 
-from quillmesh.operators import ner
-from quillmesh.plans import pipelines
+from quillmesh.operators import links, ner, tags
+from quillmesh.plans import collectors, pipelines
 from quillmesh.session import ship
-from quillmesh.sources import market
+from quillmesh.sources import market, readers
 
 ARTICLES = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
 
@@ -63,3 +63,62 @@ def test_ner(spark):
     assert {r.id: r.n for r in kept.collect()} == {1: ["Eli Lilly", "Pfizer"], 2: []}
     assert tuple(ner.coverage(kept, "n", "n").first()) == (2, 1, 1, 50.0, 50.0)
     assert docs.select(ner.title_case()(F.lit("beam-on o'neil"))).first()[0] == "Beam-On O'Neil"
+
+
+RSS = """<?xml version="1.0"?><rss><channel><title>c</title>
+<item><title>One</title><link>https://a.org/1</link><description>%s</description><pubDate>Tue, 05 Mar 2024 08:00:00 +0000</pubDate><category>x</category></item>
+<item><title>No link</title></item></channel></rss>"""
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Two</title><link href="https://a.org/2"/><summary>s</summary><updated>2024-03-06T08:00:00Z</updated></entry></feed>"""
+
+
+def test_feed_files_to_articles(spark, tmp_path):
+    """Files of both formats, and one that is no feed, through the whole chain."""
+    for name, content in (("a.xml", RSS % ("long words " * 12)), ("b.xml", ATOM), ("c.xml", '{"error": 404}')):
+        (tmp_path / name).write_text(content)
+    items = readers.feed_items(spark, [str(tmp_path / n) for n in ("a.xml", "b.xml", "c.xml")])
+    assert {(r.title, r.link, str(r.published)) for r in items.collect()} == {("One", "https://a.org/1", "2024-03-05 08:00:00"), ("Two", "https://a.org/2", "2024-03-06 08:00:00")}
+    stored = spark.createDataFrame([("https://a.org/2/",)], "link string")
+    (got,) = pipelines.collect(items, stored, "S").collect()
+    assert got.link == "https://a.org/1" and got.extract.startswith("long words") and got.extract.endswith("Categories: x")
+    page = "<html><h1>Page one</h1><article>" + "words of the page " * 20 + "</article></html>"
+    pages = spark.createDataFrame([("https://a.org/1", page)], "link string, html string")
+    (got,) = collectors.hybrid_feed(items, pages, stored, "S").collect()
+    assert got.extract.startswith("long words") and "words of the page" in got.extract and got.title == "One"
+    sites = spark.createDataFrame([("https://a.org/1", "2024-01-01"), ("https://a.org/new-thing", "2024-02-01")], "url string, lastmod string")
+    assert {r.title for r in collectors.collect_hybrid(items, sites, stored, "S").collect()} == {"One", "New Thing"}
+
+
+def test_queue_and_totals(spark):
+    text = "<article>" + "words of the page " * 20 + "</article>"
+    scored = spark.createDataFrame([("https://a.org/1", 0.7, "queued"), ("https://a.org/2", 0.9, "queued"), ("https://a.org/3", 0.2, "ignored")], "link string, score double, status string")
+    pages = spark.createDataFrame([("https://a.org/2/", text), ("https://a.org/1", "short")], "link string, html string")
+    done, after = collectors.drain_queue(scored, pages)
+    assert [r.link for r in done.collect()] == ["https://a.org/2"]
+    assert {r.link: r.status for r in after.collect()} == {"https://a.org/1": "queued", "https://a.org/2": "scraped", "https://a.org/3": "ignored"}
+    left = collectors.without_output(spark.createDataFrame([("A",), ("B",)], "source string"), spark.createDataFrame([("B",)], "source string"))
+    assert [r.source for r in left.collect()] == ["A"]
+
+
+def test_layouts_and_tag_files(spark, tmp_path):
+    assert readers.layout_of(["_id", "author", "source"]) == "mongo" and readers.layout_of(["NewsSite", "Name"]) == "source"
+    assert readers.layout_of(["Amethos Id", "Date"]) == "merged" and readers.layout_of(["Source", "Title"]) == "stock"
+    stock = tmp_path / "stock.csv"
+    stock.write_text('Source,Title,Date,Author,Link,Extract\nS,T,2024-01-01,A,https://a.org/1,"two\nlines"\nSource,Title,Date,Author,Link,Extract\n')
+    (row,) = readers.detected_articles(spark, str(stock)).collect()
+    assert (row.source, row.link, row.extract) == ("S", "https://a.org/1", "two\nlines")
+    index = tmp_path / "index.csv"
+    index.write_text("\ufeffIndex,,Keyword, cancer , tumor,,,,\nD_01,,merger ,,,,,,\nD_02,individually,Gene therapy,vector,,,,,\n")
+    got = {r.tag: r for r in tags.define_tags(tags.read_tag_rows(spark, str(index))).collect()}
+    assert set(got) == {"merger", "Gene therapy"} and set(got["Gene therapy"].keywords) >= {"cancer", "tumor", "vector", "gene therapy"} and got["Gene therapy"].individual
+    assert "cancer" not in got["merger"].keywords
+    urls = spark.createDataFrame([("https://www.biospace.com/news/a",), ("https://x.org/",)], "link string")
+    assert [(r.source, r.least) for r in links.article_links(urls).collect()] == [("BioSpace", 50)]
+
+
+def test_star_finds_known_companies_in_text(spark):
+    rows = [(1, "2024-01-15", "BioSpace", "news", "a deal of orionex and others", "l1", None, ""), (1, "2024-01-16", "BioSpace", "news", "nothing", "l2", None, "Orionex Inc")]
+    known = spark.createDataFrame([("Orionex",)], "name string")
+    t = pipelines.build_star(spark.createDataFrame(rows, ARTICLES), [("merger", "Event", "Business", [])], [], companies=known)
+    assert [r.Entity_Name for r in t["Dim_Entity"].collect()] == ["Orionex Inc"]
+    assert {(r.Fact_ID, r.Mention_Count) for r in t["Bridge_Fact_Entity"].collect()} == {(1000, 1), (1001, 0)}
+    assert {r.Fact_ID: r.News_Link for r in t["Fact_Document"].collect()} in ({1000: "l1", 1001: "l2"},)
