@@ -7,6 +7,7 @@ as classes so that Spark and other engines agree.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,30 @@ def fold(c: Column, patterns: list[str], to: str = "", flags: str = "(?id)") ->
     return c
 
 
+def needed(pattern: str) -> str:
+    """The longest plain string that every match of a pattern holds; blank if there is none."""
+    bare = re.sub(r"\((?:[^()]|\([^()]*\))*\)[*+?]?|\[[^\]]*\][*+?]?|\\.[*+?]?|[^\\][*?]|[\^$.+|]", "\0", pattern)
+    return max(bare.split("\0"), key=len)
+
+
+def fold_if_needed(c: Column, *steps: tuple[list[str], str]) -> Column:
+    """Folds by several lists of patterns in turn; a text that holds none of their plain strings is left as it is.
+
+    Most texts hold none, and plain search is far cheaper than dozens of regular
+    expressions. If no pattern matches at first, none matches later.
+    """
+    low, words = F.lower(c), dict.fromkeys(needed(p).lower() for patterns, _ in steps for p in patterns)
+    if "" in words:
+        need = F.lit(True)
+    else:
+        shortest = [w for w in words if not any(v != w and v in w for v in words)]
+        need = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in shortest])
+    out = c
+    for patterns, to in steps:
+        out = fold(out, patterns, to)
+    return F.when(need, out).otherwise(c)
+
+
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\n\x0b\f\r"))
 
@@ -51,11 +76,11 @@ def _tidy(c: Column) -> Column:
 
 
 def remove_boilerplate(c: Column) -> Column:
-    return _tidy(fold(fold(strip(c), fixed.SHORT_BOILERPLATE), fixed.SHORT_MARKERS, "."))
+    return _tidy(fold_if_needed(strip(c), (fixed.SHORT_BOILERPLATE, ""), (fixed.SHORT_MARKERS, ".")))
 
 
 def remove_long_boilerplate(c: Column) -> Column:
-    return _tidy(fold(fold(strip(c), fixed.LONG_BOILERPLATE), fixed.LONG_MARKERS, "."))
+    return _tidy(fold_if_needed(strip(c), (fixed.LONG_BOILERPLATE, ""), (fixed.LONG_MARKERS, ".")))
 
 
 def normalize_core(c: Column) -> Column:
