@@ -72,7 +72,7 @@ def entity_cascade(spark, sf):
     dim = _names(spark, sf).where("id % 3 = 0").select(F.col("name").alias("Entity_Name")).distinct()
     dim = star.numbered(dim, "Entity_Key", ["Entity_Name"], star.FIRST_ENTITY)
     n = _names(spark, sf).select("id", F.when(F.col("id") % 4 == 0, F.element_at(F.split("name", " "), 1)).otherwise(F.col("name")).alias("name"))
-    return entity.resolve(n, dim).select("id", "Entity_Key")
+    return entity.resolve(n, dim).select("id", F.col("Entity_Key").cast("int").alias("Entity_Key"))
 
 
 _BRIDGE = "CASE " + " ".join(f"WHEN ends_with({{low}}, {c.quote(s)}) THEN trim(left({{low}}, length({{low}}) - {len(s)}))" for s in fixed.BRIDGE_SUFFIXES) + " ELSE {low} END"
