@@ -160,6 +160,11 @@ def title_case(c: Column) -> Column:
     return step["out"]
 
 
+def lemmatised(c: Column, lemmas: Column) -> Column:
+    """A text with each word between white space replaced by its entry in a map of lemmas, if it has one."""
+    return F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(lemmas, w), w)), " ")
+
+
 def edge_words(c: Column) -> tuple[Column, Column]:
     """First and last word of a text, null if it has none."""
     words = F.filter(F.split(c, r"\s+"), lambda w: w != "")

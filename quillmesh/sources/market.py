@@ -81,6 +81,31 @@ def registry(payloads: DataFrame, column: str, source: str) -> DataFrame:
     return out.select(F.lower("name").alias("key"), "name", "ticker", "cik", F.lit(source).alias("source"))
 
 
+def save_registry(rows: DataFrame, path: str, today: str) -> None:
+    """Registry rows with the day they were fetched."""
+    rows.withColumn("fetched", F.lit(today)).write.mode("overwrite").json(path)
+
+
+def load_registry(spark, path: str, today: str, days: int = 7) -> tuple[DataFrame, bool]:
+    """Saved registry rows, and whether they are older than so many days."""
+    rows = spark.read.schema("key string, name string, ticker string, cik string, source string, fetched string").json(path)
+    last = rows.agg(F.max(F.to_date("fetched"))).first()[0]
+    stale = last is None or spark.range(1).select(F.datediff(F.lit(today).cast("date"), F.lit(last)) > days).first()[0]
+    return rows.drop("fetched"), bool(stale)
+
+
+def with_custom(registry_rows: DataFrame, custom: DataFrame) -> DataFrame:
+    """Registry rows and companies of one's own (name, ticker); a registered name stays as it is."""
+    own = custom.select(F.lower(F.trim("name")).alias("key"), F.trim("name").alias("name"), "ticker", F.lit(None).cast("string").alias("cik"), F.lit("custom").alias("source"))
+    return registry_rows.unionByName(own.where("key != ''").dropDuplicates(["key"]).join(registry_rows.select("key"), "key", "left_anti"))
+
+
+def company_filings(rows: DataFrame, name_or_ticker: str, first: str, last: str) -> DataFrame:
+    """Filings of one company found by a part of its name or by its ticker, newest first."""
+    same = F.contains(F.lower("company"), F.lit(name_or_ticker.lower())) | (F.upper("ticker") == name_or_ticker.upper())
+    return rows.where(same & F.col("filed").between(first, last)).orderBy(F.desc("filed"), "accession")
+
+
 def embedded_posts(html: Column, marker: str = "__NEXT_DATA__") -> Column:
     """URLs of posts inside a page's embedded framework JSON."""
     payload = F.regexp_extract(html, rf'(?s)<script[^>]*id="{marker}"[^>]*>(.*?)</script>', 1)

@@ -1,11 +1,13 @@
-"""Sinks: star tables, exports, incremental appends."""
+"""Sinks: star tables, exports, incremental appends, replaced and upserted tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.operators.incremental import new_rows
+from quillmesh.operators.incremental import first_seen, link_key, new_rows, upsert
 
 
 def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
@@ -27,3 +29,47 @@ def export(df: DataFrame, path: str, fmt: str = "json") -> None:
 def by_source(df: DataFrame) -> DataFrame:
     """Summary of an export: rows per source, missing ones as Unknown."""
     return df.groupBy(F.coalesce(F.nullif("source", F.lit("")), F.lit("Unknown")).alias("source")).agg(F.count("*").alias("rows"))
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Quoted CSV with a header that `readers.read_csv` gives back, line ends in fields included."""
+    df.write.mode("overwrite").options(header="true", quote='"', escape='"', quoteAll="true").csv(path)
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write beside a table, then put the new one in its place; df may read the table itself."""
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.format(fmt).option("header", "true").save(fresh)
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(fresh)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} could not be moved to {path}")
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def upsert_table(changes: DataFrame, path: str, key: str) -> None:
+    """Rows of a table with those of the same key replaced, the others added; the last by key order counts once."""
+    spark = changes.sparkSession
+    once = first_seen(changes, F.col(key), [F.xxhash64(*changes.columns)])
+    replace_table(upsert(spark.read.parquet(path), once, key) if _there(spark, path) else once, path)
+
+
+def migrate(rows: DataFrame, path: str) -> DataFrame:
+    """Upsert articles by link and tell by source how many rows came, how many were fit to store."""
+    fit = (F.coalesce(F.trim("link"), F.lit("")) != "") & (F.length("extract") > 10)
+    totals = rows.groupBy("source").agg(F.count_if(fit).alias("stored"), F.count_if(~F.coalesce(fit, F.lit(False))).alias("skipped"))
+    upsert_table(rows.where(fit).withColumn("link", link_key(F.col("link"))), path, "link")
+    return totals
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, key: str, column: str) -> DataFrame:
+    """rows with `column` taken from ids by a key; rows without an id keep theirs."""
+    found = ids.groupBy(key).agg(F.max(column).alias("_id"))
+    return rows.join(found, key, "left").withColumn(column, F.coalesce("_id", column)).select(*rows.columns)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.operators.incremental import link_key
+from quillmesh.session import shared_folder
 
 
 def dedup_stream(stream: DataFrame, column: str) -> DataFrame:
@@ -26,7 +26,11 @@ def run_available(df: DataFrame, out: str, checkpoint: str, files: str = "append
     df.writeStream.format("parquet").outputMode(files).option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def flush_every(df: DataFrame, out: str, checkpoint: str, every: str = "5 minutes"):
+    """A running query that writes what has come in batches of at most this age; bound a batch's files when reading."""
+    return df.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared folder, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quillmesh-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the cluster's shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

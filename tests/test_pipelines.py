@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from quillmesh.operators import links, ner, tags
 from quillmesh.plans import collectors, pipelines
 from quillmesh.session import ship
-from quillmesh.sources import market, readers
+from quillmesh.sources import market, readers, sinks
 
 ARTICLES = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
 
@@ -122,3 +122,35 @@ def test_star_finds_known_companies_in_text(spark):
     assert [r.Entity_Name for r in t["Dim_Entity"].collect()] == ["Orionex Inc"]
     assert {(r.Fact_ID, r.Mention_Count) for r in t["Bridge_Fact_Entity"].collect()} == {(1000, 1), (1001, 0)}
     assert {r.Fact_ID: r.News_Link for r in t["Fact_Document"].collect()} in ({1000: "l1", 1001: "l2"},)
+
+
+def test_replaced_and_upserted_tables(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = spark.createDataFrame([("https://a.org/1/", "long enough text", "A"), (" ", "long enough text", "A"), ("https://a.org/2", "short", "B")], "link string, extract string, source string")
+    assert {tuple(r) for r in sinks.migrate(rows, path).collect()} == {("A", 1, 1), ("B", 0, 1)}
+    sinks.migrate(rows.limit(1).withColumn("extract", F.lit("another long text")).union(rows.where("source = 'B'").withColumn("extract", F.lit("now long enough"))), path)
+    assert {(r.link, r.extract) for r in spark.read.parquet(path).collect()} == {("https://a.org/1", "another long text"), ("https://a.org/2", "now long enough")}
+    ids = sinks.with_ids(spark.createDataFrame([(1, ""), (2, "old")], "k int, id string"), spark.createDataFrame([(1, "N1")], "k int, id string"), "k", "id")
+    assert {tuple(r) for r in ids.collect()} == {(1, "N1"), (2, "old")}
+    sinks.write_csv(spark.createDataFrame([("S", "T", "d", "a", "l", 'two\nlines, "quoted"')], readers.STOCK), f"{path}.csv")
+    assert readers.read_csv(spark, f"{path}.csv", readers.STOCK).first().Extract == 'two\nlines, "quoted"'
+
+
+def test_registry_cache(spark, tmp_path):
+    path = f"file://{tmp_path}/registry"
+    rows = spark.createDataFrame([("x co", "X Co", "X", "1", "SEC")], "key string, name string, ticker string, cik string, source string")
+    market.save_registry(rows, path, "2024-01-01")
+    again, stale = market.load_registry(spark, path, "2024-01-05")
+    assert [tuple(r) for r in again.collect()] == [tuple(r) for r in rows.collect()] and not stale
+    assert market.load_registry(spark, path, "2024-01-09")[1]
+    both = market.with_custom(again, spark.createDataFrame([("X Co", None), ("Mine", "M")], "name string, ticker string"))
+    assert {(r.name, r.source) for r in both.collect()} == {("X Co", "SEC"), ("Mine", "custom")}
+    filed = spark.createDataFrame([("8-K", "X Co", "X", "2024-01-02", "1"), ("8-K", "Y", "YY", "2024-01-03", "2")], "kind string, company string, ticker string, filed string, accession string")
+    assert [r.accession for r in market.company_filings(filed, "yy", "2024-01-01", "2024-02-01").collect()] == ["2"]
+
+
+def test_lemmas(spark):
+    from quillmesh.functions import text
+
+    lemmas = F.create_map(F.lit("mice"), F.lit("mouse"))
+    assert spark.range(1).select(text.lemmatised(F.lit("the mice run"), lemmas)).first()[0] == "the mouse run"
