@@ -83,6 +83,15 @@ def keep(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
     return out
 
 
+def settled(step: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The kept rows of a step; all tables that it wrote on the way go."""
+    before = set(_tables)
+    out = keep(step(), name)
+    for path in set(_tables) - before - {out.kept_at}:
+        _remove(path)
+    return out
+
+
 def drop(*kept: DataFrame) -> None:
     """Delete tables that `keep` wrote."""
     for df in kept:
