@@ -364,8 +364,9 @@ ORACLES = {
     "tags_by_confidence": f"WITH {c.HITS_SQL}, {_CONF_SQL} SELECT doc_id, string_agg(tag, '; ' ORDER BY round(confidence * 100)::INT DESC, tag) AS tags FROM conf GROUP BY doc_id",
     "feed_fields": f"""WITH {_FEED_SQL} SELECT page_id, title, link, 'Short ' || n AS description, n_content::INT AS n_content, CASE WHEN rss THEN 'By Ann ' || n ELSE 'Bob' END AS author, d || ' 08:00' AS published,
       CASE WHEN rss THEN 'a,b' ELSE 'c' END AS categories, CASE WHEN rss THEN 'http://e/1.png' ELSE '' END AS enclosures FROM f""",
-    "feed_collect": f"""WITH {_FEED_SQL}, body AS (SELECT *, CASE WHEN n_bare > 100 THEN n_bare ELSE length(title) END AS b FROM fresh)
-      SELECT link, title, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author, (b + 13 + CASE WHEN rss THEN 17 ELSE 14 END)::INT AS n, 'Feed' AS source FROM body WHERE b + 13 + CASE WHEN rss THEN 17 ELSE 14 END >= 50""",
+    "feed_collect": f"""WITH {_FEED_SQL}, sized AS (SELECT *, CASE WHEN n_bare > 100 THEN n_bare ELSE length(title) END + 13 + CASE WHEN rss THEN 17 ELSE 14 END AS m FROM f),
+      firsts AS (SELECT *, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY d || CASE WHEN rss THEN 'T08:00:00+00:00' ELSE 'T08:00:00Z' END, title) AS p FROM sized WHERE m >= 50)
+      SELECT link, title, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author, m::INT AS n, 'Feed' AS source FROM firsts WHERE p = 1 AND regexp_replace(link, '/$', '') NOT IN (SELECT regexp_replace({_LINK}, '/$', '') FROM pages WHERE page_id % 4 = 0)""",
     "feed_scrape": f"""WITH {_FEED_SQL}, {_pages_sql()}, j AS (SELECT fresh.*, coalesce(length(body), length('Short ' || n)) AS m FROM fresh LEFT JOIN pg ON regexp_replace(fresh.link, '/$', '') = pg.key)
       SELECT link, title, m::INT AS n, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author FROM j WHERE m >= 9""",
     "sitemap_collect": rf"""WITH {_pages_sql()}, u AS (SELECT DISTINCT {_LINK} AS link, CASE page_id % 3 WHEN 0 THEN '1999-01-01' WHEN 1 THEN '2024-01-01' END AS d FROM pages), ok AS (
