@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts, toxicity
+from quillmesh.llm import align, byte_bpe, decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
     "op10_line_dedup": line_dedup.op10,
+    "op11_byte_bpe": byte_bpe.op11,
+    "op12_align_tokenizers": align.op12,
 }
 
 ORACLES = {

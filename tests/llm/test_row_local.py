@@ -200,11 +200,12 @@ def test_best_fit():
 
 def test_token_counts(sample, make):
     first, later = map(set, token_counts.split_vocabulary(read_model()))
+    longest = max(map(len, first | later))
 
     def brute(word):
         at = n = 0
         while at < len(word):
-            end = next((e for e in range(len(word), at, -1) if word[at:e] in (later if at else first)), None)
+            end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in (later if at else first)), None)
             if end is None:
                 return 0
             at, n = end, n + 1
