@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import align, byte_bpe, decontaminate, line_dedup, near_dups, packing, quality, secrets, sentencepiece_fst, substring_dedup, token_counts, toxicity
+from quillmesh.llm import align, byte_bpe, decontaminate, line_dedup, near_dups, packing, prefix_trie, quality, secrets, sentencepiece_fst, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10,
     "op11_byte_bpe": byte_bpe.op11,
     "op12_align_tokenizers": align.op12,
+    "op13_prefix_trie": prefix_trie.op13,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op6_substring_dedup": substring_dedup.ORACLE,
     "op8_quality": quality.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
