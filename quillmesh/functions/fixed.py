@@ -297,3 +297,61 @@ SOURCES = [
     ("STAT News", "statnews.com", [], ["/news/", "/article/"], [_DATED], [], 100, ""),
     ("The Scientist", "the-scientist.com", [], [], [], [], 50, ""),
 ]
+
+# fixed values: the published rule set of the valence lexicon: negations, boosters and dampers, idioms
+NEGATIONS = (
+    "aint arent cannot cant couldnt darent didnt doesnt ain't aren't can't couldn't daren't didn't doesn't dont hadnt hasnt havent isnt mightnt mustnt neither don't hadn't hasn't haven't "
+    "isn't mightn't mustn't neednt needn't never none nope nor not nothing nowhere oughtnt shant shouldnt uhuh wasnt werent oughtn't shan't shouldn't uh-uh wasn't weren't without wont "
+    "wouldnt won't wouldn't rarely seldom despite"
+).split()
+BOOSTERS = dict.fromkeys((
+    "absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely especially exceptional exceptionally extreme extremely fabulously "
+    "flipping flippin frackin fracking fricking frickin frigging friggin fully fuckin fucking fuggin fugging greatly hella highly hugely incredible incredibly intensely major majorly more "
+    "most particularly purely quite really remarkably so substantially thoroughly total totally tremendous tremendously uber unbelievably unusually utter utterly very"
+).split(), 0.293) | dict.fromkeys((
+    "almost,barely,hardly,just enough,kind of,kinda,kindof,kind-of,less,little,marginal,marginally,occasional,occasionally,partly,scarce,scarcely,slight,slightly,somewhat,sort of,sorta,sortof,sort-of"
+).split(","), -0.293)
+IDIOMS = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9}
+
+# fixed values: the published detachment rules (ending, replacement) by part of speech, in order
+DETACHMENT = {
+    "n": [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")],
+    "v": [("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")],
+    "a": [("er", ""), ("est", ""), ("er", "e"), ("est", "e")],
+}
+
+# fixed values: by source the elements that hold an article's text, the elements left out of them, and the length that a paragraph must exceed
+_USUAL = ["nav", "footer", ".advertisement", ".ad", ".related-articles"]
+_SHARED = [*_USUAL, ".social-share"]
+_SIGNED = [*_SHARED, ".author-box"]
+_PLAIN = [".article-content", ".entry-content", ".article-body", "article .content"]
+BODIES = {
+    "BioPharma Dive": ([], _SHARED, 40),
+    "BioSpace": ([], _USUAL, 50),
+    "BioSpectrum": ([*_PLAIN, ".story-content", ".news-content", "#article-content"], [*_SIGNED, ".tags", ".share-buttons"], 30),
+    "BioWorld": ([], _SHARED, 40),
+    "Business Weekly": ([*_PLAIN, "main .content"], _SIGNED, 30),
+    "Business Wire": ([".bw-release-story", ".bw-release-text", ".bw-release-body", "article .content"], [*_SHARED, ".bw-release-contact"], 30),
+    "C&EN": ([], _USUAL, 40),
+    "Endpoints News": ([], _SHARED, 40),
+    "European Pharmaceutical Review": ([], _SHARED, 40),
+    "FDA": (['div[role="main"]', "article#main-content", ".field-body", ".article-body", "main .content"], [*_SHARED, ".breadcrumb", ".skip-link", ".inset-column"], 30),
+    "Fierce Biotech": ([], [*_SHARED, ".byline", "header", ".article-header", ".tags", ".categories", ".subscribe", ".newsletter"], 40),
+    "Fierce Pharma": ([], _SHARED, 40),
+    "GEN": ([".td-post-content", ".entry-content", "article .td-post-content"], [*_SIGNED, ".td-post-sharing"], 40),
+    "MDPI": ([], _USUAL, 40),
+    "Nature Biotechnology": ([".c-article-body", '[data-test="article-body"]', ".article__body", "article .c-article-body"], [*_SIGNED, ".c-article-references"], 40),
+    "Pharmaceutical Technology": (_PLAIN, _SIGNED, 40),
+    "The Pharma Letter": ([], _USUAL, 40),
+    "Pharmaphorum": ([".entry-content", ".article-content", ".post-content", "article .content"], _SIGNED, 40),
+    "PharmaTimes": ([".et_pb_post_content", ".entry-content", ".et_pb_text_inner", ".article-content", "article .content"], [*_SIGNED, ".tags", ".meta"], 40),
+    "PharmaVoice": (
+        ["article .article-body", "article .content-body", ".article-body-content", ".post-content", ".entry-content", "article .entry-content", ".article-content"],
+        ["nav", "footer", "header", *_SIGNED[2:], ".share-buttons", ".social-media", "button", ".button", ".menu", ".navigation", ".sidebar", "aside", ".newsletter", ".subscribe"],
+        30,
+    ),
+    "PMLive": (_PLAIN, _SIGNED, 40),
+    "PR Newswire": ([], _SHARED, 40),
+    "STAT News": (_PLAIN, [*_SIGNED, ".paywall", ".subscription-required"], 40),
+    "The Scientist": ([], [*_SHARED, "aside", ".paywall", ".subscription", ".premium"], 40),
+}

@@ -70,7 +70,7 @@ def body(html: Column, container: int = 200, longer_than: int = 40, least: int =
 
 def is_navigation(paragraph: Column) -> Column:
     """Whether a paragraph begins like a button or a menu."""
-    return paragraph.rlike("(?i)^(" + "|".join(fixed.NAVIGATION) + r")\b")
+    return paragraph.rlike("(?i)^(" + "|".join(fixed.NAVIGATION) + ")")
 
 
 def without_marketing(text: Column) -> Column:

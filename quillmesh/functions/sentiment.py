@@ -1,63 +1,134 @@
-"""A lexicon sentiment scorer after the published VADER rules.
+"""Sentiment of text by the published rules of a valence lexicon, as one expression.
 
-The base lexicon is an input; the industry overlay is part of the fixed values.
-Rules: negation within three words flips by -0.74; boosters within three words
-add 0.293 with falling weight; 'but' halves what is before it and adds half to
-what follows; up to four exclamation marks add 0.292 each; the sum is
-normalised by sqrt(s * s + 15).
+A word's valence comes from the lexicon (an input; the industry overlay is part
+of the fixed values and wins). What stands around it changes it:
+
+- capitals, where a text is not all capitals, add 0.733;
+- boosters and dampers up to three words before add or take 0.293, weaker with
+  distance (0.95, 0.9);
+- negations up to three words before turn it by -0.74; 'never so' and 'never
+  this' strengthen by 1.25, 'without doubt' leaves it;
+- 'no' before a word of the lexicon turns that word and has no valence itself;
+- 'least' turns it unless 'at' or 'very' stands before;
+- fixed idioms have valences of their own.
+
+Then words before the first 'but' count half and those after it one and a half
+times; up to four exclamation marks add 0.292 each, two or three question marks
+0.18 each and more 0.96; the sum s becomes s / sqrt(s * s + 15), in four digits.
+Signs for faces are words like others; pictographs are not spelled out.
+
+Edge cases: null and blank texts score 0.
 """
 
 from __future__ import annotations
 
-import math
-import re
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed
+from quillmesh.functions.lookup import Words, let, numbers
+
+CAPITALS, TURN = 0.733, -0.74
+DISTANCE = (1.0, 0.95, 0.9)
+#: string.punctuation of the published tokenizer
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _words(text: Column, lexicon: Words) -> Column:
+    """Array of (raw, low, known, loud): the word, lower case, its valence or null, whether it is in capitals."""
+
+    def word(token: Column) -> Column:
+        bare = F.trim(token, F.lit(PUNCTUATION))
+        return F.when(F.length(bare) <= 2, token).otherwise(bare)
+
+    tokens = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: t != "")
+    return F.transform(
+        F.transform(tokens, word),
+        lambda w: F.struct(w.alias("raw"), F.lower(w).alias("low"), lexicon[F.lower(w)].alias("known"), ((F.upper(w) == w) & (F.lower(w) != w)).alias("loud")),
+    )
+
+
+def _any(word: Column, values) -> Column:
+    return F.coalesce(word.isin(*values), F.lit(False))
+
+
+def _valence(words: Column, w: Column, i: Column, mixed: Column, boosts: Words, idioms: Words) -> Column:
+    """The valence of word i of words."""
+
+    def at(k: int) -> Column:
+        return F.get(words, i + k) if k >= 0 else F.when(i + k >= 0, F.get(words, F.greatest(i + k, F.lit(0))))
+
+    def low(k: int) -> Column:
+        return at(k)["low"]
+
+    def negative(k: int) -> Column:
+        return _any(low(k), fixed.NEGATIONS) | F.coalesce(F.contains(low(k), F.lit("n't")), F.lit(False))
+
+    def sign(v: Column, x: Column) -> Column:
+        return F.when(v > 0, x).otherwise(-x)
+
+    no, known = w["low"] == "no", w["known"]
+    after_no = (low(-1) == "no") | (low(-2) == "no") | ((low(-3) == "no") & low(-1).isin("or", "nor"))
+    value = F.when(no & at(1)["known"].isNotNull(), 0.0).when(F.coalesce(after_no, F.lit(False)), known * TURN).otherwise(known)
+    value = let(value, lambda v: F.when(w["loud"] & mixed, v + sign(v, F.lit(CAPITALS))).otherwise(v))
+
+    def near(v: Column, k: int) -> Column:
+        """What the word k before does; it does nothing if the lexicon has it."""
+        before = at(-k)
+        boost = boosts[before["low"]]
+        scaled = F.when(v < 0, -boost).otherwise(boost)
+        scaled = F.when(before["loud"] & mixed, scaled + sign(v, F.lit(CAPITALS))).otherwise(scaled)
+        v2 = v + F.coalesce(scaled * DISTANCE[k - 1], F.lit(0.0))
+        if k == 1:
+            turned = F.when(negative(-1), TURN).otherwise(1.0)
+        elif k == 2:
+            never = (low(-2) == "never") & low(-1).isin("so", "this")
+            turned = F.when(never, 1.25).when((low(-2) == "without") & (low(-1) == "doubt"), 1.0).when(negative(-2), TURN).otherwise(1.0)
+        else:
+            never = ((low(-3) == "never") & low(-2).isin("so", "this")) | low(-1).isin("so", "this")
+            turned = F.when(never, 1.25).when((low(-3) == "without") & ((low(-2) == "doubt") | (low(-1) == "doubt")), 1.0).when(negative(-3), TURN).otherwise(1.0)
+        v3 = v2 * turned
+        if k == 3:
+            v3 = let(v3, idiom)
+        return F.when(before.isNotNull() & before["known"].isNull(), v3).otherwise(v)
+
+    def phrase(*places: int) -> Column:
+        return F.concat(*[x for k in places for x in (F.lit(" "), low(k))][1:])
+
+    def idiom(v: Column) -> Column:
+        back = F.coalesce(*[idioms[phrase(*p)] for p in ((-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2))], v)
+        ahead = F.coalesce(idioms[phrase(0, 1, 2)], idioms[phrase(0, 1)], back)
+        return reduce(lambda a, p: a + F.coalesce(boosts[phrase(*p)], F.lit(0.0)), [(-3, -2, -1), (-3, -2), (-2, -1)], ahead)
+
+    value = let(let(let(value, lambda v: near(v, 1)), lambda v: near(v, 2)), lambda v: near(v, 3))
+    least = (low(-1) == "least") & at(-1)["known"].isNull() & ((i == 1) | ~low(-2).isin("at", "very"))
+    value = let(value, lambda v: F.when(F.coalesce(least, F.lit(False)), v * TURN).otherwise(v))
+    silent = known.isNull() | boosts[w["low"]].isNotNull() | ((w["low"] == "kind") & F.coalesce(low(1) == "of", F.lit(False)))
+    return F.when(silent, 0.0).otherwise(value)
+
+
+def compound(text: Column, lexicon: dict[str, float] | None = None) -> Column:
+    """Score from -1 to 1 of a text; the overlay wins over the lexicon."""
+    known = numbers({w.lower(): v for w, v in (dict(lexicon or {}) | fixed.VALENCES).items()})
+    boosts, idioms = numbers(fixed.BOOSTERS), numbers(fixed.IDIOMS)
+
+    def score(words: Column) -> Column:
+        loud = F.size(F.filter(words, lambda w: w["loud"]))
+        mixed = (loud > 0) & (loud < F.size(words))
+        but = F.array_position(F.transform(words, lambda w: w["low"]), "but") - 1  # -1: none
+
+        def total(mixed: Column, but: Column) -> Column:
+            weighed = F.transform(words, lambda w, i: _valence(words, w, i, mixed, boosts, idioms) * F.when((but < 0) | (i == but), 1.0).when(i < but, 0.5).otherwise(1.5))
+            return F.aggregate(weighed, F.lit(0.0), lambda a, b: a + b)
+
+        return let(F.struct(mixed.alias("mixed"), but.alias("but")), lambda c: total(c["mixed"], c["but"]))
 
-NEGATIONS = {"not", "no", "never", "none", "cannot", "without", "neither", "nor", "nothing", "hardly", "isn't", "wasn't", "don't", "doesn't", "didn't", "won't", "can't", "couldn't", "shouldn't"}
-BOOSTERS = {"very": 0.293, "extremely": 0.293, "really": 0.293, "highly": 0.293, "most": 0.293, "so": 0.293, "slightly": -0.293, "somewhat": -0.293, "barely": -0.293, "partly": -0.293}
-_WORD = re.compile(r"[^\s]+")
-
-
-def compound(text: str | None, lexicon: dict[str, float]) -> float:
-    """Score from -1 to 1; blank texts are 0."""
-    if not text or not text.strip():
-        return 0.0
-    words = [w.strip(".,;:!?\"()[]").lower() for w in _WORD.findall(text)]
-    values = []
-    for i, w in enumerate(words):
-        v = lexicon.get(w, 0.0)
-        if v and w not in BOOSTERS:
-            for back in (1, 2, 3):
-                if i >= back:
-                    before = words[i - back]
-                    if before in BOOSTERS:
-                        v += math.copysign(1, v) * BOOSTERS[before] * (1, 0.95, 0.9)[back - 1]
-                    if before in NEGATIONS:
-                        v *= -0.74
-        values.append(v)
-    if "but" in words:
-        at = words.index("but")
-        values = [v * 0.5 if i < at else v * 1.5 if i > at else v for i, v in enumerate(values)]
-    total = sum(values)
-    if total:
-        total += math.copysign(min(4, text.count("!")) * 0.292, total)
-    return round(max(-1.0, min(1.0, total / math.sqrt(total * total + 15))), 4) if total else 0.0
-
-
-def scorer(lexicon: dict[str, float] | None = None):
-    """A pandas UDF from text to compound score; the overlay wins over the lexicon."""
-    words = dict(lexicon or {}) | fixed.VALENCES
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: compound(t, words))
-
-    return score
+    t = F.coalesce(text, F.lit(""))
+    marks, questions = (F.length(t) - F.length(F.replace(t, F.lit(c))) for c in "!?")
+    emphasis = F.least(marks, F.lit(4)) * 0.292 + F.when(questions <= 1, 0.0).when(questions <= 3, questions * 0.18).otherwise(0.96)
+    return let(let(_words(text, known), score), lambda s: let(s + F.signum(s) * emphasis, lambda x: F.when(s == 0, 0.0).otherwise(F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x / F.sqrt(x * x + 15))), 4))))
 
 
 def overlay_sum(tokens: Column, lexicon: dict[str, float] | None = None) -> Column:

@@ -160,11 +160,6 @@ def title_case(c: Column) -> Column:
     return step["out"]
 
 
-def lemmatised(c: Column, lemmas: Column) -> Column:
-    """A text with each word between white space replaced by its entry in a map of lemmas, if it has one."""
-    return F.array_join(F.transform(F.split(c, " "), lambda w: F.coalesce(F.try_element_at(lemmas, w), w)), " ")
-
-
 def edge_words(c: Column) -> tuple[Column, Column]:
     """First and last word of a text, null if it has none."""
     words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
@@ -181,27 +176,6 @@ def quoted(s: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}\-&~#])", r"\\\1", s)
 
 
-def variants_pattern(variants: list[str]) -> str:
-    """Whole-word alternation, longest first."""
-    return "(?i)\\b(" + "|".join(quoted(v) for v in sorted(variants, key=len, reverse=True)) + ")\\b"
-
-
-def consolidate(c: Column, rules: list[tuple[str, list[str]]]) -> Column:
-    """Each rule's synonyms become [Key]; placeholders keep later rules off earlier keys."""
-    for i, (_, synonyms) in enumerate(rules):
-        if synonyms:
-            c = F.regexp_replace(c, variants_pattern(synonyms), f"__NORM_KEY_{i}__")
-    for i, (key, _) in enumerate(rules):
-        c = F.regexp_replace(c, f"__NORM_KEY_{i}__", re.sub(r"([\\$])", r"\\\1", f"[{key}]"))
-    return c
-
-
-def detect(c: Column, rules: list[tuple[str, list[str]]]) -> Column:
-    """Keys of the rules that occur, in rule order, joined by '; '."""
-    found = [F.when(c.rlike(variants_pattern(synonyms + [key] * (key not in synonyms))), key) for key, synonyms in rules]
-    return F.concat_ws("; ", *found)
-
-
 def cases(rules: list[tuple[Column, object]], otherwise) -> Column:
     """The value of the first rule that holds."""
     out = F.when(rules[0][0], rules[0][1])

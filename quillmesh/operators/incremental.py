@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,8 +12,12 @@ def link_key(link: Column) -> Column:
 
 
 def first_seen(rows: DataFrame, key: Column, order: list) -> DataFrame:
-    """The first row of each key by a total order."""
-    return rows.withColumn("_k", key).withColumn("_r", F.row_number().over(Window.partitionBy("_k").orderBy(*order))).where("_r = 1").drop("_k", "_r")
+    """The first row of each key by a total order; rows whose key is null or blank are left out.
+
+    An aggregation, so that a key with many rows is reduced before it is shuffled.
+    """
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(*order)).alias("_row")
+    return rows.withColumn("_k", key).where(F.col("_k").cast("string") != "").groupBy("_k").agg(first).select("_row.*")
 
 
 def new_rows(rows: DataFrame, stored: DataFrame, column: str, order: list) -> DataFrame:
@@ -24,7 +28,7 @@ def new_rows(rows: DataFrame, stored: DataFrame, column: str, order: list) -> Da
 
 
 def upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Target with rows of the same key replaced and the other changes added."""
+    """Target with rows of the same key replaced and the other changes added; changes hold each key once (see `sources.snapshots` for others)."""
     return target.join(changes.select(key), key, "left_anti").unionByName(changes.select(*target.columns))
 
 

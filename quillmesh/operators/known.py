@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.functions.entities import mention_count, normalize_entity
-from quillmesh.functions.text import title_case, tokens
-from quillmesh.operators.match import ngrams
+from quillmesh.functions.text import title_case
+from quillmesh.operators.rewrite import keyword_finder
 
 #: characters of context on either side in which a display name is looked for
 CONTEXT = 20
@@ -26,17 +26,16 @@ def display_name(text: Column, name: Column) -> Column:
     return F.when((at > 0) & (found != ""), title_case(F.trim(found)))
 
 
-def known_companies(docs: DataFrame, companies: DataFrame, key: str = "doc_id", text: str = "text", longest: int = 4) -> DataFrame:
-    """key, name, confidence 0.7 of the known companies (name, lower-cased, of up to `longest` words) in a text.
+def known_companies(docs: DataFrame, companies: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, name, confidence 0.7 of the known companies (name, lower-cased, of any number of words) in a text.
 
-    Word runs of the text are joined with the names, so a text meets only names
-    whose words it holds; the display name is looked up for those.
+    One automaton over all names finds those that a text holds as whole words, in
+    one pass over the rows; the display name is looked up for those, in the row.
     """
-    known = companies.select(F.lower(F.trim("name")).alias("known")).where("known != ''").distinct().withColumn("gram", F.array_join(tokens(F.col("known")), " "))
-    words = docs.select(key, tokens(F.lower(F.coalesce(F.col(text), F.lit("")))).alias("_words"))
-    grams = words.select(key, F.explode(ngrams(F.col("_words"), longest)).alias("gram"))
-    pairs = grams.join(known, "gram").select(key, "known").distinct()
-    found = pairs.join(docs.select(key, F.col(text).alias("_text")), key).select(key, display_name(F.col("_text"), F.col("known")).alias("name"))
+    names = companies.select(F.lower(F.trim("name")).alias("keyword")).where("keyword != ''").distinct()
+    finder = keyword_finder(names.select(F.lit("").alias("tag"), "keyword"))
+    held = docs.select(key, F.col(text).alias("_text"), F.explode(finder(F.col(text))).alias("_found"))
+    found = held.select(key, display_name(F.col("_text"), F.col("_found.keyword")).alias("name"))
     return found.where("name is not null").select(key, "name", F.lit(0.7).alias("confidence")).distinct()
 
 

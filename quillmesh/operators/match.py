@@ -2,8 +2,8 @@
 
 The default strategy is an equi-join: word n-grams of the text are made
 distinct and joined with the vocabulary, which is broadcast only while it has at
-most MAX_BROADCAST rows. The regex strategy is for keywords that hold
-punctuation; it tries one literal alternation per tag.
+most MAX_BROADCAST rows. Keywords that hold punctuation are found by one
+automaton over the whole vocabulary (see `rewrite`).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions.text import cases, quoted, split_multi, tokens
+from quillmesh.operators.rewrite import keyword_finder
 
 MAX_BROADCAST = 100_000
 
@@ -43,14 +44,9 @@ def keyword_hits(docs: DataFrame, vocab: list[tuple[str, str]], key: str = "doc_
     return hits.join(vocabulary(docs.sparkSession, vocab), "keyword").select(key, "tag", "keyword")
 
 
-def regex_hits(docs: DataFrame, vocab: list[tuple[str, str]], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """As keyword_hits, by one alternation per tag; keyword is the matched string."""
-    tags: dict[str, list[str]] = {}
-    for tag, keyword in vocab:
-        tags.setdefault(tag, []).append(keyword.lower())
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    found = [F.struct(F.lit(t).alias("tag"), F.array_distinct(F.regexp_extract_all(low, F.lit(r"\b(?:" + "|".join(map(quoted, sorted(k, key=len, reverse=True))) + r")\b"), F.lit(0))).alias("hits")) for t, k in tags.items()]
-    return docs.select(key, F.inline(F.array(*found))).select(key, "tag", F.explode("hits").alias("keyword"))
+def literal_hits(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As keyword_hits for a vocabulary (tag, keyword) whose keywords may hold punctuation: each is looked for as it is written."""
+    return docs.select(key, F.inline(keyword_finder(vocab)(F.col(text)))).select(key, "tag", "keyword")
 
 
 def column_tags(docs: DataFrame, vocab: list[tuple[str, str]], key: str = "doc_id", column: str = "matched_keywords") -> DataFrame:
@@ -90,12 +86,6 @@ def matched_ids(docs: DataFrame, vocab: list[tuple[str, str]], key: str = "doc_i
     return docs.select(key).join(hits, key, "left").select(key, F.coalesce(F.array_join("tags", "; "), F.lit("")).alias("ids"))
 
 
-def first_by_substring(text: Column, index: list[tuple[str, str]]) -> Column:
-    """Id of the first index row whose keyword is a substring."""
-    low = F.lower(text)
-    return F.coalesce(*[F.when(F.contains(low, F.lit(k.lower())), i) for i, k in index])
-
-
 def expand_tags(tags: DataFrame) -> DataFrame:
     """Tags flagged individual with several keywords become one tag a keyword; (tag, keywords, individual)."""
     split = F.col("individual") & (F.size("keywords") > 1)

@@ -61,6 +61,12 @@ def entity_list(rows: DataFrame, column: str, domain: str = "Healthcare") -> Dat
     return dim_entity(e.where("Entity_Name != ''").withColumn("Entity_Domain", F.lit(domain)))
 
 
+def dim_tag_rows(tags: DataFrame, order: list[str]) -> DataFrame:
+    """Keys by an order of columns, for tags (tag, category, domain) in a table."""
+    keyed = numbered(tags.select("tag", "category", "domain", *[c for c in order if c != "tag"]), "Tag_Key", order, FIRST_TAG)
+    return keyed.select(F.col("Tag_Key").cast("int").alias("Tag_Key"), F.col("tag").alias("Tag_Name"), F.col("category").alias("Tag_Category"), F.col("domain").alias("Tag_Domain"))
+
+
 def dim_tag(tags: list[tuple[str, str, str]], spark) -> DataFrame:
     """Keys in the order of definition."""
     return spark.createDataFrame([(FIRST_TAG + i, *t) for i, t in enumerate(tags)], "Tag_Key int, Tag_Name string, Tag_Category string, Tag_Domain string")
@@ -121,7 +127,7 @@ def fact_columns(rows: DataFrame, sources: DataFrame, strict_compat: bool = Fals
 def bridge_tag(tags: DataFrame, dim: DataFrame, key: str = "Fact_ID") -> DataFrame:
     """(key, Tag_Key, Confidence_Score); of tags with one name the largest key counts."""
     last = dim.groupBy("Tag_Name").agg(F.max("Tag_Key").alias("Tag_Key"))
-    return tags.join(F.broadcast(last), tags["tag"] == last["Tag_Name"]).select(key, "Tag_Key", F.col("confidence").alias("Confidence_Score"))
+    return tags.join(last, tags["tag"] == last["Tag_Name"]).select(key, "Tag_Key", F.col("confidence").alias("Confidence_Score"))
 
 
 def with_tag_counts(fact: DataFrame, bridge: DataFrame, key: str = "Fact_ID") -> DataFrame:

@@ -22,10 +22,12 @@ def page_articles(pages: DataFrame) -> DataFrame:
     return pages.select("link", html.title(h).alias("title"), html.published(h).alias("date"), html.author(h).alias("author"), html.body(h).alias("extract"))
 
 
-def _by_link(pages: DataFrame) -> DataFrame:
-    """Page fields under names of their own, by link key, each once."""
-    p = page_articles(pages).withColumn("_key", incremental.link_key(F.col("link")))
-    return p.groupBy("_key").agg(F.min_by(F.struct("title", "date", "author", "extract"), F.struct("link")).alias("_page"))
+def _by_link(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Page fields under names of their own, by link key, each once; only pages whose key is wanted are read any further."""
+    p = pages.withColumn("_key", incremental.link_key(F.col("link"))).join(wanted.select("_key").distinct(), "_key", "left_semi")
+    first = p.groupBy("_key").agg(F.min_by(F.struct("link", "html"), F.struct("link")).alias("_p")).select("_key", "_p.*")
+    fields = page_articles(first).withColumn("_key", incremental.link_key(F.col("link")))
+    return fields.select("_key", F.struct("title", "date", "author", "extract").alias("_page"))
 
 
 def _fresh(items: DataFrame, stored: DataFrame) -> DataFrame:
@@ -35,7 +37,8 @@ def _fresh(items: DataFrame, stored: DataFrame) -> DataFrame:
 
 def scraped_feed(items: DataFrame, pages: DataFrame, stored: DataFrame, source: str, least: int = 50) -> DataFrame:
     """Feed items with the text of their page; the description where that has fewer than 100 characters."""
-    rows = _fresh(items, stored).join(_by_link(pages), "_key", "left")
+    rows = _fresh(items, stored)
+    rows = rows.join(_by_link(pages, rows), "_key", "left")
     page, description = F.col("_page.extract"), text.strip_tags(F.coalesce("description", F.lit("")))
     body = F.when(F.length(page) >= 100, page).otherwise(description)
     return _article(rows, source, body).where(F.length("extract") >= least)
@@ -43,7 +46,8 @@ def scraped_feed(items: DataFrame, pages: DataFrame, stored: DataFrame, source:
 
 def hybrid_feed(items: DataFrame, pages: DataFrame, stored: DataFrame, source: str, least: int = 100) -> DataFrame:
     """Feed items joined with what their page adds: description, then page text, then categories."""
-    rows = _fresh(items, stored).join(_by_link(pages), "_key", "left")
+    rows = _fresh(items, stored)
+    rows = rows.join(_by_link(pages, rows), "_key", "left")
     description, page = text.strip_tags(F.coalesce("description", F.lit(""))), F.coalesce("_page.extract", F.lit(""))
     apart = F.when((description != "") & ~F.contains(page, description), description)
     tags = F.when(F.size("categories") > 0, F.concat(F.lit("Categories: "), F.array_join("categories", ", ")))
@@ -71,7 +75,8 @@ def sitemap_articles(urls: DataFrame, pages: DataFrame, stored: DataFrame, rule:
     rows = incremental.new_rows(rows, stored, "link", ["date", "link"])
     if most is not None:
         rows = rows.orderBy(F.desc_nulls_last("date"), "link").limit(most)
-    rows = rows.withColumn("_key", incremental.link_key(F.col("link"))).join(_by_link(pages), "_key")
+    rows = rows.withColumn("_key", incremental.link_key(F.col("link")))
+    rows = rows.join(_by_link(pages, rows), "_key")
     out = rows.select("link", F.coalesce("_page.title", text.title_from_slug(F.col("link"))).alias("title"), F.coalesce("_page.date", "date").alias("date"), F.coalesce(F.nullif(F.lit(rule[7]), F.lit("")), "_page.author").alias("author"), F.col("_page.extract").alias("extract"), F.lit(rule[0]).alias("source"))
     return out.where(F.length("extract") >= least)
 
@@ -94,7 +99,8 @@ def feed_metadata(items: DataFrame, stored: DataFrame, **words: list[str]) -> Da
 def drain_queue(scored: DataFrame, pages: DataFrame, n: int = 50, least: int = 100) -> tuple[DataFrame, DataFrame]:
     """Articles of the best queued rows whose page has enough text, and all rows with their new status."""
     best = incremental.top_queue(scored, n)
-    rows = best.withColumn("_key", incremental.link_key(F.col("link"))).join(_by_link(pages), "_key")
+    rows = best.withColumn("_key", incremental.link_key(F.col("link")))
+    rows = rows.join(_by_link(pages, rows), "_key")
     done = rows.where(F.length("_page.extract") >= least).select("link", "_page.title", "_page.date", "_page.author", "_page.extract")
     return done, incremental.set_status(scored, done, "link", "queued", "scraped")
 

@@ -19,9 +19,6 @@ TAGS = [
 VOCAB = [(name, k) for name, _, _, keywords in TAGS for k in keywords]
 CATEGORIES = {name: category for name, category, _, _ in TAGS}
 MEDICAL = ["thing", "therapy"]
-#: key and synonyms, all ASCII
-RULES = [("Attion", ["attion", "antion"]), ("Thing", ["thing", "thes", "thin"]), ("Que", ["que"]), ("Erin", [])]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quillmesh.functions import entities, fixed, score, sentiment, text
 from quillmesh.operators import entity, incremental, match, star
 from quillmesh.plans import common as c
-from quillmesh.session import ship
 
 _ENDINGS = ["Inc.", "Corp", "& Sons Ltd", "Holdings", "Pharma", "", "and Co", "Therapeutics", "GmbH", "University"]
 
@@ -64,7 +63,7 @@ def company_enrich(spark, sf):
 
 
 def company_validate(spark, sf):
-    good, bad = entity.split_valid(_names(spark, sf).select("id", "name"), _registry(spark, sf).where("ticker like '%3'"))
+    good, bad = entity.split_valid(_names(spark, sf).select("id", "name"), _registry(spark, sf))
     return good.select("id", F.lit(True).alias("valid")).union(bad.select("id", F.lit(False)))
 
 
@@ -141,10 +140,57 @@ def sentiment_stats(spark, sf):
     return e.agg(F.count("s").alias("n"), F.round(F.sum("s"), 6).alias("total"), F.round(F.avg("s"), 6).alias("mean"), F.min("s").alias("least"), F.max("s").alias("most"), F.count_if(F.col("s") > 0.05).alias("positive"), F.count_if(F.col("s") < -0.05).alias("negative"), F.count_if(F.col("s").between(-0.05, 0.05)).alias("neutral"))
 
 
+#: words of the documents put in place of others, so that every rule has something to do
+_SWAPS = {"the": "not", "and": "VERY", "of": "good", "in": "bad", "que": "never", "la": "so", "und": "but", "die": "least", "to": "GOOD", "de": "slightly", "der": "without", "el": "doubt"}
+_VALUED = _LEX | {"good": 1.9, "bad": -2.5}
+
+
 def vader_like_sentiment(spark, sf):
-    ship(spark)
-    scored = sentiment.scorer(_LEX)
-    return c.table(spark, sf, "documents").select("doc_id", scored("text").alias("sentiment_score"))
+    t = F.coalesce("text", F.lit(""))
+    for word, other in _SWAPS.items():
+        t = F.replace(t, F.lit(f" {word} "), F.lit(f" {other} "))
+    t = F.concat(t, F.repeat(F.lit("!"), (F.col("doc_id") % 7).cast("int")), F.repeat(F.lit("?"), (F.col("doc_id") % 6).cast("int")))
+    return c.table(spark, sf, "documents").select("doc_id", sentiment.compound(t, _VALUED).alias("sentiment_score"))
+
+
+def _sentiment_sql() -> str:
+    """The rules over rows of words, with windows over their neighbours."""
+    t = "coalesce(text, '')"
+    for word, other in _SWAPS.items():
+        t = f"replace({t}, ' {word} ', ' {other} ')"
+    negative = f"({{w}} IN ({', '.join(map(c.quote, fixed.NEGATIONS))}) OR contains({{w}}, 'n''t'))"
+    marks = "".join(sentiment.PUNCTUATION)
+    back = ", ".join(f"lag({x}, {k}) OVER d AS {x}{k}" for x in ("low", "known", "boost", "loud") for k in (1, 2, 3))
+
+    def near(k: int, turn: str) -> str:
+        scaled = f"(CASE WHEN v < 0 THEN -boost{k} ELSE boost{k} END + CASE WHEN loud{k} AND mixed THEN CASE WHEN v > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END)"
+        return f"CASE WHEN low{k} IS NOT NULL AND known{k} IS NULL THEN (v + coalesce({scaled} * {(1.0, 0.95, 0.9)[k - 1]}, 0)) * ({turn}) ELSE v END"
+
+    turns = [
+        f"CASE WHEN {negative.format(w='low1')} THEN -0.74 ELSE 1 END",
+        f"CASE WHEN low2 = 'never' AND low1 IN ('so', 'this') THEN 1.25 WHEN low2 = 'without' AND low1 = 'doubt' THEN 1 WHEN {negative.format(w='low2')} THEN -0.74 ELSE 1 END",
+        f"CASE WHEN (low3 = 'never' AND low2 IN ('so', 'this')) OR low1 IN ('so', 'this') THEN 1.25 WHEN low3 = 'without' AND (low2 = 'doubt' OR low1 = 'doubt') THEN 1 WHEN {negative.format(w='low3')} THEN -0.74 ELSE 1 END",
+    ]
+    steps = [
+        "CASE WHEN low1 = 'no' OR low2 = 'no' OR (low3 = 'no' AND low1 IN ('or', 'nor')) THEN known * -0.74 ELSE known END",
+        "CASE WHEN loud AND mixed THEN v + CASE WHEN v > 0 THEN 0.733 ELSE -0.733 END ELSE v END",
+        *[near(k, turn) for k, turn in enumerate(turns, 1)],
+        "CASE WHEN low1 = 'least' AND known1 IS NULL AND (i = 1 OR low2 NOT IN ('at', 'very')) THEN v * -0.74 ELSE v END",
+    ]
+    rows = "(SELECT *, 0.0::DOUBLE AS v FROM seen)"
+    for step in steps:
+        rows = f"(SELECT * EXCLUDE (v), ({step})::DOUBLE AS v FROM {rows})"
+    return f"""
+WITH t AS (SELECT doc_id, {t} || repeat('!', (doc_id % 7)::INT) || repeat('?', (doc_id % 6)::INT) AS t FROM documents
+), tok AS (SELECT doc_id, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS tok FROM (SELECT doc_id, list_filter(string_split_regex(t, '[\\s' || chr(11) || ']+'), lambda w: w <> '') AS ws FROM t)
+), word AS (SELECT doc_id, i, CASE WHEN length(trim(tok, {c.quote(marks)})) <= 2 THEN tok ELSE trim(tok, {c.quote(marks)}) END AS raw FROM tok
+), known AS (SELECT word.*, lower(raw) AS low, upper(raw) = raw AND lower(raw) <> raw AS loud, x AS known, boost FROM word
+  LEFT JOIN {c.sql_values(list((_VALUED | fixed.VALENCES).items()), 'lw, x')} ON lower(raw) = lw LEFT JOIN (SELECT * FROM {c.sql_values(list(fixed.BOOSTERS.items()), 'bw, boost')}) b ON lower(raw) = bw
+), seen AS (SELECT doc_id, i, low, known::DOUBLE AS known, boost, loud, {back}, count(*) FILTER (loud) OVER p > 0 AND count(*) FILTER (loud) OVER p < count(*) OVER p AS mixed, min(i) FILTER (low = 'but') OVER p AS but
+  FROM known WINDOW d AS (PARTITION BY doc_id ORDER BY i), p AS (PARTITION BY doc_id)
+), sums AS (SELECT doc_id, sum(CASE WHEN known IS NULL OR boost IS NOT NULL THEN 0 ELSE v * CASE WHEN i < but THEN 0.5 WHEN i > but THEN 1.5 ELSE 1 END END) AS s FROM {rows} GROUP BY doc_id
+), raised AS (SELECT doc_id, s, s + sign(s) * (least(length(t) - length(replace(t, '!', '')), 4) * 0.292 + CASE WHEN q <= 1 THEN 0 WHEN q <= 3 THEN q * 0.18 ELSE 0.96 END) AS x FROM (SELECT t.doc_id, t, coalesce(s, 0) AS s, length(t) - length(replace(t, '?', '')) AS q FROM t LEFT JOIN sums USING (doc_id)))
+SELECT doc_id, CASE WHEN s = 0 THEN 0.0 ELSE round(greatest(-1.0, least(1.0, x / sqrt(x * x + 15))), 4) END::DOUBLE AS sentiment_score FROM raised"""
 
 
 _T = "lower(concat_ws(' ', trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')), url))"
@@ -169,7 +215,7 @@ ORACLES = {
     "likely_company": f"WITH {_NAMES}, n AS (SELECT *, split_part(name, ' ', 1) AS short FROM names) SELECT id, {_LIKELY.replace('{n}', 'name').replace('{{', '{').replace('}}', '}')} AS long, {_LIKELY.replace('{n}', 'short').replace('{{', '{').replace('}}', '}')} AS short FROM n",
     "rejected_summary": f"WITH {_NAMES}, n AS (SELECT split_part(name, ' ', 1) AS short FROM names) SELECT short AS Rejected_Entity, count(*)::BIGINT AS Occurrence_Count, 'Not in company list' AS Reason FROM n WHERE NOT {_LIKELY.replace('{n}', 'short').replace('{{', '{').replace('}}', '}')} GROUP BY short",
     "company_enrich": f"WITH {_NAMES}, {_REGISTRY}, n AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'tk' || (id % 200) ELSE name END AS name FROM names), byname AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY source, name, ticker) AS p FROM registry WHERE norm <> '') WHERE p = 1) SELECT n.name AS input, coalesce(b.name, t.name) IS NOT NULL AS validated, coalesce(b.name, t.name) AS canonical_name, CASE WHEN b.name IS NOT NULL THEN b.cik ELSE t.cik END AS cik, CASE WHEN b.name IS NOT NULL THEN b.ticker ELSE t.ticker END AS ticker, CASE WHEN b.name IS NOT NULL THEN b.source ELSE t.source END AS source FROM (SELECT id, name, {_REG} AS norm FROM n) n LEFT JOIN byname b ON n.norm = b.norm LEFT JOIN registry t ON upper(n.name) = t.ticker",
-    "company_validate": f"WITH {_NAMES}, {_REGISTRY}, keys AS (SELECT DISTINCT norm FROM registry WHERE ends_with(ticker, '3') UNION SELECT lower(ticker) FROM registry WHERE ends_with(ticker, '3')) SELECT id, {_REG} IN (SELECT norm FROM keys) AS valid FROM names",
+    "company_validate": f"WITH {_NAMES}, {_REGISTRY}, keys AS (SELECT DISTINCT norm FROM registry UNION SELECT lower(ticker) FROM registry) SELECT id, {_REG} IN (SELECT norm FROM keys) AS valid FROM names",
     "entity_cascade": f"WITH {_NAMES}, dim AS (SELECT name AS en, (199 + row_number() OVER (ORDER BY name)) AS k FROM (SELECT DISTINCT name FROM names WHERE id % 3 = 0)), d AS (SELECT en, k, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'en'))} AS norm FROM dim), e AS (SELECT *, split_part(norm, ' ', 1) AS core FROM d), n AS (SELECT id, CASE WHEN id % 4 = 0 THEN split_part(name, ' ', 1) ELSE name END AS name FROM names), m AS (SELECT id, name, {_BRIDGE.replace('{low}', _LOW.replace('{n}', 'name'))} AS norm, string_split({_LOW.replace('{n}', 'name')}, ' ') AS words FROM n) SELECT id, coalesce((SELECT max(k) FROM e WHERE en = m.name), (SELECT max(k) FROM e WHERE e.norm = m.norm), CASE WHEN len(words) = 1 THEN (SELECT arg_min(k, length(en) * 1000000 + k) FROM e WHERE core = words[1]) ELSE (SELECT min(k) FROM e WHERE core = words[1]) END)::INT AS Entity_Key FROM m",
     "mention_count": f"SELECT doc_id, name, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest({c.sql_tokens("lower(coalesce(text, ''))")}) AS name FROM documents) WHERE name IN ('attion', 'thing', 'que') GROUP BY doc_id, name",
     "relevance_score": f"WITH {_SCORED} SELECT page_id, score, priority FROM routed",
@@ -180,5 +226,6 @@ ORACLES = {
       SELECT doc_id, {c.sql_tokens("lower(concat_ws(' ', text, ws[(doc_id % len(ws) + 1)::INT], ws[(doc_id * 7 % len(ws) + 1)::INT]))")} AS t FROM documents, o), s AS (
       SELECT d.doc_id, round(coalesce(sum(x), 0)::DOUBLE, 4) AS valence FROM d LEFT JOIN (SELECT doc_id, unnest(t) AS w FROM d) u ON d.doc_id = u.doc_id LEFT JOIN v ON u.w = v.w GROUP BY d.doc_id)
       SELECT doc_id, valence, CASE WHEN valence > 0.05 THEN 'positive' WHEN valence < -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM s""",
+    "vader_like_sentiment": _sentiment_sql(),
     "sentiment_stats": "SELECT count(s)::BIGINT AS n, round(sum(s), 6) AS total, round(avg(s), 6) AS mean, min(s) AS least, max(s) AS most, count(*) FILTER (s > 0.05)::BIGINT AS positive, count(*) FILTER (s < -0.05)::BIGINT AS negative, count(*) FILTER (s BETWEEN -0.05 AND 0.05)::BIGINT AS neutral FROM (SELECT value / 100 - 0.25 AS s FROM events)",
 }

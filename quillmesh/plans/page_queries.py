@@ -181,7 +181,7 @@ _PARAS = f"list_filter(list_transform(regexp_extract_all({_NOISE}, '(?is)<p\\b[^
 _LINKS = "SELECT DISTINCT page_id, CASE WHEN starts_with(u, '/') THEN host || u ELSE u END AS link FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS u FROM pages)"
 _DOUBLED = "doubled AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS link, 0 AS seen FROM pages UNION ALL SELECT page_id + 100000, regexp_replace(url, '[?#].*$', '') || '/', 1 FROM pages), firsts AS (SELECT * FROM (SELECT *, regexp_replace(link, '/$', '') AS k, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY seen, page_id) AS p FROM doubled) WHERE p = 1)"
 _ARTICLE = _STRIPTAGS.replace("{x}", f"regexp_extract({_NOISE}, '(?is)<article\\b[^>]*>(.*)</article>', 1)")
-_BODY = f"CASE WHEN length({_ARTICLE}) > 200 THEN {_ARTICLE} ELSE array_to_string(list_filter({_PARAS}, lambda q: NOT regexp_matches(q, '(?i)^(menu|navigation|share|follow|subscribe|read more|click here|home|about|contact)\\b')), chr(10) || chr(10)) END"
+_BODY = f"CASE WHEN length({_ARTICLE}) > 200 THEN {_ARTICLE} ELSE array_to_string(list_filter({_PARAS}, lambda q: NOT regexp_matches(q, '(?i)^(menu|navigation|share|follow|subscribe|read more|click here|home|about|contact)')), chr(10) || chr(10)) END"
 ORACLES = {
     "html_title": f"SELECT page_id, coalesce({_EL.replace('{tag}', 'h1')}, {_EL.replace('{tag}', 'title')}) AS title, nullif(regexp_extract(html, '(?i)<html[^>]*lang=[\"'']([^\"'']+)', 1), '') AS lang, CASE WHEN page_id % 2 = 0 THEN 'Ann ' ELSE 'Bob ' END || page_id AS author, strftime(DATE '2024-01-01' + (page_id % 300)::INT, '%Y-%m-%d') AS published FROM pages",
     "html_strip": f"SELECT page_id, {_STRIPTAGS.replace('{x}', 'html')} AS out FROM pages",

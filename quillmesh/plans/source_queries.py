@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quillmesh.functions import html, text
-from quillmesh.operators import entity, known, links, match, star, tags
+from quillmesh.functions import fixed, html, text
+from quillmesh.operators import elements, entity, known, links, match, star, tags
 from quillmesh.plans import collectors, pipelines
 from quillmesh.plans import common as c
 from quillmesh.plans.text_queries import _CONF_SQL
@@ -15,21 +15,18 @@ from quillmesh.plans.entity_queries import _NAMES, _REG, _REGISTRY, _names, _reg
 from quillmesh.session import shared_folder
 from quillmesh.sources import payloads, readers
 
-#: rows of a tag index: id, flag, name and up to six keywords
-TAG_ROWS = [
-    ("", "", "", "oncology", " cancer ", "tumor", "", "", ""),
-    ("D_01", "", "acquisition ", "", "", "", "", "", ""),
-    ("D_02", "Individually", "Thing series", "thes", "Thin", "thes", "", "", ""),
-    ("D_03", "", "ering therapy", "erin", "nan", "", "", "", ""),
-    ("D_04", "", "", "", "", "", "", "", ""),
-    ("D_05", "", "merger", "", "", "", "", "", ""),
-    ("D_06", "", "CAR-T", "cell", "", "", "", "", ""),
-]
+def _tag_rows(spark, sf):
+    """Rows of a tag index made of documents: their first words as names and keywords, every hundredth row general keywords."""
+    words = text.tokens(F.coalesce("text", F.lit("")))
+    d = _docs(spark, sf).select("doc_id", *[F.coalesce(F.get(words, i), F.lit("none")).alias(f"w{i}") for i in range(3)])
+    name = F.element_at(F.array(F.lit("acquisition "), F.concat("w0", F.lit(" series")), F.concat("w0", F.lit(" therapy")), F.lit("merger"), F.lit("CAR-T"), F.concat(F.lit(" "), "w0")), (F.col("doc_id") % 6 + 1).cast("int"))
+    rest = [F.lit("").alias(f"k{i}") for i in range(3, 7)]
+    general = F.col("doc_id") % 100 == 0
+    return d.select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, "Individually").otherwise("").alias("flag"), F.when(general, "").otherwise(name).alias("name"), F.upper("w1").alias("k1"), F.when(F.col("doc_id") % 3 == 0, "nan").otherwise(F.concat(F.lit(" "), "w2")).alias("k2"), *rest)
 
 
 def tag_definitions(spark, sf):
-    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(TAG_ROWS)], f"at int, {tags.LAYOUT}").orderBy("at").coalesce(1)
-    out = tags.define_tags(tags.tag_rows(rows))
+    out = tags.define_tags(tags.tag_rows(_tag_rows(spark, sf)))
     return out.select("tag", F.array_join("keywords", "|").alias("keywords"), "individual", "category", "domain")
 
 
@@ -117,7 +114,7 @@ def _feeds(spark, sf):
 
 def feed_fields(spark, sf):
     i = readers.parse_feed(_feeds(spark, sf), "xml", "page_id")
-    return i.select("page_id", "title", "link", "description", F.length("content").alias("n_content"), "author", F.date_format("published", "yyyy-MM-dd HH:mm").alias("published"), F.array_join("categories", ",").alias("categories"), F.array_join("enclosures", ",").alias("enclosures"))
+    return i.select("page_id", "title", "link", "description", "content", "author", F.date_format("published", "yyyy-MM-dd HH:mm").alias("published"), F.array_join("categories", ",").alias("categories"), F.array_join("enclosures", ",").alias("enclosures"))
 
 
 def _stored(spark, sf):
@@ -126,7 +123,7 @@ def _stored(spark, sf):
 
 def feed_collect(spark, sf):
     items = readers.parse_feed(_feeds(spark, sf), "xml")
-    return pipelines.collect(items, _stored(spark, sf), "Feed").select("link", "title", "author", F.length("extract").alias("n"), "source")
+    return pipelines.collect(items, _stored(spark, sf), "Feed").select("link", "title", "author", "extract", "source")
 
 
 def _fetched(spark, sf):
@@ -135,38 +132,72 @@ def _fetched(spark, sf):
 
 def feed_scrape(spark, sf):
     items = readers.parse_feed(_feeds(spark, sf), "xml")
-    return collectors.scraped_feed(items, _fetched(spark, sf), _stored(spark, sf), "Feed", least=9).select("link", "title", F.length("extract").alias("n"), "author")
+    return collectors.scraped_feed(items, _fetched(spark, sf), _stored(spark, sf), "Feed", least=9).select("link", "title", "extract", "author")
 
 
 def sitemap_collect(spark, sf):
     rule = ("Example", "example.com", [], ["/en/", "/fr/"], [r"/de/\d+$"], ["/fr/1"], 100, "")
     p = c.table(spark, sf, "pages")
     urls = p.select(F.regexp_replace("url", r"[?#].*$", "").alias("url"), F.when(F.col("page_id") % 3 == 0, "1999-01-01").when(F.col("page_id") % 3 == 1, "2024-01-01").alias("lastmod"))
-    return collectors.sitemap_articles(urls, _fetched(spark, sf), _stored(spark, sf), rule).select("link", "title", F.length("extract").alias("n"), "source")
-
-
-#: links with the source that takes them, none where no source does
-LINK_CASES = [
-    ("https://www.biospace.com/news/a", "BioSpace"), ("https://www.biospace.com/news/career-advice/a", None), ("https://biospace.com/about", None),
-    ("https://www.biospectrumasia.com/news/1", "BioSpectrum"), ("https://www.biospectrumasia.com/2024/05/x", "BioSpectrum"), ("https://www.biospectrumasia.com/x", None),
-    ("https://www.bioworld.com/articles/123-x", "BioWorld"), ("https://www.bioworld.com/articles/topic/9", None), ("https://www.bioworld.com/articles/1-x?v=preview", None),
-    ("https://www.businessweekly.co.uk/any", "Business Weekly"), ("https://www.businesswire.com/news/home/1", "Business Wire"), ("https://www.businesswire.com/rss/news/1", None),
-    ("https://cen.acs.org/pharma/articles/1", "C&EN"), ("https://cen.acs.org/content/cen/news/1", "C&EN"), ("https://cen.acs.org/about/articles", None),
-    ("https://www.europeanpharmaceuticalreview.com/article/1", "European Pharmaceutical Review"), ("https://www.europeanpharmaceuticalreview.com/news/1", None),
-    ("https://www.fda.gov/news-events/1", "FDA"), ("https://www.fiercebiotech.com/biotech/x", "Fierce Biotech"), ("https://www.fiercebiotech.com/tag/biotech/", None), ("https://www.fiercebiotech.com/x", None),
-    ("https://www.fiercepharma.com/x", "Fierce Pharma"), ("https://www.genengnews.com/topics/x", "GEN"), ("https://www.genengnews.com/page/2/", None), ("https://www.mdpi.com/1-2/3", "MDPI"),
-    ("https://www.nature.com/nbt/articles/1", "Nature Biotechnology"), ("https://www.nature.com/nbt/v1/n2/x", "Nature Biotechnology"), ("https://www.nature.com/articles/1", None),
-    ("https://www.pharmaceutical-technology.com/features/x", "Pharmaceutical Technology"), ("https://www.pharmaceutical-technology.com/2024/05/x", None),
-    ("https://www.thepharmaletter.com/insights/x", "The Pharma Letter"), ("https://www.thepharmaletter.com/news/search", None), ("https://pharmaphorum.com/opinion/x", "Pharmaphorum"), ("https://pharmaphorum.com/2024/05/x", None),
-    ("https://pharmatimes.com/2024/05/x", "PharmaTimes"), ("https://www.pharmavoice.com/news/x", "PharmaVoice"), ("https://www.pharmavoice.com/x", None), ("https://pmlive.com/pharma_news/x", "PMLive"), ("https://pmlive.com/2024/05/x", None),
-    ("https://www.prnewswire.com/news-releases/health-x", "PR Newswire"), ("https://www.prnewswire.com/news-releases/cars-x", None), ("https://www.statnews.com/2024/05/06/x", "STAT News"), ("https://www.statnews.com/x", None),
-    ("https://www.the-scientist.com/x", "The Scientist"), ("https://endpoints.news/x", "Endpoints News"), ("https://www.biopharmadive.com/news/x", "BioPharma Dive"), ("https://example.com/news/x", None), ("https://notbiospace.com/news/x", None),
-]
+    return collectors.sitemap_articles(urls, _fetched(spark, sf), _stored(spark, sf), rule).select("link", "title", "extract", "source")
+
+
+#: path beginnings under which pages are put on the hosts of the 24 sources
+_PATHS = ["/news/", "/article/", "/biotech/", "/2024/05/", "/tag/news/", "/articles/12-", "/nbt/articles/", "/content/cen/news/", "/news-releases/health/", "/about/"]
 
 
 def source_links(spark, sf):
-    urls = spark.createDataFrame([(u,) for u, _ in LINK_CASES], "link string")
-    return urls.select("link", links.source_of(F.col("link"))["source"].alias("source"))
+    """Pages put on the hosts of the 24 sources under ten path beginnings each."""
+    domains, paths = (F.array(*map(F.lit, x)) for x in ([s[1] for s in fixed.SOURCES], _PATHS))
+    k = F.col("page_id")
+    link = F.concat(F.lit("https://www."), F.element_at(domains, (k % len(fixed.SOURCES) + 1).cast("int")), F.explode(paths), F.regexp_replace("url", "^https?://[^/]*/", ""))
+    urls = c.table(spark, sf, "pages").select("page_id", link.alias("link"))
+    return urls.select("page_id", "link", links.source_of(F.col("link"))["source"].alias("source"))
+
+
+def _source_sql() -> str:
+    """Sources by rule: any of the parts or patterns (if there are some), all of the needed ones, none of the excluded."""
+    rules = []
+    for name, domain, all_of, any_of, patterns, none_of, _, _ in fixed.SOURCES:
+        tests = [f"regexp_matches(link, '^https?://([^/?#]*\\.)?{domain.replace('.', chr(92) + '.')}([/:?#]|$)')"]
+        tests += [f"contains(link, {c.quote(x)})" for x in all_of] + [f"NOT contains(link, {c.quote(x)})" for x in none_of]
+        some = [f"contains(link, {c.quote(x)})" for x in any_of] + [f"regexp_matches(link, {c.quote(x)})" for x in patterns]
+        rules.append(f"WHEN {' AND '.join(tests + ['(' + ' OR '.join(some) + ')'] * bool(some))} THEN {c.quote(name)}")
+    return f"""SELECT page_id, link, CASE {' '.join(rules)} END AS source FROM (
+      SELECT page_id, 'https://www.' || [{', '.join(c.quote(s[1]) for s in fixed.SOURCES)}][page_id % {len(fixed.SOURCES)} + 1] || unnest([{', '.join(map(c.quote, _PATHS))}]) || regexp_replace(url, '^https?://[^/]*/', '') AS link FROM pages)"""
+
+
+def source_bodies(spark, sf):
+    """Pages of the 24 sources: their paragraphs inside nested containers of the source, with advertisements and more around and between."""
+    p = c.table(spark, sf, "pages").select("page_id", F.concat_ws(" ", F.regexp_extract_all("html", F.lit(r"(?is)<p\b[^>]*>.*?</p>"), F.lit(0))).alias("ps"))
+    names = sorted(fixed.BODIES)
+    source = F.element_at(F.array(*map(F.lit, names)), (F.col("page_id") % len(names) + 1).cast("int"))
+    openings = {n: _opening(fixed.BODIES[n][0][-1]) if fixed.BODIES[n][0] else ("<article>", "</article>") for n in names}
+    first, last = (F.element_at(F.array(*[F.lit(openings[n][i]) for n in names]), (F.col("page_id") % len(names) + 1).cast("int")) for i in (0, 1))
+    noise = F.lit('<nav>menu <nav>inner</nav> menu</nav><div class="x ad">advert <div>in <div>it</div></div> more</div><script>if (a<b) "</div>"</script>')
+    page = F.concat(F.lit("<html><body><div>before<div>nested</div></div>"), first, noise, F.lit("<div><div>"), "ps", F.lit("</div>"), noise, F.lit("</div>"), last, F.lit("<div>after</div></body></html>"))
+    return elements.bodies(p.select("page_id", source.alias("source"), page.alias("html")), elements.rule_rows(spark)).select("page_id", "source", "body")
+
+
+def _opening(rule: str) -> tuple[str, str]:
+    """Tags that open and close what a rule names."""
+    under, tag, name, kind, attribute = elements.selector(rule)
+    own = "".join([f' id="{name}"' * bool(name), f' class="a {kind} b"' * bool(kind), f" {attribute}" * bool(attribute)])
+    return f"<{under}>" * bool(under) + f"<{tag or 'div'}{own}>", f"</{tag or 'div'}>" + f"</{under}>" * bool(under)
+
+
+def _bodies_sql() -> str:
+    """The text of the paragraphs where the source has containers; the long paragraphs where it has none; none below 100 characters."""
+    from quillmesh.plans.page_queries import _STRIPTAGS
+
+    names = sorted(fixed.BODIES)
+    held, longer = ([f(fixed.BODIES[n]) for n in names] for f in (lambda r: str(bool(r[0])).lower(), lambda r: str(r[2])))
+    parts = f"list_filter(list_transform(regexp_extract_all(ps, '(?is)<p\\b[^>]*>(.*?)</p>', 1), lambda q: {_STRIPTAGS.replace('{x}', 'q')}), lambda q: length(q) > more)"
+    return f"""SELECT page_id, source, CASE WHEN length(body) >= 100 THEN body END AS body FROM (
+      SELECT page_id, source, CASE WHEN held AND length(whole) > 200 THEN whole WHEN held THEN CASE WHEN under THEN parts END ELSE parts END AS body FROM (
+        SELECT *, {_STRIPTAGS.replace('{x}', 'ps')} AS whole, nullif(array_to_string({parts}, chr(10) || chr(10)), '') AS parts FROM (
+          SELECT page_id, array_to_string(regexp_extract_all(html, '(?is)<p\\b[^>]*>.*?</p>'), ' ') AS ps, [{', '.join(map(c.quote, names))}][page_id % {len(names)} + 1] AS source, [{', '.join(held)}][page_id % {len(names)} + 1] AS held,
+            [{', '.join(longer)}][page_id % {len(names)} + 1] AS more, [{', '.join(str(bool(fixed.BODIES[n][0] and elements.selector(fixed.BODIES[n][0][-1])[0] in ('article', 'main'))).lower() for n in names)}][page_id % {len(names)} + 1] AS under FROM pages)))"""
 
 
 def topic_filter(spark, sf):
@@ -187,7 +218,7 @@ def link_hash(spark, sf):
 
 def company_fuzzy(spark, sf):
     n = _names(spark, sf).select("id", F.when(F.col("id") % 2 == 0, F.substring("name", 1, 6)).otherwise(F.col("name")).alias("name"))
-    return entity.fuzzy_valid(n, _registry(spark, sf).where("ticker like '%3'")).select("id", "valid")
+    return entity.fuzzy_valid(n, _registry(spark, sf)).select("id", "valid")
 
 
 def entity_list(spark, sf):
@@ -202,7 +233,7 @@ def run_totals(spark, sf):
 
 def import_rows(spark, sf):
     d = _docs(spark, sf).select(F.when(F.col("doc_id") % 7 == 0, " ").otherwise(F.concat(F.lit("https://example.org/"), "doc_id")).alias("link"), F.coalesce("text", F.lit("")).alias("extract"), F.lit("2024-01-01").alias("date"), "source", F.lit(None).cast("string").alias("title"))
-    return collectors.merged_rows(collectors.importable(d)).select("Source", F.col("News link").alias("link"), "Headline", F.length("Body/abstract/extract").alias("n"))
+    return collectors.merged_rows(collectors.importable(d)).select("Source", F.col("News link").alias("link"), "Headline", F.col("Body/abstract/extract").alias("body"))
 
 
 def title_texts(spark, sf):
@@ -236,7 +267,7 @@ def market_articles(spark, sf):
     every = out[0]
     for more in out[1:]:
         every = every.unionByName(more)
-    return payloads.in_range(every, "1990-01-01", "2030-01-01").select("source", "title", "name", "date", "author", "link", F.when(F.length("extract") > 400, F.length("extract").cast("string")).otherwise(F.col("extract")).alias("extract"))
+    return payloads.in_range(every, "1990-01-01", "2030-01-01").select("source", "title", "name", "date", "author", "link", "extract")
 
 
 TAGS = [t for t in c.TAGS if t[0] != "idle"]
@@ -255,17 +286,17 @@ def _csv_star(spark, sf):
 
 
 def csv_star_fact(spark, sf):
-    return _csv_star(spark, sf)["Fact_Document"].select("Fact_ID", "Date_Key", "Source_Key", "Source_Name", "News_Link", "Sentiment_Score", F.length("Body_Text").alias("n"))
+    return _csv_star(spark, sf)["Fact_Document"].select("Fact_ID", "Date_Key", "Source_Key", "Source_Name", "News_Link", "Sentiment_Score", "Body_Text")
 
 
 def csv_star_entities(spark, sf):
     t = _csv_star(spark, sf)
-    return t["Bridge_Fact_Entity"].join(t["Dim_Entity"], "Entity_Key").groupBy("Entity_Key", "Entity_Name", "Entity_Type").agg(F.count("*").alias("facts"), F.count_if(F.col("Mention_Count") > 0).alias("mentioned"))
+    return t["Bridge_Fact_Entity"].join(t["Dim_Entity"], "Entity_Key").select("Fact_ID", "Entity_Key", "Entity_Name", "Entity_Type", "Mention_Count")
 
 
-QUERIES = {f.__name__: f for f in (tag_definitions, known_companies, article_entities, entity_frequency, vocab_indexes, vocab_counters, vocab_canonical, tags_by_confidence, feed_fields, feed_collect, feed_scrape, sitemap_collect, source_links, topic_filter, url_validation, link_hash, company_fuzzy, entity_list, run_totals, import_rows, title_texts, market_articles, csv_star_fact, csv_star_entities)}
+QUERIES = {f.__name__: f for f in (tag_definitions, known_companies, article_entities, entity_frequency, vocab_indexes, vocab_counters, vocab_canonical, tags_by_confidence, feed_fields, feed_collect, feed_scrape, sitemap_collect, source_links, source_bodies, topic_filter, url_validation, link_hash, company_fuzzy, entity_list, run_totals, import_rows, title_texts, market_articles, csv_star_fact, csv_star_entities)}
 
-_TITLE_CASE = "array_to_string([CASE WHEN i > 1 AND regexp_matches({n}[i-1:i-1], '\p{{L}}') THEN lower({n}[i:i]) ELSE upper({n}[i:i]) END FOR i IN range(1, length({n}) + 1)], '')"
+_TITLE_CASE = r"array_to_string([CASE WHEN i > 1 AND regexp_matches({n}[i-1:i-1], '\p{{L}}') THEN lower({n}[i:i]) ELSE upper({n}[i:i]) END FOR i IN range(1, length({n}) + 1)], '')"
 
 
 def _known_sql(names: list[str]) -> str:
@@ -286,7 +317,7 @@ hit AS (
 )"""
 
 
-_ENTITIES_SQL = f"""WITH {_known_sql(['attion', 'thing'])}, e AS (
+_ENTITIES_SQL = rf"""WITH {_known_sql(['attion', 'thing'])}, e AS (
   SELECT doc_id, 'Attion Inc.' AS name, 0.9 AS confidence, 0 AS f FROM documents WHERE doc_id % 3 = 0
   UNION ALL SELECT doc_id, 'Gamma Corp', 0.9, 0 FROM documents WHERE doc_id % 5 = 0
   UNION ALL SELECT doc_id, name, 0.7, 1 FROM known
@@ -305,8 +336,8 @@ _LINK = "regexp_replace(url, '[?#].*$', '')"
 _FEED_SQL = f"""f AS (
   SELECT page_id, {_LINK} AS link, page_id::VARCHAR AS n, page_id % 2 = 0 AS rss,
     'Page ' || page_id || CASE WHEN page_id % 2 = 0 THEN ' & more' ELSE '' END AS title,
-    length(rtrim('<p>Long text of page ' || page_id || '</p> ' || repeat('word ', (page_id % 40)::INT))) AS n_content,
-    length(rtrim('Long text of page ' || page_id || ' ' || repeat('word ', (page_id % 40)::INT))) AS n_bare,
+    rtrim('<p>Long text of page ' || page_id || '</p> ' || repeat('word ', (page_id % 40)::INT)) AS content,
+    rtrim('Long text of page ' || page_id || ' ' || repeat('word ', (page_id % 40)::INT)) AS bare,
     strftime(DATE '2024-03-01' + (page_id % 28)::INT, '%Y-%m-%d') AS d
   FROM pages
 ), fresh AS (
@@ -329,7 +360,7 @@ def _market_sql() -> str:
     parts = [
         ("'GDELT'", "'News ' || k", "'News ' || k", "d", "'example.org'", "u", "'News ' || k"),
         ("'EMA'", "'Drug ' || k", "'Drug ' || k", "d", "'European Medicines Agency'", "'https://www.ema.europa.eu/en/medicines/human/EPAR/drug-' || k", "'Drug ' || k || ': Active substance: N/A. Status: ' || CASE WHEN s = 'O' THEN 'Open' ELSE 'Authorized' END || '. Therapeutic area: N/A'"),
-        ("'Benzinga'", "'Market ' || k", "'Market ' || k", "d", "'Benzinga'", "u", "CASE WHEN least(500, 200 * (length(k) + 1)) > 400 THEN least(500, 200 * (length(k) + 1))::VARCHAR ELSE repeat(k || ' ', 200) END"),
+        ("'Benzinga'", "'Market ' || k", "'Market ' || k", "d", "'Benzinga'", "u", "left(repeat(k || ' ', 200), 500)"),
         ("'SEC EDGAR'", "'Company ' || k || ' - 8-K'", "'8-K: Company ' || k", "d", "'Company ' || k", "u", "'8-K filing by Company ' || k || ' (N/A). CIK: ' || k || '. Filed on ' || d || '. '"),
         ("'Polygon.io'", "'Ticker ' || k", "'Unknown'", "d", "'Polygon.io'", "u", "'Ticker ' || k"),
         ("'Yahoo Finance'", "'S' || k || ' Stock Update'", "'Name ' || k || ' Market Data'", "'2024-01-01'", "'Yahoo Finance'", "'https://finance.yahoo.com/quote/S' || k", f"'S' || k || ' (Name ' || k || '): Price: $N/A, Change: ' || printf('%.2f', v / 1000 + 1e-6) || '%, Market Cap: $' || {cap} || ', 52W High: $N/A, 52W Low: $N/A'"),
@@ -343,18 +374,30 @@ def _title_sql() -> str:
     from quillmesh.plans.page_queries import _EL
 
     t = f"coalesce({_EL.replace('{tag}', 'h1')}, {_EL.replace('{tag}', 'title')})"
-    return f"""SELECT page_id, t AS title, t || '.' AS body, 'Beam-On O''Neil ' || page_id AS cased, string_split_regex(t, '\\s+')[1] AS first, string_split_regex(t, '\\s+')[-1] AS last FROM (SELECT page_id, {t} AS t FROM pages)"""
-
-
+    return rf"""SELECT page_id, t AS title, t || '.' AS body, 'Beam-On O''Neil ' || page_id AS cased, string_split_regex(t, '\s+')[1] AS first, string_split_regex(t, '\s+')[-1] AS last FROM (SELECT page_id, {t} AS t FROM pages)"""
+
+
+_TAGS_SQL = f"""
+WITH w AS (SELECT doc_id, [coalesce(x, 'none') FOR x IN [ws[1], ws[2], ws[3]]] AS w FROM (SELECT doc_id, {c.sql_tokens("coalesce(text, '')")} AS ws FROM documents)
+), named AS (
+  SELECT doc_id, CASE WHEN doc_id % 100 = 0 THEN '' ELSE trim(['acquisition ', w[1] || ' series', w[1] || ' therapy', 'merger', 'CAR-T', ' ' || w[1]][(doc_id % 6 + 1)::INT]) END AS tag,
+    list_filter([CASE WHEN lower(x) IN ('nan', 'none', '') THEN '' ELSE lower(x) END FOR x IN [w[2], CASE WHEN doc_id % 3 = 0 THEN '' ELSE w[3] END]], lambda x: x <> '') AS own
+  FROM w
+), general AS (SELECT coalesce(list(DISTINCT k), []) AS g FROM (SELECT unnest(own) AS k FROM named WHERE tag = '')
+), tagged AS (
+  SELECT doc_id, tag, list_sort(list_distinct([lower(tag)] || own || CASE WHEN regexp_matches(lower(tag), '{'|'.join(fixed.THERAPY_TERMS)}') THEN (SELECT g FROM general) ELSE [] END || VARIED)) AS ks, doc_id % 2 = 0 AS individual
+  FROM named WHERE tag <> '' AND lower(tag) NOT IN ('nan', 'none')
+) SELECT tag, array_to_string(ks, '|') AS keywords, individual, CATEGORY AS category, DOMAIN AS domain FROM (SELECT *, lower(tag || ' ' || array_to_string(ks, ' ')) AS t FROM tagged)"""
+for _name, _sql in {
+    "VARIED": """CASE WHEN tag = 'acquisition' THEN ['acquire', 'acquired', 'acquires', 'buy', 'purchase', 'purchased'] WHEN tag = 'merger' THEN ['combine', 'combined', 'merge', 'merged', 'merges']
+    WHEN ends_with(tag, ' series') THEN ['series series', 'seriesseries', 'series round'] ELSE [] END""",
+    "CATEGORY": "CASE " + " ".join("WHEN " + " OR ".join(f"contains(t, {c.quote(m)})" for m in r[2]) + f" THEN {c.quote(r[0])}" for r in fixed.TAG_CATEGORIES) + " ELSE 'Other' END",
+    "DOMAIN": "CASE " + " ".join("WHEN " + " OR ".join(f"contains(t, {c.quote(m)})" for m in r[2]) + f" THEN {c.quote(r[1])}" for r in fixed.TAG_CATEGORIES) + " ELSE 'General' END",
+}.items():
+    _TAGS_SQL = _TAGS_SQL.replace(_name, _sql)
 _HASH = "list_reduce([0::BIGINT] || [unicode(x)::BIGINT FOR x IN string_split(url, '')], lambda h, x: (h * 31 + x) % 4294967296)"
 ORACLES = {
-    # the expected definitions, written out
-    "tag_definitions": """SELECT * FROM (VALUES
-      ('acquisition', 'acquire|acquired|acquires|acquisition|buy|purchase|purchased', false, 'Event', 'Business'),
-      ('Thing series', 'series round|series series|seriesseries|thes|thin|thing series', true, 'Other', 'General'),
-      ('ering therapy', 'cancer|erin|ering therapy|oncology|tumor', false, 'Therapy', 'Healthcare'),
-      ('merger', 'combine|combined|merge|merged|merger|merges', false, 'Event', 'Business'),
-      ('CAR-T', 'cancer|car-t|cell|oncology|tumor', false, 'Therapy', 'Healthcare')) AS v(tag, keywords, individual, category, domain)""",
+    "tag_definitions": _TAGS_SQL,
     "known_companies": f"WITH {_known_sql(COMPANIES)} SELECT doc_id, name, 0.7::DOUBLE AS confidence FROM known",
     "article_entities": f"{_ENTITIES_SQL} SELECT doc_id, norm, name, confidence FROM merged",
     "entity_frequency": f"{_ENTITIES_SQL} SELECT norm, count(*)::BIGINT AS documents FROM merged GROUP BY norm",
@@ -362,28 +405,31 @@ ORACLES = {
     "vocab_counters": f'WITH {_INDEX_SQL} SELECT ix AS "index", count(DISTINCT doc_id)::BIGINT AS documents FROM ix GROUP BY ix',
     "vocab_canonical": f"""WITH {_INDEX_SQL} SELECT doc_id, ix AS "index", string_agg(name, '; ' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, ix, name FROM ix) GROUP BY doc_id, ix""",
     "tags_by_confidence": f"WITH {c.HITS_SQL}, {_CONF_SQL} SELECT doc_id, string_agg(tag, '; ' ORDER BY round(confidence * 100)::INT DESC, tag) AS tags FROM conf GROUP BY doc_id",
-    "feed_fields": f"""WITH {_FEED_SQL} SELECT page_id, title, link, 'Short ' || n AS description, n_content::INT AS n_content, CASE WHEN rss THEN 'By Ann ' || n ELSE 'Bob' END AS author, d || ' 08:00' AS published,
+    "feed_fields": f"""WITH {_FEED_SQL} SELECT page_id, title, link, 'Short ' || n AS description, content, CASE WHEN rss THEN 'By Ann ' || n ELSE 'Bob' END AS author, d || ' 08:00' AS published,
       CASE WHEN rss THEN 'a,b' ELSE 'c' END AS categories, CASE WHEN rss THEN 'http://e/1.png' ELSE '' END AS enclosures FROM f""",
-    "feed_collect": f"""WITH {_FEED_SQL}, sized AS (SELECT *, CASE WHEN n_bare > 100 THEN n_bare ELSE length(title) END + 13 + CASE WHEN rss THEN 17 ELSE 14 END AS m FROM f),
-      firsts AS (SELECT *, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY d || CASE WHEN rss THEN 'T08:00:00+00:00' ELSE 'T08:00:00Z' END, title) AS p FROM sized WHERE m >= 50)
-      SELECT link, title, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author, m::INT AS n, 'Feed' AS source FROM firsts WHERE p = 1 AND regexp_replace(link, '/$', '') NOT IN (SELECT regexp_replace({_LINK}, '/$', '') FROM pages WHERE page_id % 4 = 0)""",
-    "feed_scrape": f"""WITH {_FEED_SQL}, {_pages_sql()}, j AS (SELECT fresh.*, coalesce(length(body), length('Short ' || n)) AS m FROM fresh LEFT JOIN pg ON regexp_replace(fresh.link, '/$', '') = pg.key)
-      SELECT link, title, m::INT AS n, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author FROM j WHERE m >= 9""",
+    "feed_collect": f"""WITH {_FEED_SQL}, sized AS (SELECT *, CASE WHEN length(bare) > 100 THEN bare ELSE title END || chr(10) || 'Source: Feed' || chr(10) || CASE WHEN rss THEN 'Categories: a, b' ELSE 'Categories: c' END AS extract FROM f),
+      firsts AS (SELECT *, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY d || CASE WHEN rss THEN 'T08:00:00+00:00' ELSE 'T08:00:00Z' END, title) AS p FROM sized WHERE length(extract) >= 50)
+      SELECT link, title, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author, extract, 'Feed' AS source FROM firsts WHERE p = 1 AND regexp_replace(link, '/$', '') NOT IN (SELECT regexp_replace({_LINK}, '/$', '') FROM pages WHERE page_id % 4 = 0)""",
+    "feed_scrape": f"""WITH {_FEED_SQL}, {_pages_sql()}, j AS (SELECT fresh.*, coalesce(body, 'Short ' || n) AS extract FROM fresh LEFT JOIN pg ON regexp_replace(fresh.link, '/$', '') = pg.key)
+      SELECT link, title, extract, CASE WHEN rss THEN 'Ann ' || n ELSE 'Bob' END AS author FROM j WHERE length(extract) >= 9""",
     "sitemap_collect": rf"""WITH {_pages_sql()}, u AS (SELECT DISTINCT {_LINK} AS link, CASE page_id % 3 WHEN 0 THEN '1999-01-01' WHEN 1 THEN '2024-01-01' END AS d FROM pages), ok AS (
         SELECT * FROM u WHERE regexp_matches(link, '^https?://([^/?#]*\.)?example\.com([/:?#]|$)') AND (contains(link, '/en/') OR contains(link, '/fr/') OR regexp_matches(link, '/de/[0-9]+$')) AND NOT contains(link, '/fr/1') AND coalesce(d, '2024') >= '2000'
       ), fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY regexp_replace(link, '/$', '') ORDER BY d NULLS FIRST, link) AS p FROM ok) WHERE p = 1 AND regexp_replace(link, '/$', '') NOT IN (SELECT regexp_replace({_LINK}, '/$', '') FROM pages WHERE page_id % 4 = 0))
-      SELECT fresh.link, ptitle AS title, length(body)::INT AS n, 'Example' AS source FROM fresh JOIN pg ON regexp_replace(fresh.link, '/$', '') = pg.key WHERE length(body) >= 100""",
-    "source_links": f"SELECT link, source FROM {c.sql_values(LINK_CASES, 'link, source')}",
+      SELECT fresh.link, ptitle AS title, body AS extract, 'Example' AS source FROM fresh JOIN pg ON regexp_replace(fresh.link, '/$', '') = pg.key WHERE length(body) >= 100""",
+    "source_links": _source_sql(),
+    "source_bodies": _bodies_sql(),
     "topic_filter": "SELECT doc_id, contains(t, 'attion') OR contains(t, 'the que') OR contains(t, 'ß') AS about FROM (SELECT doc_id, lower(concat_ws(' ', source, text)) AS t FROM documents)",
     "url_validation": rf"""SELECT original, cleaned, regexp_matches(cleaned, '^https?://[^/\s]+') AS valid, count(*)::BIGINT AS n FROM (SELECT original, CASE WHEN starts_with(original, '//') THEN 'https:' || original WHEN regexp_matches(original, '^https?://') THEN original ELSE 'https://' || original END AS cleaned
       FROM (SELECT CASE page_id % 4 WHEN 0 THEN regexp_replace(url, '^https?:', '') WHEN 1 THEN regexp_replace(url, '^https?://', '') WHEN 2 THEN 'https:// broken' ELSE url END AS original FROM pages)) GROUP BY original, cleaned""",
     "link_hash": f"SELECT page_id, abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END)::VARCHAR AS id FROM (SELECT page_id, {_HASH} AS h FROM pages)",
-    "company_fuzzy": f"WITH {_NAMES}, {_REGISTRY}, r AS (SELECT * FROM registry WHERE ends_with(ticker, '3')), n AS (SELECT id, {_REG} AS norm FROM (SELECT id, CASE WHEN id % 2 = 0 THEN left(name, 6) ELSE name END AS name FROM names)) SELECT id, norm <> '' AND EXISTS (SELECT 1 FROM r WHERE r.norm <> '' AND (contains(r.norm, n.norm) OR contains(n.norm, r.norm) OR lower(r.ticker) = n.norm)) AS valid FROM n",
+    "company_fuzzy": f"WITH {_NAMES}, {_REGISTRY}, r AS (SELECT * FROM registry), n AS (SELECT id, {_REG} AS norm FROM (SELECT id, CASE WHEN id % 2 = 0 THEN left(name, 6) ELSE name END AS name FROM names)) SELECT id, norm <> '' AND EXISTS (SELECT 1 FROM r WHERE r.norm <> '' AND (contains(r.norm, n.norm) OR contains(n.norm, r.norm) OR lower(r.ticker) = n.norm)) AS valid FROM n",
     "entity_list": "SELECT (199 + row_number() OVER (ORDER BY Entity_Name, Entity_Type))::INT AS Entity_Key, *, 'Healthcare' AS Entity_Domain FROM (SELECT DISTINCT c_name AS Entity_Name, 'Company' AS Entity_Type FROM customer UNION SELECT c_mktsegment, 'Segment' FROM customer)",
     "run_totals": "SELECT source, count(*) FILTER (length(coalesce(text, '')) >= 500)::BIGINT AS saved, count(*) FILTER (length(coalesce(text, '')) < 500)::BIGINT AS failed, count(*)::BIGINT AS total FROM documents GROUP BY source",
-    "import_rows": "SELECT source AS Source, 'https://example.org/' || doc_id AS link, '' AS Headline, length(text)::INT AS n FROM documents WHERE doc_id % 7 <> 0 AND length(text) > 10",
+    "import_rows": "SELECT source AS Source, 'https://example.org/' || doc_id AS link, '' AS Headline, text AS body FROM documents WHERE doc_id % 7 <> 0 AND length(text) > 10",
     "title_texts": _title_sql(),
     "market_articles": _market_sql(),
-    "csv_star_fact": "SELECT (999 + row_number() OVER (ORDER BY doc_id))::BIGINT AS Fact_ID, 20240203 AS Date_Key, [1, 3, -1, 2][(doc_id % 4 + 1)::INT]::INT AS Source_Key, ['BioSpace', 'STAT News', 'Unknown', 'Genome Post'][(doc_id % 4 + 1)::INT] AS Source_Name, 'https://example.org/' || doc_id AS News_Link, 0.5::DOUBLE AS Sentiment_Score, length(rtrim('body ' || coalesce(text, ''), ' '))::INT AS n FROM documents",
-    "csv_star_entities": f"WITH n AS (SELECT count(DISTINCT doc_id) AS a FROM (SELECT doc_id, unnest({c.sql_tokens("lower(coalesce(text, ''))")}) AS w FROM documents) WHERE w = 'attion'), g AS (SELECT count(*) AS a FROM documents WHERE doc_id % 2 = 0) SELECT 200 AS Entity_Key, 'Attion' AS Entity_Name, 'Company' AS Entity_Type, a::BIGINT AS facts, a::BIGINT AS mentioned FROM n UNION ALL SELECT 201, 'Gamma Corp', 'Company', a, 0 FROM g",
+    "csv_star_fact": "SELECT (999 + row_number() OVER (ORDER BY doc_id))::BIGINT AS Fact_ID, 20240203 AS Date_Key, [1, 3, -1, 2][(doc_id % 4 + 1)::INT]::INT AS Source_Key, ['BioSpace', 'STAT News', 'Unknown', 'Genome Post'][(doc_id % 4 + 1)::INT] AS Source_Name, 'https://example.org/' || doc_id AS News_Link, 0.5::DOUBLE AS Sentiment_Score, rtrim('body ' || coalesce(text, ''), ' ') AS Body_Text FROM documents",
+    "csv_star_entities": f"""WITH facts AS (SELECT *, (999 + row_number() OVER (ORDER BY doc_id))::BIGINT AS Fact_ID FROM documents)
+      SELECT Fact_ID, 200 AS Entity_Key, 'Attion' AS Entity_Name, 'Company' AS Entity_Type, count(*)::INT AS Mention_Count FROM (SELECT Fact_ID, unnest({c.sql_tokens("lower(coalesce(text, ''))")}) AS w FROM facts) WHERE w = 'attion' GROUP BY Fact_ID
+      UNION ALL SELECT Fact_ID, 201, 'Gamma Corp', 'Company', 0 FROM facts WHERE doc_id % 2 = 0""",
 }

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillmesh.functions import fixed
+from quillmesh.functions import fixed, text
 from quillmesh.functions.dates import ddmmyy, parse_date
-from quillmesh.functions.entities import source_type
+from quillmesh.functions.entities import source_type, tag_category
 from quillmesh.operators import match, star
 from quillmesh.plans import common as c
 
@@ -54,10 +54,19 @@ def dim_source(spark, sf):
     return star.dim_source(_articles(spark, sf), "source")
 
 
-def dim_tag(spark, sf):
+def _defined(spark):
+    """The tags of the keyword queries, in the order of their definition."""
     return star.dim_tag([t[:3] for t in c.TAGS], spark)
 
 
+def dim_tag(spark, sf):
+    """The words that documents begin with as tags, with their categories, in alphabetical order."""
+    word = F.get(text.tokens(F.lower(F.coalesce("text", F.lit("")))), 0)
+    tags = c.table(spark, sf, "documents").select(F.concat_ws(" ", word, F.when(F.col("doc_id") % 2 == 0, "therapy")).alias("tag")).where(word.isNotNull()).distinct()
+    kind = tag_category(F.col("tag"))
+    return star.dim_tag_rows(tags.select("tag", kind["category"].alias("category"), kind["domain"].alias("domain")), ["tag"])
+
+
 def dim_entity(spark, sf):
     rows = c.table(spark, sf, "customer").select(F.col("c_name").alias("Entity_Name"), F.lit("Company").alias("Entity_Type"), F.col("c_mktsegment").alias("Entity_Domain"))
     return star.dim_entity(rows.unionByName(c.table(spark, sf, "supplier").select(F.col("s_name").alias("Entity_Name"), F.lit("Company").alias("Entity_Type"), F.lit("SUPPLY").alias("Entity_Domain"))))
@@ -77,7 +86,7 @@ def _tags(spark, sf):
 
 
 def bridge_fact_tag(spark, sf):
-    return star.bridge_tag(_tags(spark, sf), dim_tag(spark, sf), "doc_id")
+    return star.bridge_tag(_tags(spark, sf), _defined(spark), "doc_id")
 
 
 def fact_tag_counts(spark, sf):
@@ -119,7 +128,7 @@ def tags_by_source(spark, sf):
     fact = fact_document(spark, sf).select((F.col("Fact_ID") - 1000).alias("at"), "Source_Type")
     order = c.table(spark, sf, "documents").select("doc_id")
     numbered = star.numbered(order, "at", ["doc_id"], 0)
-    bridge = bridge_fact_tag(spark, sf).join(F.broadcast(dim_tag(spark, sf)), "Tag_Key")
+    bridge = bridge_fact_tag(spark, sf).join(F.broadcast(_defined(spark)), "Tag_Key")
     return bridge.join(numbered, "doc_id").join(fact, "at").groupBy("Source_Type", "Tag_Category").agg(F.count("*").alias("links"), F.count_distinct("doc_id").alias("documents"), F.round(F.avg("Confidence_Score"), 6).alias("confidence"))
 
 
@@ -139,6 +148,12 @@ SELECT (999 + row_number() OVER (ORDER BY doc_id))::BIGINT AS Fact_ID, coalesce(
   year(coalesce(d, DATE '1900-01-01'))::INT AS Year, 'Q' || quarter(coalesce(d, DATE '1900-01-01')) AS Quarter, monthname(coalesce(d, DATE '1900-01-01')) AS Month, strftime(coalesce(d, DATE '1900-01-01'), '%Y-%m-%d') AS Date_String,
   {name} AS Source_Name, {type} AS Source_Type, headline AS Headline, body AS Body_Text, link AS News_Link, sentiment AS Sentiment_Score, 1 AS Document_Count
 FROM articles LEFT JOIN sources ON trim(articles.source) = sources.Source_Name"""
+
+
+def _kind_sql(i: int) -> str:
+    return "CASE " + " ".join("WHEN " + " OR ".join(f"contains(tag, {c.quote(m)})" for m in r[2]) + f" THEN {c.quote(r[i])}" for r in fixed.TAG_CATEGORIES) + f" ELSE {c.quote(('Other', 'General')[i])} END"
+
+
 _CODES = c.sql_values(list(fixed.SOURCE_CODES.items()), "name, code")
 
 QUERIES = {
@@ -149,7 +164,8 @@ QUERIES = {
 ORACLES = {
     "dim_time": f"WITH {_ARTICLES}, days AS (SELECT DISTINCT d FROM (SELECT ts::DATE AS d FROM events UNION ALL SELECT coalesce(d, DATE '1900-01-01') FROM articles)) {_TIME} FROM days",
     "dim_source": f"WITH {_ARTICLES} SELECT * FROM sources",
-    "dim_tag": f"SELECT Tag_Key, Tag_Name, Tag_Category, Tag_Domain FROM {_TAGDIM}",
+    "dim_tag": f"""WITH t AS (SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN w || ' therapy' ELSE w END AS tag FROM (SELECT doc_id, {c.sql_tokens("lower(coalesce(text, ''))")}[1] AS w FROM documents) WHERE w IS NOT NULL)
+      SELECT (9 + row_number() OVER (ORDER BY tag))::INT AS Tag_Key, tag AS Tag_Name, {_kind_sql(0)} AS Tag_Category, {_kind_sql(1)} AS Tag_Domain FROM t""",
     "dim_entity": "SELECT (199 + row_number() OVER (ORDER BY Entity_Name, Entity_Type, Entity_Domain))::INT AS Entity_Key, * FROM (SELECT DISTINCT c_name AS Entity_Name, 'Company' AS Entity_Type, c_mktsegment AS Entity_Domain FROM customer UNION SELECT s_name, 'Company', 'SUPPLY' FROM supplier)",
     "fact_document": f"WITH {_ARTICLES}" + _FACT.format(key="coalesce(Source_Key, -1)", name="coalesce(Source_Name, 'Unknown')", type="coalesce(Source_Type, 'Other')"),
     "fact_strict": f"WITH {_ARTICLES} SELECT Fact_ID, Source_Key, Source_Name, Source_Type FROM (" + _FACT.format(key="coalesce(Source_Key, 1)", name="coalesce(Source_Name, (SELECT Source_Name FROM sources WHERE Source_Key = 1))", type="coalesce(Source_Type, (SELECT Source_Type FROM sources WHERE Source_Key = 1))") + ")",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed, text
 from quillmesh.functions.entities import tag_category
-from quillmesh.operators import match
+from quillmesh.operators import lemmas, match, rewrite
 from quillmesh.plans import common as c
 
 SQL_DOC = "coalesce(text, '')"
@@ -24,13 +25,15 @@ def _sql(expr: str) -> str:
     return f"SELECT doc_id, {expr} AS out FROM documents"
 
 
-def _tag_frame(spark):
-    rows = [(n, k, n.endswith("series") or n.startswith("que")) for n, _, _, k in c.TAGS]
-    return spark.createDataFrame(rows, "tag string, keywords array<string>, individual boolean")
+def _tag_frame(spark, sf):
+    """Hosts as tags: the first words of their documents as keywords; hosts of even numbers are individual."""
+    first = F.get(text.tokens(F.coalesce("text", F.lit(""))), 0)
+    rows = _docs(spark, sf).where(first.isNotNull()).groupBy(F.col("source").alias("tag")).agg(F.array_sort(F.collect_set(first)).alias("keywords"))
+    return rows.withColumn("individual", F.regexp_extract("tag", "[0-9]+", 0).cast("int") % 2 == 0)
 
 
-TAG_ROWS = c.sql_values([(n, k, n.endswith("series") or n.startswith("que")) for n, _, _, k in c.TAGS], "tag, keywords, individual")
-FIRST_INDEX = [("I1", "attion"), ("I2", "thing"), ("I3", "que"), ("I4", "und"), ("I5", "ción")]
+TAG_ROWS = f"(SELECT source AS tag, list(DISTINCT w ORDER BY w) AS keywords, regexp_extract(source, '[0-9]+')::INT % 2 = 0 AS individual FROM (SELECT source, {c.sql_tokens(SQL_DOC)}[1] AS w FROM documents) WHERE w IS NOT NULL GROUP BY source)"
+RULES, SYNONYMS = 1000, 3000
 
 
 def _docs(spark, sf):
@@ -41,10 +44,11 @@ def match_keywords(spark, sf):
     return match.keyword_hits(_docs(spark, sf), c.VOCAB)
 
 
-def regex_keywords(spark, sf):
-    ascii_vocab = [(t, k) for t, k in c.VOCAB if k.isascii()]
-    norm = _docs(spark, sf).select("doc_id", F.regexp_replace(F.lower(doc()), "[^a-z]", " ").alias("text"))
-    return match.regex_hits(norm, ascii_vocab)
+def literal_keywords(spark, sf):
+    """Keywords with punctuation: the 200 pairs of words with a comma or full stop between that most documents hold."""
+    pairs = F.array_distinct(F.regexp_extract_all(F.lower(doc()), F.lit(r"(?<!\p{L})\p{L}++[.,] \p{L}+"), F.lit(0)))
+    common = _docs(spark, sf).select(F.explode(pairs).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "keyword").limit(200)
+    return match.literal_hits(_docs(spark, sf), common.select(F.substring_index("keyword", " ", 1).alias("tag"), "keyword"))
 
 
 def tag_confidence(spark, sf):
@@ -70,60 +74,116 @@ def vocab_index_ids(spark, sf):
     return match.matched_ids(_docs(spark, sf), c.VOCAB)
 
 
-def first_index_substring(spark, sf):
-    return _docs(spark, sf).select("doc_id", match.first_by_substring(doc(), FIRST_INDEX).alias("out"))
+def _ranked(spark, sf, most, longer=3):
+    """The words of more than so many letters that most documents hold: word, r from 0."""
+    words = F.array_distinct(text.tokens(F.lower(doc())))
+    counts = _docs(spark, sf).select(F.explode(words).alias("word")).where(F.length("word") > longer).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    return counts.select("word", (F.row_number().over(Window.orderBy(F.desc("n"), "word")) - 1).alias("r"))
 
 
-def consolidate_text(spark, sf):
-    ascii_text = F.regexp_replace(doc(), r"[^\x00-\x7F]", "x")
-    return _docs(spark, sf).select("doc_id", text.consolidate(ascii_text, c.RULES).alias("out"), text.detect(ascii_text, c.RULES).alias("keys"))
+def _ranked_sql(most, longer=3):
+    return f"SELECT w, row_number() OVER (ORDER BY n DESC, w) - 1 AS r FROM (SELECT w, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({c.sql_tokens(f'lower({SQL_DOC})')}) AS w FROM documents) WHERE length(w) > {longer} GROUP BY w) QUALIFY r < {most}"
+
+
+def first_index_substring(spark, sf):
+    """The first of 1,000 keywords that a text holds anywhere."""
+    index = _ranked(spark, sf, 2 * RULES, 6).where(f"r >= {RULES}")
+    first = rewrite.first_substring(index.select(F.col("r").alias("position"), F.concat(F.lit("I"), "r").alias("id"), F.col("word").alias("keyword")))
+    return _docs(spark, sf).select("doc_id", first(doc()).alias("out"))
 
 
-def _consolidate_sql() -> str:
-    expr = r"regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', 'x', 'g')"
-    out = expr
-    for i, (_, synonyms) in enumerate(c.RULES):
-        if synonyms:
-            out = f"regexp_replace({out}, '\\b({'|'.join(sorted(synonyms, key=len, reverse=True))})\\b', '__NORM_KEY_{i}__', 'gi')"
-    for i, (key, _) in enumerate(c.RULES):
-        out = f"replace({out}, '__NORM_KEY_{i}__', '[{key}]')"
-    keys = ", ".join(f"CASE WHEN regexp_matches({expr}, '(?i)\\b({'|'.join(s + [k] * (k not in s))})\\b') THEN '{k}' END" for k, s in c.RULES)
-    return f"SELECT doc_id, {out} AS out, concat_ws('; ', {keys}) AS keys FROM documents"
+def consolidate_text(spark, sf):
+    """1,000 rules of three synonyms each over whole texts."""
+    rule = F.col("r") % RULES
+    rules = _ranked(spark, sf, SYNONYMS).select(rule.alias("rule"), F.concat(F.lit("Rule "), rule).alias("key"), F.col("word").alias("synonym"), F.lit(True).alias("rewrites"))
+    change = rewrite.rewriter(rules)
+    return _docs(spark, sf).select("doc_id", change(doc()).alias("c")).select("doc_id", "c.out", "c.keys")
+
+
+_CONSOLIDATE = rf"""
+WITH ranked AS ({_ranked_sql(SYNONYMS)}), pieces AS (
+  SELECT doc_id, generate_subscripts(ps, 1) AS pos, unnest(ps) AS p FROM (SELECT doc_id, regexp_extract_all({SQL_DOC}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS ps FROM documents)
+), marked AS (SELECT doc_id, pos, p, r % {RULES} AS rule FROM pieces LEFT JOIN ranked ON lower(p) = w
+), outs AS (SELECT doc_id, string_agg(CASE WHEN rule IS NULL THEN p ELSE '[Rule ' || rule || ']' END, '' ORDER BY pos) AS out FROM marked GROUP BY doc_id
+), found AS (SELECT doc_id, string_agg('Rule ' || rule, '; ' ORDER BY rule) AS keys FROM (SELECT DISTINCT doc_id, rule FROM marked WHERE rule IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, coalesce(out, '') AS out, coalesce(keys, '') AS keys FROM documents LEFT JOIN outs USING (doc_id) LEFT JOIN found USING (doc_id)"""
+_LITERAL = rf"""
+WITH common AS (SELECT k, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower({SQL_DOC}), '\p{{L}}+[.,] \p{{L}}+')) AS k FROM documents) GROUP BY k ORDER BY n DESC, k LIMIT 200), held AS MATERIALIZED (SELECT doc_id, k, string_split(t, k) AS parts FROM (SELECT doc_id, lower({SQL_DOC}) AS t FROM documents) JOIN common ON contains(t, k))
+SELECT doc_id, split_part(k, ' ', 1) AS tag, k AS keyword FROM held
+WHERE len([i FOR i IN range(1, len(parts)) IF NOT regexp_matches(parts[i], '[\p{{L}}\p{{N}}_]$') AND NOT regexp_matches(parts[i + 1], '^[\p{{L}}\p{{N}}_]')]) > 0"""
+
+
+_EXCEPTIONS = [("men", "n", "man"), ("thes", "n", "the"), ("des", "n", "die")]
+
+
+def lemmatised_text(spark, sf):
+    """Nouns of a dictionary made from the table: words of three letters or more that two documents hold."""
+    words = _docs(spark, sf).select("doc_id", F.explode(F.filter(F.split(F.lower(doc()), r"\s+"), lambda w: w != "")).alias("word")).distinct()
+    known = words.where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n")).where("n >= 2").select("word", F.lit("n").alias("pos"))
+    table = lemmas.lemma_table(words, known, spark.createDataFrame(_EXCEPTIONS, "form string, pos string, lemma string"))
+    return lemmas.lemmatise(_docs(spark, sf).select("doc_id", F.lower(doc()).alias("text")), table)
+
+
+_RULE_SQL = " UNION ALL ".join(f"SELECT word, level + 1, left(form, length(form) - {len(old)}) || '{new}', place * 10 + {i} FROM forms WHERE ends_with(form, '{old}') AND level < 12 AND length(form) > {len(old)}" for i, (old, new) in enumerate(fixed.DETACHMENT["n"]))
+_LEMMA_SQL = rf"""
+WITH RECURSIVE toks AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM (SELECT doc_id, list_filter(string_split_regex(lower({SQL_DOC}), '[\s\x0B]+'), lambda w: w <> '') AS ws FROM documents)
+), known AS (SELECT word FROM (SELECT DISTINCT doc_id, word FROM toks) WHERE length(word) >= 3 GROUP BY word HAVING count(*) >= 2
+), special AS (SELECT * FROM {c.sql_values([(f, l) for f, _, l in _EXCEPTIONS], 'form, lemma')}
+), forms(word, level, form, place) AS (
+  SELECT DISTINCT word, 0, word, 0::HUGEINT FROM toks WHERE word NOT IN (SELECT form FROM special)
+  UNION ALL (SELECT * FROM ({_RULE_SQL}) AS made(word, level, form, place))
+), hits AS (
+  SELECT word, greatest(level, 1) AS level, form, CASE WHEN level = 0 THEN -1 ELSE place END AS place FROM forms WHERE form IN (SELECT word FROM known)
+  UNION ALL SELECT form, 1, form, -1 FROM special WHERE form IN (SELECT word FROM known)
+  UNION ALL SELECT form, 1, lemma, 0 FROM special WHERE lemma IN (SELECT word FROM known)
+), best AS (SELECT word, form AS lemma FROM hits QUALIFY row_number() OVER (PARTITION BY word ORDER BY level, length(form), place) = 1)
+SELECT d.doc_id, coalesce(t.text, '') AS text FROM documents d LEFT JOIN (SELECT doc_id, string_agg(coalesce(lemma, toks.word), ' ' ORDER BY pos) AS text FROM toks LEFT JOIN best ON toks.word = best.word GROUP BY doc_id) t ON d.doc_id = t.doc_id"""
 
 
 def individual_tag_split(spark, sf):
-    return match.expand_tags(_tag_frame(spark)).select("tag", F.array_join("keywords", ",").alias("keywords"))
+    return match.expand_tags(_tag_frame(spark, sf)).select("tag", F.array_join("keywords", ",").alias("keywords"))
 
 
 def tag_keyword_explode(spark, sf):
-    return match.keyword_rows(_tag_frame(spark))
+    return match.keyword_rows(_tag_frame(spark, sf))
+
+
+_MARKED = [*fixed.VARIATIONS, "car-t", "contract manufacturing", "series b", "biotech deal", "capital raise", "idle"]
 
 
 def tag_categories(spark, sf):
-    names = spark.createDataFrame([(n,) for n in list(fixed.VARIATIONS) + ["car-t", "contract manufacturing", "series b", "biotech deal", "capital raise", "idle"]], "tag string")
-    got = tag_category(F.lower("tag"))
-    return names.select("tag", got["category"].alias("category"), got["domain"].alias("domain"))
+    """Tags of a fixed name and the document's language and number."""
+    name = F.concat_ws(" ", F.element_at(F.array(*map(F.lit, _MARKED)), (F.col("doc_id") % len(_MARKED) + 1).cast("int")), "lang", "doc_id")
+    got = tag_category(F.lower(name))
+    return _docs(spark, sf).select(name.alias("tag"), got["category"].alias("category"), got["domain"].alias("domain"))
 
 
 def _categories_sql() -> str:
-    rows = [(n,) for n in list(fixed.VARIATIONS) + ["car-t", "contract manufacturing", "series b", "biotech deal", "capital raise", "idle"]]
-
     def case(i: int) -> str:
-        return "CASE " + " ".join("WHEN " + " OR ".join(f"contains(tag, {c.quote(m)})" for m in r[2]) + f" THEN {c.quote(r[i])}" for r in fixed.TAG_CATEGORIES) + f" ELSE {c.quote(('Other', 'General')[i])} END"
+        return "CASE " + " ".join("WHEN " + " OR ".join(f"contains(tag, {c.quote(m)})" for m in r[2]) + f" THEN {c.quote(r[0:2][i])}" for r in fixed.TAG_CATEGORIES) + f" ELSE {c.quote(('Other', 'General')[i])} END"
 
-    return f"SELECT tag, {case(0)} AS category, {case(1)} AS domain FROM {c.sql_values(rows, 'tag')}"
+    return f"SELECT tag, {case(0)} AS category, {case(1)} AS domain FROM (SELECT concat_ws(' ', [{', '.join(map(c.quote, _MARKED))}][doc_id % {len(_MARKED)} + 1], lang, doc_id) AS tag FROM documents)"
 
 
-_VARIED = ["Acquisition", "merger", "Biotech deal", "Series B", "dilutive financing", "phase 3", "nothing"]
+_VARIED = ["Acquisition", "merger", "{w} deal", "Series {w}", "{w} dilutive financing", "phase 3", "{w}"]
 
 
 def keyword_variations(spark, sf):
-    return spark.createDataFrame([(t,) for t in _VARIED], "tag string").select("tag", F.explode_outer(match.variations(F.col("tag"))).alias("keyword"))
+    """Tags made of each document's first word by seven patterns."""
+    w = F.coalesce(F.get(text.tokens(F.lower(doc())), 0), F.lit("none"))
+    tag = F.element_at(F.array(*[F.replace(F.lit(v), F.lit("{w}"), w) for v in _VARIED]), (F.col("doc_id") % len(_VARIED) + 1).cast("int"))
+    return _docs(spark, sf).select("doc_id", tag.alias("tag")).select("doc_id", "tag", F.explode_outer(match.variations(F.col("tag"))).alias("keyword"))
 
 
 def _variations_sql() -> str:
-    rows = [(t, fixed.VARIATIONS.get(t.lower()) or (fixed.DEAL_VARIATIONS if "deal" in t.lower() else ["series b", "seriesb", "b round"] if "series" in t.lower() else fixed.DILUTIVE_VARIATIONS if "dilutive" in t.lower() else [None])) for t in _VARIED]
-    return f"SELECT tag, unnest(keywords) AS keyword FROM {c.sql_values(rows, 'tag, keywords')}"
+    def strings(values: list[str]) -> str:
+        return "[" + ", ".join(map(c.quote, values)) + "]"
+
+    made = "[" + ", ".join(f"replace({c.quote(v)}, '{{w}}', w)" for v in _VARIED) + "]"
+    kinds = [strings(fixed.VARIATIONS["acquisition"]), strings(fixed.VARIATIONS["merger"]), strings(fixed.DEAL_VARIATIONS), "['series ' || w, 'series' || w, w || ' round']", strings(fixed.DILUTIVE_VARIATIONS), strings(fixed.VARIATIONS["phase 3"]) if "phase 3" in fixed.VARIATIONS else "[NULL]", "[NULL]"]
+    return f"""SELECT doc_id, tag, unnest(CASE k {' '.join(f'WHEN {i} THEN {v}' for i, v in enumerate(kinds))} END) AS keyword FROM (
+      SELECT doc_id, doc_id % {len(_VARIED)} AS k, w, {made}[doc_id % {len(_VARIED)} + 1] AS tag FROM (SELECT doc_id, coalesce({c.sql_tokens(f"lower({SQL_DOC})")}[1], 'none') AS w FROM documents))"""
 
 
 def ngram_phrases(spark, sf):
@@ -174,7 +234,8 @@ QUERIES = {
     "combined_text": combined_text,
     "split_columns": split_columns,
     "match_keywords": match_keywords,
-    "regex_keywords": regex_keywords,
+    "literal_keywords": literal_keywords,
+    "lemmatised_text": lemmatised_text,
     "ngram_phrases": ngram_phrases,
     "column_tags": column_tags,
     "tag_confidence": tag_confidence,
@@ -197,18 +258,19 @@ ORACLES = {
     "clean_boilerplate": _sql(_LONG),
     "clean_text": _sql(_CLEAN),
     "late_clean": _sql(c.sql_strip(c.sql_fold(f"lower({SQL_DOC})", fixed.LATE_MARKERS))),
-    "consolidate_text": _consolidate_sql(),
+    "consolidate_text": _CONSOLIDATE,
     "combined_text": f"SELECT doc_id, concat_ws(' ', nullif({c.sql_strip(_HEAD)}, ''), nullif({c.sql_strip(SQL_DOC)}, ''), CASE WHEN doc_id % 2 <> 0 AND {_HEAD} || '!' <> {SQL_DOC} THEN nullif({c.sql_strip(_HEAD + " || '!'")}, '') END) AS combined FROM documents",
     "split_columns": rf"SELECT doc_id, array_to_string(list_filter(list_transform(string_split_regex({SQL_DOC}, '[.\n;,|]'), lambda w: trim(w, ' ' || chr(9) || chr(11) || chr(12) || chr(13))), lambda w: w <> ''), '|') AS parts, lower(regexp_replace(source, '[^a-zA-Z0-9]', '_', 'g')) AS slug, lang, source AS author FROM documents",
     "match_keywords": f"WITH {c.HITS_SQL} SELECT * FROM hits",
-    "regex_keywords": f"SELECT DISTINCT doc_id, tag, keyword FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower({SQL_DOC}), '[^a-z]', ' ', 'g'), ' ')) AS keyword FROM documents) JOIN {c.sql_values([(t, k) for t, k in c.VOCAB if k.isascii()], 'tag, keyword')} USING (keyword)",
+    "literal_keywords": _LITERAL,
+    "lemmatised_text": _LEMMA_SQL,
     "ngram_phrases": _NGRAM_SQL,
     "column_tags": f"WITH {_COLUMN_SQL} SELECT * FROM bycol",
     "tag_confidence": f"WITH {c.HITS_SQL}, {_CONF_SQL} SELECT * FROM conf",
     "merged_tags": f"WITH {c.HITS_SQL}, {_CONF_SQL}, {_COLUMN_SQL} SELECT doc_id, tag, max(confidence) AS confidence FROM (SELECT * FROM conf UNION ALL SELECT doc_id, tag, 0.9::DOUBLE FROM bycol) GROUP BY doc_id, tag",
     "tag_frequency": f"WITH {c.HITS_SQL} SELECT tag, count(DISTINCT doc_id)::BIGINT AS documents FROM hits GROUP BY tag",
     "vocab_index_ids": f"WITH {c.HITS_SQL} SELECT d.doc_id, coalesce(ids, '') AS ids FROM documents d LEFT JOIN (SELECT doc_id, string_agg(tag, '; ' ORDER BY tag) AS ids FROM (SELECT DISTINCT doc_id, tag FROM hits) GROUP BY doc_id) h ON d.doc_id = h.doc_id",
-    "first_index_substring": "SELECT doc_id, CASE " + " ".join(f"WHEN contains(lower({SQL_DOC}), {c.quote(k)}) THEN '{i}'" for i, k in FIRST_INDEX) + " END AS out FROM documents",
+    "first_index_substring": f"WITH ranked AS ({_ranked_sql(2 * RULES, 6)}) SELECT doc_id, 'I' || min(r) AS out FROM documents LEFT JOIN ranked ON r >= {RULES} AND contains(lower({SQL_DOC}), w) GROUP BY doc_id",
     "individual_tag_split": f"SELECT unnest(CASE WHEN individual AND len(keywords) > 1 THEN keywords ELSE [tag] END) AS tag, unnest(CASE WHEN individual AND len(keywords) > 1 THEN keywords ELSE [array_to_string(keywords, ',')] END) AS keywords FROM {TAG_ROWS}",
     "tag_keyword_explode": f"SELECT tag, unnest(list_append(keywords, lower(tag))) AS keyword FROM {TAG_ROWS}",
     "tag_categories": _categories_sql(),

@@ -1,13 +1,12 @@
-"""Sinks: star tables, exports, incremental appends, replaced and upserted tables."""
+"""Sinks: star tables, exports, incremental appends, upserted tables (kept by `snapshots`)."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.operators.incremental import first_seen, link_key, new_rows, upsert
+from quillmesh.operators.incremental import link_key, new_rows
+from quillmesh.sources.snapshots import Table
 
 
 def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
@@ -36,36 +35,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header="true", quote='"', escape='"', quoteAll="true").csv(path)
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write beside a table, then put the new one in its place; df may read the table itself."""
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.format(fmt).option("header", "true").save(fresh)
-    jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(fresh)
-    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{fresh} could not be moved to {path}")
-
-
-def _there(spark: SparkSession, path: str) -> bool:
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
-
-
-def upsert_table(changes: DataFrame, path: str, key: str) -> None:
-    """Rows of a table with those of the same key replaced, the others added; the last by key order counts once."""
-    spark = changes.sparkSession
-    once = first_seen(changes, F.col(key), [F.xxhash64(*changes.columns)])
-    replace_table(upsert(spark.read.parquet(path), once, key) if _there(spark, path) else once, path)
+def upsert_table(changes: DataFrame, path: str, key: str, order: list[str]) -> None:
+    """A snapshot table with rows of the same key replaced, the others added; of several the last by the order columns counts."""
+    Table(changes.sparkSession, path, [key]).upsert(changes, order)
 
 
-def migrate(rows: DataFrame, path: str) -> DataFrame:
-    """Upsert articles by link and tell by source how many rows came, how many were fit to store."""
+def migrate(rows: DataFrame, path: str, order: list[str]) -> DataFrame:
+    """Upsert articles by link, the last by the order columns, and tell by source how many rows were fit to store and how many not."""
     fit = (F.coalesce(F.trim("link"), F.lit("")) != "") & (F.length("extract") > 10)
     totals = rows.groupBy("source").agg(F.count_if(fit).alias("stored"), F.count_if(~F.coalesce(fit, F.lit(False))).alias("skipped"))
-    upsert_table(rows.where(fit).withColumn("link", link_key(F.col("link"))), path, "link")
+    upsert_table(rows.where(fit).withColumn("link", link_key(F.col("link"))), path, "link", order)
     return totals
 
 

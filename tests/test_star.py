@@ -46,7 +46,8 @@ def test_matching(spark):
     docs = spark.createDataFrame([(1, "FDA approval of a phase 3 trial, approval!"), (2, "nothing"), (3, None)], "doc_id long, text string")
     vocab = [("fda approval", "fda approval"), ("phase", "phase 3"), ("approval", "approval")]
     assert {tuple(r) for r in match.keyword_hits(docs, vocab).collect()} == {(1, "fda approval", "fda approval"), (1, "phase", "phase 3"), (1, "approval", "approval")}
-    assert {r.tag for r in match.regex_hits(docs, [("m&a", "m&a"), ("phase", "phase 3")]).collect()} == {"phase"}
+    literal = spark.createDataFrame([("m&a", "m&a"), ("phase", "Phase 3"), ("mark", "trial, approval"), ("part", "rial")], "tag string, keyword string")
+    assert {tuple(r) for r in match.literal_hits(docs, literal).collect()} == {(1, "phase", "phase 3"), (1, "mark", "trial, approval")}
     assert {r.doc_id: r.ids for r in match.matched_ids(docs, vocab).collect()} == {1: "approval; fda approval; phase", 2: "", 3: ""}
     columns = spark.createDataFrame([(1, "acquisition; Cancer"), (2, " "), (3, None)], "doc_id long, matched_keywords string")
     by_column = match.column_tags(columns, [("acquisition", "acquire"), ("cancer", "tumor")])
