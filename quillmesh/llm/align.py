@@ -1,7 +1,7 @@
 """Alignment of two tokenizers: where their tokens end together, and which ids meet there.
 
-Vocabulary A is byte-level BPE (read from a tokenizer file), vocabulary B a
-SentencePiece model. A gets a space and the text, B the text, before which it
+Vocabulary A is byte-level BPE (read from a tokenizer file and encoded by
+`byte_bpe`), vocabulary B a SentencePiece model (encoded by its library). A gets a space and the text, B the text, before which it
 puts the space itself; both then spell the same bytes. All documents of an Arrow
 slice are laid end to end: the ends of A's and of B's tokens are counted once by
 byte offset, a cut is where both counts are set, and prefix sums over the offsets
@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.byte_bpe import Coder, class_table
 from quillmesh.llm.common import keep, scan, state, texts
-from quillmesh.llm.pieces import BYTE, MODEL, SPACE, Pieces, read_model
-from quillmesh.llm.sentencepiece_fst import Transducer, compile_model
+from quillmesh.llm.pieces import BYTE, MODEL, SPACE, Pieces, parse_model, read_bytes
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 MAX_TOKENIZER_BYTES = 64_000_000
@@ -87,44 +86,46 @@ def link_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
 class Vocabularies:
     a: dict[bytes, int]
     classes: np.ndarray
-    compiled: object
+    model: bytes
     b: list[bytes]
     pairs: np.ndarray
 
 
 def read_vocabularies(a_path: str, b_path: str) -> Vocabularies:
-    a, model = read_tokenizer(a_path), read_model(b_path)
+    a, data = read_tokenizer(a_path), read_bytes(b_path)
     tokens = [b""] * (max(a.values()) + 1)
     for token, i in a.items():
         tokens[i] = token
-    b = piece_bytes(model)
-    return Vocabularies(a, class_table(), compile_model(model), b, link_pairs(tokens, b))
+    b = piece_bytes(parse_model(data))
+    return Vocabularies(a, class_table(), data, b, link_pairs(tokens, b))
 
 
 class Aligner:
     """Both encoders, and the alignment of many documents at once."""
 
     def __init__(self, v: Vocabularies) -> None:
-        self.a, self.b, self.spelled, self.pairs = Coder(v.a, v.classes), Transducer(v.compiled), v.b, v.pairs
+        from sentencepiece import SentencePieceProcessor
+
+        self.a, self.b, self.spelled, self.pairs = Coder(v.a, v.classes), SentencePieceProcessor(model_proto=v.model), v.b, v.pairs
         self.length = np.array([len(t) for t in v.b], np.int64)
         n_a, n_b = len(self.a.tokens), len(v.b)
         self.shift = np.array([0, n_a, 2 * n_a, 2 * n_a + n_b])
         #: an id with the sign after it: A in a group, A at its end, B in a group, B at its end
         self.written = [f"{i}{sign}" for n, sign in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
 
-    def spells(self, ids: np.ndarray, text: bytes) -> bool:
-        return b"".join(map(self.spelled.__getitem__, ids.tolist())) == b" " + text
+    def spells(self, ids: list[int], text: bytes) -> bool:
+        return b"".join(map(self.spelled.__getitem__, ids)) == b" " + text
 
     def align(self, raw: list[bytes | None]) -> dict[str, list]:
         n = len(raw)
         strings = [(t or b"").decode("utf-8", "replace") for t in raw]
-        b_ids = [np.frombuffer(self.b.encode(s), self.b.dtype) for s in strings]
+        b_ids = self.b.encode(strings, num_threads=1)
         good = [k for k in range(n) if raw[k] and strings[k].encode() == raw[k] and self.spells(b_ids[k], raw[k])]
         out = {"n_a": [0] * n, "n_b": [0] * n, "n_groups": [0] * n, "groups": [""] * n, "links": [b""] * n}
         if not good:
             return out
         a, _ = self.a.batch([" " + strings[k] for k in good])
-        a, b = a.astype(np.int64), np.concatenate([b_ids[k] for k in good]).astype(np.int64)
+        a, b = a.astype(np.int64), np.array([i for k in good for i in b_ids[k]], np.int64)
         stops = np.cumsum([len(raw[k]) + 1 for k in good])
         a_ends, b_ends = np.cumsum(self.a.length[a]), np.cumsum(self.length[b])
         a_at, b_at = (np.bincount(e, minlength=stops[-1] + 1) for e in (a_ends, b_ends))

@@ -63,11 +63,15 @@ def read_rules(blob: bytes) -> dict[str, str]:
     return rules
 
 
-def read_model(path: str = MODEL) -> Pieces:
+def read_bytes(path: str = MODEL) -> bytes:
     if (size := os.path.getsize(path)) > MAX_MODEL_BYTES:
         raise ValueError(f"{path} has {size} bytes; at most {MAX_MODEL_BYTES} are broadcast")
     with open(path, "rb") as f:
-        return parse_model(f.read())
+        return f.read()
+
+
+def read_model(path: str = MODEL) -> Pieces:
+    return parse_model(read_bytes(path))
 
 
 def parse_model(data: bytes) -> Pieces:
