@@ -38,7 +38,7 @@ KINDS = [("assign", ASSIGN, 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "
 TOKEN = "[A-Za-z0-9+/_=-]{16,}"
 #: tokens too short to be judged, if the character after them is known
 SHORT = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{2,15}(?=[^A-Za-z0-9+/_=-])"
-HEAD = 300
+SAMPLE_DOCS = 20_000
 #: most weight of the corpus against the generated samples, by label (0 ordinary, 1 random)
 SHARES = (10.0, 1.0)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -67,10 +67,11 @@ def _named(kind: int, least: int, column: str) -> Column:
     return F.transform(long, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base, tokens (those that overlap no base span) and short (ordinary samples) per row."""
+def base_spans(docs: DataFrame, share: float = 1.0) -> DataFrame:
+    """doc_id, base, tokens (those that overlap no base span) and short (ordinary samples, of a share of the rows) per row."""
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = found.select("doc_id", *[located(F.col("text"), pattern, group).alias(f"k{i}") for i, (_, pattern, group, _) in enumerate(KINDS)], located(F.col("text"), TOKEN).alias("tokens"), F.regexp_extract_all(F.regexp_replace(F.substring("text", 1, HEAD), ASSIGN, " "), F.lit(SHORT), F.lit(0)).alias("short"))
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))
+    found = found.select("doc_id", *[located(F.col("text"), pattern, group).alias(f"k{i}") for i, (_, pattern, group, _) in enumerate(KINDS)], located(F.col("text"), TOKEN).alias("tokens"), F.when(chosen, F.regexp_extract_all(F.regexp_replace("text", ASSIGN, " "), F.lit(SHORT), F.lit(0))).alias("short"))
     found = found.select("doc_id", F.array_sort(F.concat(*[_named(i, least, f"k{i}") for i, (_, _, _, least) in enumerate(KINDS)])).alias("base"), "tokens", "short")
     apart = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return found.select("doc_id", "base", apart.alias("tokens"), "short")
@@ -136,13 +137,15 @@ def _joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_secrets(docs: DataFrame, min_llr: float = 12.0, seeds: int = 2000, samples: DataFrame | None = None) -> DataFrame:
+def find_secrets(docs: DataFrame, min_llr: float = 12.0, seeds: int = 2000, samples: DataFrame | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_model, base_sha256, spans, and found (array of start, kind, end, value).
 
     samples: labelled (value, label) rows to train from instead of the corpus and the seeds.
+    sample_docs: about how many documents give ordinary samples, the bound of the training sample.
     """
     spark = docs.sparkSession
-    rows = keep(base_spans(docs), "secrets")
+    share = 0.0 if samples is not None else min(1.0, sample_docs / max(1, docs.count()))
+    rows = keep(base_spans(docs, share), "secrets")
     if samples is None:
         caught = rows.select(F.explode("base.value").alias("value")).select(F.regexp_extract("value", "^[A-Za-z0-9+/_=-]+", 0).alias("value"), F.lit(1).alias("label"))
         others = rows.select(F.explode("short").alias("value")).select("value", F.lit(0).alias("label"))
