@@ -56,6 +56,21 @@ def validated(links: DataFrame, column: str = "url") -> DataFrame:
     return links.select(F.col(column).alias("original"), cleaned.alias("cleaned"), valid_url(cleaned).alias("valid"))
 
 
+def by_access(links: DataFrame, statuses: DataFrame | None = None, column: str = "url") -> DataFrame:
+    """original, cleaned, kind: 'invalid', 'inaccessible' or 'valid'.
+
+    statuses: url, status of links that a job has asked for; below 400 is accessible,
+    and so is a link with any such answer. Without them every well-formed link is
+    valid; with them a link that was never asked for is inaccessible.
+    """
+    rows = validated(links, column)
+    if statuses is None:
+        return rows.select("original", "cleaned", F.when(F.col("valid"), "valid").otherwise("invalid").alias("kind"))
+    answered = statuses.groupBy(F.col("url").alias("cleaned")).agg(F.max(F.col("status").between(200, 399)).alias("_open"))
+    kind = F.when(~F.col("valid"), "invalid").when(F.coalesce("_open", F.lit(False)), "valid").otherwise("inaccessible")
+    return rows.join(answered, "cleaned", "left").select("original", "cleaned", kind.alias("kind"))
+
+
 def link_hash(link: Column) -> Column:
     """A link's id: h = 31 * h + c over its UTF-16 units in 32 bits, without the sign; nothing for nothing."""
     two = F.lit(1 << 32)

@@ -73,14 +73,22 @@ def dim_tag(tags: list[tuple[str, str, str]], spark) -> DataFrame:
 
 
 def document_ids(docs: DataFrame, source: str, date: str, order: list) -> DataFrame:
-    """docs with Document_ID: N, source code, ddMMyy, running number of three digits or more."""
+    """docs with Document_ID: N, source code, ddMMyy, running number of three digits or more.
+
+    The columns of the order must tell rows apart; rows that tie share a number.
+    Numbers come from one range-partitioned sort over source, day and order, so a
+    day with very many documents of one source is spread over tasks.
+    """
     codes = F.create_map(*[F.lit(x) for pair in fixed.SOURCE_CODES.items() for x in pair])
     base = docs.withColumn("_code", codes[F.lower(F.trim(source))])
-    base = base.withColumn("_base", F.when(F.col("_code").isNotNull() & ~F.coalesce(F.col(source).rlike("^[0-9]+$"), F.lit(True)), F.concat(F.lit("N"), "_code", ddmmyy(F.col(date)))))
-    number = F.row_number().over(Window.partitionBy("_base").orderBy(*order))
-    # rows of unknown sources get no number, so they stay out of the window
-    known = base.where("_base is not null").withColumn("Document_ID", F.concat("_base", F.format_string("%03d", number)))
-    return known.unionByName(base.where("_base is null").withColumn("Document_ID", F.lit(""))).drop("_code", "_base")
+    known = F.col("_code").isNotNull() & ~F.coalesce(F.col(source).rlike("^[0-9]+$"), F.lit(True))
+    base = base.withColumn("_base", F.when(known, F.concat(F.lit("N"), "_code", ddmmyy(F.col(date))))).drop("_code")
+    keys = numbered(base.where("_base is not null").select("_base", *order).distinct(), "_number", ["_base", *order], 0)
+    first = keys.groupBy("_base").agg(F.min("_number").alias("_first"))
+    ids = keys.join(first, "_base").select(*order, F.concat("_base", F.format_string("%03d", F.col("_number") - F.col("_first") + 1)).alias("Document_ID"))
+    same = reduce(lambda a, b: a & b, [ids[c].eqNullSafe(base[c]) for c in order])
+    out = base.join(ids, same & base["_base"].isNotNull(), "left")
+    return out.select(*[base[c] for c in docs.columns], F.coalesce(ids["Document_ID"], F.lit("")).alias("Document_ID"))
 
 
 def fact_rows(articles: DataFrame, sources: DataFrame, order: list, strict_compat: bool = False) -> DataFrame:

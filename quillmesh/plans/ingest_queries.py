@@ -11,6 +11,7 @@ from quillmesh.plans import collectors, entity_queries
 from quillmesh.plans import common as c
 from quillmesh.plans.source_queries import _FEED_SQL, _feeds, _fetched, _pages_sql, _stored
 from quillmesh.sources import paged, readers, rejects, sinks, sitemaps
+from quillmesh.session import work_folder
 from quillmesh.streaming import ingest, status
 
 PATIENCE = 6 * 3600
@@ -24,7 +25,7 @@ def stream_status(spark, sf):
     found = n % 5 == 0
     detail = F.when(found, F.element_at(F.array(*map(F.lit, ("high", "medium", "low"))), (n / 5 % 3 + 1).cast("int"))).when(n % 3 == 0, "enough").otherwise("short")
     events = e.select(F.concat(F.lit("u"), "user_id").alias("link"), F.col("ts").cast("timestamp").alias("at"), n.alias("number"), F.when(found, "found").otherwise("read").alias("kind"), detail.alias("detail"))
-    out, checkpoint = ingest.work_dir(spark, "stream-out"), ingest.work_dir(spark, "stream-state")
+    out, checkpoint = work_folder(spark, "stream-out"), work_folder(spark, "stream-state")
     ingest.run_available(status.transitions(events, PATIENCE), out, checkpoint)
     return spark.read.schema(status.TRANSITION).parquet(out)
 
@@ -50,7 +51,7 @@ def csv_rejects(spark, sf):
     k = F.col("doc_id") % 10
     columns = [F.col("doc_id").cast("string"), F.col("lang"), F.concat(F.lit('"a, '), "source", F.lit('"'))]
     line = F.when(k == 0, F.concat_ws(",", *columns[:2])).when(k == 1, F.concat_ws(",", *columns, F.lit("more"))).when(k == 2, " ,,").when(k == 3, "id,lang,source").otherwise(F.concat_ws(",", *columns))
-    path = ingest.work_dir(spark, "lines")
+    path = work_folder(spark, "lines")
     c.table(spark, sf, "documents").select(line.alias("value")).write.text(path)
     good, bad = rejects.split_rows(rejects.read_checked(spark, path, "id string, lang string, source string", multiline=False, header=False))
     return good.select("id", "lang", "source", F.lit(None).cast("string").alias("reason")).unionByName(bad.select(F.col("text").alias("id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), "reason"))
@@ -64,7 +65,7 @@ def _land(rows, folder: str) -> None:
 
 def paged_orders(spark, sf):
     """Orders landed as pages of 200, read back by the source of paged services."""
-    folder = ingest.work_dir(spark, "pages").removeprefix("file://")
+    folder = work_folder(spark, "pages").removeprefix("file://")
     os.makedirs(folder)
     o = c.table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 200).cast("int").alias("page"), F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_totalprice").alias("price")).alias("item"))
     o.groupBy("page").agg(F.collect_list("item").alias("items")).foreachPartition(lambda rows: _land(rows, folder))

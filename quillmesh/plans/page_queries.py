@@ -8,6 +8,7 @@ from quillmesh.functions import html, text
 from quillmesh.operators import incremental
 from quillmesh.plans import common as c
 from quillmesh.sources import sinks
+from quillmesh.session import work_folder
 from quillmesh.streaming import ingest
 
 HTML = "html"
@@ -153,7 +154,7 @@ def price_text(spark, sf):
 def stream_dedup_available_now(spark, sf):
     """Pages read as a stream, every link twice (once with a slash more), deduplicated by link; the sink's keys."""
     schema = _pages(spark, sf).schema
-    out, checkpoint = ingest.work_dir(spark, "stream-out"), ingest.work_dir(spark, "stream-state")
+    out, checkpoint = work_folder(spark, "stream-out"), work_folder(spark, "stream-state")
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/pages.parquet*")
     base = F.regexp_replace("url", "/$", "")
     links = source.select(F.explode(F.array(base, F.concat(base, F.lit("/")))).alias("link"))
@@ -164,7 +165,7 @@ def stream_dedup_available_now(spark, sf):
 def stream_windowed(spark, sf):
     """Events per hour as a stream; closed windows only."""
     schema = c.table(spark, sf, "events").schema
-    out, checkpoint = ingest.work_dir(spark, "stream-out"), ingest.work_dir(spark, "stream-state")
+    out, checkpoint = work_folder(spark, "stream-out"), work_folder(spark, "stream-state")
     source = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     ingest.run_available(ingest.windowed_counts(source.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type"), out, checkpoint)
     return spark.read.schema("start timestamp, event_type string, n long").parquet(out)

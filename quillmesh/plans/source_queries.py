@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed, html, text
@@ -12,7 +10,7 @@ from quillmesh.plans import collectors, pipelines
 from quillmesh.plans import common as c
 from quillmesh.plans.text_queries import _CONF_SQL
 from quillmesh.plans.entity_queries import _NAMES, _REG, _REGISTRY, _names, _registry
-from quillmesh.session import shared_folder
+from quillmesh.session import work_folder
 from quillmesh.sources import payloads, readers
 
 def _tag_rows(spark, sf):
@@ -22,7 +20,7 @@ def _tag_rows(spark, sf):
     name = F.element_at(F.array(F.lit("acquisition "), F.concat("w0", F.lit(" series")), F.concat("w0", F.lit(" therapy")), F.lit("merger"), F.lit("CAR-T"), F.concat(F.lit(" "), "w0")), (F.col("doc_id") % 6 + 1).cast("int"))
     rest = [F.lit("").alias(f"k{i}") for i in range(3, 7)]
     general = F.col("doc_id") % 100 == 0
-    return d.select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, "Individually").otherwise("").alias("flag"), F.when(general, "").otherwise(name).alias("name"), F.upper("w1").alias("k1"), F.when(F.col("doc_id") % 3 == 0, "nan").otherwise(F.concat(F.lit(" "), "w2")).alias("k2"), *rest)
+    return d.select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, "Individually").otherwise("").alias("flag"), F.when(general, "").otherwise(name).alias("name"), F.concat(F.lit(" "), "w1").alias("k1"), F.when(F.col("doc_id") % 3 == 0, "nan").otherwise(F.concat(F.lit(" "), "w2")).alias("k2"), *rest)
 
 
 def tag_definitions(spark, sf):
@@ -150,8 +148,8 @@ def source_links(spark, sf):
     """Pages put on the hosts of the 24 sources under ten path beginnings each."""
     domains, paths = (F.array(*map(F.lit, x)) for x in ([s[1] for s in fixed.SOURCES], _PATHS))
     k = F.col("page_id")
-    link = F.concat(F.lit("https://www."), F.element_at(domains, (k % len(fixed.SOURCES) + 1).cast("int")), F.explode(paths), F.regexp_replace("url", "^https?://[^/]*/", ""))
-    urls = c.table(spark, sf, "pages").select("page_id", link.alias("link"))
+    link = F.concat(F.lit("https://www."), F.element_at(domains, (k % len(fixed.SOURCES) + 1).cast("int")), "path", F.regexp_replace("url", "^https?://[^/]*/", ""))
+    urls = c.table(spark, sf, "pages").select("page_id", "url", F.explode(paths).alias("path")).select("page_id", link.alias("link"))
     return urls.select("page_id", "link", links.source_of(F.col("link"))["source"].alias("source"))
 
 
@@ -212,6 +210,16 @@ def url_validation(spark, sf):
     return out.groupBy("original", "cleaned", "valid").agg(F.count("*").alias("n"))
 
 
+def url_access(spark, sf):
+    """Pages' links with the answers that a job got: 200, 302, 404, 503, or none; some links are broken."""
+    p = c.table(spark, sf, "pages")
+    k = F.col("page_id") % 6
+    answers = p.where("page_id % 6 < 4").select("url", F.element_at(F.array(*map(F.lit, (200, 302, 404, 503))), (k + 1).cast("int")).alias("status"))
+    shown = p.select(F.when(k == 5, F.concat(F.lit("https:// "), "page_id")).otherwise(F.regexp_replace("url", "^https?:", "")).alias("url"))
+    secure = answers.select(F.regexp_replace("url", "^https?:", "https:").alias("url"), "status")
+    return links.by_access(shown, secure)
+
+
 def link_hash(spark, sf):
     return c.table(spark, sf, "pages").select("page_id", links.link_hash(F.col("url")).alias("id"))
 
@@ -275,7 +283,7 @@ TAGS = [t for t in c.TAGS if t[0] != "idle"]
 
 def _csv_star(spark, sf):
     """Documents written as a file of cleaned articles and read back into the star tables."""
-    path = f"{shared_folder(spark)}/articles-{uuid.uuid4().hex}"
+    path = work_folder(spark, "articles")
     names = F.array(*map(F.lit, ["BioSpace", "STAT News", "12345", "Genome Post"]))
     rows = _docs(spark, sf).select(
         "doc_id", F.lit("2024-02-03").alias("date"), F.element_at(names, (F.col("doc_id") % 4 + 1).cast("int")).alias("source"), F.lit("head").alias("headline"), F.concat(F.lit("body "), F.coalesce("text", F.lit(""))).alias("body"),
@@ -294,7 +302,7 @@ def csv_star_entities(spark, sf):
     return t["Bridge_Fact_Entity"].join(t["Dim_Entity"], "Entity_Key").select("Fact_ID", "Entity_Key", "Entity_Name", "Entity_Type", "Mention_Count")
 
 
-QUERIES = {f.__name__: f for f in (tag_definitions, known_companies, article_entities, entity_frequency, vocab_indexes, vocab_counters, vocab_canonical, tags_by_confidence, feed_fields, feed_collect, feed_scrape, sitemap_collect, source_links, source_bodies, topic_filter, url_validation, link_hash, company_fuzzy, entity_list, run_totals, import_rows, title_texts, market_articles, csv_star_fact, csv_star_entities)}
+QUERIES = {f.__name__: f for f in (tag_definitions, known_companies, article_entities, entity_frequency, vocab_indexes, vocab_counters, vocab_canonical, tags_by_confidence, feed_fields, feed_collect, feed_scrape, sitemap_collect, source_links, source_bodies, topic_filter, url_validation, url_access, link_hash, company_fuzzy, entity_list, run_totals, import_rows, title_texts, market_articles, csv_star_fact, csv_star_entities)}
 
 _TITLE_CASE = r"array_to_string([CASE WHEN i > 1 AND regexp_matches({n}[i-1:i-1], '\p{{L}}') THEN lower({n}[i:i]) ELSE upper({n}[i:i]) END FOR i IN range(1, length({n}) + 1)], '')"
 
@@ -421,6 +429,9 @@ ORACLES = {
     "topic_filter": "SELECT doc_id, contains(t, 'attion') OR contains(t, 'the que') OR contains(t, 'ß') AS about FROM (SELECT doc_id, lower(concat_ws(' ', source, text)) AS t FROM documents)",
     "url_validation": rf"""SELECT original, cleaned, regexp_matches(cleaned, '^https?://[^/\s]+') AS valid, count(*)::BIGINT AS n FROM (SELECT original, CASE WHEN starts_with(original, '//') THEN 'https:' || original WHEN regexp_matches(original, '^https?://') THEN original ELSE 'https://' || original END AS cleaned
       FROM (SELECT CASE page_id % 4 WHEN 0 THEN regexp_replace(url, '^https?:', '') WHEN 1 THEN regexp_replace(url, '^https?://', '') WHEN 2 THEN 'https:// broken' ELSE url END AS original FROM pages)) GROUP BY original, cleaned""",
+    "url_access": """WITH p AS (SELECT page_id % 6 AS k, page_id, 'https:' || regexp_replace(url, '^https?:', '') AS u FROM pages), a AS (SELECT DISTINCT u FROM p WHERE k < 2)
+      SELECT CASE WHEN k = 5 THEN 'https:// ' || page_id ELSE regexp_replace(u, '^https:', '') END AS original, CASE WHEN k = 5 THEN 'https:// ' || page_id ELSE u END AS cleaned,
+        CASE WHEN k = 5 THEN 'invalid' WHEN u IN (SELECT u FROM a) THEN 'valid' ELSE 'inaccessible' END AS kind FROM p""",
     "link_hash": f"SELECT page_id, abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END)::VARCHAR AS id FROM (SELECT page_id, {_HASH} AS h FROM pages)",
     "company_fuzzy": f"WITH {_NAMES}, {_REGISTRY}, r AS (SELECT * FROM registry), n AS (SELECT id, {_REG} AS norm FROM (SELECT id, CASE WHEN id % 2 = 0 THEN left(name, 6) ELSE name END AS name FROM names)) SELECT id, norm <> '' AND EXISTS (SELECT 1 FROM r WHERE r.norm <> '' AND (contains(r.norm, n.norm) OR contains(n.norm, r.norm) OR lower(r.ticker) = n.norm)) AS valid FROM n",
     "entity_list": "SELECT (199 + row_number() OVER (ORDER BY Entity_Name, Entity_Type))::INT AS Entity_Key, *, 'Healthcare' AS Entity_Domain FROM (SELECT DISTINCT c_name AS Entity_Name, 'Company' AS Entity_Type FROM customer UNION SELECT c_mktsegment, 'Segment' FROM customer)",

@@ -8,6 +8,7 @@ from quillmesh.plans import common as c
 from quillmesh.plans import star_queries
 from quillmesh.plans.increments import GrowingStar
 from quillmesh.sources.snapshots import Table
+from quillmesh.session import work_folder
 from quillmesh.streaming import ingest
 
 
@@ -20,7 +21,7 @@ def table_upsert(spark, sf):
         return o.where(where).select((key + shift).alias("o_orderkey"), (at + F.expr(f"interval {days} days")).alias("at"), F.lit(status).alias("o_orderstatus"), "o_totalprice")
 
     changes = changed("o_orderkey % 10 = 0", "X", 10).union(changed("o_orderkey % 30 = 0", "Y", 20)).union(changed("o_orderkey % 10 = 5", "S", -10)).union(changed("o_orderkey % 20 = 1", "N", 0, 10_000_000))
-    table = Table(spark, ingest.work_dir(spark, "orders"), ["o_orderkey"], 8)
+    table = Table(spark, work_folder(spark, "orders"), ["o_orderkey"], 8)
     table.upsert(o, ["at"])
     table.upsert(changes, ["at"], ("changes", 1))
     table.upsert(changes.withColumn("o_orderstatus", F.lit("Z")).withColumn("at", at + F.expr("interval 90 days")), ["at"], ("changes", 1))
@@ -29,18 +30,18 @@ def table_upsert(spark, sf):
 
 def stream_upsert_latest(spark, sf):
     """Each user's latest event, by a stream into a table; the stream is run again from the start and adds nothing."""
-    table = Table(spark, ingest.work_dir(spark, "latest"), ["user_id"], 4)
+    table = Table(spark, work_folder(spark, "latest"), ["user_id"], 4)
     schema = c.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events.parquet*").select("user_id", "ts", "event_id", "event_type", "value")
     for shown in (events, events.withColumn("event_type", F.lit("again"))):
-        ingest.upsert_stream(shown, table, ["ts", "event_id"], "events", ingest.work_dir(spark, "stream-state"))
+        ingest.upsert_stream(shown, table, ["ts", "event_id"], "events", work_folder(spark, "stream-state"))
     return table.read()
 
 
 def _grown(spark, sf) -> GrowingStar:
     """Documents loaded in three parts, the second of them twice and together with the first."""
     articles = star_queries._articles(spark, sf)
-    growing = GrowingStar(spark, ingest.work_dir(spark, "star"))
+    growing = GrowingStar(spark, work_folder(spark, "star"))
     for part, rows in enumerate((F.col("doc_id") % 3 == 0, F.col("doc_id") % 3 <= 1, F.lit(True))):
         growing.load(articles.where(rows), part)
         if part == 1:

@@ -272,7 +272,7 @@ ORACLES = {
     "vocab_index_ids": f"WITH {c.HITS_SQL} SELECT d.doc_id, coalesce(ids, '') AS ids FROM documents d LEFT JOIN (SELECT doc_id, string_agg(tag, '; ' ORDER BY tag) AS ids FROM (SELECT DISTINCT doc_id, tag FROM hits) GROUP BY doc_id) h ON d.doc_id = h.doc_id",
     "first_index_substring": f"WITH ranked AS ({_ranked_sql(2 * RULES, 6)}) SELECT doc_id, 'I' || min(r) AS out FROM documents LEFT JOIN ranked ON r >= {RULES} AND contains(lower({SQL_DOC}), w) GROUP BY doc_id",
     "individual_tag_split": f"SELECT unnest(CASE WHEN individual AND len(keywords) > 1 THEN keywords ELSE [tag] END) AS tag, unnest(CASE WHEN individual AND len(keywords) > 1 THEN keywords ELSE [array_to_string(keywords, ',')] END) AS keywords FROM {TAG_ROWS}",
-    "tag_keyword_explode": f"SELECT tag, unnest(list_append(keywords, lower(tag))) AS keyword FROM {TAG_ROWS}",
+    "tag_keyword_explode": f"SELECT tag, unnest(list_distinct(list_append([lower(k) FOR k IN keywords], lower(tag)))) AS keyword FROM {TAG_ROWS}",
     "tag_categories": _categories_sql(),
     "keyword_variations": _variations_sql(),
 }

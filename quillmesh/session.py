@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
@@ -53,6 +56,7 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -65,3 +69,21 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quillmesh-")
     return base.rstrip("/")
+
+
+_work: dict[str, SparkSession] = {}
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder; what is written there goes when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _work[path] = spark
+    return path
+
+
+@atexit.register
+def _remove_work() -> None:
+    for path, spark in _work.items():
+        if SparkContext._active_spark_context is spark.sparkContext:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

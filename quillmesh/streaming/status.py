@@ -14,14 +14,14 @@ keep their state, so that finding them again changes nothing.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from quillmesh.session import ship
-
 FOUND = {"high": "pending", "medium": "queued", "low": "ignored"}
 TRANSITION = "link string, at timestamp, before string, after string"
 COLUMNS = ["link", "at", "before", "after"]
@@ -82,7 +82,8 @@ class StatusProcessor(StatefulProcessor):
 def transitions(events: DataFrame, patience_s: int, late: str = "1 hour") -> DataFrame:
     """Changes of status from a stream of events: link, at, number, kind, detail. Needs a state store that keeps timers."""
     spark = events.sparkSession
-    ship(spark)
+    # the driver's own Python worker, which asks the processor for its state first, doesn't see shipped files
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     keyed = events.withWatermark("at", late).groupBy("link")
     return keyed.transformWithStateInPandas(StatusProcessor(patience_s * 1_000_000), TRANSITION, "Append", "EventTime")

@@ -14,6 +14,8 @@ SAMPLE = [
     "stream_dedup_available_now", "stream_windowed", "star_grouping_sets", "upsert_by_key", "sentiment_overlay", "mention_count",
     "tag_definitions", "known_companies", "article_entities", "vocab_indexes", "feed_fields", "feed_collect", "feed_scrape", "sitemap_collect",
     "source_links", "link_hash", "company_fuzzy", "company_enrich", "market_articles", "csv_star_fact", "csv_star_entities",
+    "consolidate_text", "first_index_substring", "literal_keywords", "lemmatised_text", "vader_like_sentiment", "source_bodies", "dim_tag", "keyword_variations", "individual_tag_split",
+    "table_upsert", "star_load_facts", "star_load_rollup", "stream_upsert_latest", "stream_status", "sitemap_walk", "csv_rejects", "paged_orders", "queue_drain", "hybrid_feed",
 ]
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from quillmesh.operators import links, ner, tags
 from quillmesh.plans import collectors, pipelines
 from quillmesh.session import ship
+from quillmesh.sources.snapshots import Table
 from quillmesh.sources import market, readers, sinks
 
 ARTICLES = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
@@ -126,10 +127,11 @@ def test_star_finds_known_companies_in_text(spark):
 
 def test_replaced_and_upserted_tables(spark, tmp_path):
     path = f"file://{tmp_path}/t"
-    rows = spark.createDataFrame([("https://a.org/1/", "long enough text", "A"), (" ", "long enough text", "A"), ("https://a.org/2", "short", "B")], "link string, extract string, source string")
-    assert {tuple(r) for r in sinks.migrate(rows, path).collect()} == {("A", 1, 1), ("B", 0, 1)}
-    sinks.migrate(rows.limit(1).withColumn("extract", F.lit("another long text")).union(rows.where("source = 'B'").withColumn("extract", F.lit("now long enough"))), path)
-    assert {(r.link, r.extract) for r in spark.read.parquet(path).collect()} == {("https://a.org/1", "another long text"), ("https://a.org/2", "now long enough")}
+    rows = spark.createDataFrame([("https://a.org/1/", "long enough text", "A", 1), (" ", "long enough text", "A", 1), ("https://a.org/2", "short", "B", 1)], "link string, extract string, source string, at int")
+    assert {tuple(r) for r in sinks.migrate(rows, path, ["at"]).collect()} == {("A", 1, 1), ("B", 0, 1)}
+    later = rows.limit(1).withColumn("extract", F.lit("another long text")).union(rows.where("source = 'B'").withColumn("extract", F.lit("now long enough"))).withColumn("at", F.lit(2))
+    sinks.migrate(later.unionByName(rows.limit(1).withColumn("at", F.lit(0)).withColumn("extract", F.lit("an older long text"))), path, ["at"])
+    assert {(r.link, r.extract) for r in Table(spark, path).read().collect()} == {("https://a.org/1", "another long text"), ("https://a.org/2", "now long enough")}
     ids = sinks.with_ids(spark.createDataFrame([(1, ""), (2, "old")], "k int, id string"), spark.createDataFrame([(1, "N1")], "k int, id string"), "k", "id")
     assert {tuple(r) for r in ids.collect()} == {(1, "N1"), (2, "old")}
     sinks.write_csv(spark.createDataFrame([("S", "T", "d", "a", "l", 'two\nlines, "quoted"')], readers.STOCK), f"{path}.csv")
