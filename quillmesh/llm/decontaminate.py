@@ -23,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -161,11 +162,13 @@ def _shards(benchmark: DataFrame, width: int, shard_chars: int) -> Iterator[list
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, items_sha256, spans per row of docs."""
-    rows, shards = texts(docs), list(_shards(benchmark, width, shard_chars))
-    if len(shards) == 1:
-        return scan(rows, _reporter(shards[0], width), REPORT)
+    rows, shards = texts(docs), _shards(benchmark, width, shard_chars)
+    first, second = next(shards), next(shards, None)
+    if second is None:
+        return scan(rows, _reporter(first, width), REPORT)
     rows = rows.withColumn("th", F.xxhash64("text"))
-    found = reduce(DataFrame.union, [scan(rows, _finder(items, width), FOUND) for items in shards])
+    # a shard's hits are written before the next shard is collected
+    found = reduce(DataFrame.union, [keep(scan(rows, _finder(items, width), FOUND), "hits") for items in chain([first, second], shards)])
     found = found.groupBy("doc_id", "th").agg(F.collect_list("hit").alias("hits"), F.collect_list("items").alias("items")).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "hits", "items")
     same = rows["doc_id"].eqNullSafe(found["d"]) & (rows["th"] == found["t"])
     return scan(rows.join(found, same, "left").select("doc_id", "text", "hits", "items"), _gatherer, REPORT)

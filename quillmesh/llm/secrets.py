@@ -4,9 +4,9 @@ Base patterns (assignments, access keys, hex runs) are located in code points by
 cutting the text at the pattern and adding up the lengths of what lies between.
 Two first-order character Markov models, one of random strings and one of
 ordinary identifiers, are trained from labelled samples: values that the base
-patterns caught against short tokens (2 to 15 characters, outside assignments)
-from the first HEAD characters of every text, together with `seeds` generated
-samples of each label (digests in base 64; common words joined in camel case or
+patterns caught in any text, against short tokens (2 to 15 characters, outside
+assignments) of the whole texts of about `sample_docs` documents, which a hash
+chooses from all of them, together with `seeds` generated samples of each label (digests in base 64; common words joined in camel case or
 with a mark, some with a number at the end, some numbers and rulers). Long
 tokens, which are what is judged, train neither model. The corpus weighs at most
 SHARES times as much as the generated samples, so that it can't drown them.

@@ -85,7 +85,7 @@ def _toxic_features():
             words = set(fold(text).split())
             if words:
                 hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-                sig = int((hashes.min() ^ mix(mix(hashes + np.uint64(1)).min())).view(np.int64))
+                sig = int((hashes.min(keepdims=True) ^ mix(mix(hashes + np.uint64(1)).min(keepdims=True))).view(np.int64)[0])
                 found = [_key(f) for f in features(list(words))]
                 out["feature"].extend(found)
                 out["sig"].extend([sig] * len(found))
