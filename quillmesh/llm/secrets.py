@@ -6,8 +6,9 @@ Two first-order character Markov models, one of random strings and one of
 ordinary identifiers, are trained from labelled samples: values that the base
 patterns caught in any text, against short tokens (2 to 15 characters, outside
 assignments) of the whole texts of about `sample_docs` documents, which a hash
-chooses from all of them, together with `seeds` generated samples of each label (digests in base 64; common words joined in camel case or
-with a mark, some with a number at the end, some numbers and rulers). Long
+chooses from all of them, together with `seeds` generated samples of each label (digests in base 64; common words in camel case, joined by a
+mark or nothing, in capitals, with versions and dates, as paths, some with a
+number at the end, some numbers and rulers). Long
 tokens, which are what is judged, train neither model. The corpus weighs at most
 SHARES times as much as the generated samples, so that it can't drown them.
 Every long token outside base spans is scored, whatever characters it holds, and
@@ -89,7 +90,10 @@ def seed_samples(spark: SparkSession, seeds: int) -> DataFrame:
     camel = F.concat(word(1), F.initcap(word(2)), F.initcap(word(3)), F.initcap(word(4)))
     marks = F.array(*[F.lit(m) for m in "_-/=+"])
     joined = F.replace(F.concat_ws("_", word(1), word(2), word(3), word(4)), F.lit("_"), F.element_at(marks, (F.col("id") / 2).cast("int") % 5 + 1))
-    plain = F.concat(F.when(F.col("id") % 2 == 0, camel).otherwise(joined), F.when(F.col("id") % 3 == 0, (F.col("id") % 100).cast("string")).otherwise(""))
+    day = F.date_format(F.date_add(F.lit("2015-01-01").cast("date"), (F.col("id") * 7 % 5000).cast("int")), "yyyy-MM-dd")
+    dashed = F.concat_ws("-", word(1), word(2), F.when(F.col("id") % 4 < 2, F.concat(F.lit("v"), (F.col("id") % 10).cast("string"), F.lit("-"), (F.col("id") % 30).cast("string"))).otherwise(day))
+    shapes = [camel, joined, F.upper(joined), dashed, F.concat(F.lit("/"), F.concat_ws("/", word(1), word(2), word(3))), F.concat(word(1), word(2), word(3), word(4))]
+    plain = F.concat(F.element_at(F.array(*shapes), (F.col("id") % 6 + 1).cast("int")), F.when(F.col("id") % 9 == 0, (F.col("id") % 100).cast("string")).otherwise(""))
     ruler = F.repeat(F.element_at(marks, (F.col("id") / 20).cast("int") % 5 + 1), 20)
     number = F.lpad(F.pmod(F.xxhash64("id"), F.lit(10**16)).cast("string"), 16, "0")
     plain = F.when(F.col("id") % 20 == 19, ruler).when(F.col("id") % 20 == 9, number).otherwise(plain)
