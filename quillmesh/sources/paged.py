@@ -47,7 +47,9 @@ class _Reading:
     def ranges(self, first: int, last: int) -> list[PageRange]:
         return [PageRange(a, min(a + self.size, last)) for a in range(first, last, self.size)]
 
-    def rows(self, part: PageRange) -> Iterator[tuple]:
+    def rows(self, part: PageRange | None) -> Iterator[tuple]:
+        if part is None:  # of an empty folder
+            return
         failed = 0
         for n in range(part.first, part.last):
             try:

@@ -149,10 +149,3 @@ def test_registry_cache(spark, tmp_path):
     assert {(r.name, r.source) for r in both.collect()} == {("X Co", "SEC"), ("Mine", "custom")}
     filed = spark.createDataFrame([("8-K", "X Co", "X", "2024-01-02", "1"), ("8-K", "Y", "YY", "2024-01-03", "2")], "kind string, company string, ticker string, filed string, accession string")
     assert [r.accession for r in market.company_filings(filed, "yy", "2024-01-01", "2024-02-01").collect()] == ["2"]
-
-
-def test_lemmas(spark):
-    from quillmesh.functions import text
-
-    lemmas = F.create_map(F.lit("mice"), F.lit("mouse"))
-    assert spark.range(1).select(text.lemmatised(F.lit("the mice run"), lemmas)).first()[0] == "the mouse run"
