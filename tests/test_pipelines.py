@@ -116,6 +116,12 @@ def test_layouts_and_tag_files(spark, tmp_path):
     assert [(r.source, r.least) for r in links.article_links(urls).collect()] == [("BioSpace", 50)]
 
 
+def test_tag_keywords_keep_their_digits(spark):
+    rows = spark.createDataFrame([("1", "", "merger", "168", "2031", "", "", "", ""), ("2", "", "7 up ", " 0 ", "", "", "", "", "")], tags.LAYOUT)
+    got = {r.tag: r.keywords for r in tags.define_tags(tags.tag_rows(rows)).collect()}
+    assert {"168", "2031"} <= set(got["merger"]) and got["7 up"] == ["0", "7 up"]
+
+
 def test_star_finds_known_companies_in_text(spark):
     rows = [(1, "2024-01-15", "BioSpace", "news", "a deal of orionex and others", "l1", None, ""), (1, "2024-01-16", "BioSpace", "news", "nothing", "l2", None, "Orionex Inc")]
     known = spark.createDataFrame([("Orionex",)], "name string")
