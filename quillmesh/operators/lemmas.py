@@ -42,7 +42,7 @@ def detached(forms: Column, pos: str) -> Column:
 
 def lemma_table(words: DataFrame, dictionary: DataFrame, exceptions: DataFrame | None = None, pos: str = "n") -> DataFrame:
     """word, lemma of the different words (column word) that have a lemma. dictionary: word, pos; exceptions: form, pos, lemma."""
-    known = dictionary.where(F.col("pos") == pos).select(F.col("word").alias("form")).distinct()
+    known = durable(dictionary.where(F.col("pos") == pos).select(F.col("word").alias("form")).distinct())
     rest = words.select("word").where("word != ''").distinct()
     found = []
 
@@ -52,13 +52,15 @@ def lemma_table(words: DataFrame, dictionary: DataFrame, exceptions: DataFrame |
 
     if exceptions is not None:
         own = exceptions.where(F.col("pos") == pos).groupBy(F.col("form").alias("word")).agg(F.array_sort(F.collect_set("lemma")).alias("lemmas"))
-        rest = rest.join(own, "word", "left")
-        found.append(settle(rest.where("lemmas is not null").select("word", F.concat(F.array("word"), "lemmas").alias("forms"))))
-        rest = rest.where("lemmas is null").drop("lemmas")
-    rest = rest.select("word", F.concat(F.array("word"), detached(F.array("word"), pos)).alias("forms"))
+        found.append(settle(words.select("word").distinct().join(own, "word").where("word != ''").select("word", F.concat(F.array("word"), "lemmas").alias("forms"))))
+        rest = rest.join(own, "word", "left_anti")
+    made = detached(F.array("word"), pos)
+    # most words end in nothing that a rule detaches: they are their own lemma or have none
+    found.append(rest.where(F.size(made) == 0).join(known, F.col("word") == F.col("form")).select("word", F.col("form").alias("lemma")))
+    rest = rest.where(F.size(made) > 0).select("word", F.concat(F.array("word"), made).alias("forms"))
     while True:
         rest = durable(rest)
-        done = settle(rest)
+        done = durable(settle(rest))
         found.append(done)
         rest = rest.join(done, "word", "left_anti").select("word", detached(F.col("forms"), pos).alias("forms")).where(F.size("forms") > 0)
         if rest.isEmpty():

@@ -9,6 +9,7 @@ from quillmesh.functions import fixed, text
 from quillmesh.functions.entities import tag_category
 from quillmesh.operators import lemmas, match, rewrite
 from quillmesh.plans import common as c
+from quillmesh.session import durable
 
 SQL_DOC = "coalesce(text, '')"
 
@@ -113,13 +114,20 @@ SELECT doc_id, split_part(k, ' ', 1) AS tag, k AS keyword FROM held
 WHERE len([i FOR i IN range(1, len(parts)) IF NOT regexp_matches(parts[i], '[\p{{L}}\p{{N}}_]$') AND NOT regexp_matches(parts[i + 1], '^[\p{{L}}\p{{N}}_]')]) > 0"""
 
 
+def _several(key: str):
+    """Whether a group holds two different keys, null among them, without gathering them."""
+    return F.coalesce(F.min(key) < F.max(key), F.lit(False)) | F.count(key).between(1, F.count(F.lit(1)) - 1)
+
+
 _EXCEPTIONS = [("men", "n", "man"), ("thes", "n", "the"), ("des", "n", "die")]
 
 
 def lemmatised_text(spark, sf):
     """Nouns of a dictionary made from the table: words of three letters or more that two documents hold."""
-    words = _docs(spark, sf).select("doc_id", F.explode(F.filter(F.split(F.lower(doc()), r"\s+"), lambda w: w != "")).alias("word")).distinct()
-    known = words.where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n")).where("n >= 2").select("word", F.lit("n").alias("pos"))
+    each = F.array_distinct(F.filter(F.split(F.lower(doc()), r"\s+"), lambda w: w != ""))
+    held = _docs(spark, sf).select("doc_id", F.explode(each).alias("word")).groupBy("word").agg(_several("doc_id").alias("several"))
+    words = durable(held)  # read again for every round of rules
+    known = words.where("several and length(word) >= 3").select("word", F.lit("n").alias("pos"))
     table = lemmas.lemma_table(words, known, spark.createDataFrame(_EXCEPTIONS, "form string, pos string, lemma string"))
     return lemmas.lemmatise(_docs(spark, sf).select("doc_id", F.lower(doc()).alias("text")), table)
 

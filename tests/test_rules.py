@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed, sentiment
 from quillmesh.operators import lemmas, rewrite
+from quillmesh.plans import text_queries
 
 LEXICON = {"good": 1.9, "bad": -2.5, "great": 3.1, "no": -1.2, "fine": 0.8, ":)": 2.0, "kind": 2.4, "sick": -2.3, "heart": 1.0}
 
@@ -182,3 +183,23 @@ def test_lemmas(spark):
         want = {i: " ".join(lemma(w, known, exceptions, pos) for w in (t or "").split()) for i, t in enumerate(texts)}
         for most in (1000, 0):  # by a table in the expression, and by a join
             assert {r.doc_id: r.text for r in lemmas.lemmatise(docs, table, most=most).collect()} == want
+
+
+def test_lemmas_read_the_dictionary_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    known = spark.createDataFrame([("plant", "n"), ("class", "n"), ("die", "v")], "word string, pos string").mapInPandas(counted, "word string, pos string")
+    words = spark.createDataFrame([("plants",), ("classes",), ("plant",), ("dies",), ("",)], "word string")
+    got = {r.word: r.lemma for r in lemmas.lemma_table(words, known).collect()}
+    assert got == {"plants": "plant", "classes": "class", "plant": "plant"} and read.value == 3
+
+
+def test_words_that_several_keys_hold(spark):
+    rows = [("a", 1), ("a", 1), ("b", 1), ("b", 2), ("c", None), ("c", None), ("d", None), ("d", 3)]
+    got = spark.createDataFrame(rows, "word string, k long").groupBy("word").agg(text_queries._several("k").alias("several"))
+    assert {r.word: r.several for r in got.collect()} == {"a": False, "b": True, "c": False, "d": True}
