@@ -16,7 +16,8 @@ def _names(spark, sf):
     parts = ["Alpha", "Beta", "astra Zeneca", "Gen-X", "O'Neil", "Delta", "Echo", "Fox trot", "Golf", "Hotel", "India"]
     words, ends = F.array(*map(F.lit, parts)), F.array(*map(F.lit, _ENDINGS))
     k = F.col("c_custkey")
-    return c.table(spark, sf, "customer").select(k.alias("id"), F.trim(F.concat_ws(" ", F.element_at(words, (k % 11 + 1).cast("int")), F.element_at(words, (k % 7 + 1).cast("int")), F.element_at(ends, (k % 10 + 1).cast("int")))).alias("name"), F.round(F.pmod(k * 7, F.lit(100)) / 100, 2).alias("confidence"), (k % 5).cast("long").alias("mentions"))
+    keys = c.table(spark, sf, "customer").select("c_custkey").repartition(4 * spark.sparkContext.defaultParallelism, "c_custkey")  # a small file is one task
+    return keys.select(k.alias("id"), F.trim(F.concat_ws(" ", F.element_at(words, (k % 11 + 1).cast("int")), F.element_at(words, (k % 7 + 1).cast("int")), F.element_at(ends, (k % 10 + 1).cast("int")))).alias("name"), F.round(F.pmod(k * 7, F.lit(100)) / 100, 2).alias("confidence"), (k % 5).cast("long").alias("mentions"))
 
 
 _NAMES = """names AS (SELECT c_custkey AS id, trim(concat_ws(' ', w[(c_custkey % 11 + 1)::INT], w[(c_custkey % 7 + 1)::INT], e[(c_custkey % 10 + 1)::INT])) AS name, round((c_custkey * 7 % 100) / 100.0, 2)::DOUBLE AS confidence, (c_custkey % 5)::BIGINT AS mentions
