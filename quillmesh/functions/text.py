@@ -31,6 +31,17 @@ def needed(pattern: str) -> str:
     return max(bare.split("\0"), key=len)
 
 
+def covering(words: list[str], least: int = 6) -> list[str]:
+    """A few strings of which each word holds one: parts of `least` characters or more, or shorter words as they are."""
+    out, left = [], words
+    while left:
+        parts = {w[i:j] for w in left for i in range(len(w)) for j in range(i + min(least, len(w)), len(w) + 1)}
+        best = min(parts, key=lambda p: (-sum(p in w for w in left), -len(p), p))
+        out.append(best)
+        left = [w for w in left if best not in w]
+    return out
+
+
 def fold_if_needed(c: Column, *steps: tuple[list[str], str]) -> Column:
     """Folds by several lists of patterns in turn; a text that holds none of their plain strings is left as it is.
 
@@ -41,8 +52,7 @@ def fold_if_needed(c: Column, *steps: tuple[list[str], str]) -> Column:
     if "" in words:
         need = F.lit(True)
     else:
-        shortest = [w for w in words if not any(v != w and v in w for v in words)]
-        need = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in shortest])
+        need = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in covering(list(words))])
     out = c
     for patterns, to in steps:
         out = fold(out, patterns, to)
@@ -54,21 +64,22 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s+", " ")
+    """White space as one blank; blanks that stand alone are not touched."""
+    return F.regexp_replace(c, r"\s{2,}|[\t\n\x0B\f\r]", " ")
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, r"https?://\S+|www\.\S+", "")
+    """Texts without their plain marks are left as they are: searching those is far cheaper."""
+    return F.when(F.contains(c, F.lit("://")) | F.contains(c, F.lit("www.")), F.regexp_replace(c, r"https?://\S+|www\.\S+", "")).otherwise(c)
 
 
 def strip_emails(c: Column) -> Column:
-    return F.regexp_replace(c, r"\S+@\S+", "")
+    return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, r"\S+@\S+", "")).otherwise(c)
 
 
 def drop_single_chars(c: Column) -> Column:
-    """Words of one character go; two passes, for one skips neighbours."""
-    single = rf"(^|{NOT_WORD}){WORD}($|{NOT_WORD})"
-    return F.regexp_replace(F.regexp_replace(c, single, "$1$2"), single, "$1$2")
+    """Words of one character go, in one pass that looks at their neighbours and leaves them."""
+    return F.regexp_replace(c, rf"(?<!{WORD}){WORD}(?!{WORD})", "")
 
 
 def _tidy(c: Column) -> Column:
@@ -86,7 +97,7 @@ def remove_long_boilerplate(c: Column) -> Column:
 def normalize_core(c: Column) -> Column:
     """Lower case without links, addresses, punctuation and single characters."""
     c = strip_emails(strip_urls(F.lower(c)))
-    c = collapse(F.regexp_replace(c, r"[^\p{L}\p{N}_\s'\-]", " "))
+    c = collapse(F.regexp_replace(c, r"[^\p{L}\p{N}_\s'\-]+", " "))
     return strip(drop_single_chars(c))
 
 
@@ -98,8 +109,8 @@ def clean_text(c: Column) -> Column:
     """The cleaned text column: punctuation goes without a space in its place."""
     c = F.when(c == "nan", "").otherwise(c)
     c = strip_emails(strip_urls(remove_long_boilerplate(c)))
-    c = F.lower(fold(c, fixed.EXPORT_AFFIXES))
-    c = collapse(F.regexp_replace(c, r"[^\p{L}\p{N}_\s']", ""))
+    c = F.lower(fold_if_needed(c, (fixed.EXPORT_AFFIXES, "")))
+    c = collapse(F.regexp_replace(c, r"[^\p{L}\p{N}_\s']+", ""))
     return strip(collapse(drop_single_chars(c)))
 
 
