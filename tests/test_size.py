@@ -22,3 +22,10 @@ def test_boilerplate_is_searched_by_few_strings(spark):
     marks = {text.needed(p).lower() for p in [*fixed.LONG_BOILERPLATE, *fixed.LONG_MARKERS]}
     few = text.covering(sorted(marks))
     assert len(few) < 30 and all(any(f in m for f in few) for m in marks)
+
+
+def test_mails_are_searched_where_a_text_has_their_mark(spark):
+    df = spark.createDataFrame([("write to a@b.c now",), ("see www.x.y or https://z",), ("none here",)], "v string")
+    cleaned = df.select(text.normalize_core(F.col("v")).alias("r"))
+    assert "contains" in plan(cleaned).lower()
+    assert [r.r for r in cleaned.collect()] == ["write to now", "see or", "none here"]
