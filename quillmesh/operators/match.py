@@ -15,6 +15,8 @@ from quillmesh.functions.text import cases, quoted, split_multi, tokens
 from quillmesh.operators.rewrite import keyword_finder
 
 MAX_BROADCAST = 100_000
+#: vocabularies up to so many keywords sort out a text's words before they are exploded
+MAX_TESTED = 10_000
 
 
 def vocabulary(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -35,11 +37,25 @@ def _run(words: Column, n: int):
     return lambda word, i: F.concat_ws(" ", word, *[F.get(words, i + k) for k in range(1, n)])
 
 
+def candidates(words: Column, keywords: list[str], longest: int) -> Column:
+    """Those runs of 1 to `longest` words that can be one of the keywords, once each: their first word begins one of that many words."""
+    def of(n: int, firsts: list[str]) -> Column:
+        run = _run(words, n) if n > 1 else lambda word, i: word
+        return F.array_compact(F.transform(words, lambda word, i: F.when(word.isin(firsts), run(word, i))))
+
+    firsts = {n: sorted({k.split()[0] for k in keywords if len(k.split()) == n}) for n in range(1, longest + 1)}
+    runs = [of(n, found) for n, found in firsts.items() if found]
+    return F.array_distinct(F.concat(*runs)) if runs else F.array().cast("array<string>")
+
+
 def keyword_hits(docs: DataFrame, vocab: list[tuple[str, str]], key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, tag, keyword for each vocabulary keyword that occurs as whole words."""
     longest = max((len(k.split()) for _, k in vocab), default=1)
     words = docs.select(key, tokens(F.lower(F.coalesce(F.col(text), F.lit("")))).alias("_words"))
-    grams = F.array_distinct("_words") if longest == 1 else ngrams(F.col("_words"), longest)
+    if len(vocab) <= MAX_TESTED:
+        grams = candidates(F.col("_words"), sorted({k.lower() for _, k in vocab}), longest)
+    else:
+        grams = F.array_distinct("_words") if longest == 1 else ngrams(F.col("_words"), longest)
     hits = words.select(key, F.explode(grams).alias("keyword"))
     return hits.join(vocabulary(docs.sparkSession, vocab), "keyword").select(key, "tag", "keyword")
 

@@ -29,3 +29,10 @@ def test_mails_are_searched_where_a_text_has_their_mark(spark):
     cleaned = df.select(text.normalize_core(F.col("v")).alias("r"))
     assert "contains" in plan(cleaned).lower()
     assert [r.r for r in cleaned.collect()] == ["write to now", "see or", "none here"]
+
+
+def test_only_runs_that_can_be_keywords_are_exploded(spark):
+    df = spark.createDataFrame([(1, "one of the other of words")], "doc_id int, text string")
+    runs = df.select(match.candidates(text.tokens(F.col("text")), ["of the", "words"], 2).alias("r")).first()["r"]
+    assert sorted(runs) == ["of the", "of words", "words"]
+    assert [tuple(r) for r in match.keyword_hits(df, [("t", "Of the"), ("t", "absent")]).collect()] == [(1, "t", "of the")]
