@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import uuid
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from quillmesh.session import ship
 
 MAX_CHARACTERS = 64_000_000
+#: rewritten texts that a worker holds at once
+SLICE = 256
 _built: dict[str, object] = {}
 
 
@@ -142,9 +144,11 @@ def rewriter(rules: DataFrame) -> Callable[[Column], Column]:
     get = _shared(rules.select("rule", "key", "synonym", "rewrites"), Rewriter)
 
     @F.pandas_udf("out string, keys string")
-    def apply(texts: pd.Series) -> pd.DataFrame:
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         change = get()
-        return pd.DataFrame([(None, None) if t is None else change(t) for t in texts], columns=["out", "keys"])
+        for texts in batches:
+            for at in range(0, len(texts), SLICE):
+                yield pd.DataFrame([(None, None) if t is None else change(t) for t in texts.iloc[at : at + SLICE]], columns=["out", "keys"])
 
     return apply
 

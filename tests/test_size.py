@@ -36,3 +36,11 @@ def test_only_runs_that_can_be_keywords_are_exploded(spark):
     runs = df.select(match.candidates(text.tokens(F.col("text")), ["of the", "words"], 2).alias("r")).first()["r"]
     assert sorted(runs) == ["of the", "of words", "words"]
     assert [tuple(r) for r in match.keyword_hits(df, [("t", "Of the"), ("t", "absent")]).collect()] == [(1, "t", "of the")]
+
+
+def test_rewritten_texts_come_in_slices(spark):
+    change = rewrite.rewriter(rewrite.rule_rows(spark, [("K", ["word"])]))
+    batches = list(change.func(iter([pd.Series(["a word", None] * 400)])))
+    assert len(batches) > 1 and max(map(len, batches)) <= rewrite.SLICE and sum(map(len, batches)) == 800
+    df = spark.range(2000, numPartitions=2).select("id", change(F.concat(F.lit("word "), "id")).alias("c"))
+    assert {r.id: r.c.out for r in df.collect()} == {i: f"[K] {i}" for i in range(2000)}
