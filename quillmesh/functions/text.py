@@ -7,7 +7,8 @@ as classes so that Spark and other engines agree.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from collections import Counter
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,14 +32,15 @@ def needed(pattern: str) -> str:
     return max(bare.split("\0"), key=len)
 
 
-def covering(words: list[str], least: int = 6) -> list[str]:
-    """A few strings of which each word holds one: parts of `least` characters or more, or shorter words as they are."""
-    out, left = [], words
-    while left:
-        parts = {w[i:j] for w in left for i in range(len(w)) for j in range(i + min(least, len(w)), len(w) + 1)}
-        best = min(parts, key=lambda p: (-sum(p in w for w in left), -len(p), p))
-        out.append(best)
-        left = [w for w in left if best not in w]
+@cache
+def covering(words: tuple[str, ...], least: int = 6, most: int = 12) -> list[str]:
+    """A few strings of which each word holds one: parts of `least` to `most` characters, or shorter words as they are."""
+    parts = {w: {w[i : i + n] for n in range(min(least, len(w)), most + 1) for i in range(len(w) - n + 1)} for w in words}
+    out = []
+    while parts:
+        held = Counter(p for own in parts.values() for p in own)
+        out.append(min(held, key=lambda p: (-held[p], -len(p), p)))
+        parts = {w: own for w, own in parts.items() if out[-1] not in own}
     return out
 
 
@@ -52,7 +54,7 @@ def fold_if_needed(c: Column, *steps: tuple[list[str], str]) -> Column:
     if "" in words:
         need = F.lit(True)
     else:
-        need = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in covering(list(words))])
+        need = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in covering(tuple(words))])
     out = c
     for patterns, to in steps:
         out = fold(out, patterns, to)
