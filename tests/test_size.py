@@ -4,7 +4,7 @@ import pandas as pd
 from helpers import SF
 from pyspark.sql import functions as F
 
-from quillmesh.functions import fixed, text
+from quillmesh.functions import fixed, sentiment, text
 from quillmesh.operators import match, rewrite
 from quillmesh.plans import entity_queries
 
@@ -44,3 +44,12 @@ def test_rewritten_texts_come_in_slices(spark):
     assert len(batches) > 1 and max(map(len, batches)) <= rewrite.SLICE and sum(map(len, batches)) == 800
     df = spark.range(2000, numPartitions=2).select("id", change(F.concat(F.lit("word "), "id")).alias("c"))
     assert {r.id: r.c.out for r in df.collect()} == {i: f"[K] {i}" for i in range(2000)}
+
+
+def test_sentiment_makes_its_text_once(spark):
+    """A text that is itself an expression stands once in the score, however many rules ask for it."""
+    df = spark.createDataFrame([(1, "a (good) day!! why??")], "i int, t string")
+    made = F.replace("t", F.lit("day"), F.lit("night"))
+    scored = df.select(sentiment.compound(made, {"good": 1.9}).alias("s"))
+    assert plan(scored).count("night") == 1
+    assert scored.first()["s"] == df.select(sentiment.compound(F.lit("a (good) night!! why??"), {"good": 1.9}).alias("s")).first()["s"] > 0
