@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +16,34 @@ from quillmesh.session import durable
 from quillmesh.sources import readers, sinks
 
 
-def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]], medical: list[str], strict_compat: bool = False, companies: DataFrame | None = None, manual: DataFrame | None = None) -> dict[str, DataFrame]:
+class Tables(Mapping[str, DataFrame]):
+    """Tables by name, each made when it is first asked for: keys are checkpointed only for tables that somebody reads."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]) -> None:
+        self._makers = {name: cache(make) for name, make in makers.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]], medical: list[str], strict_compat: bool = False, companies: DataFrame | None = None, manual: DataFrame | None = None) -> Mapping[str, DataFrame]:
     """All tables from articles (id, date, source, headline, body, link, sentiment, matched_keywords).
 
     Names in matched_keywords that look like companies become entities, the
     others rejected_entities; known companies (name) are looked for in the text
     too, and manual names (norm, name) override. Articles are numbered once, by
     id; rows that share an id are told apart by a row number that is checkpointed.
+    Entities are looked for when one of their tables is asked for.
     """
     spark = articles.sparkSession
-    sources = star.dim_source(articles, "source")
     rows = durable(articles.withColumn("_at_row", F.monotonically_increasing_id()))
+    sources = star.dim_source(rows, "source")
     keys = star.numbered(rows.select("id", "_at_row"), "Fact_ID", ["id", "_at_row"], star.FIRST_FACT)
     rows = rows.join(keys.select("_at_row", "Fact_ID"), "_at_row")
     fact = star.fact_columns(rows, sources, strict_compat)
@@ -35,29 +55,34 @@ def build_star(articles: DataFrame, tags: list[tuple[str, str, str, list[str]]],
     bridge = star.bridge_tag(merged, dim_tag)
 
     names = docs.select("Fact_ID", F.explode(text.split_multi(F.col("matched_keywords"))).alias("name"))
-    good = names.where(likely_company(F.col("name"))).withColumn("confidence", F.lit(0.9))
-    found = known.with_mentions(good, docs, "Fact_ID", "whole")
-    seen = found.limit(0) if companies is None else known.with_mentions(known.known_companies(docs, companies, "Fact_ID"), docs, "Fact_ID", "whole")
-    best = known.merge_entities(found, seen, manual, "Fact_ID")
-    canonical = best.groupBy("norm").agg(F.min_by("name", F.struct(-F.length("name"), "name")).alias("Entity_Name"))
-    dim_entity = star.dim_entity(canonical.select("Entity_Name", entity_type(F.col("Entity_Name")).alias("Entity_Type"), F.lit("Healthcare").alias("Entity_Domain")))
-    links = entity.resolve(best.select("Fact_ID", "name", "mentions"), dim_entity).where("Entity_Key is not null")
-    return {
-        "Fact_Document": star.with_tag_counts(fact, bridge),
-        "Dim_Time": star.dim_time(articles.select(parse_date(F.col("date")).alias("d")), "d"),
-        "Dim_Source": sources,
-        "Dim_Tag": dim_tag,
-        "Dim_Entity": dim_entity,
-        "Bridge_Fact_Tag": bridge,
-        "Bridge_Fact_Entity": links.select("Fact_ID", "Entity_Key", F.col("mentions").cast("int").alias("Mention_Count")),
-        "rejected_entities": entity.rejected(names.where(~likely_company(F.col("name"))), "name"),
-    }
+
+    @cache
+    def entities() -> tuple[DataFrame, DataFrame]:
+        good = names.where(likely_company(F.col("name"))).withColumn("confidence", F.lit(0.9))
+        found = known.with_mentions(good, docs, "Fact_ID", "whole")
+        seen = found.limit(0) if companies is None else known.with_mentions(known.known_companies(docs, companies, "Fact_ID"), docs, "Fact_ID", "whole")
+        best = known.merge_entities(found, seen, manual, "Fact_ID")
+        canonical = best.groupBy("norm").agg(F.min_by("name", F.struct(-F.length("name"), "name")).alias("Entity_Name"))
+        dim = star.dim_entity(canonical.select("Entity_Name", entity_type(F.col("Entity_Name")).alias("Entity_Type"), F.lit("Healthcare").alias("Entity_Domain")))
+        links = entity.resolve(best.select("Fact_ID", "name", "mentions"), dim).where("Entity_Key is not null")
+        return dim, links.select("Fact_ID", "Entity_Key", F.col("mentions").cast("int").alias("Mention_Count"))
+
+    return Tables({
+        "Fact_Document": lambda: star.with_tag_counts(fact, bridge),
+        "Dim_Time": lambda: star.dim_time(articles.select(parse_date(F.col("date")).alias("d")), "d"),
+        "Dim_Source": lambda: sources,
+        "Dim_Tag": lambda: dim_tag,
+        "Dim_Entity": lambda: entities()[0],
+        "Bridge_Fact_Tag": lambda: bridge,
+        "Bridge_Fact_Entity": lambda: entities()[1],
+        "rejected_entities": lambda: entity.rejected(names.where(~likely_company(F.col("name"))), "name"),
+    })
 
 
 CLEANED = "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string"
 
 
-def csv_to_star(spark: SparkSession, path: str, tags: list[tuple[str, str, str, list[str]]], medical: list[str], out: str | None = None, fmt: str = "parquet", **options) -> dict[str, DataFrame]:
+def csv_to_star(spark: SparkSession, path: str, tags: list[tuple[str, str, str, list[str]]], medical: list[str], out: str | None = None, fmt: str = "parquet", **options) -> Mapping[str, DataFrame]:
     """A file of cleaned articles to all star tables, written under `out` if it is given."""
     tables = build_star(readers.read_csv(spark, path, CLEANED), tags, medical, **options)
     if out is not None:

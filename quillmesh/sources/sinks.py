@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from quillmesh.operators.incremental import link_key, new_rows
 from quillmesh.sources.snapshots import Table
 
 
-def write_star(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
+def write_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """One folder per table; Fact_Document is partitioned by Year where it has one."""
     for name, df in tables.items():
         out = df.write.mode("overwrite").format(fmt).option("header", "true")

@@ -5,8 +5,8 @@ from helpers import SF
 from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed, sentiment, text
-from quillmesh.operators import match, rewrite
-from quillmesh.plans import entity_queries
+from quillmesh.operators import known, match, rewrite, star
+from quillmesh.plans import entity_queries, pipelines
 
 
 def plan(df) -> str:
@@ -53,3 +53,16 @@ def test_sentiment_makes_its_text_once(spark):
     scored = df.select(sentiment.compound(made, {"good": 1.9}).alias("s"))
     assert plan(scored).count("night") == 1
     assert scored.first()["s"] == df.select(sentiment.compound(F.lit("a (good) night!! why??"), {"good": 1.9}).alias("s")).first()["s"] > 0
+
+
+def test_facts_are_read_without_looking_for_entities(spark, monkeypatch):
+    """The articles are read once for rows and sources, and texts are searched for companies only for the tables of entities."""
+    asked = []
+    for module, name in ((known, "known_companies"), (star, "dim_entity")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name, **b: asked.append(n) or f(*a, **b))
+    rows = [(5, "2024-02-03", "BioSpace", "head", "a merger of alpha", "https://x.y/1", "0.5", "Gamma Corp")]
+    articles = spark.createDataFrame(rows, "id long, date string, source string, headline string, body string, link string, sentiment string, matched_keywords string")
+    tables = pipelines.build_star(articles, [("merger", "Event", "Business", [])], [], companies=spark.createDataFrame([("alpha",)], "name string"))
+    assert [(r.Fact_ID, r.Source_Name, r.Tag_Count) for r in tables["Fact_Document"].collect()] == [(1000, "BioSpace", 1)] and asked == []
+    assert sorted(r.Entity_Name for r in tables["Dim_Entity"].collect()) == ["Alpha", "Gamma Corp"] and tables["Bridge_Fact_Entity"].count() == 2
+    assert sorted(asked) == ["dim_entity", "known_companies"] and len(tables) == 8
