@@ -5,8 +5,8 @@ from helpers import SF
 from pyspark.sql import functions as F
 
 from quillmesh.functions import fixed, sentiment, text
-from quillmesh.operators import known, match, rewrite, star
-from quillmesh.plans import entity_queries, pipelines
+from quillmesh.operators import known, match, rewrite, star, tags
+from quillmesh.plans import entity_queries, pipelines, source_queries
 
 
 def plan(df) -> str:
@@ -66,3 +66,32 @@ def test_facts_are_read_without_looking_for_entities(spark, monkeypatch):
     assert [(r.Fact_ID, r.Source_Name, r.Tag_Count) for r in tables["Fact_Document"].collect()] == [(1000, "BioSpace", 1)] and asked == []
     assert sorted(r.Entity_Name for r in tables["Dim_Entity"].collect()) == ["Alpha", "Gamma Corp"] and tables["Bridge_Fact_Entity"].count() == 2
     assert sorted(asked) == ["dim_entity", "known_companies"] and len(tables) == 8
+
+
+def test_general_keywords_are_sorted_and_searched_once(spark):
+    """A tag about therapies gets all general keywords in order, and a category by a mark that spans two of them unless its own word comes between."""
+    general = [f"aa{i:02}" for i in range(tags.BLOCK - 1)] + ["Aled", "by"] + [f"c{i:03}" for i in range(2 * tags.BLOCK)]
+    own = {"x therapy": ["zzz", "by"], "y therapy": ["b"], "z cancer": ["b", "aa", "c0005"], "adc led": ["a0"], "called": ["by x"], "merger": []}
+    rows = [(i, "", "", general[i : i + 6]) for i in range(0, len(general), 6)] + [(1000 + i, "", n, ws) for i, (n, ws) in enumerate(own.items())]
+    shape = "row long, flag string, name string, words array<string>"
+    with_general, without = spark.createDataFrame(rows, shape), spark.createDataFrame([r for r in rows if r[2]], shape)
+    for df, more in ((with_general, [g.lower() for g in general]), (without, [])):
+        defined = tags.define_tags(df)
+        assert "LeftOuter" in plan(defined) and "array_sort" not in plan(defined)
+        got, texts = {r.tag: r for r in defined.collect()}, {r.tag: r for r in tags.define_tags(df, joined="|").collect()}
+        assert set(got) == set(own)
+        for name, words in own.items():
+            therapy = any(t in name for t in fixed.THERAPY_TERMS)
+            want = sorted({name, *words, *(more if therapy else []), *fixed.VARIATIONS.get(name, [])})
+            text = " ".join([name, *want])
+            kind = next((rule[:2] for rule in fixed.TAG_CATEGORIES if any(m in text for m in rule[2])), ("Other", "General"))
+            assert got[name].keywords == want and texts[name].keywords == "|".join(want)
+            assert (got[name].category, got[name].domain) == (texts[name].category, texts[name].domain) == kind, name
+    assert {n: tags.define_tags(with_general).where(F.col("tag") == n).first().category for n in ("x therapy", "y therapy", "called")} == {"x therapy": "Event", "y therapy": "Other", "called": "Event"}
+
+
+def test_first_words_are_split_once(spark):
+    assert plan(source_queries._tag_rows(spark, SF)).count("split(") == 1
+    df = spark.createDataFrame([(t,) for t in ("", "one", ", one; two", "a b c d e", " a b c d e ", "a,b c")], "t string")
+    got = [r.w for r in df.select(text.tokens(F.col("t"), 3).alias("w")).collect()]
+    assert got == [r.w[:3] for r in df.select(text.tokens(F.col("t")).alias("w")).collect()]
